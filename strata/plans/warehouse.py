@@ -112,11 +112,15 @@ def build_layers(
     raw_df: DataFrame,
     slug: str,
     small_limit: int = DEFAULT_SMALL_LIMIT,
+    raw_written: bool = False,
 ) -> LayerRun:
-    """K1 -> K2 -> K3 -> K4 / K5 -> C2. Never raises; failures are reported."""
+    """K1 -> K2 -> K3 -> K4 / K5 -> C2. Never raises; failures are reported.
+
+    ``raw_written`` says that ``raw_df`` already is the raw table of this slug.
+    """
     try:
         wh.ensure_layers()
-        raw = wh.write(raw_df, RAW, f"raw_{slug}")
+        raw = raw_df if raw_written else wh.write(raw_df, RAW, f"raw_{slug}")
         proc = wh.write(processed(raw), PROCESSED, f"processed_{slug}")
         shape = mart_shape(proc)
         analytics = wh.write(mart(proc, shape), ANALYTICS, f"analytics_{slug}")
