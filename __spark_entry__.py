@@ -63,7 +63,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def q_profile_roles(spark, sf_dir):
     frames = []
     for name in ("lineitem", "orders", "events"):
-        prof = build_profile(_t(spark, sf_dir, name), with_summary=False)
+        prof = build_profile(_t(spark, sf_dir, name))
         frames.append(
             prof.to_frame(spark).select(
                 F.lit(name).alias("table_name"),
@@ -85,7 +85,7 @@ def q_profile_string_datetime(spark, sf_dir):
         "o_orderpriority",
         "o_orderstatus",
     )
-    prof = build_profile(orders, with_summary=False)
+    prof = build_profile(orders)
     return prof.to_frame(spark).select("column_name", "role")
 
 
@@ -100,7 +100,7 @@ def q_row_count_all(spark, sf_dir):
 
 
 def _stats_frame(df: DataFrame) -> DataFrame:
-    prof = build_profile(df, with_summary=False)
+    prof = build_profile(df)
     stats = summary.numeric_summary(df, prof.numeric)
     return stats.select(
         "position",
@@ -131,7 +131,7 @@ def q_numeric_stats_nulls(spark, sf_dir):
 
 
 def q_numeric_stats_fused(spark, sf_dir):
-    """A1/A2 through the full F1 analysis (stats fused into the profile pass)."""
+    """A1/A2 through the full F1 analysis (profile pass row count + summary)."""
     res = analyze(_t(spark, sf_dir, "orders"))
     return res.numeric_stats.select(
         "position",
@@ -159,7 +159,7 @@ def q_categorical_topk(spark, sf_dir):
 
 def q_categorical_topk_numeric(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_tax", "l_linenumber")
-    prof = build_profile(li, with_summary=False)
+    prof = build_profile(li)
     top = frequency.top_values(li, prof.categorical, 10)
     return top.select("column_name", "rank", F.col("value").cast("double").alias("value"), "count")
 
@@ -175,7 +175,7 @@ def _trend_source(spark, sf_dir):
 def _trend_grain(spark, sf_dir, grain):
     out = None
     for name, df in _trend_source(spark, sf_dir):
-        prof = build_profile(df, with_summary=False)
+        prof = build_profile(df)
         days = trends.day_counts(df, prof.datetime)
         if grain == "day":
             part = days.select("column_name", F.col("day").alias("period"), "count")

@@ -4,15 +4,20 @@ or boolean.
 Spark jobs issued, independent of the number of columns (up to ``chunk`` wide):
 
 1. one ``limit(sample_rows)`` aggregate over *all* string columns (P2);
-2. one aggregate over all numeric columns: ``count(*)``, HLL distinct estimate,
-   a NULL flag and — fused, so the numbers are read once — the numeric summary
-   A1/A2 for every numeric column;
+2. one aggregate over all numeric columns: ``count(*)`` (A1), an HLL distinct
+   estimate and a NULL flag per column;
 3. one exact ``count_distinct`` aggregate, only over numeric columns whose
    estimate is below ``2 * categorical_max_distinct`` (P3). Those columns have
    few values, so partial aggregation collapses the rows map-side.
 
 High-cardinality numerics never reach the exact pass, which is what keeps the
 exact distinct from shuffling billions of values at scale.
+
+The numeric summary (A2) is *not* fused into pass 2: the HLL sketch is an
+imperative aggregate, and one such function in a ``HashAggregate`` turns off
+whole-stage codegen for every other expression in it (measured: the fused pass
+cost more than the two passes apart). The summary is its own codegen'd
+aggregate (``operators.summary``).
 """
 
 from __future__ import annotations
@@ -39,13 +44,13 @@ ROLE_ORDER = (NUMERIC, CATEGORICAL, DATETIME, BOOLEAN)
 DEFAULT_SAMPLE_ROWS = 500
 DEFAULT_CATEGORICAL_MAX_DISTINCT = 200
 
-HLL_RSD = 0.02
+# Relative error of the distinct estimate that only pre-filters (2x margin
+# = ~20 standard errors); a finer sketch costs several times more CPU.
+HLL_RSD = 0.05
 # Aggregate expressions per job: wide tables are processed in chunks of columns
 # so that generated code stays under the JVM method-size limits.
 DEFAULT_CHUNK = 100
 
-STAT_FIELDS = ("count", "mean", "min", "max", "stddev_pop")
-
 
 @dataclass(frozen=True)
 class ColumnProfile:
@@ -68,8 +73,6 @@ class Profile:
     boolean: list[str]
     row_count: int | None = None
     issues: list[str] = field(default_factory=list)
-    # Fused A1/A2 values for numeric-typed columns: {column: {count, mean, ...}}.
-    numeric_summary: dict[str, dict[str, Any]] | None = None
     data_types: dict[str, T.DataType] = field(default_factory=dict)
 
     @property
@@ -169,10 +172,8 @@ def detect_string_datetimes(
     return found
 
 
-def _numeric_pass(
-    df: DataFrame, numeric: list[str], with_summary: bool, chunk: int
-) -> tuple[int, dict[str, dict[str, Any]]]:
-    """count(*), HLL estimate, NULL flag (and A2 summary) for all numeric columns."""
+def _numeric_pass(df: DataFrame, numeric: list[str], chunk: int) -> tuple[int, dict[str, dict[str, Any]]]:
+    """count(*), HLL estimate and NULL flag for all numeric columns."""
     per_column: dict[str, dict[str, Any]] = {c: {} for c in numeric}
     row_count = None
     for part in _chunks(numeric, chunk):
@@ -181,22 +182,11 @@ def _numeric_pass(
             x = col(c)
             aggs.append(F.approx_count_distinct(x, HLL_RSD).alias(f"hll{i}"))
             aggs.append(F.max(x.isNull()).alias(f"null{i}"))
-            if with_summary:
-                aggs += [
-                    F.count(x).alias(f"count{i}"),
-                    F.avg(x).cast("double").alias(f"mean{i}"),
-                    F.min(x).cast("double").alias(f"min{i}"),
-                    F.max(x).cast("double").alias(f"max{i}"),
-                    F.stddev_pop(x).cast("double").alias(f"stddev_pop{i}"),
-                ]
         row = df.agg(*aggs).first()
         row_count = row["rows"]
         for i, c in enumerate(part):
-            info = per_column[c]
-            info["hll"] = row[f"hll{i}"]
-            info["has_null"] = bool(row[f"null{i}"])
-            if with_summary:
-                info["summary"] = {f: row[f"{f}{i}"] for f in STAT_FIELDS}
+            per_column[c]["hll"] = row[f"hll{i}"]
+            per_column[c]["has_null"] = bool(row[f"null{i}"])
     return row_count, per_column
 
 
@@ -217,7 +207,6 @@ def build_profile(
     sample_rows: int = DEFAULT_SAMPLE_ROWS,
     min_fraction: float | None = None,
     exact: bool = False,
-    with_summary: bool = True,
     chunk: int = DEFAULT_CHUNK,
 ) -> Profile:
     """Classify every column of ``df``.
@@ -235,7 +224,7 @@ def build_profile(
 
     promoted = detect_string_datetimes(df, strings, sample_rows, min_fraction)
 
-    row_count, info = _numeric_pass(df, numeric_typed, with_summary, chunk)
+    row_count, info = _numeric_pass(df, numeric_typed, chunk)
     if row_count is None:
         row_count = df.count()
 
@@ -279,9 +268,6 @@ def build_profile(
             categorical.append(name)
     categorical += [c for c in numeric_typed if c in reclassified]
 
-    summary = None
-    if with_summary:
-        summary = {c: info[c]["summary"] for c in numeric}
     return Profile(
         columns=columns,
         numeric=numeric,
@@ -290,7 +276,6 @@ def build_profile(
         boolean=boolean,
         row_count=row_count,
         issues=issues,
-        numeric_summary=summary,
         data_types=types,
     )
 

@@ -9,7 +9,7 @@ and returns three lazily evaluated long-form DataFrames:
 
 so the whole analysis costs a fixed number of jobs — one per output — however
 many columns the input has. Nothing is collected except the profile's
-aggregate rows (one value per column).
+aggregate row (a few values per column).
 """
 
 from __future__ import annotations
@@ -89,12 +89,7 @@ def analyze(
             errors,
         )
 
-    if profile.numeric_summary is not None and profile.row_count is not None:
-        stats = summary.summary_from_profile(spark, profile.numeric, profile.numeric_summary)
-        rows = profile.row_count
-    else:
-        stats = summary.numeric_summary(df, profile.numeric)
-        rows = profile.row_count if profile.row_count is not None else df.count()
+    rows = profile.row_count if profile.row_count is not None else df.count()
 
     categorical = list(profile.categorical)
     if include_booleans:
@@ -103,7 +98,7 @@ def analyze(
         status=OK,
         profile=profile,
         row_count=rows,
-        numeric_stats=stats,
+        numeric_stats=summary.numeric_summary(df, profile.numeric),
         top_values=frequency.top_values(df, categorical, top_k),
         trends=trends.trends(df, profile.datetime),
     )
