@@ -31,7 +31,7 @@ from strata.sources.files import write_files
 from strata.sources.manifest import list_files, manifest
 from strata.sources.readers import load
 from strata.streaming.intake import run_intake
-from strata.plans.analytics import analyze
+from strata.plans.analytics import analyze, run_file
 from strata.plans.warehouse import Warehouse, build_layers, reconciliation
 
 # The fixture mappers below run in executors; ship them by value with the task.
@@ -373,6 +373,36 @@ def q_layer_tables_fact(spark, sf_dir):
     return fact.select(*[_r(c).alias(c) if c.startswith(("sum_", "avg_")) else c for c in fact.columns])
 
 
+def q_catalog_inspect(spark, sf_dir):
+    """Columns and a 5-row JSON sample of every layer table of one run."""
+    wh, run = _built(spark, sf_dir, "nation")
+    return catalog.inspect(wh).filter(F.col("table_name").endswith(run.slug)).select(
+        "layer", "table_name", "columns", F.size("sample").alias("sample_rows"), "error"
+    )
+
+
+def q_file_analytics(spark, sf_dir):
+    """detect the format of a path, load it and run the adaptive analytics."""
+    df, res = run_file(spark, f"{sf_dir}/part.parquet")
+    return res.top_values.select(F.lit("part").alias("table_name"), "column_name", "rank", "value", "count")
+
+
+def q_analytics_checkpointed(spark, sf_dir):
+    """the same analysis after a reliable checkpoint of the input."""
+    res = analyze(_t(spark, sf_dir, "orders"), checkpoint=True)
+    return res.top_values.select(F.lit("orders").alias("table_name"), "column_name", "rank", "value", "count")
+
+
+AWKWARD = ["region.key", "region `name`"]
+
+
+def q_awkward_names(spark, sf_dir):
+    """Names with dots, spaces and backticks through the whole analysis."""
+    r = _t(spark, sf_dir, "region").toDF(*AWKWARD)
+    res = analyze(r)
+    return res.top_values.select("column_name", "rank", "value", "count")
+
+
 # ------------------------------------------------------------------ reports and runs
 
 
@@ -610,6 +640,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "catalog_columns": q_catalog_columns,
         "catalog_tables": q_catalog_tables,
         "layer_tables_fact": q_layer_tables_fact,
+        "catalog_inspect": q_catalog_inspect,
+        "file_analytics": q_file_analytics,
+        "analytics_checkpointed": q_analytics_checkpointed,
+        "awkward_names": q_awkward_names,
         "report_insights": q_report_insights,
         "report_numeric_series": q_report_numeric_series,
         "report_category_series": q_report_category_series,
@@ -971,6 +1005,16 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT * FROM ({_processed_sql('orders', SCHEMAS['orders'])}) p ORDER BY o_orderkey LIMIT 10"
         ),
         "layer_tables_fact": _fact_sql("orders", SCHEMAS["orders"]),
+        "file_analytics": _topk_sql("part"),
+        "analytics_checkpointed": _topk_sql("orders"),
+        "awkward_names": (
+            "SELECT column_name, rank, value, count FROM ("
+            + _topk_sql(
+                "region",
+                cols=[("r_regionkey", "num"), ("r_name", "str")],
+            ).replace("'r_regionkey'", "'region.key'").replace("'r_name'", "'region `name`'")
+            + ") t"
+        ),
         "report_insights": _insights_sql(),
         "report_numeric_series": _numeric_series_sql(),
         "report_category_series": _category_series_sql(),
