@@ -108,6 +108,45 @@ def q_report_orders(spark):
     report.result_json(spark, res, "bench", f).collect()
 
 
+def naive_analyze(df):
+    """The per-column job pattern described in SURVEY section 3.2, written here as
+    the comparison point: one job per string column for datetime detection, one
+    distinct count per numeric column, one aggregate per numeric column, one
+    top-k per categorical column and three groupings per datetime column."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    sample = df.limit(500)
+    for c in strings:
+        if sample.select(F.try_to_timestamp(c).alias("t")).filter("t IS NOT NULL").limit(1).count():
+            dates.append(c)
+    categorical = [c for c in strings if c not in dates]
+    for c in list(numeric):
+        d = df.select(c).distinct().count()
+        if 0 < d <= 200:
+            numeric.remove(c)
+            categorical.append(c)
+    df.count()
+    for c in numeric:
+        df.select(F.count(c), F.avg(c), F.min(c), F.max(c), F.stddev_pop(c)).collect()
+    for c in categorical:
+        df.groupBy(F.col(c).alias("value")).count().orderBy(F.desc("count")).limit(10).collect()
+    for c in dates:
+        x = F.col(c) if c not in strings else F.try_to_timestamp(c)
+        df.groupBy(F.to_date(x).alias("d")).count().orderBy("d").collect()
+        df.groupBy(F.date_trunc("month", x).alias("m")).count().orderBy("m").collect()
+        df.groupBy(F.year(x).alias("y")).count().orderBy("y").collect()
+
+
+COMPARISON = {
+    "naive_per_column_analyze_lineitem": lambda spark: naive_analyze(table(spark, "lineitem")),
+    "naive_per_column_analyze_orders": lambda spark: naive_analyze(table(spark, "orders")),
+}
+
+
 QUERIES = {
     "analyze_lineitem": q_analyze_lineitem,
     "analyze_orders": q_analyze_orders,
@@ -147,6 +186,17 @@ def main() -> None:
         QUERIES[name](spark)
         timings[name] = round(time.perf_counter() - t0, 3)
         jobs[name] = len(sc.statusTracker().getJobIdsForGroup(group))
+    comparison = {}
+    if not sys.argv[1:] or "--compare" in sys.argv[1:]:
+        for name, fn in COMPARISON.items():
+            group = f"bench-{name}"
+            sc.setJobGroup(group, name)
+            t0 = time.perf_counter()
+            fn(spark)
+            comparison[name] = {
+                "sec": round(time.perf_counter() - t0, 3),
+                "jobs": len(sc.statusTracker().getJobIdsForGroup(group)),
+            }
     sf = re.search(r"sf([0-9.]+)", SF_DIR)
     print(
         json.dumps(
@@ -156,6 +206,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": timings,
                 "jobs": jobs,
+                "comparison": comparison,
                 "sf": float(sf.group(1)) if sf else SF_DIR,
                 "cpus": int(CPUS),
             }

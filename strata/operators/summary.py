@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.naming import col
 
+DEFAULT_CHUNK = 100
+
 SUMMARY_SCHEMA = (
     "position INT, column_name STRING, count BIGINT, mean DOUBLE, min DOUBLE, max DOUBLE, "
     "stddev_pop DOUBLE"
@@ -23,14 +25,7 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    """A2 long form ``(position, column, count, mean, min, max, stddev_pop)``.
-
-    Min and max are reported as DOUBLE (as the reference's float output).
-    """
-    spark = df.sparkSession
-    if not columns:
-        return spark.createDataFrame([], SUMMARY_SCHEMA)
+def _summary_chunk(df: DataFrame, columns: list[str], first_position: int) -> DataFrame:
     aggs = []
     for i, c in enumerate(columns):
         x = col(c)
@@ -41,11 +36,10 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
             F.max(x).cast("double").alias(f"hi{i}"),
             F.stddev_pop(x).cast("double").alias(f"sd{i}"),
         ]
-    wide = df.agg(*aggs)
     rows = F.array(
         *[
             F.struct(
-                F.lit(i + 1).alias("position"),
+                F.lit(first_position + i).alias("position"),
                 F.lit(c).alias("column_name"),
                 F.col(f"c{i}").alias("count"),
                 F.col(f"a{i}").alias("mean"),
@@ -56,4 +50,22 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
             for i, c in enumerate(columns)
         ]
     )
-    return wide.select(F.inline(rows))
+    return df.agg(*aggs).select(F.inline(rows))
+
+
+def numeric_summary(df: DataFrame, columns: list[str], chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """A2 long form ``(position, column_name, count, mean, min, max, stddev_pop)``.
+
+    Min and max are reported as DOUBLE (as the reference's float output). Up to
+    ``chunk`` columns share one aggregate (wider inputs: one aggregate per chunk,
+    so generated code stays within the JVM's method-size limits).
+    """
+    if not columns:
+        return df.sparkSession.createDataFrame([], SUMMARY_SCHEMA)
+    parts = [
+        _summary_chunk(df, columns[i : i + chunk], i + 1) for i in range(0, len(columns), chunk)
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -81,3 +81,46 @@ def test_profile_reclassification_skips_high_cardinality_exact_pass(spark):
     # keys with thousands of values never reach the exact count_distinct pass
     assert prof.columns[0].distinct_count is None
     assert {c.name for c in prof.columns if c.distinct_count is not None} >= {"l_linenumber", "l_quantity"}
+
+
+def _hot(spark, n=30_000):
+    """A third of all rows are copies of one row (one hot key / value / group)."""
+    hot = spark.range(0, n // 3).select(F.lit("hot").alias("k"), F.lit(1.0).alias("v"))
+    rest = spark.range(0, n - n // 3).select(
+        F.concat(F.lit("k"), (F.col("id") % 1000).cast("string")).alias("k"), F.col("id").cast("double").alias("v")
+    )
+    return hot.unionByName(rest)
+
+
+def test_hot_group_of_copies_is_collapsed_before_the_shuffle(spark):
+    from strata.operators.cleaning import processed
+    from strata.operators.marts import mart
+
+    df = _hot(spark)
+    p = processed(df)
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    # partial aggregation (map side) precedes the exchange of the DISTINCT
+    assert plan.index("Exchange hashpartitioning") < plan.rindex("HashAggregate")
+    assert p.filter(F.col("k") == "hot").count() == 1
+    m = {r["slice_key"]: r["row_count"] for r in mart(p).collect()}
+    assert m["hot"] == 1 and sum(m.values()) == p.count()
+
+
+def test_hot_value_in_frequency_and_trends(spark):
+    df = _hot(spark).withColumn("d", F.when(F.col("k") == "hot", F.lit("2024-01-01").cast("date")).otherwise(F.lit("2024-02-01").cast("date")))
+    res = analyze(df)
+    top = res.top_values.filter((F.col("column_name") == "k") & (F.col("rank") == 1)).first()
+    assert (top["value"], top["count"]) == ("hot", 10_000)
+    plan = res.top_values._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+    days = {r["period"]: r["count"] for r in res.trends.filter("grain = 'day'").collect()}
+    assert days[__import__("datetime").date(2024, 1, 1)] == 10_000
+
+
+def test_wide_summary_is_chunked(spark):
+    from strata.operators.summary import numeric_summary
+
+    df = spark.range(0, 100).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(7)])
+    rows = numeric_summary(df, df.columns, chunk=3).orderBy("position").collect()
+    assert [r["position"] for r in rows] == list(range(1, 8))
+    assert [r["mean"] for r in rows] == [49.5 + i for i in range(7)]
