@@ -224,18 +224,18 @@ def q_trend_null_bucket(spark, sf_dir):
 
 # ------------------------------------------------------------------ layers
 
-MESSY_NATION = ["Nation Key", "nation-key", "2nd", "", "a", "A", "a_2"]
+MESSY_NAMES = ["Cust Key", "cust-key", "2nd", "", "a", "A", "a_2"]
 
 
-def _messy_nation(spark, sf_dir):
-    n = _t(spark, sf_dir, "nation")
-    return n.select("n_nationkey", "n_name", "n_regionkey", "n_name", "n_nationkey", "n_regionkey", "n_name").toDF(
-        *MESSY_NATION
-    )
+def _messy_customer(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer")
+    return c.select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "c_custkey", "c_name"
+    ).toDF(*MESSY_NAMES)
 
 
 def q_standardized_columns(spark, sf_dir):
-    return standardized(_messy_nation(spark, sf_dir))
+    return standardized(_messy_customer(spark, sf_dir))
 
 
 def _orders_with_dups(spark, sf_dir):
@@ -295,7 +295,7 @@ def q_mart_global(spark, sf_dir):
 
 
 def q_mart_count_only(spark, sf_dir):
-    return _mart_of(spark, sf_dir, "region", ["r_name"])
+    return _mart_of(spark, sf_dir, "orders", ["o_orderstatus", "o_orderpriority"])
 
 
 def q_dimension(spark, sf_dir):
@@ -357,12 +357,12 @@ def _built(spark, sf_dir, name, cols=None):
 
 
 def q_catalog_columns(spark, sf_dir):
-    wh, run = _built(spark, sf_dir, "nation")
+    wh, run = _built(spark, sf_dir, "customer")
     return catalog.columns(spark, run.tables["processed"])
 
 
 def q_catalog_tables(spark, sf_dir):
-    wh, run = _built(spark, sf_dir, "region")
+    wh, run = _built(spark, sf_dir, "supplier")
     return catalog.structure(wh).filter(F.col("table_name").endswith(run.slug))
 
 
@@ -375,7 +375,7 @@ def q_layer_tables_fact(spark, sf_dir):
 
 def q_catalog_inspect(spark, sf_dir):
     """Columns and a 5-row JSON sample of every layer table of one run."""
-    wh, run = _built(spark, sf_dir, "nation")
+    wh, run = _built(spark, sf_dir, "part")
     return catalog.inspect(wh).filter(F.col("table_name").endswith(run.slug)).select(
         "layer", "table_name", "columns", F.size("sample").alias("sample_rows"), "error"
     )
@@ -393,13 +393,13 @@ def q_analytics_checkpointed(spark, sf_dir):
     return res.top_values.select(F.lit("orders").alias("table_name"), "column_name", "rank", "value", "count")
 
 
-AWKWARD = ["region.key", "region `name`"]
+AWKWARD = ["order.status", "order `priority`"]
 
 
 def q_awkward_names(spark, sf_dir):
     """Names with dots, spaces and backticks through the whole analysis."""
-    r = _t(spark, sf_dir, "region").toDF(*AWKWARD)
-    res = analyze(r)
+    o = _t(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority").toDF(*AWKWARD)
+    res = analyze(o)
     return res.top_values.select("column_name", "rank", "value", "count")
 
 
@@ -481,23 +481,30 @@ def _scratch(spark, kind):
 
 def q_csv_scan(spark, sf_dir):
     root = _scratch(spark, "csv")
-    _t(spark, sf_dir, "nation").write.option("header", "true").csv(root)
+    _t(spark, sf_dir, "customer").write.option("header", "true").csv(root)
     return load(spark, root, "csv")
 
 
 def q_json_lines_scan(spark, sf_dir):
     root = _scratch(spark, "jsonl")
-    _t(spark, sf_dir, "region").write.json(root)
+    _t(spark, sf_dir, "part").write.json(root)
     return load(spark, root, "json")
 
 
+ROWS_PER_DOCUMENT = 500
+
+
+def _bucket(key: str):
+    """Dense integer keys in blocks of at most ROWS_PER_DOCUMENT rows."""
+    return F.floor(F.col(key) / ROWS_PER_DOCUMENT)
+
+
 def q_json_array_scan(spark, sf_dir):
-    """nation as JSON array documents, one array per file (needs multiLine)."""
+    """supplier as JSON array documents (at most 500 records each, one per file)."""
     root = _scratch(spark, "jsonarray")
-    n = _t(spark, sf_dir, "nation")
-    bucket = F.pmod(F.xxhash64("n_nationkey"), F.lit(3))
-    docs = n.groupBy(bucket.alias("bucket")).agg(
-        F.to_json(F.collect_list(F.struct(*n.columns))).alias("doc")
+    sup = _t(spark, sf_dir, "supplier")
+    docs = sup.groupBy(_bucket("s_suppkey").alias("bucket")).agg(
+        F.to_json(F.collect_list(F.struct(*sup.columns))).alias("doc")
     )
     write_files(
         docs.select(
@@ -519,9 +526,9 @@ def _workbook_files(root):
 
 
 def q_excel_scan(spark, sf_dir):
+    """supplier as .xlsx workbooks (at most 500 rows each), read back."""
     root = _scratch(spark, "xlsx")
-    r = _t(spark, sf_dir, "region")
-    grouped = r.withColumn("bucket", F.pmod(F.xxhash64("r_regionkey"), F.lit(2)))
+    grouped = _t(spark, sf_dir, "supplier").withColumn("bucket", _bucket("s_suppkey"))
     files = grouped.groupBy("bucket").applyInPandas(_workbook_files(root), "path STRING, content BINARY")
     write_files(files).collect()
     return load(spark, root, "excel")
@@ -558,12 +565,30 @@ def _landing_files(root):
 MANIFEST_MAX_BYTES = 20_000
 
 
+PARTS_LABEL = "(orders parts)"
+
+
 def q_ingest_manifest(spark, sf_dir):
+    """Named fixture files (from nation) plus orders landed as Spark CSV parts."""
     root = _scratch(spark, "landing")
     n = _t(spark, sf_dir, "nation").withColumn("g", F.lit(0))
     write_files(n.groupBy("g").applyInPandas(_landing_files(root), "path STRING, content BINARY")).collect()
+    _t(spark, sf_dir, "orders").write.csv(f"{root}/orders")
     m = manifest(list_files(spark, root), max_bytes=MANIFEST_MAX_BYTES)
-    return m.select("name", "safe_name", "format", "accepted", "reject_reason")
+    is_part = F.col("path").contains("/orders/")
+    named = m.filter(~is_part).select("name", "safe_name", "format", "accepted", "reject_reason")
+    parts = (
+        m.filter(is_part)
+        .select(
+            F.lit(PARTS_LABEL).alias("name"),
+            F.lit(PARTS_LABEL).alias("safe_name"),
+            "format",
+            "accepted",
+            "reject_reason",
+        )
+        .distinct()
+    )
+    return named.unionByName(parts)
 
 
 def _intake_files(root, table):
@@ -571,24 +596,22 @@ def _intake_files(root, table):
         data = pdf.drop(columns=["g"])
         if table == "nation":
             name, content = "nation.csv", data.to_csv(index=False).encode()
-        elif table == "region":
-            name, content = "region.json", data.to_json(orient="records", lines=True).encode()
         else:
-            buf = io.BytesIO()
-            data.to_parquet(buf, index=False)
-            name, content = f"{table}.parquet", buf.getvalue()
+            name, content = f"{table}.json", data.to_json(orient="records", lines=True).encode()
         return pd.DataFrame({"path": [f"{root}/{name}"], "content": [content]})
 
     return build
 
 
 def _land(spark, sf_dir, root, table):
+    """One named file from a fixed-size table (nation, region)."""
     df = _t(spark, sf_dir, table).withColumn("g", F.lit(0))
     write_files(df.groupBy("g").applyInPandas(_intake_files(root, table), "path STRING, content BINARY")).collect()
 
 
 def q_streaming_intake(spark, sf_dir):
-    """Two availableNow runs: nation.csv + region.json, then supplier.parquet."""
+    """Two availableNow runs: nation.csv + region.json, then customer as Parquet
+    parts written by Spark (one dataset per part file)."""
     root = _scratch(spark, "intake")
     landing, checkpoint = f"{root}/landing", f"{root}/_checkpoint"
     history = RunHistory(spark, f"{root}/history")
@@ -596,9 +619,9 @@ def q_streaming_intake(spark, sf_dir):
     _land(spark, sf_dir, landing, "nation")
     _land(spark, sf_dir, landing, "region")
     run_intake(spark, landing, checkpoint, history, wh)
-    _land(spark, sf_dir, landing, "supplier")
+    _t(spark, sf_dir, "customer").write.parquet(f"{landing}/customer")
     run_intake(spark, landing, checkpoint, history, wh)
-    return history.runs().select("filename", "format", "status", "row_count")
+    return history.runs().groupBy("format", "status").agg(F.sum("row_count").alias("row_count"))
 
 
 TABLES = (
@@ -974,8 +997,8 @@ def oracle_sql() -> dict[str, str]:
             [("o_orderdate", "o_orderdate"), ("o_orderdate_text", "CAST(o_orderdate_text AS TIMESTAMP)")],
         ),
         "standardized_columns": (
-            "SELECT n_nationkey AS nation_key, n_name AS nation_key_2, n_regionkey AS c_2nd, "
-            "n_name AS \"column\", n_nationkey AS a, n_regionkey AS a_2, n_name AS a_2_2 FROM nation"
+            "SELECT c_custkey AS cust_key, c_name AS cust_key_2, c_nationkey AS c_2nd, "
+            "c_acctbal AS \"column\", c_mktsegment AS a, c_custkey AS a_2, c_name AS a_2_2 FROM customer"
         ),
         "processed_layer": _processed_sql(_DUP_ORDERS, _DUP_COLS),
         "layer_reconciliation": (
@@ -988,7 +1011,7 @@ def oracle_sql() -> dict[str, str]:
         "mart_grouped_orders": _mart_sql("orders", SCHEMAS["orders"]),
         "mart_grouped_highcard": _mart_sql("events", SCHEMAS["events"]),
         "mart_global": _mart_sql("labels", SCHEMAS["labels"]),
-        "mart_count_only": _mart_sql("region", [("r_name", "str")]),
+        "mart_count_only": _mart_sql("orders", [("o_orderstatus", "str"), ("o_orderpriority", "str")]),
         "dimension": (
             "SELECT row_number() OVER (ORDER BY c_name) AS dim_id, c_name AS category_value "
             f"FROM (SELECT DISTINCT c_name FROM ({_processed_sql('customer', SCHEMAS['customer'])}) p) d"
@@ -1010,9 +1033,9 @@ def oracle_sql() -> dict[str, str]:
         "awkward_names": (
             "SELECT column_name, rank, value, count FROM ("
             + _topk_sql(
-                "region",
-                cols=[("r_regionkey", "num"), ("r_name", "str")],
-            ).replace("'r_regionkey'", "'region.key'").replace("'r_name'", "'region `name`'")
+                "orders",
+                cols=[("o_orderstatus", "str"), ("o_orderpriority", "str")],
+            ).replace("'o_orderstatus'", "'order.status'").replace("'o_orderpriority'", "'order `priority`'")
             + ") t"
         ),
         "report_insights": _insights_sql(),
@@ -1025,10 +1048,10 @@ def oracle_sql() -> dict[str, str]:
         "report_panel": _panel_sql(),
         "run_history_upsert": _runs_sql(["job-a", "job-b"]),
         "run_lookup": _runs_sql(["job-b"]),
-        "csv_scan": "SELECT * FROM nation",
-        "json_lines_scan": "SELECT * FROM region",
-        "json_array_scan": "SELECT * FROM nation",
-        "excel_scan": "SELECT * FROM region",
+        "csv_scan": "SELECT * FROM customer",
+        "json_lines_scan": "SELECT * FROM part",
+        "json_array_scan": "SELECT * FROM supplier",
+        "excel_scan": "SELECT * FROM supplier",
         "ingest_manifest": (
             "SELECT * FROM (VALUES "
             "('nation.csv', 'nation.csv', 'csv', true, NULL), "
@@ -1042,12 +1065,13 @@ def oracle_sql() -> dict[str, str]:
             "('nation.dat', 'nation.dat', 'parquet', false, 'Extension not allowed. Allowed: [''.csv'', ''.json'', ''.parquet'', ''.pq'', ''.xls'', ''.xlsx'']'), "
             "('bad..name.csv', 'bad..name.csv', 'csv', false, 'Invalid filename.'), "
             "('Nation Data.csv', 'Nation_Data.csv', 'csv', true, NULL), "
-            "('nation_wide.csv', 'nation_wide.csv', 'csv', false, 'File exceeds 0 MB limit')"
+            "('nation_wide.csv', 'nation_wide.csv', 'csv', false, 'File exceeds 0 MB limit'), "
+            "('(orders parts)', '(orders parts)', 'csv', false, 'File exceeds 0 MB limit')"
             ") AS t(name, safe_name, format, accepted, reject_reason)"
         ),
         "streaming_intake": (
-            "SELECT 'nation.csv' AS filename, 'csv' AS format, 'ok' AS status, (SELECT count(*) FROM nation) AS row_count "
-            "UNION ALL SELECT 'region.json', 'json', 'ok', (SELECT count(*) FROM region) "
-            "UNION ALL SELECT 'supplier.parquet', 'parquet', 'ok', (SELECT count(*) FROM supplier)"
+            "SELECT 'csv' AS format, 'ok' AS status, (SELECT count(*) FROM nation) AS row_count "
+            "UNION ALL SELECT 'json', 'ok', (SELECT count(*) FROM region) "
+            "UNION ALL SELECT 'parquet', 'ok', (SELECT count(*) FROM customer)"
         ),
     }

@@ -3,7 +3,7 @@ or boolean.
 
 Spark jobs issued, independent of the number of columns (up to ``chunk`` wide):
 
-1. one ``limit(sample_rows)`` aggregate over *all* string columns (P2);
+1. one ``limit(sample_rows)`` probe over *all* string columns (P2; flags only);
 2. one aggregate over all numeric columns: ``count(*)`` (A1), an HLL distinct
    estimate and a NULL flag per column;
 3. one exact ``count_distinct`` aggregate, only over numeric columns whose
@@ -152,19 +152,28 @@ def detect_string_datetimes(
 
     ``min_fraction=None`` keeps the reference rule (one parsable value among the
     sample promotes the column); a fraction requires that share of the sampled
-    non-null values to parse. One job over all string columns.
+    non-null values to parse.
+
+    Executors turn each row into two flags per column (parsed, present) and
+    ``limit(...).collect()`` brings back ``sample_rows`` rows of flags.
+    ``CollectLimit`` reads splits incrementally and stops once it has enough
+    rows, so a huge input costs a task or a few, not one task per split (an
+    aggregate over ``limit`` would launch a task on every split).
     """
     if not string_columns or sample_rows <= 0:
         return set()
-    sample = df.select(*[col(c) for c in string_columns]).limit(sample_rows)
-    aggs = []
-    for i, c in enumerate(string_columns):
-        aggs.append(F.count(parse_timestamp(col(c))).alias(f"p{i}"))
-        aggs.append(F.count(col(c)).alias(f"n{i}"))
-    row = sample.agg(*aggs).first()
+    flags = [
+        F.struct(
+            parse_timestamp(col(c)).isNotNull().cast("int").alias("p"),
+            col(c).isNotNull().cast("int").alias("n"),
+        ).alias(f"f{i}")
+        for i, c in enumerate(string_columns)
+    ]
+    rows = df.select(*flags).limit(sample_rows).collect()
     found = set()
     for i, c in enumerate(string_columns):
-        parsed, present = row[f"p{i}"], row[f"n{i}"]
+        parsed = sum(r[i]["p"] for r in rows)
+        present = sum(r[i]["n"] for r in rows)
         if parsed == 0:
             continue
         if min_fraction is None or parsed >= min_fraction * present:
