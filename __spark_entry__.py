@@ -8,12 +8,19 @@ results are rounded to 4 decimals on both sides (sums are order dependent).
 from __future__ import annotations
 
 import io
+import os
 import sys
 import uuid
 from collections.abc import Callable
 
 import pandas as pd
 
+# The package sits next to this file; make it importable however this module
+# was loaded (by path, from another working directory).
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
