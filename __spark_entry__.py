@@ -42,7 +42,9 @@ from strata.plans.analytics import analyze, run_file
 from strata.plans.warehouse import Warehouse, build_layers, reconciliation
 
 # The fixture mappers below run in executors; ship them by value with the task.
-_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+# (A module loaded by path without a sys.modules entry is pickled by value anyway.)
+if __name__ in sys.modules:
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SF0001 = "/root/testdata/sf0.001"
 LIMIT = 200  # categorical_max_distinct default
