@@ -323,3 +323,8 @@ def panel(profile: DataFrame, numeric_stats: DataFrame, top_values: DataFrame, r
     )
     return head.join(numeric_blocks.unionByName(cat_blocks), "job_id", "left")
 
+
+
+def write_json(documents: DataFrame, path: str) -> None:
+    """K7 sink: one JSON document per line (``job_id`` order), as text files."""
+    documents.select("result_json").write.mode("overwrite").text(path)
