@@ -8,13 +8,15 @@ were handed out, and the job id is derived from path + modification time, so a
 micro-batch replayed after a failure rewrites the same run-history partitions
 (K6 is an idempotent upsert). ``maxFilesPerTrigger`` bounds the manifest that a
 micro-batch handles (the driver only iterates over file *names*; each dataset
-is its own distributed job).
+is its own distributed job, several of them run side by side).
 """
 
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from strata.sources.manifest import MAX_UPLOAD_BYTES, manifest
 log = logging.getLogger("strata.intake")
 
 DEFAULT_MAX_FILES_PER_TRIGGER = 100
+DEFAULT_PARALLEL_JOBS = 4
 # The fixed schema of the binaryFile source (a stream must declare it).
 BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
@@ -42,25 +45,50 @@ def landed_files(spark: SparkSession, landing: str, max_files: int = DEFAULT_MAX
     )
 
 
+class _LockedHistory(RunHistory):
+    """Run history whose writes are serialised between the intake's threads."""
+
+    def __init__(self, inner: RunHistory, lock: threading.Lock):
+        super().__init__(inner.spark, inner.path)
+        self._lock = lock
+
+    def upsert(self, records: DataFrame) -> None:
+        with self._lock:
+            super().upsert(records)
+
+    def save_results(self, frames: dict[str, DataFrame]) -> None:
+        with self._lock:
+            super().save_results(frames)
+
+
 def batch_handler(
     history: RunHistory,
     warehouse: Warehouse | None = None,
     max_bytes: int = MAX_UPLOAD_BYTES,
+    parallel_jobs: int = DEFAULT_PARALLEL_JOBS,
     **job_args,
 ) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: one upload job per accepted file of the batch.
+
+    Up to ``parallel_jobs`` files are processed at once (Spark runs jobs from
+    several driver threads side by side); run-history writes are serialised.
+    """
+    locked = _LockedHistory(history, threading.Lock())
+
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         entries = manifest(batch, max_bytes=max_bytes, sniff=False).collect()
-        for e in entries:
+
+        def process(e) -> str:
             if not e["accepted"]:
-                history.upsert(
+                locked.upsert(
                     run_record(spark, e["job_id"], e["name"], e["format"] or "", e["path"], FAILED, None, None)
                 )
-                continue
+                return FAILED
             result = run_job(
                 spark,
                 e["path"],
-                history=history,
+                history=locked,
                 warehouse=warehouse,
                 job_id=e["job_id"],
                 filename=e["safe_name"],
@@ -68,7 +96,15 @@ def batch_handler(
                 size=e["length"],
                 **job_args,
             )
-            log.info("intake %s -> %s (%s)", e["name"], result.status, epoch_id)
+            log.info("intake %s -> %s (batch %s)", e["name"], result.status, epoch_id)
+            return result.status
+
+        if parallel_jobs <= 1 or len(entries) <= 1:
+            for e in entries:
+                process(e)
+            return
+        with ThreadPoolExecutor(max_workers=parallel_jobs) as pool:
+            list(pool.map(process, entries))
 
     return handle
 
@@ -82,13 +118,14 @@ def run_intake(
     available_now: bool = True,
     max_files: int = DEFAULT_MAX_FILES_PER_TRIGGER,
     max_bytes: int = MAX_UPLOAD_BYTES,
+    parallel_jobs: int = DEFAULT_PARALLEL_JOBS,
     **job_args,
 ):
     """Process the files that landed since the last run (``available_now``) or
     keep watching the folder (returns the running query)."""
     writer = (
         landed_files(spark, landing, max_files)
-        .writeStream.foreachBatch(batch_handler(history, warehouse, max_bytes, **job_args))
+        .writeStream.foreachBatch(batch_handler(history, warehouse, max_bytes, parallel_jobs, **job_args))
         .option("checkpointLocation", checkpoint_location)
     )
     if available_now:
