@@ -32,14 +32,14 @@ from strata.operators.marts import grouped_metrics, mart, mart_shape
 from strata.operators.profile import build_profile
 from strata.operators.star import dimension, join_fact, star_schema
 from strata.plans import catalog, report
+from strata.plans.analytics import analyze, run_file
 from strata.plans.runs import RunHistory, run_job
+from strata.plans.warehouse import Warehouse, build_layers, reconciliation
 from strata.sources.excel import workbook_bytes
 from strata.sources.files import write_files
 from strata.sources.manifest import list_files, manifest
 from strata.sources.readers import load
 from strata.streaming.intake import run_intake
-from strata.plans.analytics import analyze, run_file
-from strata.plans.warehouse import Warehouse, build_layers, reconciliation
 
 # The fixture mappers below run in executors; ship them by value with the task.
 # (A module loaded by path without a sys.modules entry is pickled by value anyway.)
@@ -174,7 +174,7 @@ def q_categorical_topk_numeric(spark, sf_dir):
 
 
 def _trend_source(spark, sf_dir):
-    """Datetime columns of orders and events, plus a string-typed copy of one."""
+    """Tables with datetime columns: orders (o_orderdate) and events (ts)."""
     return [
         ("orders", _t(spark, sf_dir, "orders")),
         ("events", _t(spark, sf_dir, "events")),
