@@ -964,6 +964,23 @@ def _runs_sql(ids) -> str:
     return " UNION ALL ".join(rows[i] for i in ids)
 
 
+def _inspect_sql() -> str:
+    slug = "part_5eed00000000"
+    nums = ["sum_p_partkey", "sum_p_size", "sum_p_retailprice", "avg_p_partkey", "avg_p_size", "avg_p_retailprice"]
+    metrics = ", ".join(f"{m}: double" for m in nums)
+    tables = [
+        ("raw_data", f"raw_{slug}",
+         "p_partkey: bigint, p_name: string, p_brand: string, p_type: string, p_size: int, p_retailprice: double"),
+        ("processed", f"processed_{slug}",
+         "p_partkey: double, p_name: string, p_brand: string, p_type: string, p_size: double, p_retailprice: double"),
+        ("analytics", f"analytics_{slug}", f"slice_key: string, row_count: bigint, {metrics}"),
+        ("analytics", f"dim_{slug}", "dim_id: bigint, category_value: string"),
+        ("analytics", f"fact_{slug}", f"dim_id: bigint, row_count: bigint, {metrics}"),
+    ]
+    rows = ", ".join(f"('{layer}', '{t}', '{cols}', 5, CAST(NULL AS VARCHAR))" for layer, t, cols in tables)
+    return f"SELECT * FROM (VALUES {rows}) AS t(layer, table_name, columns, sample_rows, error)"
+
+
 def oracle_sql() -> dict[str, str]:
     row_counts = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES
@@ -1047,6 +1064,20 @@ def oracle_sql() -> dict[str, str]:
             ).replace("'o_orderstatus'", "'order.status'").replace("'o_orderpriority'", "'order `priority`'")
             + ") t"
         ),
+        # Catalog metadata follows from the layer rules: numbers become DOUBLE,
+        # text stays STRING; the check slug is "<table>_5eed00000000".
+        "catalog_columns": (
+            "SELECT * FROM (VALUES (1, 'c_custkey', 'double'), (2, 'c_name', 'string'), "
+            "(3, 'c_nationkey', 'double'), (4, 'c_acctbal', 'double'), (5, 'c_mktsegment', 'string')) "
+            "AS t(ordinal, column_name, data_type)"
+        ),
+        "catalog_tables": (
+            "SELECT * FROM (VALUES ('analytics', 'analytics_supplier_5eed00000000'), "
+            "('analytics', 'dim_supplier_5eed00000000'), ('analytics', 'fact_supplier_5eed00000000'), "
+            "('processed', 'processed_supplier_5eed00000000'), ('raw_data', 'raw_supplier_5eed00000000')) "
+            "AS t(layer, table_name)"
+        ),
+        "catalog_inspect": _inspect_sql(),
         "report_insights": _insights_sql(),
         "report_numeric_series": _numeric_series_sql(),
         "report_category_series": _category_series_sql(),
