@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from strata.functions.naming import make_slug
 from strata.plans import report
 from strata.plans.analytics import Analytics, analyze
-from strata.plans.warehouse import RAW, LayerRun, Warehouse, build_layers
+from strata.plans.warehouse import RAW, LayerRun, Warehouse, build_layers, spread_if_narrow
 from strata.sources.manifest import detect_format_of_path, validate_filename
 from strata.sources.readers import load
 
@@ -190,7 +190,7 @@ def run_job(
         source, raw_written = df, False
         try:
             wh.ensure_layers()
-            source = wh.write(df, RAW, f"raw_{slug}")
+            source = wh.write(spread_if_narrow(df), RAW, f"raw_{slug}")
             raw_written = True
         except Exception as exc:
             log.warning("raw layer not written for %s: %s", job_id, exc)

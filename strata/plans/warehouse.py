@@ -71,6 +71,19 @@ class Warehouse:
         return sorted(t.name for t in self.spark.catalog.listTables(self.db(layer)))
 
 
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin an input that arrives in far fewer partitions than the cluster
+    has task slots (one gzip CSV, one workbook, one Parquet row group) before it
+    is written as the raw layer. The raw table then has a file per slot, so every
+    later layer scans in parallel instead of in one task. Inputs that already
+    arrive in many splits (the large-scale case) are left as they are.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= slots:
+        return df.repartition(slots)
+    return df
+
+
 @dataclass
 class LayerRun:
     ok: bool
@@ -120,7 +133,7 @@ def build_layers(
     """
     try:
         wh.ensure_layers()
-        raw = raw_df if raw_written else wh.write(raw_df, RAW, f"raw_{slug}")
+        raw = raw_df if raw_written else wh.write(spread_if_narrow(raw_df), RAW, f"raw_{slug}")
         proc = wh.write(processed(raw), PROCESSED, f"processed_{slug}")
         shape = mart_shape(proc)
         analytics = wh.write(mart(proc, shape), ANALYTICS, f"analytics_{slug}")
