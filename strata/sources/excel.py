@@ -177,7 +177,9 @@ def read_excel(spark: SparkSession, path: str) -> DataFrame:
     """
     cells = excel_cells(spark, path)
     header_row = cells.groupBy("path").agg(F.min("row_no").alias("header_row"))
-    tagged = cells.join(F.broadcast(header_row), "path")  # one row per file
+    # One row per workbook; AQE turns this into a broadcast join when the
+    # measured size is small (no hint: the file count is not bounded here).
+    tagged = cells.join(header_row, "path")
     data = tagged.filter(F.col("row_no") > F.col("header_row"))
     is_integral = (F.col("kind") != NUMBER) | (
         F.col("text").cast("double") == F.floor(F.col("text").cast("double"))
