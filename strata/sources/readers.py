@@ -59,32 +59,50 @@ def json_layout(spark: SparkSession, path: str) -> str:
         return "document"
 
 
-def read_csv(spark: SparkSession, path: str, options: dict[str, str] | None = None) -> DataFrame:
-    """S2. For very large input pass an explicit ``schema`` option or a
-    ``samplingRatio`` so that inference does not read everything once more."""
+def _reader(spark: SparkSession, schema: str | None):
+    return spark.read.schema(schema) if schema else spark.read
+
+
+def read_csv(
+    spark: SparkSession, path: str, options: dict[str, str] | None = None, schema: str | None = None
+) -> DataFrame:
+    """S2. Type inference reads the whole input once more; for very large input
+    pass ``schema`` (a DDL string). Sampled inference (``samplingRatio``) is
+    possible but may mis-type a value it did not see, which then reads as NULL."""
     opts = {**CSV_DEFAULTS, **(options or {})}
-    return spark.read.options(**opts).csv(path)
+    if schema:
+        opts.pop("inferSchema", None)
+    return _reader(spark, schema).options(**opts).csv(path)
 
 
-def read_json(spark: SparkSession, path: str, options: dict[str, str] | None = None) -> DataFrame:
+def read_json(
+    spark: SparkSession, path: str, options: dict[str, str] | None = None, schema: str | None = None
+) -> DataFrame:
     """S3 with layout detection (D1): JSON lines are read record by record."""
     opts = dict(options or {})
     if "multiLine" not in opts:
         opts["multiLine"] = "true" if json_layout(spark, path) == "document" else "false"
-    return spark.read.options(**opts).json(path)
+    return _reader(spark, schema).options(**opts).json(path)
 
 
 def load(
-    spark: SparkSession, path: str, fmt: str, options: dict[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str,
+    options: dict[str, str] | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
-    """Read ``path`` as ``fmt`` (csv, json, parquet, excel/xlsx/xls)."""
+    """Read ``path`` as ``fmt`` (csv, json, parquet, excel/xlsx/xls).
+
+    ``schema`` (DDL) skips type inference for CSV/JSON.
+    """
     kind = normalize_format(fmt)
     if kind == PARQUET:
-        return spark.read.options(**(options or {})).parquet(path)
+        return _reader(spark, schema).options(**(options or {})).parquet(path)
     if kind == CSV:
-        return read_csv(spark, path, options)
+        return read_csv(spark, path, options, schema)
     if kind == JSON:
-        return read_json(spark, path, options)
+        return read_json(spark, path, options, schema)
     from strata.sources.excel import read_excel
 
     return read_excel(spark, path)

@@ -184,3 +184,10 @@ def test_streaming_intake_once_per_file(spark, tmp_dir):
     run_intake(spark, land, cp, h, wh)  # nothing new: no new records
     runs = h.runs().collect()
     assert sorted(r["filename"] for r in runs) == ["one.csv", "skip.txt", "two.json"]
+
+
+def test_explicit_schema_skips_inference(spark, tmp_dir):
+    path = _write(os.path.join(tmp_dir, "typed.csv"), "a,b\n1,x\n2,y\n")
+    df = load(spark, path, "csv", schema="a STRING, b STRING")
+    assert dict(df.dtypes) == {"a": "string", "b": "string"}
+    assert load(spark, path, "csv").dtypes[0] == ("a", "int")
