@@ -452,6 +452,19 @@ def q_result_json(spark, sf_dir):
     return report.result_json(spark, res, "orders-run", f)
 
 
+def q_report_history_insights(spark, sf_dir):
+    """R1 over the whole run history: two recorded jobs, one set of lines."""
+    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    h = RunHistory(spark, f"{base}/strata_check_reports/{uuid.uuid4().hex[:12]}")
+    wh = Warehouse(spark, prefix="strata_check_")
+    for job, table in (("hist-orders", "orders"), ("hist-customer", "customer")):
+        r = run_job(spark, f"{sf_dir}/{table}.parquet", history=h, warehouse=wh, job_id=job)
+        if r.status != "completed":
+            raise RuntimeError(r.error)
+    f = h.report_frames()
+    return report.insights(f["profile"], f["numeric_stats"], f["top_values"], f["runs"])
+
+
 def _history(spark):
     base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     return RunHistory(spark, base + "/strata_check_runs")
@@ -677,6 +690,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "analytics_checkpointed": q_analytics_checkpointed,
         "awkward_names": q_awkward_names,
         "report_insights": q_report_insights,
+        "report_history_insights": q_report_history_insights,
         "report_numeric_series": q_report_numeric_series,
         "report_category_series": q_report_category_series,
         "report_day_series": q_report_day_series,
@@ -896,22 +910,35 @@ _DUP_COLS = [("o_orderkey", "num"), ("o_orderstatus", "str"), ("o_totalprice", "
 _ORDERS_NUM = ["o_orderkey", "o_custkey", "o_totalprice"]
 
 
-def _insights_sql() -> str:
+def _insights_sql(job_id: str = "orders-run", table: str = "orders") -> str:
+    """Insight lines computed from the data: roles from distinct counts, then
+    numeric -> categorical -> datetime, at most 12 lines."""
     lines = []
-    for i, c in enumerate(_ORDERS_NUM, start=1):
-        lines.append(
-            f"SELECT 1 AS section, {i} AS pos, 'Numbers: {c}' AS title, "
-            f"printf('Typical value (mean) is around %.2f. Compare min and max to see spread.', avg({c})) AS body FROM orders"
-        )
-    for i, c in enumerate(["o_orderstatus", "o_orderpriority"], start=1):
-        lines.append(
-            f"SELECT 2, {i}, 'Categories: {c}', printf('The most common value is %s, appearing %d times in the sample shown.', v, n) "
-            f"FROM (SELECT {c} AS v, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, v ASC LIMIT 1) t"
-        )
-    lines.append("SELECT 3, 1, 'Time trend: o_orderdate', 'The line shows how many rows fall on each day.'")
+    for i, (c, kind) in enumerate(SCHEMAS[table]):
+        low = _is_low(c, table)
+        if kind == "num":
+            lines.append(
+                f"SELECT 1 AS section, 0 AS sub, {i} AS pos, 'Numbers: {c}' AS title, "
+                "printf('Typical value (mean) is around %.2f. Compare min and max to see spread.', "
+                f"(SELECT avg({c}) FROM {table})) AS body WHERE NOT {low}"
+            )
+        if kind == "str" or kind == "num":
+            top = (
+                f"(SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {table} GROUP BY 1 "
+                "ORDER BY n DESC, v ASC LIMIT 1) t"
+            )
+            cond = "TRUE" if kind == "str" else low
+            lines.append(
+                f"SELECT 2, {0 if kind == 'str' else 1}, {i}, 'Categories: {c}', "
+                "printf('The most common value is %s, appearing %d times in the sample shown.', v, n) "
+                f"FROM {top} WHERE {cond}"
+            )
+        if kind == "dt":
+            lines.append(f"SELECT 3, 0, {i}, 'Time trend: {c}', 'The line shows how many rows fall on each day.'")
     return (
-        "SELECT 'orders-run' AS job_id, CAST(row_number() OVER (ORDER BY section, pos) AS INTEGER) AS line_no, "
-        f"title, body FROM ({' UNION ALL '.join(lines)}) l"
+        f"SELECT * FROM (SELECT '{job_id}' AS job_id, "
+        "CAST(row_number() OVER (ORDER BY section, sub, pos) AS INTEGER) AS line_no, "
+        f"title, body FROM ({' UNION ALL '.join(lines)}) l) x WHERE line_no <= 12"
     )
 
 
@@ -1079,6 +1106,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "catalog_inspect": _inspect_sql(),
         "report_insights": _insights_sql(),
+        "report_history_insights": (
+            _insights_sql("hist-orders", "orders") + " UNION ALL " + _insights_sql("hist-customer", "customer")
+        ),
         "report_numeric_series": _numeric_series_sql(),
         "report_category_series": _category_series_sql(),
         "report_day_series": (

@@ -105,6 +105,12 @@ class RunHistory:
         """The record of one job (zero or one row); partition-pruned."""
         return self.runs().filter(F.col("job_id") == F.lit(job_id))
 
+    def report_frames(self) -> dict[str, DataFrame]:
+        """Inputs of the report derivations (R1-R5) for every recorded run."""
+        frames = {kind: self.results(kind) for kind in RESULT_KINDS}
+        frames["runs"] = self.runs().select("job_id", "status", "row_count")
+        return frames
+
 
 def run_record(
     spark: SparkSession,

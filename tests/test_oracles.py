@@ -12,7 +12,10 @@ import __spark_entry__ as E
 from tests.conftest import SF001
 from tests.oracle_harness import compare, duck
 
-SLOW = {"run_history_upsert", "run_lookup", "streaming_intake", "catalog_columns", "catalog_tables", "catalog_inspect"}
+SLOW = {
+    "run_history_upsert", "run_lookup", "streaming_intake", "report_history_insights",
+    "catalog_columns", "catalog_tables", "catalog_inspect",
+}
 NAMES = [n for n in E.queries() if n in E.oracle_sql() and n not in SLOW]
 
 
