@@ -52,10 +52,9 @@ def with_job(df: DataFrame, job_id: str) -> DataFrame:
 
 
 def runs_frame(spark: SparkSession, job_id: str, analytics: Analytics) -> DataFrame:
-    return spark.createDataFrame(
-        [(job_id, analytics.status, int(analytics.row_count))],
-        "job_id STRING, status STRING, row_count BIGINT",
-    )
+    """``(job_id, status, row_count)``; no row count for a run that did not analyse."""
+    rows = int(analytics.row_count) if analytics.status == "ok" else None
+    return spark.createDataFrame([(job_id, analytics.status, rows)], "job_id STRING, status STRING, row_count BIGINT")
 
 
 def result_frames(spark: SparkSession, analytics: Analytics, job_id: str) -> dict[str, DataFrame]:
@@ -160,6 +159,7 @@ def result_json(
     )
     body = F.struct(
         F.col("status"),
+        _str_array(analytics.errors).alias("errors"),
         profile.alias("profile"),
         F.coalesce(
             F.transform("numeric_stats", lambda e: F.struct(*[e[x].alias(x) for x in ("column", "count", "mean", "min", "max", "stddev_pop")])),

@@ -209,7 +209,16 @@ def run_job(
         saved["runs"] = report.runs_frame(spark, job_id, analytics)
         doc = report.result_json(spark, analytics, job_id, saved)
         history.upsert(
-            run_record(spark, job_id, safe_or_reason, kind, path, analytics.status, doc, analytics.row_count)
+            run_record(
+                spark,
+                job_id,
+                safe_or_reason,
+                kind,
+                path,
+                analytics.status,
+                doc,
+                analytics.row_count if analytics.status == "ok" else None,
+            )
         )
         result.progress.append((RUNNING, 85))
         result.layers = build_layers(wh, source, slug, raw_written=raw_written)

@@ -191,3 +191,12 @@ def test_explicit_schema_skips_inference(spark, tmp_dir):
     df = load(spark, path, "csv", schema="a STRING, b STRING")
     assert dict(df.dtypes) == {"a": "string", "b": "string"}
     assert load(spark, path, "csv").dtypes[0] == ("a", "int")
+
+
+def test_error_run_document(spark):
+    from pyspark.sql import types as T
+
+    res = analyze(spark.createDataFrame([()], T.StructType([])))
+    doc = json.loads(report.result_json(spark, res, "e").first()["result_json"])
+    assert doc["status"] == "error" and doc["errors"] == ["Dataset has no columns."]
+    assert doc.get("row_count") is None and doc["numeric_stats"] == []
