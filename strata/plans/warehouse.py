@@ -79,6 +79,7 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     arrive in many splits (the large-scale case) are left as they are.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
+    # The partition count of the planned scan (metadata only, no job runs).
     if df.rdd.getNumPartitions() * 2 <= slots:
         return df.repartition(slots)
     return df
