@@ -470,17 +470,21 @@ def _history(spark):
     return RunHistory(spark, base + "/strata_check_runs")
 
 
-def _three_runs(spark, sf_dir):
-    """Three jobs, two ids: 'job-a' runs twice (upsert), 'job-b' once."""
+def _record_runs(spark, sf_dir, runs):
     h = _history(spark)
     wh = Warehouse(spark, prefix="strata_check_")
-    for job, table in (("job-a", "nation"), ("job-a", "orders"), ("job-b", "customer")):
+    for job, table in runs:
         r = run_job(spark, f"{sf_dir}/{table}.parquet", history=h, warehouse=wh, job_id=job)
         if r.status != "completed":
             raise RuntimeError(r.error)
     return h
 
 
+def _three_runs(spark, sf_dir):
+    """Three jobs, two ids: 'job-a' runs twice (upsert), 'job-b' once."""
+    return _record_runs(spark, sf_dir, (("job-a", "nation"), ("job-a", "orders"), ("job-b", "customer")))
+
+
 def q_run_history_upsert(spark, sf_dir):
     h = _three_runs(spark, sf_dir)
     return h.runs().filter(F.col("job_id").isin("job-a", "job-b")).select(
@@ -489,7 +493,7 @@ def q_run_history_upsert(spark, sf_dir):
 
 
 def q_run_lookup(spark, sf_dir):
-    h = _three_runs(spark, sf_dir)
+    h = _record_runs(spark, sf_dir, (("job-a", "orders"), ("job-b", "customer")))
     return h.lookup("job-b").select("job_id", "filename", "format", "status", "row_count")
 
 
