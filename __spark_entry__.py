@@ -299,6 +299,20 @@ def q_mart_grouped_highcard(spark, sf_dir):
     return _mart_of(spark, sf_dir, "events")
 
 
+def q_mart_documents_text(spark, sf_dir):
+    """A7 keyed by whole document texts (up to 20,000 words each)."""
+    return _mart_of(spark, sf_dir, "documents")
+
+
+def q_mart_conversations(spark, sf_dir):
+    return _mart_of(spark, sf_dir, "conversations")
+
+
+def q_topk_documents(spark, sf_dir):
+    """A3/L1 over whole texts, languages and sources."""
+    return _categorical_topk_table(spark, sf_dir, "documents")
+
+
 def q_mart_global(spark, sf_dir):
     return _mart_of(spark, sf_dir, "labels")
 
@@ -678,6 +692,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_grouped": q_mart_grouped,
         "mart_grouped_orders": q_mart_grouped_orders,
         "mart_grouped_highcard": q_mart_grouped_highcard,
+        "mart_documents_text": q_mart_documents_text,
+        "mart_conversations": q_mart_conversations,
+        "topk_documents": q_topk_documents,
         "mart_global": q_mart_global,
         "mart_count_only": q_mart_count_only,
         "dimension": q_dimension,
@@ -737,6 +754,10 @@ SCHEMAS = {
         ("c_mktsegment", "str"),
     ],
     "labels": [("doc_id", "num"), ("quality", "num"), ("toxic", "num")],
+    "documents": [
+        ("doc_id", "num"), ("text", "str"), ("lang", "str"), ("source", "str"), ("n_chars", "num"),
+    ],
+    "conversations": [("conv_id", "num"), ("turn", "num"), ("role", "str"), ("text", "str")],
     "region": [("r_regionkey", "num"), ("r_name", "str")],
     "pages": [("page_id", "num"), ("url", "str"), ("html", "str")],
     "part": [
@@ -1068,6 +1089,9 @@ def oracle_sql() -> dict[str, str]:
         "mart_grouped": _mart_sql("lineitem", SCHEMAS["lineitem"]),
         "mart_grouped_orders": _mart_sql("orders", SCHEMAS["orders"]),
         "mart_grouped_highcard": _mart_sql("events", SCHEMAS["events"]),
+        "mart_documents_text": _mart_sql("documents", SCHEMAS["documents"]),
+        "mart_conversations": _mart_sql("conversations", SCHEMAS["conversations"]),
+        "topk_documents": _topk_sql("documents"),
         "mart_global": _mart_sql("labels", SCHEMAS["labels"]),
         "mart_count_only": _mart_sql("orders", [("o_orderstatus", "str"), ("o_orderpriority", "str")]),
         "dimension": (
