@@ -15,7 +15,7 @@ row per column (or per top-k entry); windows are partitioned by job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators.profile import CATEGORICAL, DATETIME, NUMERIC, Profile
@@ -75,14 +75,24 @@ def _str_array(values: list[str]):
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
+def _pick(entries, *names: str):
+    """Keep (and order) the named fields of every struct in an array column."""
+    return F.transform(entries, lambda e: F.struct(*[e[n].alias(n) for n in names]))
+
+
+def _sorted_list(*fields) -> Column:
+    """Per-group list of structs, sorted by the first field (a position or key)."""
+    return F.sort_array(F.collect_list(F.struct(*fields)))
+
+
 def result_json(
     spark: SparkSession, analytics: Analytics, job_id: str, frames: dict[str, DataFrame] | None = None
 ) -> DataFrame:
-    """K7: ``(job_id, result_json)`` — the whole analysis as one JSON document.
+    """K7: ``(job_id, result_json)`` — one analysis as one JSON document.
 
-    Sections are one-row global aggregates (``collect_list`` over per-column
-    rows: k values per categorical column, one entry per calendar day for
-    trends), joined on ``job_id``.
+    Each section is an aggregate per job over per-column rows (one row per
+    numeric column; k values per categorical column; one entry per calendar
+    day, month and year per datetime column), joined on ``job_id``.
     """
     f = frames or result_frames(spark, analytics, job_id)
     p = analytics.profile
@@ -94,88 +104,52 @@ def result_json(
         _str_array(p.boolean).alias("boolean_columns"),
         _str_array(p.issues).alias("issues"),
     )
+    column = F.col("column_name").alias("column")
+
     stats = f["numeric_stats"].groupBy("job_id").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    "position",
-                    F.col("column_name").alias("column"),
-                    "count",
-                    "mean",
-                    "min",
-                    "max",
-                    "stddev_pop",
-                )
-            )
-        ).alias("numeric_stats")
+        _sorted_list("position", column, "count", "mean", "min", "max", "stddev_pop").alias("s")
     )
+
+    text = F.coalesce("value", F.lit(NULL_TEXT)).alias("value")
     per_column = f["top_values"].groupBy("job_id", "position", "column_name").agg(
-        F.sort_array(F.collect_list(F.struct("rank", F.coalesce("value", F.lit(NULL_TEXT)).alias("value"), "count"))).alias("tv")
+        _sorted_list("rank", text, "count").alias("tv")
     )
     top = per_column.groupBy("job_id").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    "position",
-                    F.col("column_name").alias("column"),
-                    F.transform("tv", lambda e: F.struct(e["value"].alias("value"), e["count"].alias("count"))).alias(
-                        "top_values"
-                    ),
-                )
-            )
-        ).alias("categorical_top")
+        _sorted_list("position", column, _pick("tv", "value", "count").alias("top_values")).alias("c")
     )
+
+    period = F.col("period").alias("k")
     period_text = F.coalesce(F.col("period").cast("string"), F.lit(NULL_TEXT))
-    t = f["trends"]
-    per_dt = t.groupBy("job_id", "position", "column_name").agg(
-        F.sort_array(
-            F.collect_list(F.when(F.col("grain") == "day", F.struct(F.col("period").alias("k"), period_text.alias("date"), "count")))
-        ).alias("d"),
-        F.sort_array(
-            F.collect_list(F.when(F.col("grain") == "month", F.struct(F.col("period").alias("k"), period_text.alias("month"), "count")))
-        ).alias("m"),
-        F.sort_array(
-            F.collect_list(F.when(F.col("grain") == "year", F.struct(F.col("period").alias("k"), F.year("period").alias("year"), "count")))
-        ).alias("y"),
+
+    def grain(name: str, label: str, value) -> Column:
+        entry = F.struct(period, value.alias(label), "count")
+        return F.sort_array(F.collect_list(F.when(F.col("grain") == name, entry)))
+
+    per_dt = f["trends"].groupBy("job_id", "position", "column_name").agg(
+        grain("day", "date", period_text).alias("d"),
+        grain("month", "month", period_text).alias("m"),
+        grain("year", "year", F.year("period")).alias("y"),
     )
     dts = per_dt.groupBy("job_id").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    "position",
-                    F.col("column_name").alias("column"),
-                    F.transform("d", lambda e: F.struct(e["date"].alias("date"), e["count"].alias("count"))).alias("by_day"),
-                    F.transform("m", lambda e: F.struct(e["month"].alias("month"), e["count"].alias("count"))).alias("by_month"),
-                    F.transform("y", lambda e: F.struct(e["year"].alias("year"), e["count"].alias("count"))).alias("by_year"),
-                )
-            )
-        ).alias("datetime_trends")
-    )
-    runs = f["runs"]
-    doc = (
-        runs.join(stats, "job_id", "left")
-        .join(top, "job_id", "left")
-        .join(dts, "job_id", "left")
+        _sorted_list(
+            "position",
+            column,
+            _pick("d", "date", "count").alias("by_day"),
+            _pick("m", "month", "count").alias("by_month"),
+            _pick("y", "year", "count").alias("by_year"),
+        ).alias("t")
     )
+
+    doc = f["runs"].join(stats, "job_id", "left").join(top, "job_id", "left").join(dts, "job_id", "left")
     body = F.struct(
         F.col("status"),
         _str_array(analytics.errors).alias("errors"),
         profile.alias("profile"),
-        F.coalesce(
-            F.transform("numeric_stats", lambda e: F.struct(*[e[x].alias(x) for x in ("column", "count", "mean", "min", "max", "stddev_pop")])),
-            F.array(),
-        ).alias("numeric_stats"),
-        F.coalesce(
-            F.transform("categorical_top", lambda e: F.struct(e["column"].alias("column"), e["top_values"].alias("top_values"))),
-            F.array(),
-        ).alias("categorical_top"),
-        F.coalesce(
-            F.transform(
-                "datetime_trends",
-                lambda e: F.struct(*[e[x].alias(x) for x in ("column", "by_day", "by_month", "by_year")]),
-            ),
-            F.array(),
-        ).alias("datetime_trends"),
+        F.coalesce(_pick("s", "column", "count", "mean", "min", "max", "stddev_pop"), F.array()).alias(
+            "numeric_stats"
+        ),
+        F.coalesce(_pick("c", "column", "top_values"), F.array()).alias("categorical_top"),
+        F.coalesce(_pick("t", "column", "by_day", "by_month", "by_year"), F.array()).alias("datetime_trends"),
         F.col("row_count"),
     )
     return doc.select("job_id", F.to_json(body).alias("result_json"))
