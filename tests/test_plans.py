@@ -124,3 +124,13 @@ def test_wide_summary_is_chunked(spark):
     rows = numeric_summary(df, df.columns, chunk=3).orderBy("position").collect()
     assert [r["position"] for r in rows] == list(range(1, 8))
     assert [r["mean"] for r in rows] == [49.5 + i for i in range(7)]
+
+
+def test_narrow_inputs_are_spread_before_the_raw_write(spark):
+    from strata.plans.warehouse import spread_if_narrow
+
+    narrow = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").coalesce(1)
+    plan = spread_if_narrow(narrow)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan
+    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert "RoundRobinPartitioning" not in spread_if_narrow(wide)._jdf.queryExecution().executedPlan().toString()
