@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.naming import col
 from strata.plans.warehouse import LAYERS, Warehouse
 
 COLUMNS_SCHEMA = "ordinal INT, column_name STRING, data_type STRING"
@@ -54,7 +55,7 @@ def inspect(wh: Warehouse, sample_rows: int = 5) -> DataFrame:
                 df = spark.table(full)
                 cols = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in df.schema.fields)
                 sample = df.limit(sample_rows).agg(
-                    F.collect_list(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias(
+                    F.collect_list(F.to_json(F.struct(*[col(c) for c in df.columns]))).alias(
                         "sample"
                     )
                 )

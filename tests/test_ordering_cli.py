@@ -43,3 +43,13 @@ def test_cli_writes_json(spark, tmp_dir, sales_path):
     doc = json.loads(text[0]["value"])
     assert doc["status"] == "ok" and doc["row_count"] == 8
     assert doc["profile"]["datetime_columns"] == ["order_date"]
+
+
+def test_inspect_with_awkward_names(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a")], "x INT, y STRING").toDF("we`ird.name", "plain")
+    wh = Warehouse(spark, root=os.path.join(tmp_dir, "wh2"), prefix="awk_")
+    run = build_layers(wh, df, "awkward_0001")
+    assert run.ok, run.error
+    rows = {r["table_name"]: r for r in catalog.inspect(wh).collect()}
+    raw = rows["raw_awkward_0001"]
+    assert raw["error"] is None and json.loads(raw["sample"][0]) == {"we`ird.name": 1, "plain": "a"}
