@@ -313,6 +313,12 @@ def q_topk_documents(spark, sf_dir):
     return _categorical_topk_table(spark, sf_dir, "documents")
 
 
+def q_topk_documents_hashed(spark, sf_dir):
+    """A3/L1 over whole texts with the hash-first strategy (same rows as topk_documents)."""
+    res = analyze(_t(spark, sf_dir, "documents"), topk_method="hashed")
+    return res.top_values.select(F.lit("documents").alias("table_name"), "column_name", "rank", "value", "count")
+
+
 def q_mart_global(spark, sf_dir):
     return _mart_of(spark, sf_dir, "labels")
 
@@ -695,6 +701,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_documents_text": q_mart_documents_text,
         "mart_conversations": q_mart_conversations,
         "topk_documents": q_topk_documents,
+        "topk_documents_hashed": q_topk_documents_hashed,
         "mart_global": q_mart_global,
         "mart_count_only": q_mart_count_only,
         "dimension": q_dimension,
@@ -1092,6 +1099,7 @@ def oracle_sql() -> dict[str, str]:
         "mart_documents_text": _mart_sql("documents", SCHEMAS["documents"]),
         "mart_conversations": _mart_sql("conversations", SCHEMAS["conversations"]),
         "topk_documents": _topk_sql("documents"),
+        "topk_documents_hashed": _topk_sql("documents"),
         "mart_global": _mart_sql("labels", SCHEMAS["labels"]),
         "mart_count_only": _mart_sql("orders", [("o_orderstatus", "str"), ("o_orderpriority", "str")]),
         "dimension": (

@@ -25,24 +25,28 @@ DEFAULT_TOP_K = 10  # fixed default (reference's top-k)
 TOP_SCHEMA = "position INT, column_name STRING, rank INT, value STRING, count BIGINT"
 
 
-def unpivot_text(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(position, column, value)`` rows: each listed column's value as text."""
+def unpivot_text(df: DataFrame, columns: list[str], positions: list[int] | None = None) -> DataFrame:
+    """``(position, column, value)`` rows: each listed column's value as text.
+
+    ``positions`` (1-based) default to the order of ``columns``.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
+    positions = positions or list(range(1, len(columns) + 1))
     entries = [
         F.struct(
-            F.lit(i + 1).alias("position"),
+            F.lit(p).alias("position"),
             F.lit(c).alias("column_name"),
             as_text(col(c), types[c]).alias("value"),
         )
-        for i, c in enumerate(columns)
+        for p, c in zip(positions, columns)
     ]
     return df.select(F.inline(F.array(*entries)))
 
 
-def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+def value_counts(df: DataFrame, columns: list[str], positions: list[int] | None = None) -> DataFrame:
     """A3: ``(position, column, value, count)`` for every distinct value, NULL included."""
     return (
-        unpivot_text(df, columns)
+        unpivot_text(df, columns, positions)
         .groupBy("position", "column_name", "value")
         .agg(F.count(F.lit(1)).alias("count"))
     )
@@ -60,8 +64,21 @@ def top_k(counts: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
     )
 
 
-def top_values(df: DataFrame, columns: list[str], k: int = DEFAULT_TOP_K) -> DataFrame:
-    """A3 + L1: ``(position, column, rank, value, count)``."""
+def top_values(
+    df: DataFrame, columns: list[str], k: int = DEFAULT_TOP_K, method: str = "exact"
+) -> DataFrame:
+    """A3 + L1: ``(position, column, rank, value, count)``.
+
+    ``method="hashed"`` counts hashes first and fetches exact counts only for
+    the values that can reach the top k (``operators.hashed_topk``): same
+    result, far less shuffle for long, nearly unique texts.
+    """
     if not columns:
         return df.sparkSession.createDataFrame([], TOP_SCHEMA)
+    if method == "hashed":
+        from strata.operators.hashed_topk import hashed_top_values
+
+        return hashed_top_values(df, columns, k)
+    if method != "exact":
+        raise ValueError(f"unknown top-k method: {method}")
     return top_k(value_counts(df, columns), k)

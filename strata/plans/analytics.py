@@ -59,12 +59,15 @@ def analyze(
     include_booleans: bool = False,
     min_fraction: float | None = None,
     checkpoint: bool = False,
+    topk_method: str = "exact",
 ) -> Analytics:
     """profile (unless given) and build the adaptive analytics frames.
 
     ``include_booleans`` sends boolean columns to the frequency counts (D7; the
     reference profiles them but never analyses them). ``checkpoint`` cuts the
-    lineage of ``df`` first (F5) with a reliable checkpoint.
+    lineage of ``df`` first (F5) with a reliable checkpoint. ``topk_method``
+    chooses the top-k strategy ("exact": count full values; "hashed": count
+    hashes first, same result, less shuffle for long texts; runs eagerly).
     """
     spark = df.sparkSession
     if checkpoint:
@@ -99,7 +102,7 @@ def analyze(
         profile=profile,
         row_count=rows,
         numeric_stats=summary.numeric_summary(df, profile.numeric),
-        top_values=frequency.top_values(df, categorical, top_k),
+        top_values=frequency.top_values(df, categorical, top_k, method=topk_method),
         trends=trends.trends(df, profile.datetime),
     )
 
