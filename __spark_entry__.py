@@ -940,9 +940,6 @@ _DUP_ORDERS = (
 _DUP_COLS = [("o_orderkey", "num"), ("o_orderstatus", "str"), ("o_totalprice", "num"), ("o_orderdate", "dt"), ("o_orderpriority", "str")]
 
 
-_ORDERS_NUM = ["o_orderkey", "o_custkey", "o_totalprice"]
-
-
 def _insights_sql(job_id: str = "orders-run", table: str = "orders") -> str:
     """Insight lines computed from the data: roles from distinct counts, then
     numeric -> categorical -> datetime, at most 12 lines."""
@@ -975,43 +972,83 @@ def _insights_sql(job_id: str = "orders-run", table: str = "orders") -> str:
     )
 
 
-def _numeric_series_sql() -> str:
+def _roles_sql(table: str) -> str:
+    """(ordinal, column, kind, is_numeric, cat_sub) per column, roles from the data;
+    numeric/categorical positions follow the profile order (P4)."""
+    parts = []
+    for i, (c, kind) in enumerate(SCHEMAS[table]):
+        if kind == "num":
+            low = _is_low(c, table)
+            parts.append(
+                f"SELECT {i} AS ordinal, '{c}' AS column_name, CASE WHEN {low} THEN 0 ELSE 1 END AS is_numeric, "
+                "1 AS cat_sub"
+            )
+        elif kind == "str":
+            parts.append(f"SELECT {i}, '{c}', 0, 0")
+    roles = " UNION ALL ".join(parts)
+    return (
+        f"SELECT *, CASE WHEN is_numeric = 1 THEN row_number() OVER (PARTITION BY is_numeric ORDER BY ordinal) "
+        f"ELSE row_number() OVER (PARTITION BY is_numeric ORDER BY cat_sub, ordinal) END AS pos FROM ({roles}) r"
+    )
+
+
+def _stat_rows_sql(table: str) -> str:
     parts = [
-        f"SELECT 'orders-run' AS job_id, {i} AS position, substr('{c}', 1, 14) AS label, "
-        f"round(avg({c}), 4) AS average, round(CAST(min({c}) AS DOUBLE), 4) AS minimum, "
-        f"round(CAST(max({c}) AS DOUBLE), 4) AS maximum FROM orders"
-        for i, c in enumerate(_ORDERS_NUM, start=1)
+        f"SELECT '{c}' AS column_name, avg({c}) AS mean, CAST(min({c}) AS DOUBLE) AS mn, "
+        f"CAST(max({c}) AS DOUBLE) AS mx, stddev_pop({c}) AS sd FROM {table}"
+        for c, kind in SCHEMAS[table]
+        if kind == "num"
     ]
     return " UNION ALL ".join(parts)
 
 
-def _category_series_sql() -> str:
+def _top_rows_sql(table: str) -> str:
     parts = [
-        f"SELECT column_name, rank, substr(value, 1, 18) AS name, count FROM ("
-        f"SELECT '{c}' AS column_name, CAST(row_number() OVER (ORDER BY count(*) DESC, {c} ASC) AS INTEGER) AS rank, "
-        f"{c} AS value, count(*) AS count FROM orders GROUP BY {c}) t WHERE rank <= 10"
-        for c in ("o_orderstatus", "o_orderpriority")
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS count FROM {table} GROUP BY 2"
+        for c, kind in SCHEMAS[table]
+        if kind in ("num", "str")
     ]
-    return "SELECT 'orders-run' AS job_id, * FROM (" + " UNION ALL ".join(parts) + ") u"
+    return (
+        "SELECT column_name, CAST(row_number() OVER (PARTITION BY column_name ORDER BY count DESC, value ASC) "
+        f"AS INTEGER) AS rank, value, count FROM ({' UNION ALL '.join(parts)}) t"
+    )
 
 
-def _panel_sql() -> str:
-    nums = " UNION ALL ".join(
-        f"SELECT 'numeric' AS kind, {i} AS block_no, '{c}' AS column_name, round(avg({c}), 4) AS mean, "
-        f"round(CAST(min({c}) AS DOUBLE), 4) AS min, round(CAST(max({c}) AS DOUBLE), 4) AS max, "
-        f"round(stddev_pop({c}), 4) AS stddev_pop, CAST(NULL AS VARCHAR) AS most_frequent, CAST(NULL AS BIGINT) AS count FROM orders"
-        for i, c in enumerate(_ORDERS_NUM, start=1)
-    )
-    cats = " UNION ALL ".join(
-        f"SELECT 'categorical', {i}, '{c}', NULL, NULL, NULL, NULL, v, n FROM "
-        f"(SELECT {c} AS v, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, v ASC LIMIT 1) t"
-        for i, c in enumerate(["o_orderstatus", "o_orderpriority"], start=1)
+def _numeric_series_sql(table: str = "orders") -> str:
+    return (
+        "SELECT 'orders-run' AS job_id, CAST(r.pos AS INTEGER) AS position, substr(r.column_name, 1, 14) AS label, "
+        "round(s.mean, 4) AS average, round(s.mn, 4) AS minimum, round(s.mx, 4) AS maximum "
+        f"FROM ({_roles_sql(table)}) r JOIN ({_stat_rows_sql(table)}) s USING (column_name) WHERE r.is_numeric = 1"
     )
+
+
+def _category_series_sql(table: str = "orders") -> str:
     return (
-        "SELECT 'orders-run' AS job_id, (SELECT count(*) FROM orders) AS rows_processed, "
-        "CAST(3 AS BIGINT) AS numeric_columns, CAST(2 AS BIGINT) AS categorical_columns, b.* "
-        f"FROM ({nums} UNION ALL {cats}) b"
+        "SELECT 'orders-run' AS job_id, t.column_name, t.rank, substr(t.value, 1, 18) AS name, t.count "
+        f"FROM ({_top_rows_sql(table)}) t JOIN ({_roles_sql(table)}) r USING (column_name) "
+        "WHERE r.is_numeric = 0 AND t.rank <= 10"
+    )
+
+
+def _panel_sql(table: str = "orders") -> str:
+    roles = f"({_roles_sql(table)})"
+    head = (
+        f"(SELECT count(*) FROM {table}) AS rows_processed, "
+        f"(SELECT count(*) FROM {roles} x WHERE is_numeric = 1) AS numeric_columns, "
+        f"(SELECT count(*) FROM {roles} x WHERE is_numeric = 0) AS categorical_columns"
+    )
+    nums = (
+        "SELECT 'numeric' AS kind, CAST(r.pos AS INTEGER) AS block_no, r.column_name, round(s.mean, 4) AS mean, "
+        "round(s.mn, 4) AS min, round(s.mx, 4) AS max, round(s.sd, 4) AS stddev_pop, "
+        "CAST(NULL AS VARCHAR) AS most_frequent, CAST(NULL AS BIGINT) AS count "
+        f"FROM {roles} r JOIN ({_stat_rows_sql(table)}) s USING (column_name) WHERE r.is_numeric = 1 AND r.pos <= 6"
+    )
+    cats = (
+        "SELECT 'categorical', CAST(r.pos AS INTEGER), r.column_name, NULL, NULL, NULL, NULL, t.value, t.count "
+        f"FROM {roles} r JOIN ({_top_rows_sql(table)}) t USING (column_name) "
+        "WHERE r.is_numeric = 0 AND r.pos <= 6 AND t.rank = 1"
     )
+    return f"SELECT 'orders-run' AS job_id, {head}, b.* FROM ({nums} UNION ALL {cats}) b"
 
 
 def _runs_sql(ids) -> str:
