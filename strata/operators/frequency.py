@@ -64,21 +64,46 @@ def top_k(counts: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
     )
 
 
+# Average value length (characters) from which ``method="auto"`` counts a
+# column hash-first.
+LONG_TEXT = 512
+
+
 def top_values(
-    df: DataFrame, columns: list[str], k: int = DEFAULT_TOP_K, method: str = "exact"
+    df: DataFrame,
+    columns: list[str],
+    k: int = DEFAULT_TOP_K,
+    method: str = "exact",
+    text_lengths: dict[str, float] | None = None,
 ) -> DataFrame:
     """A3 + L1: ``(position, column, rank, value, count)``.
 
     ``method="hashed"`` counts hashes first and fetches exact counts only for
     the values that can reach the top k (``operators.hashed_topk``): same
-    result, far less shuffle for long, nearly unique texts.
+    result, far less shuffle for long, nearly unique texts. ``method="auto"``
+    does that only for columns whose sampled average length (``text_lengths``,
+    from the profile probe) is at least ``LONG_TEXT``.
     """
     if not columns:
         return df.sparkSession.createDataFrame([], TOP_SCHEMA)
-    if method == "hashed":
-        from strata.operators.hashed_topk import hashed_top_values
-
-        return hashed_top_values(df, columns, k)
-    if method != "exact":
+    if method not in ("exact", "hashed", "auto"):
         raise ValueError(f"unknown top-k method: {method}")
-    return top_k(value_counts(df, columns), k)
+    positions = list(range(1, len(columns) + 1))
+    if method == "exact":
+        return top_k(value_counts(df, columns), k)
+    lengths = text_lengths or {}
+    long_cols = [
+        (p, c) for p, c in zip(positions, columns) if method == "hashed" or lengths.get(c, 0) >= LONG_TEXT
+    ]
+    short_cols = [(p, c) for p, c in zip(positions, columns) if (p, c) not in long_cols]
+    from strata.operators.hashed_topk import hashed_top_values
+
+    parts = []
+    if long_cols:
+        parts.append(hashed_top_values(df, [c for _, c in long_cols], k, positions=[p for p, _ in long_cols]))
+    if short_cols:
+        parts.append(top_k(value_counts(df, [c for _, c in short_cols], [p for p, _ in short_cols]), k))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

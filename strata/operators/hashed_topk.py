@@ -54,10 +54,13 @@ def hashed_top_values(
     k: int = DEFAULT_TOP_K,
     candidate_bound: int = DEFAULT_CANDIDATE_BOUND,
     hash_fn: Callable[[Column], Column] = _xxhash,
+    positions: list[int] | None = None,
 ) -> DataFrame:
     """Same output as ``frequency.top_values(df, columns, k)``."""
     spark = df.sparkSession
-    rows = unpivot_text(df, columns).select(
+    positions = positions or list(range(1, len(columns) + 1))
+    by_position = dict(zip(positions, columns))
+    rows = unpivot_text(df, columns, positions).select(
         "position",
         "column_name",
         "value",
@@ -71,8 +74,8 @@ def hashed_top_values(
         counts.unpersist()
     out = spark.createDataFrame(local, TOP_SCHEMA)
     if fallback:
-        positions = sorted(fallback)
-        plain = top_k(value_counts(df, [columns[p - 1] for p in positions], positions), k)
+        chosen = sorted(fallback)
+        plain = top_k(value_counts(df, [by_position[p] for p in chosen], chosen), k)
         out = out.unionByName(plain)
     return out
 

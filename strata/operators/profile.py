@@ -73,6 +73,8 @@ class Profile:
     boolean: list[str]
     row_count: int | None = None
     issues: list[str] = field(default_factory=list)
+    # Average length of the sampled values of each string column (P2 probe).
+    text_lengths: dict[str, float] = field(default_factory=dict)
     data_types: dict[str, T.DataType] = field(default_factory=dict)
 
     @property
@@ -142,43 +144,56 @@ def _chunks(items: list, size: int) -> list[list]:
     return [items[i : i + size] for i in range(0, len(items), size)] or [[]]
 
 
-def detect_string_datetimes(
+def probe_strings(
     df: DataFrame,
     string_columns: list[str],
     sample_rows: int = DEFAULT_SAMPLE_ROWS,
     min_fraction: float | None = None,
-) -> set[str]:
-    """String columns whose sampled values parse as timestamps.
+) -> tuple[set[str], dict[str, float]]:
+    """String columns whose sampled values parse as timestamps, plus the
+    average length of the sampled values of every string column.
 
     ``min_fraction=None`` keeps the reference rule (one parsable value among the
     sample promotes the column); a fraction requires that share of the sampled
     non-null values to parse.
 
-    Executors turn each row into two flags per column (parsed, present) and
-    ``limit(...).collect()`` brings back ``sample_rows`` rows of flags.
-    ``CollectLimit`` reads splits incrementally and stops once it has enough
-    rows, so a huge input costs a task or a few, not one task per split (an
-    aggregate over ``limit`` would launch a task on every split).
+    Executors turn each row into three numbers per column (parsed, present,
+    length) and ``limit(...).collect()`` brings back ``sample_rows`` rows of
+    them. ``CollectLimit`` reads splits incrementally and stops once it has
+    enough rows, so a huge input costs a task or a few, not one task per split
+    (an aggregate over ``limit`` would launch a task on every split).
     """
     if not string_columns or sample_rows <= 0:
-        return set()
+        return set(), {}
     flags = [
         F.struct(
             parse_timestamp(col(c)).isNotNull().cast("int").alias("p"),
             col(c).isNotNull().cast("int").alias("n"),
+            F.coalesce(F.length(col(c)), F.lit(0)).alias("l"),
         ).alias(f"f{i}")
         for i, c in enumerate(string_columns)
     ]
     rows = df.select(*flags).limit(sample_rows).collect()
-    found = set()
+    found, lengths = set(), {}
     for i, c in enumerate(string_columns):
         parsed = sum(r[i]["p"] for r in rows)
         present = sum(r[i]["n"] for r in rows)
+        lengths[c] = sum(r[i]["l"] for r in rows) / present if present else 0.0
         if parsed == 0:
             continue
         if min_fraction is None or parsed >= min_fraction * present:
             found.add(c)
-    return found
+    return found, lengths
+
+
+def detect_string_datetimes(
+    df: DataFrame,
+    string_columns: list[str],
+    sample_rows: int = DEFAULT_SAMPLE_ROWS,
+    min_fraction: float | None = None,
+) -> set[str]:
+    """P2 alone (see :func:`probe_strings`)."""
+    return probe_strings(df, string_columns, sample_rows, min_fraction)[0]
 
 
 def _numeric_pass(df: DataFrame, numeric: list[str], chunk: int) -> tuple[int, dict[str, dict[str, Any]]]:
@@ -231,7 +246,7 @@ def build_profile(
     numeric_typed = [n for n, r in coarse.items() if r == NUMERIC]
     issues: list[str] = []
 
-    promoted = detect_string_datetimes(df, strings, sample_rows, min_fraction)
+    promoted, text_lengths = probe_strings(df, strings, sample_rows, min_fraction)
 
     row_count, info = _numeric_pass(df, numeric_typed, chunk)
     if row_count is None:
@@ -285,6 +300,7 @@ def build_profile(
         boolean=boolean,
         row_count=row_count,
         issues=issues,
+        text_lengths=text_lengths,
         data_types=types,
     )
 

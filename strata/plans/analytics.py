@@ -67,7 +67,8 @@ def analyze(
     reference profiles them but never analyses them). ``checkpoint`` cuts the
     lineage of ``df`` first (F5) with a reliable checkpoint. ``topk_method``
     chooses the top-k strategy ("exact": count full values; "hashed": count
-    hashes first, same result, less shuffle for long texts; runs eagerly).
+    hashes first, same result, less shuffle for long texts, runs eagerly;
+    "auto": hashed only for columns whose sampled values are long).
     """
     spark = df.sparkSession
     if checkpoint:
@@ -102,7 +103,9 @@ def analyze(
         profile=profile,
         row_count=rows,
         numeric_stats=summary.numeric_summary(df, profile.numeric),
-        top_values=frequency.top_values(df, categorical, top_k, method=topk_method),
+        top_values=frequency.top_values(
+            df, categorical, top_k, method=topk_method, text_lengths=profile.text_lengths
+        ),
         trends=trends.trends(df, profile.datetime),
     )
 

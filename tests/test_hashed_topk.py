@@ -60,3 +60,12 @@ def test_method_option(spark):
     assert _rows(top_values(df, ["o_orderstatus"], 10, method="hashed")) == _rows(top_values(df, ["o_orderstatus"], 10))
     with pytest.raises(ValueError):
         top_values(df, ["o_orderstatus"], 10, method="nope")
+
+
+def test_auto_method_mixes_strategies(spark):
+    from strata.plans.analytics import analyze
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    res = analyze(docs, topk_method="auto")
+    assert res.profile.text_lengths["text"] >= 512 and res.profile.text_lengths["lang"] < 512
+    assert _rows(res.top_values) == _rows(analyze(docs).top_values)
