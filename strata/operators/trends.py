@@ -82,5 +82,5 @@ def trends(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def ordered(trend_frame: DataFrame) -> DataFrame:
     """L2: ascending time within column and grain, NULL bucket last."""
-    grain_rank = F.when(F.col("grain") == DAY, 1).when(F.col("grain") == MONTH, 2).otherwise(3)
+    grain_rank = F.create_map(*[F.lit(x) for kv in GRAIN_ORDER.items() for x in kv])[F.col("grain")]
     return trend_frame.orderBy("position", grain_rank, F.col("period").asc_nulls_last())
