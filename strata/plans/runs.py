@@ -168,11 +168,14 @@ def run_job(
     filename: str | None = None,
     fmt: str | None = None,
     size: int | None = None,
+    options: dict[str, str] | None = None,
+    schema: str | None = None,
     **analyze_args: Any,
 ) -> JobResult:
     """validate -> detect -> load -> analyse (F1) -> run history (K6) ->
     layered warehouse (F3). A warehouse failure does not fail the job; any other
-    failure records the job as failed."""
+    failure records the job as failed. ``options``/``schema`` go to the reader
+    (a DDL schema skips the type-inference pass over CSV/JSON input)."""
     job_id = job_id or str(uuid.uuid4())
     filename = filename or path.rstrip("/").split("/")[-1]
     history = history or RunHistory.default(spark)
@@ -188,7 +191,7 @@ def run_job(
         result.progress.append((RUNNING, 10))
         kind = fmt or detect_format_of_path(spark, path)
         result.format = kind
-        df = load(spark, path, kind)
+        df = load(spark, path, kind, options, schema)
         slug = make_slug(safe_or_reason, job_id)
         wh = warehouse or Warehouse(spark)
         # The raw layer is the input parsed once into Parquet; every later pass

@@ -200,3 +200,15 @@ def test_error_run_document(spark):
     doc = json.loads(report.result_json(spark, res, "e").first()["result_json"])
     assert doc["status"] == "error" and doc["errors"] == ["Dataset has no columns."]
     assert doc.get("row_count") is None and doc["numeric_stats"] == []
+
+
+def test_run_job_with_schema(spark, sales_path, tmp_dir):
+    h = RunHistory(spark, os.path.join(tmp_dir, "hist"))
+    wh = Warehouse(spark, root=os.path.join(tmp_dir, "wh"), prefix="sch_")
+    ddl = (
+        "order_id STRING, region STRING, product STRING, category STRING, quantity INT, "
+        "unit_price DOUBLE, order_date DATE, shipped BOOLEAN"
+    )
+    r = run_job(spark, sales_path, history=h, warehouse=wh, job_id="schema-1", schema=ddl)
+    assert r.status == "completed", r.error
+    assert r.analytics.profile.categorical[:4] == ["order_id", "region", "product", "category"]
