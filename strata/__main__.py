@@ -22,6 +22,8 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="strata", description=__doc__.splitlines()[0])
     parser.add_argument("path", help="file, directory or glob on any Hadoop file system")
     parser.add_argument("--format", help="csv, json, parquet or excel (detected when omitted)")
+    parser.add_argument("--schema", help="DDL schema; skips type inference for CSV/JSON")
+    parser.add_argument("--topk-method", default="exact", choices=["exact", "hashed", "auto"])
     parser.add_argument("--top-k", type=int, default=10)
     parser.add_argument("--job-id", default=None)
     parser.add_argument("--out", help="write the JSON document here (text) instead of printing it")
@@ -35,7 +37,9 @@ def main(argv: list[str] | None = None) -> None:
     else:
         spark = SparkSession.builder.appName("strata").getOrCreate()
     job_id = args.job_id or str(uuid.uuid4())
-    _, res = run_file(spark, args.path, fmt=args.format, top_k=args.top_k)
+    _, res = run_file(
+        spark, args.path, fmt=args.format, schema=args.schema, top_k=args.top_k, topk_method=args.topk_method
+    )
     doc = report.result_json(spark, res, job_id)
     if args.out:
         report.write_json(doc, args.out)
