@@ -46,6 +46,14 @@ from strata.streaming.intake import run_intake
 if __name__ in sys.modules:
     _cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# The training-data operators are optional: without their subpackage (or the
+# pipeline module on top of it) the other queries still register.
+try:
+    import corpus_pipeline as _pipeline
+    from strata.llm import queries as _llm
+except ImportError:
+    _pipeline = _llm = None
+
 SF0001 = "/root/testdata/sf0.001"
 LIMIT = 200  # categorical_max_distinct default
 
@@ -678,6 +686,14 @@ TABLES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All registered queries; those of the training-data operators if present."""
+    found = _library_queries()
+    if _llm is not None:
+        found |= _llm.QUERIES | {"pipeline": _pipeline.run}
+    return found
+
+
+def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "profile_roles": q_profile_roles,
         "profile_string_datetime": q_profile_string_datetime,
@@ -1079,6 +1095,13 @@ def _inspect_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _library_oracle_sql()
+    if _llm is not None:
+        found |= _llm.ORACLE_SQL | ({"pipeline": _pipeline.ORACLE_SQL} if _pipeline.ORACLE_SQL else {})
+    return found
+
+
+def _library_oracle_sql() -> dict[str, str]:
     row_counts = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES
     )
