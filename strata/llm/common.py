@@ -158,3 +158,47 @@ def components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
         labels = step.select("node", "label")
         if step.filter("old <> label").isEmpty():
             return labels.select("node", F.col("label").alias("component_id"))
+
+
+# ------------------------------------------------------------ texts in Arrow
+
+#: Rows that a text function gets at once.
+BLOCK = 256
+
+
+def map_texts(df: DataFrame, make: Callable, fields: str, keep: list[str], text: str = "text", many: bool = False) -> DataFrame:
+    """``keep`` columns of every row with columns computed from its text (null: empty).
+
+    ``make()`` runs once per task and gives a function from a list of texts to
+    one list per field (DDL in ``fields``). With ``many`` the first list has
+    the row's number for each result row, for functions with any number of
+    rows per text. Kept columns that a field is named like are left out.
+    """
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType, _parse_datatype_string
+
+    added = StructType.fromDDL(fields) if hasattr(StructType, "fromDDL") else _parse_datatype_string(fields)
+    names = {f.name.lower() for f in added}
+    kept = [c for c in keep if c.lower() not in names]
+    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
+    schema = StructType(source.schema.fields[:-1] + added.fields)
+    arrow_types = list(to_arrow_schema(added).types)
+    n_kept, out_names = len(kept), schema.names
+
+    def run(batches):
+        work = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                columns = work([t or "" for t in part.column(n_kept).to_pylist()])
+                own = [part.column(i) for i in range(n_kept)]
+                if many:
+                    index = pa.array(columns[0], pa.int64())
+                    own, columns = [c.take(index) for c in own], columns[1:]
+                yield pa.RecordBatch.from_arrays(
+                    own + [pa.array(c, t) for c, t in zip(columns, arrow_types, strict=True)], names=out_names
+                )
+
+    return source.mapInArrow(run, schema)

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from strata.llm.quality import op8_quality_rules
+from strata.llm.sentencepieces import op1_sentencepiece
+from strata.llm.token_counts import op5_token_counts
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op5_token_counts": op5_token_counts,
     "op8_quality_rules": op8_quality_rules,
 }
 
