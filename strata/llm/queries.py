@@ -6,13 +6,16 @@ from strata.llm.packing import op4_packing
 from strata.llm.quality import op8_quality_rules
 from strata.llm.sentencepieces import op1_sentencepiece
 from strata.llm.token_counts import op5_token_counts
+from strata.llm.urls import ORACLE_SQL as URLS_SQL
+from strata.llm.urls import op10_url_filters
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
     "op8_quality_rules": op8_quality_rules,
+    "op10_url_filters": op10_url_filters,
 }
 
 #: DuckDB SQL where it can express a query.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_url_filters": URLS_SQL}
