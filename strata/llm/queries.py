@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from strata.llm.packing import op4_packing
+from strata.llm.pii import op7_pii
 from strata.llm.quality import op8_quality_rules
 from strata.llm.sentencepieces import op1_sentencepiece
 from strata.llm.token_counts import op5_token_counts
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
+    "op7_pii": op7_pii,
     "op8_quality_rules": op8_quality_rules,
     "op10_url_filters": op10_url_filters,
 }
