@@ -71,14 +71,14 @@ class WordHasher:
             self.codes[65:91] = self.codes[97:123]
         self.space = np.zeros(256, bool)
         self.space[[32, 9, 10, 11, 12, 13]] = True
-        self.base = int(rng.integers(1, 2**62)) * 8 + 5
+        self.base = int(rng.integers(1, 2**60)) * 8 + 5
         self.inverse = pow(self.base, -1, 2**64)
         self._powers = np.ones(1, np.uint64)
         self._inverses = np.ones(1, np.uint64)
 
     @staticmethod
     def _grow(base: int, n: int) -> np.ndarray:
-        out = np.full(n, base, np.uint64)
+        out = np.full(n, np.uint64(base), np.uint64)
         out[0] = 1
         return np.multiply.accumulate(out)
 
@@ -123,7 +123,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
 # ------------------------------------------------------------ components
 
 
-def components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component_id): the smallest node reachable, for nodes with an edge.
 
     Label propagation with pointer jumping: every round each node takes the

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from strata.llm.near_dup import op3_minhash_near_dup
 from strata.llm.packing import op4_packing
 from strata.llm.pii import op7_pii
 from strata.llm.quality import op8_quality_rules
@@ -12,6 +13,7 @@ from strata.llm.urls import op10_url_filters
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_minhash_near_dup": op3_minhash_near_dup,
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
     "op7_pii": op7_pii,
