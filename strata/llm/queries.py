@@ -7,6 +7,7 @@ from strata.llm.packing import op4_packing
 from strata.llm.pii import op7_pii
 from strata.llm.quality import op8_quality_rules
 from strata.llm.sentencepieces import op1_sentencepiece
+from strata.llm.substring_dup import op9_substring_dup
 from strata.llm.token_counts import op5_token_counts
 from strata.llm.urls import ORACLE_SQL as URLS_SQL
 from strata.llm.urls import op10_url_filters
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op7_pii": op7_pii,
     "op8_quality_rules": op8_quality_rules,
+    "op9_substring_dup": op9_substring_dup,
     "op10_url_filters": op10_url_filters,
 }
 
