@@ -11,14 +11,16 @@ classes' signatures are cut into bands; classes that agree in a whole band (or
 two neighbouring ones) share a bucket. With 32 bands of 5 rows, two sets at
 0.8 share no bucket with a chance of 3e-6.
 
-*Verification.* In the first round every class of a bucket is compared with
-the bucket's smallest one, never with all others. The links found join classes
-to components. Later rounds only look at buckets whose classes are still in
-different components: there, growing hash-chosen shares of the classes (in the
-last round all) are compared with the classes of *other* components, until no
-pair that shares a bucket is untested and unconnected. So no link between
-components is lost, and large groups of copies cost a few comparisons a copy.
-Comparisons are exact, on the full sets (as 64-bit hashes).
+*Verification.* Comparisons are exact, on the full sets (as 64-bit hashes).
+First every class is compared with the smallest class (the hub) of each of its
+buckets, never with all others; the links found join classes to components.
+All that share a bucket with a hub are its family. Two of a family that may
+still lack their link cannot both be in the hub's component; so what is left is
+to compare the *strays* of a family, which are not in its hub's component, with
+its members. That is done in blocks of bounded size: a task gets one block of
+strays and one of members, counts all common shingles by a matrix product and
+gives only the links. So no link is lost, no list of pairs is made, and copies
+in the hub's component cost one comparison per shared hub.
 
 Cases: without words or text the set is empty, linked with nothing; a null id
 takes part in no link and is kept with a null component; equal rows are one
@@ -31,6 +33,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,8 +45,10 @@ MIN_PERCENT = 80
 BANDS, ROWS = 32, 5
 RING_BITS = 20
 _SEED = 77
-#: Shares of a bucket that are compared in the later rounds: up to so many classes, at last all.
-ROUND_PIVOTS = (4.0, 32.0, 256.0, None)
+#: Shingles in a block of strays or members (or one document of more).
+BLOCK_SHINGLES = 65_536
+#: Shingles counted in one matrix product.
+_COLUMNS = 8_192
 
 
 class Circulant:
@@ -125,6 +130,71 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _common(strays: list[np.ndarray], members: list[np.ndarray]) -> np.ndarray:
+    """How many values each stray shares with each member."""
+    out = np.zeros((len(strays), len(members)), np.float32)
+    left, right = np.concatenate(strays), np.concatenate(members)
+    shared = np.intersect1d(left, right)
+    sides = []
+    for values, parts in ((left, strays), (right, members)):
+        at = np.minimum(np.searchsorted(shared, values), max(len(shared) - 1, 0))
+        hit = shared[at] == values if len(shared) else np.zeros(len(values), bool)
+        owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])[hit]
+        order = np.argsort(at[hit], kind="stable")
+        sides.append((owner[order], at[hit][order]))
+    for first in range(0, len(shared), _COLUMNS):
+        both = []
+        for (owner, at), parts in zip(sides, (strays, members), strict=True):
+            lo, hi = np.searchsorted(at, [first, first + _COLUMNS])
+            dense = np.zeros((len(parts), _COLUMNS), np.float32)
+            dense[owner[lo:hi], at[lo:hi] - first] = 1
+            both.append(dense)
+        out += both[0] @ both[1].T
+    return out
+
+
+def _stray_links(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) links of strays with members of their families.
+
+    ``family``: (hub, rep, stray, c). Blocks are hash slices of about
+    BLOCK_SHINGLES shingles; every stray block meets every member block.
+    """
+    sized = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n"))
+    family = family.join(sized, "rep")
+    blocks = (
+        family.groupBy("hub")
+        .agg(
+            F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("members"),
+            F.ceil(F.sum(F.when(F.col("stray"), F.col("n"))) / BLOCK_SHINGLES).cast("int").alias("strays"),
+        )
+        .filter("strays > 0")
+    )
+    rows = family.join(blocks, "hub").withColumn("slice", F.xxhash64("rep"))
+    own = F.pmod(F.col("slice"), F.col("members")).cast("int")
+    members = rows.select(
+        "hub", F.explode(F.sequence(F.lit(0), F.col("strays") - 1)).alias("sb"), own.alias("mb"), "rep", "c", F.lit(False).alias("stray")
+    )
+    own = F.pmod(F.col("slice"), F.col("strays")).cast("int")
+    strays = rows.filter("stray").select(
+        "hub", own.alias("sb"), F.explode(F.sequence(F.lit(0), F.col("members") - 1)).alias("mb"), "rep", "c", F.lit(True).alias("stray")
+    )
+    filled = members.union(strays).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+
+    def links(block: pd.DataFrame) -> pd.DataFrame:
+        s, m = block[block["stray"]], block[~block["stray"]]
+        out = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        if not len(s) or not len(m):
+            return out
+        common = _common(list(s["shingles"]), list(m["shingles"]))
+        sizes = s["shingles"].map(len).to_numpy()[:, None] + m["shingles"].map(len).to_numpy()[None, :]
+        found = (100 * common >= percent * (sizes - common)) & (s["c"].to_numpy()[:, None] != m["c"].to_numpy()[None, :])
+        i, j = np.nonzero(found)
+        a, b = s["rep"].to_numpy()[i], m["rep"].to_numpy()[j]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return filled.groupBy("hub", "sb", "mb").applyInPandas(links, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = MIN_PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
@@ -136,48 +206,35 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = MIN_
         "classes",
     )
     buckets = classes.select("rep", F.explode("bands").alias("bucket"))
-    hubs = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    share = F.pmod(F.xxhash64("rep", "bucket"), F.lit(1 << 30)) / float(1 << 30)
-    members = materialise(
-        buckets.join(hubs, "bucket").withColumn("turn", share * F.col("n")).select("bucket", "rep", "hub", "turn"), "members"
+    hubs = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub < top")
+    pairs = materialise(
+        buckets.join(hubs.select("bucket", "hub"), "bucket")
+        .filter("rep <> hub")
+        .select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+        .distinct(),
+        "pairs",
     )
-    involved = members.select(F.col("rep").alias("doc_id")).distinct()
+    involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     texts = docs.join(involved, "doc_id", "left_semi")
     sets = materialise(shingle_sets(texts, n).groupBy("doc_id").agg(F.first("shingles").alias("shingles")), "sets")
-
-    tested = materialise(members.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    links = materialise(_verified(tested, sets, percent), "links")
-    joined = components(links)
-    low = 0.0
-    for high in ROUND_PIVOTS:
-        label = joined.select(F.col("node").alias("rep"), "component_id")
-        own = members.join(label, "rep", "left").select(
-            "bucket", "rep", "turn", F.coalesce("component_id", "rep").alias("c")
-        )
-        split = own.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi")
-        open_rows = materialise(own.join(split.select("bucket"), "bucket", "left_semi"), "open")
-        chosen = open_rows.filter(F.col("turn") >= low)
-        if high is not None:
-            chosen = chosen.filter(F.col("turn") < high)
-        pivots = chosen.select("bucket", F.col("rep").alias("p"), F.col("c").alias("pc"))
-        pairs = (
-            pivots.join(open_rows, "bucket")
-            .filter("c <> pc")
-            .select(F.least("p", "rep").alias("a"), F.greatest("p", "rep").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        pairs = materialise(pairs, "pairs")
-        tested = tested.union(pairs)
-        new = materialise(_verified(pairs, sets, percent), "links")
-        if not new.isEmpty():
-            links = links.union(new)
-            joined = components(links)
-        low = high
+    links = materialise(_verified(pairs, sets, percent), "links")
+
+    label = components(links).withColumnRenamed("component_id", "c")
+    of_hub = label.select(F.col("node").alias("a"), F.col("c").alias("ca"))
+    of_rep = label.select(F.col("node").alias("b"), F.col("c").alias("cb"))
+    family = (
+        pairs.join(of_hub, "a", "left")
+        .join(of_rep, "b", "left")
+        .select(F.col("a").alias("hub"), F.col("b").alias("rep"), F.coalesce("cb", "b").alias("c"), F.coalesce("ca", "a").alias("h"))
+        .select("hub", "rep", "c", (F.col("c") != F.col("h")).alias("stray"))
+    )
+    more = materialise(_stray_links(materialise(family, "family"), sets, percent), "links")
+    joined = components(links.union(more))
     rep = classes.select("set_hash", "rep")
     label = joined.select(F.col("node").alias("rep"), "component_id")
+    with_set = F.when(F.expr("doc_id IS NOT NULL AND n_shingles > 0"), F.col("set_hash"))
     return (
-        seen.select("doc_id", "n_shingles", F.when(F.expr("doc_id IS NOT NULL AND n_shingles > 0"), F.col("set_hash")).alias("set_hash"))
+        seen.select("doc_id", "n_shingles", with_set.alias("set_hash"))
         .join(rep, "set_hash", "left")
         .join(label, "rep", "left")
         .select("doc_id", "n_shingles", F.coalesce("component_id", "rep", "doc_id").alias("component_id"))

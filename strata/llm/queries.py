@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from strata.llm.lm_score import op2_lm_score
 from strata.llm.near_dup import op3_minhash_near_dup
 from strata.llm.packing import op4_packing
 from strata.llm.pii import op7_pii
@@ -14,6 +15,7 @@ from strata.llm.urls import op10_url_filters
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_lm_score": op2_lm_score,
     "op3_minhash_near_dup": op3_minhash_near_dup,
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
