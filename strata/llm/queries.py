@@ -12,6 +12,8 @@ from strata.llm.substring_dup import op9_substring_dup
 from strata.llm.token_counts import op5_token_counts
 from strata.llm.urls import ORACLE_SQL as URLS_SQL
 from strata.llm.urls import op10_url_filters
+from strata.llm.vector_search import ORACLE_SQL as VECTORS_SQL
+from strata.llm.vector_search import op6_vector_search
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
@@ -19,6 +21,7 @@ QUERIES = {
     "op3_minhash_near_dup": op3_minhash_near_dup,
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
+    "op6_vector_search": op6_vector_search,
     "op7_pii": op7_pii,
     "op8_quality_rules": op8_quality_rules,
     "op9_substring_dup": op9_substring_dup,
@@ -26,4 +29,4 @@ QUERIES = {
 }
 
 #: DuckDB SQL where it can express a query.
-ORACLE_SQL: dict[str, str] = {"op10_url_filters": URLS_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_vector_search": VECTORS_SQL, "op10_url_filters": URLS_SQL}
