@@ -182,6 +182,17 @@ def quality_rules(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCO
     return apply_rules(docs, log_ratios(fit(docs, labels)), min_score)
 
 
+def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules keep.
+
+    A filter would be pushed below the projections that compute the verdict,
+    with all their expressions repeated inside it; a row number, which is not
+    deterministic, keeps it above them.
+    """
+    judged = quality_rules(docs, labels).withColumn("_row", F.monotonically_increasing_id())
+    return judged.filter("kept AND _row >= 0").select(*docs.columns)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", *BASE_COLUMNS, "base_failed", "kept", "score")
