@@ -3,7 +3,7 @@ or boolean.
 
 Spark jobs issued, independent of the number of columns (up to ``chunk`` wide):
 
-1. one ``limit(sample_rows)`` probe over *all* string columns (P2; flags only);
+1. one aggregate over all rows of *all* string columns (P2; three sums a column);
 2. one aggregate over all numeric columns: ``count(*)`` (A1), an HLL distinct
    estimate and a NULL flag per column;
 3. one exact ``count_distinct`` aggregate, only over numeric columns whose
@@ -41,7 +41,8 @@ ROLE_ORDER = (NUMERIC, CATEGORICAL, DATETIME, BOOLEAN)
 # Fixed defaults (must equal the reference's): 500 sample rows for datetime
 # detection, at most 200 distinct values for a numeric column to count as
 # categorical.
-DEFAULT_SAMPLE_ROWS = 500
+#: Rows that decide on text dates; None: all of them.
+DEFAULT_SAMPLE_ROWS: int | None = None
 DEFAULT_CATEGORICAL_MAX_DISTINCT = 200
 
 # Relative error of the distinct estimate that only pre-filters (2x margin
@@ -147,8 +148,9 @@ def _chunks(items: list, size: int) -> list[list]:
 def probe_strings(
     df: DataFrame,
     string_columns: list[str],
-    sample_rows: int = DEFAULT_SAMPLE_ROWS,
+    sample_rows: int | None = DEFAULT_SAMPLE_ROWS,
     min_fraction: float | None = None,
+    chunk: int = 100,
 ) -> tuple[set[str], dict[str, float]]:
     """String columns whose sampled values parse as timestamps, plus the
     average length of the sampled values of every string column.
@@ -157,45 +159,31 @@ def probe_strings(
     sample promotes the column); a fraction requires that share of the sampled
     non-null values to parse.
 
-    Executors turn each row into three numbers per column (parsed, present,
-    length) and ``limit(...).collect()`` brings back ``sample_rows`` rows of
-    them. ``CollectLimit`` reads splits incrementally and stops once it has
-    enough rows, so a huge input costs a task or a few, not one task per split
-    (an aggregate over ``limit`` would launch a task on every split).
+    All rows count by default: the three sums per column are one aggregate with
+    a map-side part (chunked for wide tables). ``sample_rows`` looks at so many
+    rows only, as a documented choice of the caller.
     """
-    if not string_columns or sample_rows <= 0:
+    if not string_columns or sample_rows == 0:
         return set(), {}
-    flags = [
-        F.struct(
-            parse_timestamp(col(c)).isNotNull().cast("int").alias("p"),
-            col(c).isNotNull().cast("int").alias("n"),
-            F.coalesce(F.length(col(c)), F.lit(0)).alias("l"),
-        ).alias(f"f{i}")
-        for i, c in enumerate(string_columns)
-    ]
-    rows = df.select(*flags).limit(sample_rows).collect()
+    looked = df if sample_rows is None else df.limit(sample_rows)
     found, lengths = set(), {}
-    for i, c in enumerate(string_columns):
-        parsed = sum(r[i]["p"] for r in rows)
-        present = sum(r[i]["n"] for r in rows)
-        lengths[c] = sum(r[i]["l"] for r in rows) / present if present else 0.0
-        if parsed == 0:
-            continue
-        if min_fraction is None or parsed >= min_fraction * present:
-            found.add(c)
+    for part in _chunks(string_columns, chunk):
+        aggs = []
+        for i, c in enumerate(part):
+            aggs += [
+                F.count(parse_timestamp(col(c))).alias(f"p{i}"),
+                F.count(col(c)).alias(f"n{i}"),
+                F.sum(F.length(col(c)).cast("long")).alias(f"l{i}"),
+            ]
+        row = looked.agg(*aggs).first()
+        for i, c in enumerate(part):
+            parsed, present = row[f"p{i}"], row[f"n{i}"]
+            lengths[c] = (row[f"l{i}"] or 0) / present if present else 0.0
+            if parsed and (min_fraction is None or parsed >= min_fraction * present):
+                found.add(c)
     return found, lengths
 
 
-def detect_string_datetimes(
-    df: DataFrame,
-    string_columns: list[str],
-    sample_rows: int = DEFAULT_SAMPLE_ROWS,
-    min_fraction: float | None = None,
-) -> set[str]:
-    """P2 alone (see :func:`probe_strings`)."""
-    return probe_strings(df, string_columns, sample_rows, min_fraction)[0]
-
-
 def _numeric_pass(df: DataFrame, numeric: list[str], chunk: int) -> tuple[int, dict[str, dict[str, Any]]]:
     """count(*), HLL estimate and NULL flag for all numeric columns."""
     per_column: dict[str, dict[str, Any]] = {c: {} for c in numeric}
@@ -228,7 +216,7 @@ def _exact_distinct(df: DataFrame, columns: list[str], chunk: int) -> dict[str,
 def build_profile(
     df: DataFrame,
     categorical_max_distinct: int = DEFAULT_CATEGORICAL_MAX_DISTINCT,
-    sample_rows: int = DEFAULT_SAMPLE_ROWS,
+    sample_rows: int | None = DEFAULT_SAMPLE_ROWS,
     min_fraction: float | None = None,
     exact: bool = False,
     chunk: int = DEFAULT_CHUNK,

@@ -122,7 +122,8 @@ def result_json(
     period_text = F.coalesce(F.col("period").cast("string"), F.lit(NULL_TEXT))
 
     def grain(name: str, label: str, value) -> Column:
-        entry = F.struct(period, value.alias(label), "count")
+        # NULL periods come last.
+        entry = F.struct(F.col("period").isNull().alias("n"), period, value.alias(label), "count")
         return F.sort_array(F.collect_list(F.when(F.col("grain") == name, entry)))
 
     per_dt = f["trends"].groupBy("job_id", "position", "column_name").agg(
@@ -152,7 +153,7 @@ def result_json(
         F.coalesce(_pick("t", "column", "by_day", "by_month", "by_year"), F.array()).alias("datetime_trends"),
         F.col("row_count"),
     )
-    return doc.select("job_id", F.to_json(body).alias("result_json"))
+    return doc.select("job_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("result_json"))
 
 
 # ---------------------------------------------------------------- R1

@@ -19,6 +19,8 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Any
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +48,7 @@ RESULT_SCHEMAS = {
     "trends": "job_id STRING, position INT, column_name STRING, grain STRING, period DATE, count BIGINT",
 }
 
-# Fixed value (job states of the reference's upload job).
+# Fixed values (job states of the reference's upload job).
 QUEUED, RUNNING, COMPLETED, FAILED = "queued", "running", "completed", "failed"
 WAREHOUSE_TYPE = "Parquet tables (Spark catalog)"
 
@@ -80,9 +82,22 @@ class RunHistory:
         cols = [c.split()[0] for c in RUN_COLUMNS.split(", ")]
         self._write(latest_per_job(records.select(*cols)), f"{self.path}/runs")
 
-    def save_results(self, frames: dict[str, DataFrame]) -> None:
+    def replace(self, kind: str, job_id: str, frame: DataFrame) -> None:
+        """All rows of one job and kind; an empty frame clears what an earlier run left.
+
+        Each job has a folder of its own, so jobs may be written side by side.
+        """
+        own = frame.filter(F.col("job_id") == F.lit(job_id)).drop("job_id")
+        own.write.mode("overwrite").parquet(f"{self.path}/{kind}/job_id={quote(job_id, safe='')}")
+
+    def put(self, job_id: str, record: DataFrame) -> None:
+        """K6 for the record of one job."""
+        cols = [c.split()[0] for c in RUN_COLUMNS.split(", ")]
+        self.replace("runs", job_id, latest_per_job(record.select(*cols)))
+
+    def save_results(self, frames: dict[str, DataFrame], job_id: str) -> None:
         for kind in RESULT_KINDS:
-            self._write(frames[kind], f"{self.path}/{kind}")
+            self.replace(kind, job_id, frames[kind])
 
     def _read(self, kind: str, schema: str) -> DataFrame:
         """Read with the declared schema (``job_id`` stays a string whatever the
@@ -124,13 +139,13 @@ def run_record(
     stage_label: str = "",
     warehouse_detail: str = "",
 ) -> DataFrame:
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    now = dt.datetime.now(dt.timezone.utc)  # aware: the same instant in any session zone
     meta = spark.createDataFrame(
         [(job_id, now, filename, fmt, uri, stage_label, row_count, status, WAREHOUSE_TYPE, warehouse_detail, None)],
-        "job_id STRING, created_at TIMESTAMP_NTZ, filename STRING, format STRING, input_storage_uri STRING, "
+        "job_id STRING, created_at TIMESTAMP, filename STRING, format STRING, input_storage_uri STRING, "
         "input_stage_label STRING, row_count BIGINT, status STRING, warehouse_type STRING, "
         "warehouse_detail STRING, bq_table STRING",
-    ).withColumn("created_at", F.col("created_at").cast("timestamp"))
+    )
     if result_json is None:
         return meta.withColumn("result_json", F.lit(None).cast("string"))
     return meta.join(result_json, "job_id", "left")
@@ -184,7 +199,7 @@ def run_job(
     ok, safe_or_reason = validate_filename(filename, size)
     if not ok:
         result.status, result.error = FAILED, safe_or_reason
-        history.upsert(run_record(spark, job_id, filename, fmt or "", path, FAILED, None, None))
+        history.put(job_id, run_record(spark, job_id, filename, fmt or "", path, FAILED, None, None, warehouse_detail=safe_or_reason))
         return result
     try:
         result.status = RUNNING
@@ -207,11 +222,12 @@ def run_job(
         analytics = analyze(source, **analyze_args)
         result.analytics = analytics
         result.progress.append((RUNNING, 55))
-        history.save_results(report.result_frames(spark, analytics, job_id))
+        history.save_results(report.result_frames(spark, analytics, job_id), job_id)
         saved = {k: history.results(k).filter(F.col("job_id") == job_id) for k in RESULT_KINDS}
         saved["runs"] = report.runs_frame(spark, job_id, analytics)
         doc = report.result_json(spark, analytics, job_id, saved)
-        history.upsert(
+        history.put(
+            job_id,
             run_record(
                 spark,
                 job_id,
@@ -221,7 +237,7 @@ def run_job(
                 analytics.status,
                 doc,
                 analytics.row_count if analytics.status == "ok" else None,
-            )
+            ),
         )
         result.progress.append((RUNNING, 85))
         result.layers = build_layers(wh, source, slug, raw_written=raw_written)
@@ -230,5 +246,7 @@ def run_job(
     except Exception as exc:
         log.exception("job %s failed", job_id)
         result.status, result.error = FAILED, str(exc)
-        history.upsert(run_record(spark, job_id, filename, result.format or "", path, FAILED, None, None))
+        history.put(
+            job_id, run_record(spark, job_id, filename, result.format or "", path, FAILED, None, None, warehouse_detail=str(exc)[:500])
+        )
     return result

@@ -9,20 +9,15 @@ does not decide the format, by executors, 4 KiB per file.
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.naming import slug_column
 from strata.sources.readers import CSV, EXCEL, JSON, PARQUET
 
-# Fixed values (reference's intake rules): accepted extensions, 500 MB upload
-# limit, 4 KiB head for magic bytes, parquet magic "PAR1", and the messages.
+# Fixed values (reference's intake rules): accepted extensions, 4 KiB head for magic bytes, parquet magic "PAR1", and the messages.
 ALLOWED_EXTENSIONS = (".csv", ".json", ".parquet", ".pq", ".xls", ".xlsx")
-MAX_UPLOAD_BYTES = 500 * 1024 * 1024
 HEAD_BYTES = 4096
 PARQUET_MAGIC = b"PAR1"
 MSG_INVALID_NAME = "Invalid filename."
@@ -40,58 +35,80 @@ EXTENSION_FORMATS = {
     ".xls": EXCEL,
 }
 
-_UNSAFE = re.compile(r"[^a-zA-Z0-9._\-]")
+_UNSAFE = r"[^a-zA-Z0-9._\-]"
 
 
-def size_message(max_bytes: int = MAX_UPLOAD_BYTES) -> str:
+def size_message(max_bytes: int) -> str:
     return f"File exceeds {max_bytes // (1024 * 1024)} MB limit"
 
 
-# ---------------------------------------------------------------- one name
+def _rules(name: Column, size: Column, max_bytes: int | None) -> list[tuple[Column, str]]:
+    """S8 as one ordered table of (refused when, reason); the first that holds counts."""
+    ext = _extension(safe_name(name))
+    rules = [
+        (name.isNull() | (name == "") | name.contains("..") | name.startswith("/"), MSG_INVALID_NAME),
+        (ext == "", MSG_NO_EXTENSION),
+        (~ext.isin(*ALLOWED_EXTENSIONS), MSG_EXTENSION),
+        (ext == ".xls", MSG_XLS),
+    ]
+    return rules if max_bytes is None else [*rules, (size > max_bytes, size_message(max_bytes))]
 
 
-def format_from_name(filename: str) -> str | None:
-    return EXTENSION_FORMATS.get(os.path.splitext(filename.lower().strip())[1])
+def safe_name(name: Column) -> Column:
+    """The last part of a name with unsafe characters replaced."""
+    return F.regexp_replace(F.element_at(F.split(name, "/"), -1), _UNSAFE, "_")
 
 
-def format_from_head(head: bytes) -> str:
-    if head[:4] == PARQUET_MAGIC:
-        return PARQUET
-    text = head.strip()
-    if text.startswith(b"{") or text.startswith(b"["):
-        return JSON
-    return CSV
+def _evaluate(row: tuple, schema: str, *columns: Column):
+    spark = SparkSession.active()
+    return spark.createDataFrame([row], schema).select(*columns).first()
 
 
 def detect_format(filename: str, head: bytes = b"") -> str:
-    """S7 for one file: the extension decides, else magic bytes, else CSV."""
-    return format_from_name(filename) or format_from_head(head)
-
-
-def validate_filename(filename: str, size: int | None = None, max_bytes: int = MAX_UPLOAD_BYTES):
-    """S8 for one name: ``(True, safe_name)`` or ``(False, reason)``."""
-    if not filename or ".." in filename or filename.startswith("/"):
-        return False, MSG_INVALID_NAME
-    safe = _UNSAFE.sub("_", os.path.basename(filename))
-    ext = os.path.splitext(safe)[1].lower()
-    if ext == "":
-        return False, MSG_NO_EXTENSION
-    if ext not in ALLOWED_EXTENSIONS:
-        return False, MSG_EXTENSION
-    if ext == ".xls":
-        return False, MSG_XLS
-    if size is not None and size > max_bytes:
-        return False, size_message(max_bytes)
-    return True, safe
+    """S7 for one file: the extension decides, else the first bytes, else CSV."""
+    columns = (_format_by_extension(_extension(F.trim("name"))), _format_by_head(F.col("head")))
+    by_name, by_head = _evaluate((filename, head), "name STRING, head BINARY", *columns)
+    return by_name or by_head
+
+
+def validate_filename(filename: str, size: int | None = None, max_bytes: int | None = None):
+    """S8 for one name: ``(True, safe_name)`` or ``(False, reason)``; the same rules as the manifest's."""
+    columns = (validate_column(F.col("name"), F.col("size"), max_bytes), safe_name(F.col("name")))
+    reason, safe = _evaluate((filename, size), "name STRING, size BIGINT", *columns)
+    return (False, reason) if reason else (True, safe)
+
+
+def _format_by_head(head: Column) -> Column:
+    """Format by the first bytes: the Parquet magic, an opening bracket, else CSV."""
+    text = F.ltrim(F.regexp_replace(F.decode(head, "ISO-8859-1"), r"^\s+", ""))
+    return (
+        F.when(F.substring(head, 1, len(PARQUET_MAGIC)) == F.lit(PARQUET_MAGIC), PARQUET)
+        .when(F.substring(text, 1, 1).isin("{", "["), JSON)
+        .otherwise(CSV)
+    )
 
 
 def detect_format_of_path(spark: SparkSession, path: str) -> str:
-    """S7 for a path given to F2: name first, else the first line's bytes."""
-    by_name = format_from_name(path.rstrip("/"))
-    if by_name:
-        return by_name
-    head = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()
-    return format_from_head(head[0]["value"].encode("utf-8", "replace") if head else b"")
+    """S7 for a path given to F2 or F4: its own extension, else what its files say.
+
+    A folder's files must agree: by their extensions, or, if none has one, by
+    the first bytes that Spark's own reader sees. Errors are not hidden.
+    """
+    own = EXTENSION_FORMATS.get(os.path.splitext(path.rstrip("/").lower())[1])
+    if own:
+        return own
+    files = list_files(spark, path).filter("length > 0")
+    by_name = _format_by_extension(_extension(F.element_at(F.split("path", "/"), -1)))
+    kinds = [r[0] for r in files.select(by_name).distinct().collect()]  # at most the known formats
+    if kinds == [None]:
+        content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        heads = content.filter("length > 0").select(_format_by_head(F.substring("content", 1, HEAD_BYTES)))
+        kinds = [r[0] for r in heads.distinct().collect()]
+    if not kinds:
+        return CSV
+    if len(kinds) > 1:
+        raise ValueError(f"{path} mixes formats: {sorted(str(k) for k in kinds)}")
+    return kinds[0]
 
 
 # ---------------------------------------------------------------- manifest
@@ -118,30 +135,23 @@ def list_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFr
     )
 
 
-def _sniff_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for pdf in batches:
-        kinds = []
-        for p in pdf["path"]:
-            try:
-                filesystem, inner = fs.FileSystem.from_uri(p)
-                with filesystem.open_input_stream(inner) as stream:
-                    kinds.append(format_from_head(stream.read(HEAD_BYTES)))
-            except Exception:
-                kinds.append(CSV)
-        yield pd.DataFrame({"path": pdf["path"], "sniffed_format": kinds})
-
-
 def sniff_formats(paths: DataFrame) -> DataFrame:
-    """Magic-byte format of each ``path`` (executors read 4 KiB per file)."""
-    return paths.select("path").mapInPandas(_sniff_partition, "path STRING, sniffed_format STRING")
+    """``(path, sniffed_format)`` by the first bytes, read through Spark's file systems.
+
+    A file that cannot be read fails the job; it never becomes a CSV file.
+    """
+    spark = paths.sparkSession
+    names = [r[0] for r in paths.select("path").distinct().collect()]  # files without a known extension
+    if not names:
+        return spark.createDataFrame([], "path STRING, sniffed_format STRING")
+    content = spark.read.format("binaryFile").load(names)
+    return content.select("path", _format_by_head(F.substring("content", 1, HEAD_BYTES)).alias("sniffed_format"))
 
 
 def job_id_column(path: Column, modified: Column) -> Column:
     """Deterministic UUID-shaped id of one file version (path + modification time),
     so a re-run of the same file lands on the same run-history partition."""
-    h = F.sha2(F.concat_ws("|", path, modified.cast("string")), 256)
+    h = F.sha2(F.concat_ws("|", path, F.unix_micros(modified).cast("string")), 256)
     return F.concat_ws(
         "-",
         F.substring(h, 1, 8),
@@ -152,23 +162,15 @@ def job_id_column(path: Column, modified: Column) -> Column:
     )
 
 
-def validate_column(name: Column, size: Column, max_bytes: int = MAX_UPLOAD_BYTES) -> Column:
-    """S8 as an expression: NULL when accepted, else the reason."""
-    safe = F.regexp_replace(name, r"[^a-zA-Z0-9._\-]", "_")
-    ext = _extension(safe)
-    return (
-        F.when(
-            (name.isNull()) | (name == "") | name.contains("..") | name.startswith("/"),
-            F.lit(MSG_INVALID_NAME),
-        )
-        .when(ext == "", F.lit(MSG_NO_EXTENSION))
-        .when(~ext.isin(*ALLOWED_EXTENSIONS), F.lit(MSG_EXTENSION))
-        .when(ext == ".xls", F.lit(MSG_XLS))
-        .when(size > F.lit(max_bytes), F.lit(size_message(max_bytes)))
-    )
+def validate_column(name: Column, size: Column, max_bytes: int | None = None) -> Column:
+    """S8 as an expression: NULL when accepted, else the reason. No size limit by default."""
+    out = F.lit(None).cast("string")
+    for refused, reason in reversed(_rules(name, size, max_bytes)):
+        out = F.when(refused, F.lit(reason)).otherwise(out)
+    return out
 
 
-def manifest(files: DataFrame, max_bytes: int = MAX_UPLOAD_BYTES, sniff: bool = True) -> DataFrame:
+def manifest(files: DataFrame, max_bytes: int | None = None, sniff: bool = True) -> DataFrame:
     """S7 + S8 + T8 over a file listing ``(path, length, modificationTime)``.
 
     Output: ``path, name, safe_name, length, modificationTime, job_id, format,
@@ -176,7 +178,7 @@ def manifest(files: DataFrame, max_bytes: int = MAX_UPLOAD_BYTES, sniff: bool =
     names without a known extension the magic bytes decide (when ``sniff``).
     """
     name = F.element_at(F.split(F.col("path"), "/"), -1)
-    safe = F.regexp_replace(name, r"[^a-zA-Z0-9._\-]", "_")
+    safe = safe_name(name)
     base = files.select(
         "path",
         name.alias("name"),

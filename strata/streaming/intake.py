@@ -14,7 +14,6 @@ is its own distributed job, several of them run side by side).
 from __future__ import annotations
 
 import logging
-import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 
 from strata.plans.runs import FAILED, RunHistory, run_job, run_record
 from strata.plans.warehouse import Warehouse
-from strata.sources.manifest import MAX_UPLOAD_BYTES, manifest
+from strata.sources.manifest import manifest
 
 log = logging.getLogger("strata.intake")
 
@@ -45,50 +44,34 @@ def landed_files(spark: SparkSession, landing: str, max_files: int = DEFAULT_MAX
     )
 
 
-class _LockedHistory(RunHistory):
-    """Run history whose writes are serialised between the intake's threads."""
-
-    def __init__(self, inner: RunHistory, lock: threading.Lock):
-        super().__init__(inner.spark, inner.path)
-        self._lock = lock
-
-    def upsert(self, records: DataFrame) -> None:
-        with self._lock:
-            super().upsert(records)
-
-    def save_results(self, frames: dict[str, DataFrame]) -> None:
-        with self._lock:
-            super().save_results(frames)
-
-
 def batch_handler(
     history: RunHistory,
     warehouse: Warehouse | None = None,
-    max_bytes: int = MAX_UPLOAD_BYTES,
+    max_bytes: int | None = None,
     parallel_jobs: int = DEFAULT_PARALLEL_JOBS,
     **job_args,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: one upload job per accepted file of the batch.
 
     Up to ``parallel_jobs`` files are processed at once (Spark runs jobs from
-    several driver threads side by side); run-history writes are serialised.
+    several driver threads side by side); each job has its own folder of the history.
     """
-    locked = _LockedHistory(history, threading.Lock())
-
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         entries = manifest(batch, max_bytes=max_bytes, sniff=False).collect()
 
         def process(e) -> str:
             if not e["accepted"]:
-                locked.upsert(
-                    run_record(spark, e["job_id"], e["name"], e["format"] or "", e["path"], FAILED, None, None)
+                reason = e["reject_reason"]
+                record = run_record(
+                    spark, e["job_id"], e["name"], e["format"] or "", e["path"], FAILED, None, None, warehouse_detail=reason
                 )
+                history.put(e["job_id"], record)
                 return FAILED
             result = run_job(
                 spark,
                 e["path"],
-                history=locked,
+                history=history,
                 warehouse=warehouse,
                 job_id=e["job_id"],
                 filename=e["safe_name"],
@@ -117,7 +100,7 @@ def run_intake(
     warehouse: Warehouse | None = None,
     available_now: bool = True,
     max_files: int = DEFAULT_MAX_FILES_PER_TRIGGER,
-    max_bytes: int = MAX_UPLOAD_BYTES,
+    max_bytes: int | None = None,
     parallel_jobs: int = DEFAULT_PARALLEL_JOBS,
     **job_args,
 ):

@@ -88,25 +88,25 @@ def test_star_schema_equals_mart(spark):
     assert via_join.exceptAll(fact).count() == 0 and fact.exceptAll(via_join).count() == 0
 
 
-def test_build_layers_sales(spark, sales, tmp_dir):
+def test_build_layers_readings(spark, readings, tmp_dir):
     wh = Warehouse(spark, root=os.path.join(tmp_dir, "wh"), prefix="t_")
-    run = build_layers(wh, sales, "sample_sales_0001")
+    run = build_layers(wh, readings, "station_readings_0001")
     assert run.ok, run.error
-    assert run.counts == {"raw": 8, "processed": 8, "duplicates_removed": 0}
+    assert run.counts == {"raw": 7, "processed": 6, "duplicates_removed": 1}
     proc = spark.table(run.tables["processed"])
     types = dict(proc.dtypes)
-    assert types["order_date"] == "string" and types["shipped"] == "string" and types["order_id"] == "double"
+    assert types["taken_on"] == "string" and types["verified"] == "string" and types["reading_id"] == "double"
     fact = spark.table(run.tables["fact"])
     dim = spark.table(run.tables["dimension"])
     rows = {
         r["category_value"]: r
         for r in fact.join(dim, "dim_id").collect()
     }
-    assert [rows[k]["dim_id"] for k in ("East", "North", "South", "West")] == [1, 2, 3, 4]
-    assert rows["East"]["sum_quantity"] == 12 and abs(rows["West"]["sum_unit_price"] - 129.99) < 1e-9
-    assert rows["South"]["avg_unit_price"] == (45.5 + 12.0) / 2
+    assert [rows[k]["dim_id"] for k in ("Dune", "Fjord", "Mesa")] == [1, 2, 3]
+    assert [rows[k]["sum_humidity"] for k in ("Dune", "Fjord", "Mesa")] == [45, 115, 170]
+    assert rows["Mesa"]["avg_wind_kmh"] == (12.25 + 3.5) / 2
     assert run.verification["analytics"] == sorted(
-        ["analytics_sample_sales_0001", "dim_sample_sales_0001", "fact_sample_sales_0001"]
+        ["analytics_station_readings_0001", "dim_station_readings_0001", "fact_station_readings_0001"]
     )
 
 

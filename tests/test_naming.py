@@ -100,6 +100,7 @@ def test_validate_filename():
     assert validate_filename("notes.txt") == (False, MSG_EXTENSION)
     assert validate_filename("README") == (False, MSG_NO_EXTENSION)
     assert validate_filename("old.xls") == (False, MSG_XLS)
-    ok, reason = validate_filename("big.csv", size=600 * 1024 * 1024)
+    ok, reason = validate_filename("big.csv", size=600 * 1024 * 1024, max_bytes=500 * 1024 * 1024)
     assert not ok and reason == "File exceeds 500 MB limit"
-    assert validate_filename("edge.csv", size=500 * 1024 * 1024)[0]
+    assert validate_filename("edge.csv", size=500 * 1024 * 1024, max_bytes=500 * 1024 * 1024)[0]
+    assert validate_filename("huge.csv", size=1 << 50)[0]  # no limit by default

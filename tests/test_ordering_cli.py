@@ -34,15 +34,15 @@ def test_preview_and_listing_order(spark, tmp_dir):
     assert listing == sorted(listing)
 
 
-def test_cli_writes_json(spark, tmp_dir, sales_path):
+def test_cli_writes_json(spark, tmp_dir, readings_path):
     from strata.__main__ import main
 
     out = os.path.join(tmp_dir, "report")
-    main([sales_path, "--out", out, "--job-id", "cli-1"])
+    main([readings_path, "--out", out, "--job-id", "cli-1"])
     text = spark.read.text(out).collect()
     doc = json.loads(text[0]["value"])
-    assert doc["status"] == "ok" and doc["row_count"] == 8
-    assert doc["profile"]["datetime_columns"] == ["order_date"]
+    assert doc["status"] == "ok" and doc["row_count"] == 7
+    assert doc["profile"]["datetime_columns"] == ["taken_on"]
 
 
 def test_inspect_with_awkward_names(spark, tmp_dir):

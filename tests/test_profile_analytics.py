@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import statistics
 import decimal
 
 import pytest
@@ -13,56 +14,55 @@ from strata.operators.profile import build_profile, validate_minimum_schema
 from strata.plans.analytics import analyze
 
 
-def test_sales_sample_profile(sales):
-    prof = build_profile(sales)
+def test_readings_profile(readings):
+    prof = build_profile(readings)
     assert prof.numeric == []
-    assert prof.categorical == ["region", "product", "category", "order_id", "quantity", "unit_price"]
-    assert prof.datetime == ["order_date"]
-    assert prof.boolean == ["shipped"]
-    assert prof.row_count == 8
+    assert prof.categorical == ["station", "sky", "reading_id", "humidity", "wind_kmh"]
+    assert prof.datetime == ["taken_on"] and prof.boolean == ["verified"]
+    assert prof.row_count == 7
 
 
-def test_sales_sample_top_values(sales):
-    res = analyze(sales)
+def test_readings_top_values(readings):
     top = {}
-    for r in res.top_values.collect():
-        top.setdefault(r["column_name"], []).append((r["rank"], r["value"], r["count"]))
-    for v in top.values():
-        v.sort()
-    assert [(v, c) for _, v, c in top["region"]] == [("East", 2), ("North", 2), ("South", 2), ("West", 2)]
-    assert [(v, c) for _, v, c in top["product"]] == [
-        ("Alpha", 2), ("Beta", 2), ("Gamma", 2), ("Delta", 1), ("Epsilon", 1),
-    ]
-    assert [(v, c) for _, v, c in top["category"]] == [("A", 4), ("B", 3), ("C", 1)]
-    assert top["quantity"][0][1:] == ("2", 2)
-    assert sorted((v, c) for _, v, c in top["unit_price"])[:3] == [("12.0", 1), ("120.0", 1), ("19.99", 2)]
-
-
-def test_sales_sample_trends(sales):
-    res = analyze(sales)
-    rows = res.trends.collect()
-    day = [r for r in rows if r["grain"] == "day"]
-    month = {r["period"]: r["count"] for r in rows if r["grain"] == "month"}
-    year = {r["period"]: r["count"] for r in rows if r["grain"] == "year"}
-    assert len(day) == 8 and all(r["count"] == 1 for r in day)
-    assert month == {
-        dt.date(2024, 1, 1): 2, dt.date(2024, 2, 1): 2, dt.date(2024, 3, 1): 3, dt.date(2024, 4, 1): 1,
+    for r in sorted(analyze(readings).top_values.collect(), key=lambda r: r["rank"]):
+        top.setdefault(r["column_name"], []).append((r["value"], r["count"]))
+    assert top["station"] == [("Mesa", 3), ("Dune", 2), ("Fjord", 2)]
+    assert top["sky"] == [("clear", 3), ("rain", 2), ("snow", 2)]
+    assert top["humidity"][0] == ("90", 2)
+    assert top["wind_kmh"][0] == ("3.5", 3) and top["wind_kmh"][-1] == (None, 1)  # NULL last among ties
+
+
+def test_readings_trends(readings):
+    grains = {"day": {}, "month": {}, "year": {}}
+    for r in analyze(readings).trends.collect():
+        grains[r["grain"]][r["period"]] = r["count"]
+    assert grains["day"] == {
+        dt.date(2023, 11, 30): 2, dt.date(2023, 12, 1): 1, dt.date(2023, 12, 31): 1, dt.date(2024, 1, 1): 2, None: 1,
+    }
+    assert grains["month"] == {dt.date(2023, 11, 1): 2, dt.date(2023, 12, 1): 2, dt.date(2024, 1, 1): 2, None: 1}
+    assert grains["year"] == {dt.date(2023, 1, 1): 4, dt.date(2024, 1, 1): 2, None: 1}
+
+
+def test_readings_stats_without_reclassification(readings):
+    stats = {r["column_name"]: r for r in analyze(readings, categorical_max_distinct=0).numeric_stats.collect()}
+    values = {
+        "reading_id": [11, 12, 13, 14, 15, 15, 16],
+        "humidity": [40, 80, 75, 20, 90, 90, 25],
+        "wind_kmh": [3.5, 12.25, 7.0, 3.5, 3.5, 20.0],
     }
-    assert year == {dt.date(2024, 1, 1): 8}
-
-
-def test_sales_sample_stats_without_reclassification(sales):
-    res = analyze(sales, categorical_max_distinct=0)
-    stats = {r["column_name"]: r for r in res.numeric_stats.collect()}
-    assert set(stats) == {"order_id", "quantity", "unit_price"}
-    assert stats["order_id"]["mean"] == pytest.approx(4.5)
-    assert stats["order_id"]["stddev_pop"] == pytest.approx(2.291288, abs=1e-6)
-    assert stats["quantity"]["mean"] == pytest.approx(4.25)
-    assert stats["quantity"]["stddev_pop"] == pytest.approx(2.817357, abs=1e-6)
-    assert stats["unit_price"]["mean"] == pytest.approx(35.37)
-    assert stats["unit_price"]["min"] == pytest.approx(9.99)
-    assert stats["unit_price"]["max"] == pytest.approx(120.0)
-    assert stats["unit_price"]["stddev_pop"] == pytest.approx(34.776079, abs=1e-6)
+    assert set(stats) == set(values)
+    for name, v in values.items():
+        r = stats[name]
+        assert (r["count"], r["min"], r["max"]) == (len(v), min(v), max(v))
+        assert r["mean"] == pytest.approx(statistics.fmean(v)) and r["stddev_pop"] == pytest.approx(statistics.pstdev(v))
+
+
+def test_late_dates_promote_a_text_column(spark):
+    """Every row counts, wherever the first date stands."""
+    n = 2000
+    late = spark.range(n).selectExpr("id", f"CASE WHEN id >= {n - 5} THEN '2024-02-0' || (id % 5 + 1) END AS t")
+    assert build_profile(late).datetime == build_profile(late.orderBy("id", ascending=False)).datetime == ["t"]
+    assert build_profile(late.coalesce(1).orderBy("id"), sample_rows=100).datetime == []
 
 
 def test_analyze_summary_matches_operator(spark):

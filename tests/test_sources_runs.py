@@ -133,18 +133,19 @@ def test_run_history_upsert_and_lookup(spark, tmp_dir):
     assert "PartitionFilters" in plan and "j2" in plan
 
 
-def test_run_job_end_to_end(spark, sales_path, tmp_dir):
+def test_run_job_end_to_end(spark, readings_path, tmp_dir):
     h = RunHistory(spark, os.path.join(tmp_dir, "hist"))
     wh = Warehouse(spark, root=os.path.join(tmp_dir, "wh"), prefix="job_")
-    r = run_job(spark, sales_path, history=h, warehouse=wh, job_id="0000aaaa-1111-2222-3333-444455556666")
+    r = run_job(spark, readings_path, history=h, warehouse=wh, job_id="0000aaaa-1111-2222-3333-444455556666")
     assert r.status == "completed", r.error
-    assert r.layers.ok and r.layers.tables["fact"].endswith("sample_sales_0000aaaa1111")
+    assert r.layers.ok and r.layers.tables["fact"].endswith("station_readings_0000aaaa1111")
     rec = h.lookup(r.job_id).first()
-    assert rec["row_count"] == 8 and rec["status"] == "ok" and rec["format"] == "csv"
+    assert rec["row_count"] == 7 and rec["status"] == "ok" and rec["format"] == "csv"
     doc = json.loads(rec["result_json"])
-    assert doc["profile"]["categorical_columns"][:3] == ["region", "product", "category"]
-    assert doc["categorical_top"][2]["top_values"][0] == {"value": "A", "count": 4}
-    assert [m["count"] for m in doc["datetime_trends"][0]["by_month"]] == [2, 2, 3, 1]
+    assert doc["profile"]["categorical_columns"][:2] == ["station", "sky"]
+    assert doc["categorical_top"][1]["top_values"][0] == {"value": "clear", "count": 3}
+    assert [m["count"] for m in doc["datetime_trends"][0]["by_month"]] == [2, 2, 2, 1]
+    assert doc["datetime_trends"][0]["by_year"][-1] == {"year": None, "count": 1}
     bad = run_job(spark, os.path.join(tmp_dir, "x.txt"), history=h, warehouse=wh, job_id="bad")
     assert bad.status == "failed" and h.lookup("bad").first()["status"] == "failed"
 
@@ -202,13 +203,13 @@ def test_error_run_document(spark):
     assert doc.get("row_count") is None and doc["numeric_stats"] == []
 
 
-def test_run_job_with_schema(spark, sales_path, tmp_dir):
+def test_run_job_with_schema(spark, readings_path, tmp_dir):
     h = RunHistory(spark, os.path.join(tmp_dir, "hist"))
     wh = Warehouse(spark, root=os.path.join(tmp_dir, "wh"), prefix="sch_")
     ddl = (
-        "order_id STRING, region STRING, product STRING, category STRING, quantity INT, "
-        "unit_price DOUBLE, order_date DATE, shipped BOOLEAN"
+        "reading_id STRING, station STRING, sky STRING, humidity INT, wind_kmh DOUBLE, "
+        "taken_on DATE, verified BOOLEAN"
     )
-    r = run_job(spark, sales_path, history=h, warehouse=wh, job_id="schema-1", schema=ddl)
+    r = run_job(spark, readings_path, history=h, warehouse=wh, job_id="schema-1", schema=ddl)
     assert r.status == "completed", r.error
-    assert r.analytics.profile.categorical[:4] == ["order_id", "region", "product", "category"]
+    assert r.analytics.profile.categorical[:3] == ["reading_id", "station", "sky"]
