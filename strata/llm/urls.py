@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import table
+from strata.llm.common import materialise, table
 
 #: (rule, verdict); a rule is a host and the start of a path.
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -91,11 +91,13 @@ def _strength(groups: DataFrame) -> float:
 def host_reputation(outcomes: DataFrame) -> DataFrame:
     """(host, mean, bound, blocked) from (host, bad) rows; ``bad`` null is no label."""
     labels = F.split("host", r"\.")
-    hosts = (
+    # Written once: the moments below read it several times, the pages only once.
+    hosts = materialise(
         outcomes.groupBy("host")
         .agg(F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad"))
         .withColumn("suffix", F.element_at(labels, -1))
-        .withColumn("domain", F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."))
+        .withColumn("domain", F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")),
+        "hosts",
     )
 
     def level(key: str) -> DataFrame:
