@@ -96,14 +96,23 @@ def q_profile_roles(spark, sf_dir):
     return out
 
 
-def q_profile_string_datetime(spark, sf_dir):
-    orders = _t(spark, sf_dir, "orders").select(
-        F.col("o_orderdate").cast("string").alias("o_orderdate_text"),
+def _late_dates(spark, sf_dir):
+    """orders with its date as text, present in the last rows only, and its numbers as text."""
+    orders = _t(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    late = F.when(F.col("o_orderkey") > 0.9 * last, F.col("o_orderdate").cast("string"))
+    numbers = ["o_orderkey", "o_custkey", "o_totalprice"]
+    return orders.select(
+        late.alias("o_orderdate_text"),
+        *[F.concat(F.lit("n"), F.col(c).cast("string")).alias(c) for c in numbers],
         "o_orderpriority",
         "o_orderstatus",
     )
-    prof = build_profile(orders)
-    return prof.to_frame(spark).select("column_name", "role")
+
+
+def q_profile_string_datetime(spark, sf_dir):
+    """P2 over all rows: the only dates stand in the last tenth of the keys."""
+    return build_profile(_late_dates(spark, sf_dir)).to_frame(spark).select("column_name", "role")
 
 
 def q_row_count_all(spark, sf_dir):
@@ -475,9 +484,62 @@ def q_report_panel(spark, sf_dir):
     return p.select(*[_r(c).alias(c) if c in ("mean", "min", "max", "stddev_pop") else c for c in p.columns])
 
 
+_DOC_SCHEMA = (
+    "row_count BIGINT, numeric_stats ARRAY<STRUCT<column: STRING, count: BIGINT, mean: DOUBLE, min: DOUBLE, "
+    "max: DOUBLE, stddev_pop: DOUBLE>>, datetime_trends ARRAY<STRUCT<column: STRING, "
+    "by_month: ARRAY<STRUCT<month: STRING, count: BIGINT>>, by_year: ARRAY<STRUCT<year: INT, count: BIGINT>>>>"
+)
+
+
 def q_result_json(spark, sf_dir):
-    res, f = _orders_frames(spark, sf_dir)
-    return report.result_json(spark, res, "orders-run", f)
+    """K7 read back: orders with an all-NULL number and NULL dates, numbers of the
+    document as rows, with the place of the NULL year and the explicit nulls."""
+    orders = (
+        _t(spark, sf_dir, "orders")
+        .withColumn("o_nothing", F.lit(None).cast("double"))
+        .withColumn("o_orderdate", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate")))
+    )
+    res = analyze(orders, categorical_max_distinct=0)
+    doc = report.result_json(spark, res, "orders-run", report.result_frames(spark, res, "orders-run"))
+    d = doc.select(F.from_json("result_json", _DOC_SCHEMA).alias("d"), F.col("result_json").contains('"mean":null').alias("nulls"))
+
+    def rows(section, column, key, number):
+        return [F.lit(section).alias("section"), column.alias("column_name"), key.alias("key"), _r(number.cast("double")).alias("number")]
+
+    none = F.lit(None).cast("string")
+    out = d.select(*rows("row_count", none, none, F.col("d.row_count")))
+    out = out.union(d.select(*rows("explicit nulls", none, none, F.col("nulls").cast("int"))))
+    stats = d.select(F.explode("d.numeric_stats").alias("s")).select("s.*")
+    for key in ("count", "mean", "min", "max", "stddev_pop"):
+        out = out.union(stats.select(*rows("numeric", F.col("column"), F.lit(key), F.col(key))))
+    trend = d.select(F.explode("d.datetime_trends").alias("t")).select("t.*")
+    years = trend.select("column", F.posexplode("by_year").alias("at", "y"), F.size("by_year").alias("n"))
+    out = out.union(years.select(*rows("year", F.col("column"), F.col("y.year").cast("string"), F.col("y.count"))))
+    last = years.filter("y.year IS NULL").select(*rows("NULL year is last", F.col("column"), none, (F.col("at") == F.col("n") - 1).cast("int")))
+    months = trend.select("column", F.explode("by_month").alias("m"))
+    return out.union(last).union(months.select(*rows("month", F.col("column"), F.col("m.month"), F.col("m.count"))))
+
+
+def _run_replaced(spark, sf_dir):
+    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    history = RunHistory(spark, f"{base}/strata_check_replaced/{uuid.uuid4().hex[:12]}")
+    for table in ("orders", "customer"):
+        wh = Warehouse(spark, prefix="strata_check_")
+        run = run_job(spark, f"{sf_dir}/{table}.parquet", history=history, warehouse=wh, job_id="one-job")
+        if run.status != "completed":
+            raise RuntimeError(run.error)
+    return history
+
+
+def q_run_results_replaced(spark, sf_dir):
+    """A job id run on orders, then on customer; all its results are customer's."""
+    history = _run_replaced(spark, sf_dir)
+    out = None
+    for kind in ("profile", "numeric_stats", "top_values", "trends"):
+        part = history.results(kind).select(F.lit(kind).alias("kind"), "column_name").distinct()
+        out = part if out is None else out.union(part)
+    rows = history.runs().select(F.lit("run").alias("kind"), F.lit(None).cast("string").alias("column_name"), "row_count")
+    return out.withColumn("row_count", F.lit(None).cast("long")).union(rows)
 
 
 def q_report_history_insights(spark, sf_dir):
@@ -624,26 +686,20 @@ PARTS_LABEL = "(orders parts)"
 
 
 def q_ingest_manifest(spark, sf_dir):
-    """Named fixture files (from nation) plus orders landed as Spark CSV parts."""
+    """Named fixture files (from nation) under a size limit, and orders landed as
+    Spark CSV parts without one: all parts are accepted and hold every row."""
     root = _scratch(spark, "landing")
     n = _t(spark, sf_dir, "nation").withColumn("g", F.lit(0))
-    write_files(n.groupBy("g").applyInPandas(_landing_files(root), "path STRING, content BINARY")).collect()
-    _t(spark, sf_dir, "orders").write.csv(f"{root}/orders")
-    m = manifest(list_files(spark, root), max_bytes=MANIFEST_MAX_BYTES)
-    is_part = F.col("path").contains("/orders/")
-    named = m.filter(~is_part).select("name", "safe_name", "format", "accepted", "reject_reason")
-    parts = (
-        m.filter(is_part)
-        .select(
-            F.lit(PARTS_LABEL).alias("name"),
-            F.lit(PARTS_LABEL).alias("safe_name"),
-            "format",
-            "accepted",
-            "reject_reason",
-        )
-        .distinct()
-    )
-    return named.unionByName(parts)
+    write_files(n.groupBy("g").applyInPandas(_landing_files(f"{root}/named"), "path STRING, content BINARY")).collect()
+    _t(spark, sf_dir, "orders").write.csv(f"{root}/orders", header=True)
+    columns = ["name", "safe_name", "format", "accepted", "reject_reason"]
+    named = manifest(list_files(spark, f"{root}/named"), max_bytes=MANIFEST_MAX_BYTES)
+    parts = manifest(list_files(spark, f"{root}/orders"))
+    label = F.lit(PARTS_LABEL)
+    rows = load(spark, f"{root}/orders", "csv").count()
+    accepted = parts.groupBy("format").agg(F.min("accepted").alias("accepted"), F.max("reject_reason").alias("reject_reason"))
+    accepted = accepted.select(label.alias("name"), label.alias("safe_name"), "format", "accepted", "reject_reason", F.lit(rows).cast("long").alias("rows"))
+    return named.select(*columns, F.lit(None).cast("long").alias("rows")).unionByName(accepted)
 
 
 def _intake_files(root, table):
@@ -743,6 +799,7 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "result_json": q_result_json,
         "run_history_upsert": q_run_history_upsert,
         "run_lookup": q_run_lookup,
+        "run_results_replaced": q_run_results_replaced,
         "csv_scan": q_csv_scan,
         "json_lines_scan": q_json_lines_scan,
         "json_array_scan": q_json_array_scan,
@@ -1094,6 +1151,36 @@ def _inspect_sql() -> str:
     return f"SELECT * FROM (VALUES {rows}) AS t(layer, table_name, columns, sample_rows, error)"
 
 
+def _replaced_sql() -> str:
+    """Columns of customer by kind; numbers of few distinct values count as categorical."""
+    nums, others = ["c_custkey", "c_nationkey", "c_acctbal"], ["c_name", "c_mktsegment"]
+    parts = [f"SELECT 'profile' AS kind, '{c}' AS column_name" for c in nums + others]
+    for c in nums:
+        d = f"(SELECT {_distinct_sql(c)} FROM customer)"
+        parts.append(f"SELECT CASE WHEN {d} BETWEEN 1 AND {LIMIT} THEN 'top_values' ELSE 'numeric_stats' END, '{c}'")
+    parts += [f"SELECT 'top_values', '{c}'" for c in others]
+    return (
+        f"SELECT kind, column_name, CAST(NULL AS BIGINT) AS row_count FROM ({' UNION ALL '.join(parts)}) p "
+        "UNION ALL SELECT 'run', NULL, count(*) FROM customer"
+    )
+
+
+def _result_json_sql() -> str:
+    dates = "(SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS d FROM orders) x"
+    parts = [
+        "SELECT 'row_count' AS section, CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS VARCHAR) AS key, CAST(count(*) AS DOUBLE) AS number FROM orders",
+        "SELECT 'explicit nulls', NULL, NULL, 1",
+        f"SELECT 'NULL year is last', 'o_orderdate', NULL, 1 FROM {dates} WHERE d IS NULL GROUP BY 1, 2",
+        f"SELECT 'year', 'o_orderdate', CAST(year(d) AS VARCHAR), count(*) FROM {dates} GROUP BY year(d)",
+        f"SELECT 'month', 'o_orderdate', coalesce(strftime(date_trunc('month', d), '%Y-%m-%d'), 'None'), count(*) FROM {dates} GROUP BY date_trunc('month', d)",
+    ]
+    for c in ("o_orderkey", "o_custkey", "o_totalprice", "CAST(NULL AS DOUBLE)"):
+        name = c if c.startswith("o_") else "o_nothing"
+        for key, f in (("count", "count"), ("mean", "avg"), ("min", "min"), ("max", "max"), ("stddev_pop", "stddev_pop")):
+            parts.append(f"SELECT 'numeric', '{name}', '{key}', round(CAST({f}({c}) AS DOUBLE), 4) FROM orders")
+    return " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     found = _library_oracle_sql()
     if _llm is not None:
@@ -1112,11 +1199,14 @@ def _library_oracle_sql() -> dict[str, str]:
             _profile_sql(t) for t in ("lineitem", "orders", "events")
         ),
         "profile_string_datetime": (
-            "SELECT 'o_orderdate_text' AS column_name, CASE WHEN count(TRY_CAST(v AS TIMESTAMP)) > 0 "
-            "THEN 'datetime' ELSE 'categorical' END AS role FROM "
-            "(SELECT CAST(o_orderdate AS VARCHAR) AS v FROM orders LIMIT 500) s "
-            "UNION ALL SELECT 'o_orderpriority', 'categorical' "
-            "UNION ALL SELECT 'o_orderstatus', 'categorical'"
+            "SELECT 'o_orderdate_text' AS column_name, CASE WHEN count(CASE WHEN o_orderkey > "
+            "0.9 * (SELECT max(o_orderkey) FROM orders) THEN TRY_CAST(CAST(o_orderdate AS VARCHAR) AS TIMESTAMP) END) > 0 "
+            "THEN 'datetime' ELSE 'categorical' END AS role FROM orders"
+            + "".join(
+                f" UNION ALL SELECT '{c}', CASE WHEN count(TRY_CAST({v} AS TIMESTAMP)) > 0 THEN 'datetime' ELSE 'categorical' END FROM orders"
+                for c, v in [(c, f"('n' || {c})") for c in ("o_orderkey", "o_custkey", "o_totalprice")]
+                + [(c, c) for c in ("o_orderpriority", "o_orderstatus")]
+            )
         ),
         "row_count_all": row_counts,
         "numeric_stats": _stats_sql("lineitem", li_nums),
@@ -1215,12 +1305,14 @@ def _library_oracle_sql() -> dict[str, str]:
         "report_panel": _panel_sql(),
         "run_history_upsert": _runs_sql(["job-a", "job-b"]),
         "run_lookup": _runs_sql(["job-b"]),
+        "run_results_replaced": _replaced_sql(),
+        "result_json": _result_json_sql(),
         "csv_scan": "SELECT * FROM customer",
         "json_lines_scan": "SELECT * FROM part",
         "json_array_scan": "SELECT * FROM supplier",
         "excel_scan": "SELECT * FROM supplier",
         "ingest_manifest": (
-            "SELECT * FROM (VALUES "
+            "SELECT *, CASE WHEN name = '(orders parts)' THEN (SELECT count(*) FROM orders) END AS rows FROM (VALUES "
             "('nation.csv', 'nation.csv', 'csv', true, NULL), "
             "('nation.json', 'nation.json', 'json', true, NULL), "
             "('nation.pq', 'nation.pq', 'parquet', true, NULL), "
@@ -1233,7 +1325,7 @@ def _library_oracle_sql() -> dict[str, str]:
             "('bad..name.csv', 'bad..name.csv', 'csv', false, 'Invalid filename.'), "
             "('Nation Data.csv', 'Nation_Data.csv', 'csv', true, NULL), "
             "('nation_wide.csv', 'nation_wide.csv', 'csv', false, 'File exceeds 0 MB limit'), "
-            "('(orders parts)', '(orders parts)', 'csv', false, 'File exceeds 0 MB limit')"
+            "('(orders parts)', '(orders parts)', 'csv', true, NULL)"
             ") AS t(name, safe_name, format, accepted, reject_reason)"
         ),
         "streaming_intake": (
