@@ -350,18 +350,18 @@ def q_dimension(spark, sf_dir):
 
 
 def q_dimension_ranged(spark, sf_dir):
-    """W1 through the range-partitioned path (forced with small_limit=0)."""
+    """W1 over a given number of ranges."""
     p = processed(_t(spark, sf_dir, "customer"))
-    return dimension(p, mart_shape(p).key, small_limit=0)
+    return dimension(p, mart_shape(p).key, partitions=5)
 
 
-def _star(spark, sf_dir, name, cols=None, small_limit=100_000):
+def _star(spark, sf_dir, name, cols=None, partitions=None):
     df = _t(spark, sf_dir, name)
     if cols:
         df = df.select(*cols)
     p = processed(df)
     shape = mart_shape(p)
-    dim, fact = star_schema(grouped_metrics(p, shape), shape, small_limit=small_limit)
+    dim, fact = star_schema(grouped_metrics(p, shape), shape, partitions)
     return fact.select(*[_r(c).alias(c) if c.startswith(("sum_", "avg_")) else c for c in fact.columns])
 
 
@@ -370,7 +370,7 @@ def q_fact_star(spark, sf_dir):
 
 
 def q_fact_star_ranged(spark, sf_dir):
-    return _star(spark, sf_dir, "orders", small_limit=0)
+    return _star(spark, sf_dir, "orders", partitions=5)
 
 
 def q_fact_count_only(spark, sf_dir):
@@ -387,8 +387,8 @@ def q_star_join(spark, sf_dir):
 
 
 def q_layer_preview(spark, sf_dir):
-    p = processed(_t(spark, sf_dir, "orders"))
-    return p.orderBy("o_orderkey").limit(10)
+    wh, run = _built(spark, sf_dir, "orders")
+    return catalog.preview(spark, run.tables["processed"], 10, ["o_orderkey"])
 
 
 def _built(spark, sf_dir, name, cols=None):
@@ -422,7 +422,7 @@ def q_layer_tables_fact(spark, sf_dir):
 def q_catalog_inspect(spark, sf_dir):
     """Columns and a 5-row JSON sample of every layer table of one run."""
     wh, run = _built(spark, sf_dir, "part")
-    return catalog.inspect(wh).filter(F.col("table_name").endswith(run.slug)).select(
+    return catalog.inspect(wh, slug=run.slug).select(
         "layer", "table_name", "columns", F.size("sample").alias("sample_rows"), "error"
     )
 

@@ -1,8 +1,7 @@
 """Dense surrogate keys (W1): ``1..n`` in key order, like
 ``ROW_NUMBER() OVER (ORDER BY key)`` over distinct keys.
 
-A global window sorts everything in one task, so it is used only below
-``small_limit`` rows (a checked count). Above it:
+A global window sorts everything in one task. Instead, at every size:
 
 1. ``repartitionByRange(P, key)`` + ``sortWithinPartitions(key)``: P ordered,
    similar-sized ranges, sorted inside;
@@ -26,16 +25,9 @@ from pyspark.sql import functions as F
 from strata.functions.naming import col
 from strata.session import ensure_checkpoint_dir
 
-DEFAULT_SMALL_LIMIT = 100_000
-DEFAULT_ROWS_PER_PARTITION = 1_000_000
 _PID, _MID, _OFF, _N = "_strata_pid", "_strata_mid", "_strata_off", "_strata_n"
 
 
-def _window_ids(df: DataFrame, key: str, id_col: str) -> DataFrame:
-    w = Window.orderBy(col(key).asc_nulls_last())
-    return df.withColumn(id_col, F.row_number().over(w).cast("bigint"))
-
-
 def _ranged_ids(df: DataFrame, key: str, id_col: str, partitions: int) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -56,21 +48,12 @@ def _ranged_ids(df: DataFrame, key: str, id_col: str, partitions: int) -> DataFr
     )
 
 
-def dense_ids(
-    df: DataFrame,
-    key: str,
-    id_col: str = "dim_id",
-    small_limit: int = DEFAULT_SMALL_LIMIT,
-    rows_per_partition: int = DEFAULT_ROWS_PER_PARTITION,
-    row_count: int | None = None,
-) -> DataFrame:
+def dense_ids(df: DataFrame, key: str, id_col: str = "dim_id", partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = rank of ``key`` (1-based, ascending, NULL last).
 
-    ``df`` must hold each key once (e.g. a mart or distinct keys).
-    ``row_count`` may be passed when known, saving a count job.
+    ``df`` must hold each key once (e.g. a mart or distinct keys). It is
+    evaluated once, whatever its size; ``partitions`` defaults to the session's
+    shuffle partitions.
     """
-    n = df.count() if row_count is None else row_count
-    if n <= small_limit:
-        return _window_ids(df, key, id_col)
-    partitions = max(2, -(-n // rows_per_partition))
-    return _ranged_ids(df, key, id_col, partitions)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _ranged_ids(df, key, id_col, n)

@@ -40,46 +40,27 @@ def preview(spark: SparkSession, table: str, n: int = 10, order_by: list[str] |
     return df.limit(n)
 
 
-def inspect(wh: Warehouse, sample_rows: int = 5) -> DataFrame:
+INSPECT_SCHEMA = "layer STRING, table_name STRING, columns STRING, sample ARRAY<STRING>, error STRING"
+
+
+def inspect(wh: Warehouse, sample_rows: int = 5, layer: str | None = None, slug: str | None = None) -> DataFrame:
     """One row per table: ``(layer, table_name, columns, sample, error)``.
 
     ``columns`` is ``name: type`` text in schema order; ``sample`` holds up to
-    ``sample_rows`` rows as JSON. A table that cannot be read reports its error.
+    ``sample_rows`` rows as JSON. Each table is read on its own, so one that
+    cannot be read reports its error and the others their rows. ``layer`` and
+    ``slug`` choose the tables before anything is read.
     """
-    spark = wh.spark
-    parts = []
-    for layer in LAYERS:
-        for t in wh.tables(layer):
-            full = f"{wh.db(layer)}.{t}"
+    rows = []
+    for name in [layer] if layer else LAYERS:
+        for t in wh.tables(name, slug):
+            columns_text, sample, error = None, [], None
             try:
-                df = spark.table(full)
-                cols = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in df.schema.fields)
-                sample = df.limit(sample_rows).agg(
-                    F.collect_list(F.to_json(F.struct(*[col(c) for c in df.columns]))).alias(
-                        "sample"
-                    )
-                )
-                parts.append(
-                    sample.select(
-                        F.lit(layer).alias("layer"),
-                        F.lit(t).alias("table_name"),
-                        F.lit(cols).alias("columns"),
-                        "sample",
-                        F.lit(None).cast("string").alias("error"),
-                    )
-                )
+                df = wh.spark.table(f"{wh.db(name)}.{t}")
+                columns_text = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in df.schema.fields)
+                texts = df.limit(sample_rows).select(F.to_json(F.struct(*[col(c) for c in df.columns])))
+                sample = [r[0] for r in texts.collect()]  # at most sample_rows
             except Exception as exc:  # per-table failure is part of the report
-                parts.append(
-                    spark.createDataFrame(
-                        [(layer, t, None, [], str(exc))],
-                        "layer STRING, table_name STRING, columns STRING, sample ARRAY<STRING>, error STRING",
-                    )
-                )
-    if not parts:
-        return spark.createDataFrame(
-            [], "layer STRING, table_name STRING, columns STRING, sample ARRAY<STRING>, error STRING"
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+                error = str(exc)
+            rows.append((name, t, columns_text, sample, error))
+    return wh.spark.createDataFrame(rows, INSPECT_SCHEMA)

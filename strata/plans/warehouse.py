@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.naming import quote_sql
 from strata.operators.cleaning import processed
-from strata.operators.keys import DEFAULT_SMALL_LIMIT
 from strata.operators.marts import grouped_metrics, mart, mart_shape
 from strata.operators.star import star_schema
 
@@ -67,8 +66,14 @@ class Warehouse:
         ).saveAsTable(self.name(layer, table))
         return self.spark.table(self.name(layer, table))
 
-    def tables(self, layer: str) -> list[str]:
-        return sorted(t.name for t in self.spark.catalog.listTables(self.db(layer)))
+    def tables(self, layer: str, slug: str | None = None) -> list[str]:
+        """Tables of a layer; with ``slug`` only those of one run (the catalog filters)."""
+        pattern = f"*_{slug}" if slug else None
+        return sorted(t.name for t in self.spark.catalog.listTables(self.db(layer), pattern))
+
+    def schemas(self) -> list[str]:
+        """Names of the layer databases."""
+        return [self.db(layer) for layer in LAYERS]
 
 
 def spread_if_narrow(df: DataFrame) -> DataFrame:
@@ -79,6 +84,9 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     arrive in many splits (the large-scale case) are left as they are.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:  # asking for the partitions of a shuffle would run it
+        return df
     # The partition count of the planned scan (metadata only, no job runs).
     if df.rdd.getNumPartitions() * 2 <= slots:
         return df.repartition(slots)
@@ -125,7 +133,6 @@ def build_layers(
     wh: Warehouse,
     raw_df: DataFrame,
     slug: str,
-    small_limit: int = DEFAULT_SMALL_LIMIT,
     raw_written: bool = False,
 ) -> LayerRun:
     """K1 -> K2 -> K3 -> K4 / K5 -> C2. Never raises; failures are reported.
@@ -147,14 +154,15 @@ def build_layers(
         }
         if shape.key:
             grouped = analytics if shape.kind == "grouped" else grouped_metrics(proc, shape)
-            dim, fact = star_schema(grouped, shape, small_limit=small_limit)
+            dim, fact = star_schema(grouped, shape)
             wh.write(dim, ANALYTICS, f"dim_{slug}")
             wh.write(fact, ANALYTICS, f"fact_{slug}")
             tables["dimension"] = f"{wh.db(ANALYTICS)}.dim_{slug}"
             tables["fact"] = f"{wh.db(ANALYTICS)}.fact_{slug}"
         counts = {"raw": raw.count(), "processed": proc.count()}
         counts["duplicates_removed"] = counts["raw"] - counts["processed"]
-        verification = {layer: wh.tables(layer) for layer in LAYERS}
+        verification = {layer: wh.tables(layer, slug) for layer in LAYERS}
+        verification["schemas"] = wh.schemas()
         return LayerRun(True, slug, None, tables, counts, verification, shape.kind)
     except Exception as exc:  # the run record carries the failure
         log.exception("layered warehouse failed for %s", slug)

@@ -59,8 +59,8 @@ def test_mart_forms(spark):
 
 def test_dense_ids_ranged_equals_window(spark):
     keys = spark.range(0, 5000).select(F.format_string("k%05d", (F.col("id") * 7919) % 5000).alias("key"))
-    window = {r["key"]: r["dim_id"] for r in dense_ids(keys, "key", small_limit=10**9).collect()}
-    ranged = dense_ids(keys, "key", small_limit=0, rows_per_partition=400)
+    window = {k: i + 1 for i, k in enumerate(sorted(r["key"] for r in keys.collect()))}
+    ranged = dense_ids(keys, "key", partitions=13)
     got = {r["key"]: r["dim_id"] for r in ranged.collect()}
     assert got == window
     assert sorted(got.values()) == list(range(1, 5001))
@@ -68,7 +68,7 @@ def test_dense_ids_ranged_equals_window(spark):
 
 def test_ranged_plan_has_no_single_partition_window(spark):
     keys = spark.range(0, 3000).select(F.col("id").cast("string").alias("key"))
-    ranged = dense_ids(keys, "key", small_limit=0, rows_per_partition=500)
+    ranged = dense_ids(keys, "key", partitions=6)
     plan = ranged._jdf.queryExecution().executedPlan().toString()
     # the only window runs over the per-partition sizes (a handful of rows)
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]

@@ -51,5 +51,22 @@ def test_inspect_with_awkward_names(spark, tmp_dir):
     run = build_layers(wh, df, "awkward_0001")
     assert run.ok, run.error
     rows = {r["table_name"]: r for r in catalog.inspect(wh).collect()}
+    assert set(rows) == {r["table_name"] for r in catalog.inspect(wh, slug="awkward_0001").collect()}
     raw = rows["raw_awkward_0001"]
     assert raw["error"] is None and json.loads(raw["sample"][0]) == {"we`ird.name": 1, "plain": "a"}
+
+
+def test_inspect_reports_a_broken_table(spark, tmp_dir):
+    """One table whose files are damaged does not hide the others."""
+    import glob
+
+    wh = Warehouse(spark, root=os.path.join(tmp_dir, "wh3"), prefix="brk_")
+    run = build_layers(wh, spark.range(5).selectExpr("id", "'a' AS k"), "broken_0001")
+    assert run.ok, run.error and run.verification["schemas"]
+    for part in glob.glob(os.path.join(wh.location("raw_data", "raw_broken_0001"), "part-*")):
+        with open(part, "wb") as f:
+            f.write(b"not parquet")
+    spark.catalog.refreshTable(run.tables["raw"])
+    rows = {r["table_name"]: r for r in catalog.inspect(wh, slug="broken_0001").collect()}
+    assert rows["raw_broken_0001"]["error"] and rows["processed_broken_0001"]["error"] is None
+    assert len(rows["processed_broken_0001"]["sample"]) == 5
