@@ -632,6 +632,19 @@ def q_json_array_scan(spark, sf_dir):
     return load(spark, root, "json")
 
 
+def q_json_mixed_scan(spark, sf_dir):
+    """supplier in one folder: half as JSON array documents, half as JSON lines."""
+    root = _scratch(spark, "jsonmixed")
+    sup = _t(spark, sf_dir, "supplier")
+    docs = sup.filter("s_suppkey % 2 = 0").groupBy(_bucket("s_suppkey").alias("bucket")).agg(
+        F.to_json(F.collect_list(F.struct(*sup.columns))).alias("doc")
+    )
+    sup.filter("s_suppkey % 2 = 1").write.json(root)
+    path = F.concat(F.lit(root + "/document-"), F.col("bucket").cast("string"), F.lit(".json"))
+    write_files(docs.select(path.alias("path"), F.encode("doc", "UTF-8").alias("content"))).collect()
+    return load(spark, root, "json").select(*sup.columns)
+
+
 def _workbook_files(root):
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         cols = [c for c in pdf.columns if c != "bucket"]
@@ -803,6 +816,7 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_scan": q_csv_scan,
         "json_lines_scan": q_json_lines_scan,
         "json_array_scan": q_json_array_scan,
+        "json_mixed_scan": q_json_mixed_scan,
         "excel_scan": q_excel_scan,
         "ingest_manifest": q_ingest_manifest,
         "streaming_intake": q_streaming_intake,
@@ -1310,6 +1324,7 @@ def _library_oracle_sql() -> dict[str, str]:
         "csv_scan": "SELECT * FROM customer",
         "json_lines_scan": "SELECT * FROM part",
         "json_array_scan": "SELECT * FROM supplier",
+        "json_mixed_scan": "SELECT * FROM supplier",
         "excel_scan": "SELECT * FROM supplier",
         "ingest_manifest": (
             "SELECT *, CASE WHEN name = '(orders parts)' THEN (SELECT count(*) FROM orders) END AS rows FROM (VALUES "

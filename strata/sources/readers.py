@@ -6,8 +6,6 @@ as a single file, a directory or a glob; Spark splits the scan across tasks.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,28 +33,30 @@ def normalize_format(fmt: str) -> str:
     return FORMAT_ALIASES[key]
 
 
-def json_layout(spark: SparkSession, path: str) -> str:
-    """D1: 'lines' for JSON-lines input, 'document' for one array/object per file.
+def json_documents(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """D1 per file: (files of JSON lines, files that hold one array or object).
 
-    Looks at the first non-blank line only (a ``limit`` on a text scan). A line
-    that is a complete JSON object on its own means JSON lines, which stays
-    splittable; an array or a multi-line object needs ``multiLine``.
+    The first non-blank line of each file decides: a complete object on its own
+    means JSON lines, which stay splittable; an array or an open object needs
+    ``multiLine``. Lines are judged where they are read; only the file names
+    and one flag a file come back, never a line. Pass ``multiLine`` to the
+    reader to skip this pass.
     """
-    head = (
-        spark.read.text(path)
-        .filter(F.trim("value") != "")
-        .limit(1)
-        .collect()
+    line = F.trim("value")
+    whole = line.startswith("{") & line.endswith("}") & (
+        F.regexp_count(line, F.lit(r"\{")) == F.regexp_count(line, F.lit(r"\}"))
+    )
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        line.alias("line"),
+        whole.alias("whole"),
     )
-    if not head:
-        return "lines"
-    first = head[0]["value"].strip()
-    if first.startswith("["):
-        return "document"
-    try:
-        return "lines" if isinstance(json.loads(first), dict) else "document"
-    except ValueError:
-        return "document"
+    first = lines.filter("line <> ''").groupBy("file").agg(F.min_by("whole", "at").alias("whole"))
+    files: dict[bool, list[str]] = {True: [], False: []}
+    for r in first.collect():  # one flag per file, as many as Spark lists itself
+        files[r["whole"]].append(r["file"])
+    return sorted(files[True]), sorted(files[False])
 
 
 def _reader(spark: SparkSession, schema: str | None):
@@ -78,11 +78,21 @@ def read_csv(
 def read_json(
     spark: SparkSession, path: str, options: dict[str, str] | None = None, schema: str | None = None
 ) -> DataFrame:
-    """S3 with layout detection (D1): JSON lines are read record by record."""
+    """S3 with layout detection (D1) per file: a folder may hold files of JSON
+    lines and files of one document; their records are united by name."""
     opts = dict(options or {})
-    if "multiLine" not in opts:
-        opts["multiLine"] = "true" if json_layout(spark, path) == "document" else "false"
-    return _reader(spark, schema).options(**opts).json(path)
+    if "multiLine" in opts:
+        return _reader(spark, schema).options(**opts).json(path)
+    lines, documents = json_documents(spark, path)
+    if not documents:
+        return _reader(spark, schema).options(**opts).json(path)
+    if not lines:
+        return _reader(spark, schema).options(**opts, multiLine="true").json(path)
+    parts = [
+        _reader(spark, schema).options(**opts, multiLine=m).json(files)
+        for m, files in (("false", lines), ("true", documents))
+    ]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 def load(
