@@ -120,6 +120,32 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+# ------------------------------------------------------------ wanted rows
+
+#: Words of 64 bits in the map of wanted ids, whatever their number.
+MAP_WORDS = 1 << 14
+
+
+def wanted_rows(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows whose ``key`` is among ``ids`` (distinct, one column of that name).
+
+    Before the join shuffles whole rows, a bit map of bounded size (a million
+    bits, one per id hash) drops most rows that no id asks for. It is a constant
+    of the plan; the join that follows decides.
+    """
+    from pyspark.sql import functions as F
+
+    spread = F.xxhash64(key)
+    word, bit = F.pmod(spread, F.lit(MAP_WORDS)).cast("int"), F.pmod(F.shiftright(spread, 20), F.lit(64)).cast("int")
+    marks = ids.select(word.alias("w"), F.expr("1L").alias("one"), bit.alias("b"))
+    marks = marks.groupBy("w").agg(F.bit_or(F.expr("shiftleft(one, b)")).alias("m")).collect()  # at most MAP_WORDS
+    table = [0] * MAP_WORDS
+    for r in marks:
+        table[r["w"]] = r["m"]
+    bits = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")  # folded to one constant
+    return rows.filter(F.getbit(F.get(bits, word), bit) == 1).join(ids, key, "left_semi")
+
+
 # ------------------------------------------------------------ components
 
 

@@ -17,7 +17,7 @@ buckets, never with all others; the links found join classes to components.
 All that share a bucket with a hub are its family. Two of a family that may
 still lack their link cannot both be in the hub's component; so what is left is
 to compare the *strays* of a family, which are not in its hub's component, with
-its members. That is done in blocks of bounded size: a task gets one block of
+its members, where they share a bucket that holds several components. That is done in blocks of bounded size: a task gets one block of
 strays and one of members, counts all common shingles by a matrix product and
 gives only the links. So no link is lost, no list of pairs is made, and copies
 in the hub's component cost one comparison per shared hub.
@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import WordHasher, components, map_texts, materialise, shingles, table, worker_state
+from strata.llm.common import WordHasher, components, map_texts, materialise, shingles, table, wanted_rows, worker_state
 
 #: Words per shingle and the least similarity, in percent.
 SHINGLE_WORDS = 5
@@ -132,7 +132,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _common(strays: list[np.ndarray], members: list[np.ndarray]) -> np.ndarray:
     """How many values each stray shares with each member."""
-    out = np.zeros((len(strays), len(members)), np.float32)
+    out = np.zeros((len(strays), len(members)))
     left, right = np.concatenate(strays), np.concatenate(members)
     shared = np.intersect1d(left, right)
     sides = []
@@ -207,26 +207,28 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = MIN_
     )
     buckets = classes.select("rep", F.explode("bands").alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub < top")
-    pairs = materialise(
-        buckets.join(hubs.select("bucket", "hub"), "bucket")
-        .filter("rep <> hub")
-        .select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-        .distinct(),
-        "pairs",
+    members = materialise(
+        buckets.join(hubs.select("bucket", "hub"), "bucket").filter("rep <> hub").select("bucket", "hub", "rep"), "members"
     )
+    pairs = materialise(members.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.join(involved, "doc_id", "left_semi")
+    texts = wanted_rows(docs, materialise(involved, "involved"))
     sets = materialise(shingle_sets(texts, n).groupBy("doc_id").agg(F.first("shingles").alias("shingles")), "sets")
     links = materialise(_verified(pairs, sets, percent), "links")
 
     label = components(links).withColumnRenamed("component_id", "c")
-    of_hub = label.select(F.col("node").alias("a"), F.col("c").alias("ca"))
-    of_rep = label.select(F.col("node").alias("b"), F.col("c").alias("cb"))
+    of_hub = label.select(F.col("node").alias("hub"), F.col("c").alias("ch"))
+    of_rep = label.select(F.col("node").alias("rep"), F.col("c").alias("cr"))
+    seated = members.join(of_rep, "rep", "left").select("bucket", "hub", "rep", F.coalesce("cr", "rep").alias("c"))
+    seated = materialise(seated, "seated")
+    # Only buckets whose members, hub aside, are still apart may hide a link.
+    apart = seated.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("bucket")
     family = (
-        pairs.join(of_hub, "a", "left")
-        .join(of_rep, "b", "left")
-        .select(F.col("a").alias("hub"), F.col("b").alias("rep"), F.coalesce("cb", "b").alias("c"), F.coalesce("ca", "a").alias("h"))
-        .select("hub", "rep", "c", (F.col("c") != F.col("h")).alias("stray"))
+        seated.join(apart, "bucket", "left_semi")
+        .select("hub", "rep", "c")
+        .distinct()
+        .join(of_hub, "hub", "left")
+        .select("hub", "rep", "c", (F.col("c") != F.coalesce("ch", "hub")).alias("stray"))
     )
     more = materialise(_stray_links(materialise(family, "family"), sets, percent), "links")
     joined = components(links.union(more))
