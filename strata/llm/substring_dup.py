@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, WordHasher, _mix, map_texts, materialise, shingles, table, worker_state
+from strata.llm.common import WORD, WordHasher, _mix, map_texts, materialise, shingles, table, wanted_rows, worker_state
 
 SHINGLE_WORDS = 5
 #: Words of the shortest passage, and the least similarity.
@@ -51,8 +51,8 @@ MIN_SIMILARITY = 0.8
 FUNCTIONS = 4
 MIN_HITS = 1
 _SEEDS = np.random.default_rng(5).integers(1, 2**63, FUNCTIONS, dtype=np.uint64)
-#: A shingle not shared weighs so much: at 0.8, two ranges share 8 of 9 shingles each.
-_MISS = 8
+#: At similarity s, two ranges of one length share 2 s / (1 + s) of their shingles.
+_SHARE = 2 * MIN_SIMILARITY / (1 + MIN_SIMILARITY)
 #: Shingles that a window's reach is told for, on either side.
 _REACH = 65_535
 #: How far from a window's place its right and left context lie. Places of a
@@ -127,7 +127,13 @@ def _reach(name: str, bits: int) -> Column:
 
 
 def _shared(found: DataFrame) -> DataFrame:
-    """The windows whose key more than one document has."""
+    """The windows whose key more than one document has.
+
+    One exchange by key feeds the counts and the rows that they select. A
+    document has few windows of a key among its many, so a passage of a third
+    of all documents is still a small part of all windows.
+    """
+    found = found.repartition("key")
     keys = found.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
     return found.join(keys.select("key"), "key", "left_semi")
 
@@ -148,23 +154,27 @@ def _candidates(found: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def segments(mask: np.ndarray) -> list[tuple[int, int]]:
-    """Ranges [first, stop) of a mask in which true places outweigh the others."""
+def segments(mask: np.ndarray, need: int) -> list[tuple[int, int]]:
+    """Ranges [first, stop) of at least ``need`` places with enough true ones.
+
+    The range of all true places is split at its widest gap, and the parts
+    again, until a part has its share.
+    """
     edge = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8)))
-    out, start, stop, score, best = [], -1, 0, 0, 0
-    for first, last in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-        if start >= 0:
-            score -= _MISS * (first - stop_seen)
-            if score <= 0:
-                out.append((start, stop))
-                start = -1
-        if start < 0:
-            start, score, best = first, 0, 0
-        score += last - first
-        stop_seen = last
-        if score > best:
-            best, stop = score, last
-    return out + [(start, stop)] if start >= 0 else out
+    begin, end = edge[::2], edge[1::2]
+    true = np.concatenate(([0], np.cumsum(end - begin)))
+    out, todo = [], [(0, len(begin))] if len(begin) else []
+    while todo:
+        lo, hi = todo.pop()
+        first, stop = int(begin[lo]), int(end[hi - 1])
+        if stop - first < need:
+            continue
+        if true[hi] - true[lo] >= _SHARE * (stop - first):
+            out.append((first, stop))
+            continue
+        cut = lo + 1 + int(np.argmax(begin[lo + 1 : hi] - end[lo : hi - 1]))
+        todo += [(lo, cut), (cut, hi)]
+    return sorted(out)
 
 
 def _similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -182,9 +192,7 @@ def passages(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int]]:
     shared = ranked[at] == b
     place = order[at]  # the first place in a with that shingle
     out = []
-    for first, stop in segments(shared):
-        if stop - first < need:
-            continue
+    for first, stop in segments(shared, need):
         inside = np.arange(first, stop)[shared[first:stop]]
         offset = place[inside] - inside
         middle = int(np.median(offset))
@@ -256,7 +264,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     shared = materialise(_shared(windows(docs)), "windows")
     involved = shared.select("doc_id").distinct()
     texts = materialise(
-        docs.join(involved, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts"
+        wanted_rows(docs, materialise(involved, "involved")).groupBy("doc_id").agg(F.min("text").alias("text")), "texts"
     )
     rows, left, tested = None, shared, None
     for context in (None, "right", "left"):
