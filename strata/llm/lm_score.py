@@ -1,7 +1,7 @@
 """Stupid-backoff language-model scores, computed relationally.
 
 The model is two count tables over the corpus, words and word pairs, keyed by
-64-bit hashes. A document's score is the mean over its words of
+56-bit hashes. A document's score is the mean over its words of
 ``log S(word | word before)``: ``c(pair) / c(word before)`` where the pair is in
 the table, else ``ALPHA * c(word) / N`` (N: words of the corpus).
 
@@ -29,7 +29,11 @@ from strata.llm.common import WordHasher, map_texts, materialise, shingles, tabl
 
 ALPHA = 0.4
 #: Words whose counts are broadcast (8 + 4 bytes each), the most frequent ones.
-FREQUENT = 100_000
+FREQUENT = 1_000_000
+
+
+#: Keys have 56 bits: one byte in eight that the largest shuffle need not carry.
+_SPARE = np.uint64(8)
 
 
 def _words(text: str) -> np.ndarray:
@@ -49,7 +53,7 @@ def _many(texts, rows_of) -> list:
 
 
 def _counted(keys: np.ndarray):
-    keys, n = np.unique(keys, return_counts=True)
+    keys, n = np.unique(keys >> _SPARE, return_counts=True)
     return keys.view(np.int64), n
 
 
@@ -100,7 +104,7 @@ def _first_and_contexts(words: np.ndarray):
     """+1 for the first word, -1 for each word that another follows."""
     if not len(words):
         return words.view(np.int64), np.zeros(0)
-    keys, at = np.unique(words, return_inverse=True)
+    keys, at = np.unique(words >> _SPARE, return_inverse=True)
     weight = -np.bincount(at[:-1], minlength=len(keys)).astype(float)
     weight[at[0]] += 1
     return keys.view(np.int64), weight
@@ -115,7 +119,7 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, frequent: int =
     # One exchange by the pair's hash feeds the count table and the rows it is joined to.
     known = pairs(corpus).repartition("key")
     pair_counts = known.groupBy("key").agg(F.sum("n").alias("c"))
-    asked = pairs(docs).repartition("key").join(pair_counts, "key", "left")
+    asked = (known if corpus is docs else pairs(docs).repartition("key")).join(pair_counts, "key", "left")
     terms = asked.withColumn("part", F.col("n") * F.log("c"))
     if corpus is not docs:
         terms = materialise(terms, "pairs")
@@ -143,8 +147,8 @@ def _moved(docs: DataFrame, unseen: DataFrame, counts: DataFrame, total: int) ->
     def rows_of(found):
         if len(found) < 2:
             return [found[:0].view(np.int64)] * 3 + [np.zeros(0, np.int64)]
-        keys, at, n = np.unique(shingles(found, 2), return_index=True, return_counts=True)
-        return keys.view(np.int64), found[at].view(np.int64), found[at + 1].view(np.int64), n
+        keys, at, n = np.unique(shingles(found, 2) >> _SPARE, return_index=True, return_counts=True)
+        return keys.view(np.int64), (found[at] >> _SPARE).view(np.int64), (found[at + 1] >> _SPARE).view(np.int64), n
 
     wide = map_texts(docs, lambda: lambda t: _many(t, rows_of), "key long, w1 long, w2 long, n int", ["doc_id"], many=True)
     rows = wide.alias("x").join(unseen.alias("u"), F.expr("x.key = u.key AND x.doc_id <=> u.doc_id"), "left_semi")
