@@ -14,7 +14,7 @@ from tests.oracle_harness import compare, duck
 
 SLOW = {
     "run_history_upsert", "run_lookup", "streaming_intake", "report_history_insights",
-    "catalog_columns", "catalog_tables", "catalog_inspect",
+    "catalog_columns", "catalog_tables", "catalog_inspect", "run_results_replaced",
 }
 NAMES = [n for n in E.queries() if n in E.oracle_sql() and n not in SLOW]
 
