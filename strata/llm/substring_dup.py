@@ -15,7 +15,8 @@ document pair are folded to the functions that agree.
 
 *Verification.* Both texts of a pair are compared: ranges whose shingles occur
 in the other text, changes allowed, and whose shingle sets have a Jaccard
-similarity of at least 0.8 with the matching range, are passages. The first
+similarity of at least 0.8 with a matching range, at any place, are passages;
+so are all runs of 50 words that both texts have. The first
 window of a key may share no more than a common phrase with the others. So
 windows whose place lies in no passage found so far meet twice again, by key
 and the words some way to the right, then to the left: one of these lies in
@@ -52,6 +53,8 @@ MIN_SIMILARITY = 0.8
 FUNCTIONS = 4
 MIN_HITS = 2
 _SEEDS = np.random.default_rng(5).integers(1, 2**63, FUNCTIONS, dtype=np.uint64)
+#: Base of the hash of a run of shingles.
+_BASE = 0x5851F42D4C957F2D
 #: At similarity s, two ranges of one length share 2 s / (1 + s) of their shingles.
 _SHARE = 2 * MIN_SIMILARITY / (1 + MIN_SIMILARITY)
 #: Shingles that a window's reach is told for, on either side.
@@ -190,29 +193,77 @@ def _similarity(a: np.ndarray, b: np.ndarray) -> float:
     return common / (len(a) + len(b) - common) if common else 0.0
 
 
+def _runs(found: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``width`` shingles (a prefix sum over powers of an odd base)."""
+    if len(found) < width:
+        return found[:0]
+    powers, inverses = (WordHasher._grow(x, len(found) + 1) for x in (_BASE, pow(_BASE, -1, 2**64)))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(found) * powers[:-1], dtype=np.uint64)))
+    return _mix((sums[width:] - sums[:-width]) * inverses[: len(found) - width + 1])
+
+
+def _exact(a: np.ndarray, b: np.ndarray, need: int) -> list[tuple[int, int, int, int]]:
+    """Ranges that together cover every run of ``need`` shingles of b that a has anywhere."""
+    left, right = _runs(a, need), _runs(b, need)
+    if not len(left) or not len(right):
+        return []
+    order = np.argsort(left, kind="stable")
+    at = np.minimum(np.searchsorted(left[order], right), len(left) - 1)
+    place = order[at]
+    hits = np.flatnonzero(left[place] == right)
+    out, k = [], 0
+    while k < len(hits):
+        i, p = int(hits[k]), int(place[hits[k]])
+        n = min(len(left) - p, len(right) - i)
+        other = np.flatnonzero(left[p : p + n] != right[i : i + n])
+        n = int(other[0]) if len(other) else n
+        out.append((p, p + n - 1 + need, i, i + n - 1 + need))
+        k = int(np.searchsorted(hits, i + n))
+    return out
+
+
 def passages(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(first, stop) in a and (first, stop) in b, in words, of near-duplicate passages."""
+    """(first, stop) in a and (first, stop) in b, in words, of near-duplicate passages.
+
+    The ranges of b that a's shingles fill, and for each all ranges of a that its
+    shingles fill, narrow each other until they are similar enough; what cannot
+    be narrowed is split at its widest gap. Exact repeats that lie in no such
+    range of b are added, so each of them is covered.
+    """
     need = MIN_WORDS - SHINGLE_WORDS + 1
-    order = np.argsort(a, kind="stable")
-    ranked = a[order]
-    at = np.minimum(np.searchsorted(ranked, b), len(a) - 1)
-    shared = ranked[at] == b
-    place = order[at]  # the first place in a with that shingle
-    out = []
-    for first, stop in segments(shared, need):
-        inside = np.arange(first, stop)[shared[first:stop]]
-        offset = place[inside] - inside
-        middle = int(np.median(offset))
-        near = place[inside][np.abs(offset - middle) <= (stop - first) // 8 + SHINGLE_WORDS]
-        tries = [(max(0, first + middle), min(len(a), stop + middle))]
-        if len(near):
-            tries.append((int(near.min()), int(near.max()) + 1))
-        tries.append((int(place[inside].min()), int(place[inside].max()) + 1))  # repeats inside the text
-        for fa, sa in tries:
-            if sa - fa >= need and _similarity(a[fa:sa], b[first:stop]) >= MIN_SIMILARITY:
-                out.append((fa, sa + SHINGLE_WORDS - 1, first, stop + SHINGLE_WORDS - 1))
-                break
-    return out
+    whole = (0, len(a), 0, len(b))
+    out, todo, seen = [], [whole], {whole}
+    while todo:
+        fa, sa, fb, sb = now = todo.pop()
+        for f, s in segments(np.isin(b[fb:sb], a[fa:sa]), need):
+            for g, t in segments(np.isin(a[fa:sa], b[fb + f : fb + s]), need):
+                found = (fa + g, fa + t, fb + f, fb + s)
+                if _similarity(a[found[0] : found[1]], b[found[2] : found[3]]) >= MIN_SIMILARITY:
+                    out.append(found)
+                    continue
+                for part in _halves(a, b, found) if found == now else [found]:
+                    if part not in seen:
+                        seen.add(part)
+                        todo.append(part)
+    out += [x for x in _exact(a, b, need) if not any(f <= x[2] and x[3] <= s for _, _, f, s in out)]
+    return sorted({(fa, sa + SHINGLE_WORDS - 1, fb, sb + SHINGLE_WORDS - 1) for fa, sa, fb, sb in out})
+
+
+def _halves(a: np.ndarray, b: np.ndarray, found: tuple[int, int, int, int]) -> list[tuple[int, int, int, int]]:
+    """The two parts beside the widest gap of either range; ranges without gaps have equal sets."""
+    fa, sa, fb, sb = found
+    gaps = []
+    for side, mask in ((0, np.isin(a[fa:sa], b[fb:sb])), (1, np.isin(b[fb:sb], a[fa:sa]))):
+        true = np.flatnonzero(mask)
+        if len(true) > 1:
+            k = int(np.argmax(np.diff(true)))
+            gaps.append((int(true[k + 1] - true[k]), side, int(true[k]) + 1, int(true[k + 1])))
+    width, side, stop, first = max(gaps, default=(1, 0, 0, 0))
+    if width == 1:
+        return []
+    if side:
+        return [(fa, sa, fb, fb + stop), (fa, sa, fb + first, sb)]
+    return [(fa, fa + stop, fb, sb), (fa + first, sa, fb, sb)]
 
 
 _PASSAGE = "fa int, sa int, fb int, sb int"

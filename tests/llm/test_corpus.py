@@ -164,3 +164,41 @@ def test_lm_scores_match_brute_force(corpus, corpus_docs, no_docs):
             assert r.n_words == len(w)
             assert (r.score is None) == (not w) and (not w or abs(r.score - s / len(w)) < 2e-6)
     assert lm_score.lm_scores(no_docs).count() == 0
+
+
+def _drawn(rng, n):
+    return rng.integers(1, 2**62, n).astype(np.uint64)
+
+
+def test_passages_follow_jumps_repeats_and_later_places():
+    """Side by side in one text and apart in the other; a line six times; a part of the passage earlier."""
+    rng = np.random.default_rng(21)
+
+    def spans(a, b):
+        found = substring_dup.passages(common.shingles(a, 5), common.shingles(b, 5))
+        return {p for _, _, f, s in found for p in range(f, s)}
+
+    one, two, line, whole = _drawn(rng, 60), _drawn(rng, 60), _drawn(rng, 10), _drawn(rng, 60)
+    a = np.concatenate([_drawn(rng, 40), one, _drawn(rng, 500), two, _drawn(rng, 30)])
+    b = np.concatenate([_drawn(rng, 20), one, two, _drawn(rng, 20)])
+    assert spans(a, b) >= set(range(20, 140))
+    assert spans(b, a) >= set(range(40, 100)) | set(range(600, 660))
+    lines = np.tile(line, 6)
+    assert spans(np.concatenate([_drawn(rng, 70), lines]), np.concatenate([_drawn(rng, 33), lines])) >= set(range(33, 93))
+    a = np.concatenate([whole[:40], _drawn(rng, 200), whole])
+    assert spans(a, np.concatenate([_drawn(rng, 9), whole])) >= set(range(9, 69))
+    same = np.full(400, 7, np.uint64)
+    assert spans(same, same[:90]) == set(range(90)) and spans(same[:90], same) == set(range(400))
+
+
+def test_passages_cover_every_exact_repeat():
+    """Few different words, so that shingles repeat at many places."""
+    rng = np.random.default_rng(22)
+    for _ in range(200):
+        parts = [rng.integers(0, rng.integers(1, 5), rng.integers(20, 90)).astype(np.uint64) for _ in range(6)]
+        a, b = (np.concatenate([parts[i] for i in rng.integers(0, 6, 7)]) for _ in range(2))
+        grams = {tuple(a[k : k + 50]) for k in range(len(a) - 49)}
+        found = substring_dup.passages(common.shingles(a, 5), common.shingles(b, 5))
+        for k in range(len(b) - 49):
+            if tuple(b[k : k + 50]) in grams:
+                assert any(f <= k and k + 50 <= s for _, _, f, s in found)
