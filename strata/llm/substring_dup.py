@@ -48,10 +48,9 @@ SHINGLE_WORDS = 5
 #: Words of the shortest passage, and the least similarity.
 MIN_WORDS = 50
 MIN_SIMILARITY = 0.8
-#: Hash functions, and how many must agree before a pair is compared; fewer will
-#: do where the words to one side of the common place agree as well.
+#: Hash functions; a pair is compared when one of them agrees, as functions may
+#: meet different first documents.
 FUNCTIONS = 4
-MIN_HITS = 2
 _SEEDS = np.random.default_rng(5).integers(1, 2**63, FUNCTIONS, dtype=np.uint64)
 #: Base of the hash of a run of shingles.
 _BASE = 0x5851F42D4C957F2D
@@ -143,10 +142,7 @@ def _shared(found: DataFrame) -> DataFrame:
 
 
 def _candidates(found: DataFrame, by: list[str]) -> DataFrame:
-    """(a, b, function, beside) of windows and the first window of their group, if both can hold a passage.
-
-    ``beside``: the context on at least one side is the same.
-    """
+    """(a, b, function) of windows and the first window of their group, if both can hold a passage."""
     first = (
         found.groupBy(*by)
         .agg(F.min(F.struct("doc_id", "reach")).alias("w"), F.max("doc_id").alias("top"))
@@ -154,13 +150,10 @@ def _candidates(found: DataFrame, by: list[str]) -> DataFrame:
         .select(*by, F.col("w.doc_id").alias("a"), F.col("w.reach").alias("other"))
     )
     common = F.least(_reach("reach", 16), _reach("other", 16)) + F.least(_reach("reach", 0), _reach("other", 0)) + 1
-    beside = F.lit(False)
-    for bits in (32, 48):
-        beside = beside | ((_reach("reach", bits) != 0) & (_reach("reach", bits) == _reach("other", bits)))
     return (
         found.join(first, by)
         .filter((F.col("a") != F.col("doc_id")) & (common >= _SLACK * (MIN_WORDS - SHINGLE_WORDS + 1)))
-        .select("a", F.col("doc_id").alias("b"), F.col("key").bitwiseAND(F.lit(7)).alias("function"), beside.alias("beside"))
+        .select("a", F.col("doc_id").alias("b"), F.col("key").bitwiseAND(F.lit(7)).alias("function"))
     )
 
 
@@ -330,11 +323,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         if context:
             left = _uncovered(left, rows).withColumn("context", _reach("reach", 32 if context == "right" else 48))
             left, groups = left.filter("context <> 0"), ["key", "context"]
-        pairs = _candidates(left, groups).groupBy("a", "b").agg(
-            F.size(F.collect_set("function")).cast("long").alias("hits"), F.max("beside").alias("beside")
-        )
-        # One common shingle with other words on both sides is a phrase, not a passage.
-        pairs = pairs.filter((F.col("hits") >= MIN_HITS) | F.col("beside")).drop("beside")
+        pairs = _candidates(left, groups).groupBy("a", "b").agg(F.size(F.collect_set("function")).cast("long").alias("hits"))
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")

@@ -202,3 +202,27 @@ def test_passages_cover_every_exact_repeat():
         for k in range(len(b) - 49):
             if tuple(b[k : k + 50]) in grams:
                 assert any(f <= k and k + 50 <= s for _, _, f, s in found)
+
+
+def test_one_agreeing_function_is_enough(spark):
+    """Smaller documents take the place of the first document under all functions but one; no equal context."""
+    passage = [f"w{k}" for k in range(50)]
+    changed = [*passage[:24], "other", *passage[25:]]
+    hasher = common.WordHasher()
+    found = [common.shingles(hasher.words(" ".join(w)), 5) for w in (passage, changed)]
+    for seed in range(3000):
+        rng = np.random.default_rng(seed)
+        seeds = rng.integers(1, 2**63, 4, dtype=np.uint64)
+        at = [[int(common._mix(f ^ s).argmin()) for s in seeds] for f in found]
+        same = [k for k in range(4) if at[0][k] == at[1][k]]
+        if len(same) == 1 and 9 <= at[0][same[0]] <= 11:
+            break
+    else:
+        pytest.fail("no such functions")
+    old = substring_dup._SEEDS.copy()
+    substring_dup._SEEDS[:] = seeds
+    try:
+        frame = spark.createDataFrame([(1, " ".join(passage)), (2, " ".join(changed))], "doc_id long, text string")
+        assert {r.doc_id for r in substring_dup.repeated_passages(frame).collect()} == {1, 2}
+    finally:
+        substring_dup._SEEDS[:] = old
