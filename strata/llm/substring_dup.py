@@ -22,6 +22,12 @@ windows whose place lies in no passage found so far meet twice again, by key
 and the words some way to the right, then to the left: one of these lies in
 the passage too, and phrases fall apart.
 
+*Exact rest.* Runs of 50 words whose least shingle is a shared key under every
+function, and which lie in no passage found of their document, meet by the hash
+of the whole run, with all others of that run. So every exact repeat of 50 words
+is found, whatever the windows met. A changed passage is found when one of its
+windows meets its partner in the rounds before.
+
 Result: one row per passage occurrence: doc_id, first and stop (words, end
 exclusive), class_id (the document it was found in first), hits (functions that
 agree), kept (whether it is the first place). Documents without a repeated
@@ -309,6 +315,70 @@ def _uncovered(found: DataFrame, rows: DataFrame) -> DataFrame:
     return found.join(spans, inside, "left_anti")
 
 
+def _open_runs(texts: DataFrame, shared: DataFrame, rows: DataFrame, covered: bool) -> DataFrame:
+    """(doc_id, run) of the runs of 50 words that may be repeated: all least shingles are shared keys.
+
+    ``covered``: those that lie in a passage found, else those that do not.
+    """
+    keys = shared.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))  # of one text
+    spans = rows.groupBy("doc_id").agg(F.collect_set(F.struct("first", "stop")).alias("spans"))
+    joined = texts.join(keys, "doc_id").join(spans, "doc_id", "left").select("doc_id", "text", "keys", "spans")
+    need = MIN_WORDS - SHINGLE_WORDS + 1
+
+    import pyarrow as pa
+
+    def runs_of(text, keys, spans):
+        found = text_shingles(text or "")
+        if len(found) < need:
+            return np.zeros(0, np.int64)
+        wanted = np.ones(len(found) - need + 1, bool)
+        for k in range(FUNCTIONS):
+            least = np.lib.stride_tricks.sliding_window_view(_mix(found ^ _SEEDS[k]), need).min(axis=1)
+            wanted &= np.isin(((least & ~np.uint64(7)) | np.uint64(k)).view(np.int64), keys)
+        inside = np.zeros(len(wanted), bool)
+        for span in spans or ():
+            inside[span["first"] : max(span["first"], span["stop"] - MIN_WORDS + 1)] = True
+        return np.unique(_runs(found, need)[wanted & (inside if covered else ~inside)]).view(np.int64)
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                own = [
+                    runs_of(text, np.array(keys, np.int64), spans)
+                    for text, keys, spans in zip(*(part.column(i).to_pylist() for i in (1, 2, 3)), strict=True)
+                ]
+                index = np.repeat(np.arange(len(own)), [len(x) for x in own])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(index, pa.int64())), pa.array(np.concatenate(own), pa.int64())], names=["doc_id", "run"]
+                )
+
+    return joined.mapInArrow(run, "doc_id long, run long")
+
+
+def _exact_pairs(texts: DataFrame, shared: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b, hits) of documents with an equal run of 50 words that lies in no passage of one of them yet.
+
+    All documents of a run have all of it, so comparing them with the first one is enough.
+    """
+    alone = materialise(_open_runs(texts, shared, rows, False), "runs")
+    several = wanted_rows(_open_runs(texts, shared, rows, True), materialise(alone.select("run").distinct(), "open"), "run")
+    runs = materialise(alone.withColumn("alone", F.lit(True)).union(several.select("doc_id", "run", F.lit(False))), "runs")
+    first = (
+        runs.groupBy("run")
+        .agg(F.min(F.struct("doc_id", "alone")).alias("w"), F.max("doc_id").alias("top"))
+        .filter("w.doc_id < top")
+        .select("run", F.col("w.doc_id").alias("a"), F.col("w.alone").alias("first_alone"))
+    )
+    return (
+        runs.join(first, "run")
+        .filter("a <> doc_id AND (alone OR first_alone)")
+        .select("a", F.col("doc_id").alias("b"))
+        .distinct()
+        .withColumn("hits", F.lit(FUNCTIONS).cast("long"))
+    )
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, first, stop, class_id, hits, kept) of the repeated passages of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
@@ -318,12 +388,15 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         wanted_rows(docs, materialise(involved, "involved")).groupBy("doc_id").agg(F.min("text").alias("text")), "texts"
     )
     rows, left, tested = None, shared, None
-    for context in (None, "right", "left"):
+    for context in (None, "right", "left", "exact"):
         groups = ["key"]
-        if context:
+        if context in ("right", "left"):
             left = _uncovered(left, rows).withColumn("context", _reach("reach", 32 if context == "right" else 48))
             left, groups = left.filter("context <> 0"), ["key", "context"]
-        pairs = _candidates(left, groups).groupBy("a", "b").agg(F.size(F.collect_set("function")).cast("long").alias("hits"))
+        if context == "exact":
+            pairs = _exact_pairs(texts, shared, rows)
+        else:
+            pairs = _candidates(left, groups).groupBy("a", "b").agg(F.size(F.collect_set("function")).cast("long").alias("hits"))
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")

@@ -226,3 +226,25 @@ def test_one_agreeing_function_is_enough(spark):
         assert {r.doc_id for r in substring_dup.repeated_passages(frame).collect()} == {1, 2}
     finally:
         substring_dup._SEEDS[:] = old
+
+
+def test_exact_passages_are_found_whatever_the_hubs(spark):
+    """Smaller documents hold the first and the last 40 words of passages of 50 words."""
+    rng = np.random.default_rng(31)
+
+    def text(n):
+        return [f"w{rng.integers(10**6)}" for _ in range(n)]
+
+    rows, wanted = [], set()
+    for case in range(20):
+        passage = text(50)
+        for k, w in enumerate((passage[:40], passage[10:])):
+            rows.append((10 * case + k, " ".join(text(25) + w + text(25))))
+        for k in (5, 6):
+            rows.append((10 * case + k, " ".join(text(20) + passage + text(20))))
+            wanted.add(10 * case + k)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = collections.defaultdict(set)
+    for r in substring_dup.repeated_passages(frame).collect():
+        found[r.doc_id].update(range(r.first, r.stop))
+    assert {i for i, places in found.items() if places >= set(range(20, 70))} == wanted
