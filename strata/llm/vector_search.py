@@ -10,14 +10,14 @@ result is certain: first the best-bounded ones of each query, which give an
 exact k-th score; then only those whose bound still reaches it.
 
 Scores are integers, so bounds and results are exact. Equal vectors are one
-class that carries its smallest k+1 ids (no query needs more of them), however
-many there are.
+class that carries its k+1 smallest different ids, each up to k times (no query
+needs more of them), however many there are.
 
 Cases: vectors that are null, empty or hold null or non-finite components take
 no part, neither do rows without id; queries only meet vectors of their
 length; ties go to the smaller id; fewer than k candidates give fewer rows;
-rows with equal ids count as often as they come, and a query never meets its
-own id; other columns do not matter.
+rows with equal ids count as often as they come, queries too (their candidates
+are ranked together), and a query never meets its own id; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -55,13 +55,14 @@ def integer_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def classes(rows: DataFrame, k: int) -> DataFrame:
-    """(c, v, ids): distinct vectors with their k + 1 smallest ids; c is the first."""
+    """(c, v, ids): distinct vectors with their k + 1 smallest distinct ids, each as often as it comes (up to k); c is the first."""
     smallest = Window.partitionBy("v").orderBy("vec_id")
+    counted = rows.groupBy("v", "vec_id").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("times"))
     return (
-        rows.withColumn("r", F.row_number().over(smallest))
+        counted.withColumn("r", F.row_number().over(smallest))
         .filter(F.col("r") <= k + 1)
         .groupBy("v")
-        .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))  # at most k + 1
+        .agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat("vec_id", F.col("times"))))).alias("ids"))  # at most k (k + 1)
         .select(F.element_at("ids", 1).alias("c"), "v", "ids")
     )
 
@@ -109,7 +110,7 @@ def _bounds(pairs: DataFrame, low: int, width: int, k: int) -> DataFrame:
                 base = queries @ floor
                 upper = base + (width - 1) * up.sum(axis=1)[:, None]
                 lower = base + (width - 1) * down.sum(axis=1)[:, None]
-                own = singles[None, :] == q_ids[:, None]  # classes of nothing but the query itself
+                own = singles[None, :] == np.frombuffer(row["q_own"], np.int64)[:, None]  # classes of nothing but the query itself
                 upper[own] = lower[own] = -np.inf
                 if len(ids) > k:
                     limit = np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k]
@@ -130,9 +131,10 @@ def _exact(wanted: DataFrame, queries: DataFrame, known: DataFrame) -> DataFrame
     return (
         wanted.join(known, "c")
         .join(queries, "query_id")
-        .select("query_id", "ids", score.alias("score"))
-        .select("query_id", F.explode("ids").alias("vec_id"), "score")
-        .filter("vec_id <> query_id")
+        .select("query_id", "own", "ids", score.alias("score"))
+        .select("query_id", "own", F.explode("ids").alias("vec_id"), "score")
+        .filter("vec_id <> own")
+        .drop("own")
     )
 
 
@@ -143,23 +145,24 @@ def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = TOP) ->
     """
     spark = vectors.sparkSession
     known = materialise(classes(integer_vectors(vectors), k), "vectors")
-    asked = materialise(
-        integer_vectors(queries).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).dropDuplicates(["query_id"]), "queries"
-    )
+    # Rows of one query id are asked one by one, by a number, and ranked together at the end.
+    asked = integer_vectors(queries).groupBy(F.col("vec_id").alias("own"), F.col("v").alias("q"))
+    asked = asked.agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("times"))
+    asked = materialise(asked.withColumn("query_id", F.monotonically_increasing_id()), "queries")
     ends = known.agg(F.min(F.array_min("v")).alias("lo"), F.max(F.array_max("v")).alias("hi")).first()
     result = "query_id long, rank int, vec_id long, score long"
     if ends["lo"] is None:
         return spark.createDataFrame([], result)
     low, width = ends["lo"], (ends["hi"] - ends["lo"]) // CELLS + 1
     cells = F.transform("v", lambda x: F.floor((x - low) / width).cast("long"))
-    single = F.when(F.size("ids") == 1, F.col("c"))
+    single = F.when(F.element_at("ids", 1) == F.element_at("ids", -1), F.col("c"))
     scanned = _blocks(known.select(F.col("c").alias("id"), F.coalesce(single, F.lit(-(2**63))).alias("single"), cells.alias("v")), BLOCK)
     scanned = scanned.withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(SALTS)).cast("int"))
-    blocks = _blocks(asked.select(F.col("query_id").alias("id"), F.lit(0).alias("single"), F.col("q").alias("v")), QUERY_BLOCK).select(
-        F.col("n").alias("q_n"), "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
+    blocks = _blocks(asked.select(F.col("query_id").alias("id"), F.col("own").alias("single"), F.col("q").alias("v")), QUERY_BLOCK).select(
+        F.col("n").alias("q_n"), "dim", F.col("ids").alias("q_ids"), F.col("singles").alias("q_own"), F.col("data").alias("q_data"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
     )
-    met = scanned.join(blocks, ["dim", "salt"]).select("ids", "singles", "data", "q_n", "q_ids", "q_data")
+    met = scanned.join(blocks, ["dim", "salt"]).select("ids", "singles", "data", "q_n", "q_ids", "q_own", "q_data")
     bounds = materialise(_bounds(met, low, width, k), "bounds")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("lower"))
@@ -179,7 +182,10 @@ def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = TOP) ->
     rest = turns.filter(F.col("turn") > FIRST_READ).join(kth, "query_id", "left")
     rest = rest.filter((F.coalesce("n", F.lit(0)) < k) | (F.col("upper") >= F.col("kth")))
     scored = first.union(_exact(rest.select("query_id", "c"), asked, known))
-    return scored.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    each = scored.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
+    repeated = F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("_")
+    each = each.join(asked, "query_id").select(F.col("own").alias("query_id"), "vec_id", "score", repeated)
+    return each.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op6_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:

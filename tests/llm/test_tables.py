@@ -35,6 +35,23 @@ def test_vector_search_on_odd_vectors(spark, tmp_dir):
     assert vector_search.top_inner_products(vectors.filter("false"), vectors).count() == 0
 
 
+def test_vector_search_on_repeated_rows(spark, tmp_dir):
+    """Query ids that come twice: with equal vectors beside them, alone as their own best, and common ones."""
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([-0.5, 0.0, 0.25, 0.5]) for _ in range(4)]) for i in range(300, 350)]
+    rows += [(50, [1.0] * 4)] * 2 + [(50 + i, [1.0] * 4) for i in range(1, 7)]
+    rows += [(100, [8.0, 0.0, 0.0, 0.0]), (200, [0.25] * 4), (200, [0.0, 0.0, 2.0, 0.0])] + [(100, [8.0, 0.0, 0.0, 0.0])] + [(150, [0.0, 4.0, 0.0, 0.0])] * 9 + [(151, [0.0, 4.0, 0.0, 0.0])] * 9
+    path = f"{tmp_dir}/vectors"
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4).write.parquet(path)
+    vectors = spark.read.parquet(path)
+    _same(vector_search.top_inner_products(vectors, vectors.filter("vec_id % 50 = 0")), vector_search.ORACLE_SQL, embeddings=path)
+    once = vector_search.top_inner_products(vectors, vectors.filter("vec_id = 50").dropDuplicates(["vec_id"])).collect()
+    assert [r.vec_id for r in sorted(once, key=lambda r: r.rank)] == [100, 100, 51, 52, 53]
+    line = vectors.filter("vec_id BETWEEN 50 AND 56")
+    once = vector_search.top_inner_products(line, line.filter("vec_id = 50").dropDuplicates(["vec_id"])).collect()
+    assert [r.vec_id for r in sorted(once, key=lambda r: r.rank)] == [51, 52, 53, 54, 55]
+
+
 def test_url_filters_on_odd_urls(spark, tmp_dir):
     rng = random.Random(2)
     hosts = ["a.example.net", "EXAMPLE.com", "x.org", "net", "b.net", "spam.biz", "www.spam.biz", "notexample.net"]
