@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from strata.llm.alignment import op11_alignment
+from strata.llm.fingerprints import op13_fingerprints
 from strata.llm.lm_score import op2_lm_score
 from strata.llm.near_dup import op3_minhash_near_dup
+from strata.llm.negatives import ORACLE_SQL as NEGATIVES_SQL
+from strata.llm.negatives import op12_hard_negatives
 from strata.llm.packing import op4_packing
 from strata.llm.pii import op7_pii
 from strata.llm.quality import op8_quality_rules
@@ -26,7 +30,14 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_substring_dup": op9_substring_dup,
     "op10_url_filters": op10_url_filters,
+    "op11_alignment": op11_alignment,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 #: DuckDB SQL where it can express a query.
-ORACLE_SQL: dict[str, str] = {"op6_vector_search": VECTORS_SQL, "op10_url_filters": URLS_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op6_vector_search": VECTORS_SQL,
+    "op10_url_filters": URLS_SQL,
+    "op12_hard_negatives": NEGATIVES_SQL,
+}
