@@ -602,6 +602,67 @@ def q_csv_scan(spark, sf_dir):
     return load(spark, root, "csv")
 
 
+def _part_notes(spark, sf_dir):
+    """part with a text that holds every delimiter, quotes, braces and a backslash."""
+    note = F.concat("p_name", F.lit("; "), "p_type", F.lit(', "'), "p_brand", F.lit('" | {\t'), F.col("p_size").cast("string"), F.lit("] \\ }{"))
+    return _t(spark, sf_dir, "part").select("p_partkey", note.alias("note"), "p_retailprice")
+
+
+PART_NOTES_SQL = (
+    "SELECT p_partkey, p_name || '; ' || p_type || ', \"' || p_brand || '\" | {' || chr(9) || p_size || '] \\ }{' AS note, "
+    "p_retailprice FROM part"
+)
+
+
+def q_csv_dialects_scan(spark, sf_dir):
+    """One folder of comma, semicolon, tab and bar files whose texts hold all four delimiters and quotes."""
+    root = _scratch(spark, "csvdialects")
+    rows = _part_notes(spark, sf_dir)
+    for i, sep in enumerate((",", ";", "\t", "|")):
+        own = rows.filter(F.col("p_partkey") % 4 == i)
+        own.write.options(header="true", sep=sep, escape='"', quoteAll="true").csv(f"{root}/dialect-{i}")
+    return load(spark, f"{root}/*", "csv")
+
+
+def q_csv_headers_scan(spark, sf_dir):
+    """One folder of files with reordered, missing and further columns, united by name."""
+    root = _scratch(spark, "csvheaders")
+    orders = _t(spark, sf_dir, "orders")
+    layouts = (
+        (",", ["o_orderkey", "o_custkey", "o_totalprice"]),
+        (",", ["o_totalprice", "o_orderstatus", "o_orderkey"]),
+        (";", ["o_orderpriority", "o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice"]),
+    )
+    for i, (sep, columns) in enumerate(layouts):
+        own = orders.filter(F.col("o_orderkey") % 3 == i).select(*columns)
+        own.write.options(header="true", sep=sep).csv(f"{root}/layout-{i}")
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    return load(spark, f"{root}/*", "csv").select(*columns)
+
+
+def q_json_braces_scan(spark, sf_dir):
+    """S3: JSON lines whose strings hold braces, brackets, quotes and backslashes."""
+    root = _scratch(spark, "jsonbraces")
+    _part_notes(spark, sf_dir).write.json(root)
+    return load(spark, root, "json")
+
+
+def q_json_documents_scan(spark, sf_dir):
+    """S3: pretty-printed documents (arrays, and objects one after the other), cut into records by blocks."""
+    root = _scratch(spark, "jsondocuments")
+    rows = _part_notes(spark, sf_dir)
+    pretty = {"pretty": "true"}
+    row = F.struct(*rows.columns)
+    docs = rows.groupBy(_bucket("p_partkey").alias("bucket")).agg(
+        F.to_json(F.collect_list(F.when(F.col("p_partkey") % 2 == 0, row)), pretty).alias("array"),
+        F.array_join(F.collect_list(F.when(F.col("p_partkey") % 2 == 1, F.to_json(row, pretty))), "\n").alias("objects"),
+    )
+    for kind in ("array", "objects"):
+        path = F.concat(F.lit(f"{root}/{kind}-"), F.col("bucket").cast("string"), F.lit(".json"))
+        write_files(docs.select(path.alias("path"), F.encode(kind, "UTF-8").alias("content"))).collect()
+    return load(spark, root, "json").select(*rows.columns)
+
+
 def q_json_lines_scan(spark, sf_dir):
     root = _scratch(spark, "jsonl")
     _t(spark, sf_dir, "part").write.json(root)
@@ -814,6 +875,10 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_lookup": q_run_lookup,
         "run_results_replaced": q_run_results_replaced,
         "csv_scan": q_csv_scan,
+        "csv_dialects_scan": q_csv_dialects_scan,
+        "csv_headers_scan": q_csv_headers_scan,
+        "json_braces_scan": q_json_braces_scan,
+        "json_documents_scan": q_json_documents_scan,
         "json_lines_scan": q_json_lines_scan,
         "json_array_scan": q_json_array_scan,
         "json_mixed_scan": q_json_mixed_scan,
@@ -1322,6 +1387,12 @@ def _library_oracle_sql() -> dict[str, str]:
         "run_results_replaced": _replaced_sql(),
         "result_json": _result_json_sql(),
         "csv_scan": "SELECT * FROM customer",
+        "csv_dialects_scan": PART_NOTES_SQL,
+        "csv_headers_scan": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 1 THEN o_custkey END AS o_custkey, "
+        "CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS o_orderstatus, o_totalprice, "
+        "CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS o_orderpriority FROM orders",
+        "json_braces_scan": PART_NOTES_SQL,
+        "json_documents_scan": PART_NOTES_SQL,
         "json_lines_scan": "SELECT * FROM part",
         "json_array_scan": "SELECT * FROM supplier",
         "json_mixed_scan": "SELECT * FROM supplier",

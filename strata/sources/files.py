@@ -1,4 +1,4 @@
-"""Write named files from executors (one file per row of ``(path, content)``).
+"""Names of files, and named files written from executors (one per row of ``(path, content)``).
 
 Used to land whole files (a workbook, a JSON document) whose name and layout a
 Spark writer cannot choose. Each task writes its own rows through the Arrow
@@ -7,12 +7,19 @@ file-system layer, so nothing passes through the driver.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 
+def as_path(uri: str) -> str:
+    """A path for Spark's readers that names just the file of ``_metadata.file_path`` (a URI)."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
+
+
 def _split(uri: str):
     from pyarrow import fs
 

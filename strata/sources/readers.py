@@ -7,7 +7,9 @@ as a single file, a directory or a glob; Spark splits the scan across tasks.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from strata.sources import csv_dialect, json_layout
 
 PARQUET, CSV, JSON, EXCEL = "parquet", "csv", "json", "excel"
 
@@ -33,32 +35,6 @@ def normalize_format(fmt: str) -> str:
     return FORMAT_ALIASES[key]
 
 
-def json_documents(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """D1 per file: (files of JSON lines, files that hold one array or object).
-
-    The first non-blank line of each file decides: a complete object on its own
-    means JSON lines, which stay splittable; an array or an open object needs
-    ``multiLine``. Lines are judged where they are read; only the file names
-    and one flag a file come back, never a line. Pass ``multiLine`` to the
-    reader to skip this pass.
-    """
-    line = F.trim("value")
-    whole = line.startswith("{") & line.endswith("}") & (
-        F.regexp_count(line, F.lit(r"\{")) == F.regexp_count(line, F.lit(r"\}"))
-    )
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-        line.alias("line"),
-        whole.alias("whole"),
-    )
-    first = lines.filter("line <> ''").groupBy("file").agg(F.min_by("whole", "at").alias("whole"))
-    files: dict[bool, list[str]] = {True: [], False: []}
-    for r in first.collect():  # one flag per file, as many as Spark lists itself
-        files[r["whole"]].append(r["file"])
-    return sorted(files[True]), sorted(files[False])
-
-
 def _reader(spark: SparkSession, schema: str | None):
     return spark.read.schema(schema) if schema else spark.read
 
@@ -66,10 +42,23 @@ def _reader(spark: SparkSession, schema: str | None):
 def read_csv(
     spark: SparkSession, path: str, options: dict[str, str] | None = None, schema: str | None = None
 ) -> DataFrame:
-    """S2. Type inference reads the whole input once more; for very large input
-    pass ``schema`` (a DDL string). Sampled inference (``samplingRatio``) is
-    possible but may mis-type a value it did not see, which then reads as NULL."""
-    opts = {**CSV_DEFAULTS, **(options or {})}
+    """S2. Delimiter, quote, escape and header are found per file from one scan of
+    the lines; files whose headers name other columns, or the same ones in another
+    order, are united by name, each column with the least type that holds all of
+    it. Given options (``sep``, ``quote``, ``escape``, ``header``) are taken as they are.
+
+    Type inference reads the input once more; for very large input pass ``schema``
+    (a DDL string; columns go by name where a header has those names, else by
+    position). ``detect=false`` skips the scan of the lines: comma, header, one
+    layout for all files.
+    """
+    opts = {"multiLine": CSV_DEFAULTS["multiLine"], **(options or {})}
+    detect = str(opts.pop("detect", "true")).lower() != "false"
+    typed = StructType.fromDDL(schema) if schema else None
+    found = csv_dialect.read_detected(spark, path, opts, typed) if detect else None
+    if found is not None:
+        return found
+    opts = {**CSV_DEFAULTS, **opts}
     if schema:
         opts.pop("inferSchema", None)
     return _reader(spark, schema).options(**opts).csv(path)
@@ -79,20 +68,12 @@ def read_json(
     spark: SparkSession, path: str, options: dict[str, str] | None = None, schema: str | None = None
 ) -> DataFrame:
     """S3 with layout detection (D1) per file: a folder may hold files of JSON
-    lines and files of one document; their records are united by name."""
+    lines and files of one document; see :mod:`strata.sources.json_layout`. Pass
+    ``multiLine`` to the reader to skip the detection."""
     opts = dict(options or {})
     if "multiLine" in opts:
         return _reader(spark, schema).options(**opts).json(path)
-    lines, documents = json_documents(spark, path)
-    if not documents:
-        return _reader(spark, schema).options(**opts).json(path)
-    if not lines:
-        return _reader(spark, schema).options(**opts, multiLine="true").json(path)
-    parts = [
-        _reader(spark, schema).options(**opts, multiLine=m).json(files)
-        for m, files in (("false", lines), ("true", documents))
-    ]
-    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return json_layout.read_detected(spark, path, opts, schema)
 
 
 def load(

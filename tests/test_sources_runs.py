@@ -18,7 +18,8 @@ from strata.plans.runs import RunHistory, run_job, run_record
 from strata.plans.warehouse import Warehouse
 from strata.sources.excel import read_excel, workbook_bytes
 from strata.sources.manifest import list_files, manifest
-from strata.sources.readers import json_documents, load
+from strata.sources.json_layout import document_files
+from strata.sources.readers import load
 from strata.streaming.intake import run_intake
 
 
@@ -32,8 +33,7 @@ def test_json_layouts(spark, tmp_dir):
     lines = _write(os.path.join(tmp_dir, "l.json"), '{"a": 1}\n{"a": 2}\n{"a": 3}\n')
     array = _write(os.path.join(tmp_dir, "arr.json"), '[\n {"a": 1},\n {"a": 2}\n]\n')
     doc = _write(os.path.join(tmp_dir, "doc.json"), '{\n "a": 7\n}\n')
-    by_file = json_documents(spark, f"{tmp_dir}/*.json")
-    assert [[p.split("/")[-1] for p in kind] for kind in by_file] == [["l.json"], ["arr.json", "doc.json"]]
+    assert [p.split("/")[-1] for p in document_files(spark, f"{tmp_dir}/*.json")] == ["arr.json", "doc.json"]
     assert sorted(r["a"] for r in load(spark, f"{tmp_dir}/*.json", "json").collect()) == [1, 1, 2, 2, 3, 7]
     assert load(spark, lines, "json").count() == 3  # all records, not only the first (D1)
     assert sorted(r["a"] for r in load(spark, array, "json").collect()) == [1, 2]
