@@ -12,9 +12,9 @@ hashes at least (all, if there are fewer). It states the bound below which it
 is complete, and two fingerprints are compared below the smaller bound.
 
 ``edited_texts`` replaces the end of every text by the beginning of the next
-one in the order of ids. Texts are shuffled once, by ranges of the order; a
-task holds two texts at a time, and what lies on both sides of a range's end
-meets in a second step of one row per range.
+one in the order of ids. Texts are shuffled once, by ranges of the order; every
+range also gets the first row of the one after it, and a task holds two texts
+at a time.
 
 Cases: a null or empty text has no hashes (an empty fingerprint, complete; its
 likeness to another empty one is 1, to others 0) and lends no characters;
@@ -29,11 +29,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from strata.llm.common import map_texts, materialise, table
 
@@ -173,8 +175,6 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-#: Parts of a range that a task tells from one another.
-WHOLE, HEAD, TAIL = 0, 1, 2
 _FIELDS = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -186,67 +186,94 @@ def _result(text: str, following: str, own: tuple, after: tuple) -> tuple:
     return len(text), digest, encoded(*own), encoded(*other), likeness(own, other), likeness(own, after)
 
 
+class Ranges:
+    """Deals (id, hash) to numbered ranges of the order, null ids first.
+
+    Ids are cut at quantiles. An id that is several of them is dealt to all
+    its ranges by hash, null ids likewise to theirs, so a common id does not
+    fill one range; every range is one stretch of the order (id, hash).
+    """
+
+    def __init__(self, cuts: list[int], null_ranges: int):
+        self.cuts, self.null_ranges = np.array(cuts, np.int64), null_ranges
+        self.n = null_ranges + len(cuts) + 1
+
+    @classmethod
+    def of(cls, rows: DataFrame, n: int) -> Ranges:
+        """About ``n`` ranges of equally many rows: quantiles of the ids from one pass over them."""
+        shares = [i / n for i in range(1, n)] or [0.5]
+        found = rows.agg(
+            F.count(F.lit(1)).alias("rows"), F.count("__id").alias("known"), F.percentile_approx("__id", shares, max(10_000, 10 * n)).alias("cuts")
+        ).first()
+        nulls = found["rows"] - found["known"]
+        return cls(found["cuts"] or [], -(-n * nulls // found["rows"]) if nulls else 0)
+
+    def of_rows(self, ids: pd.Series, known: pd.Series, hashes: pd.Series) -> np.ndarray:
+        """Range numbers; ``ids`` has any number where ``known`` is false (a null would turn longs into floats)."""
+        known = known.to_numpy(bool)
+        share = (hashes.to_numpy(np.int64).astype(np.float64) + 2.0**63) / 2.0**64
+        out = np.zeros(len(ids), np.int64)
+        values = ids[known].to_numpy(np.int64)
+        low, high = (np.searchsorted(self.cuts, values, side=side) for side in ("left", "right"))
+        out[known] = self.null_ranges + low + np.minimum(share[known] * (high - low + 1), high - low).astype(np.int64)
+        out[~known] = np.minimum(share[~known] * self.null_ranges, max(self.null_ranges - 1, 0)).astype(np.int64)
+        return out
+
+
 def edited_fingerprints(docs: DataFrame, order: str = "doc_id", text: str = "text") -> DataFrame:
     """(order, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row."""
     import pyarrow as pa
-    from pyspark import TaskContext
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
+    spark = docs.sparkSession
     rows = docs.select(F.col(order).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    ranges = Ranges.of(rows, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+    @F.pandas_udf("int")
+    def at(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for ids, known, hashes in batches:
+            yield pd.Series(ranges.of_rows(ids, known, hashes))
+
     rows = rows.withColumn("__hash", F.xxhash64("__text"))
-    dealt = rows.repartitionByRange("__id", "__hash").sortWithinPartitions("__id", "__hash", "__text").select("__id", "__text")
+    rows = rows.withColumn("__at", at(F.coalesce(F.col("__id").cast("long"), F.lit(0)), F.col("__id").isNotNull(), "__hash"))
+    # The first row of every range follows the last one of the range before it: one row a range.
+    first = rows.groupBy("__at").agg(F.min(F.struct("__id", "__hash")).alias("f")).select("__at", "f.*")
+    first = materialise(first, "firsts")
+    same = F.broadcast(first.select(F.col("__at").alias("a"), F.col("__id").alias("i"), F.col("__hash").alias("h")))
+    meets = (F.col("__at") == F.col("a")) & F.col("__id").eqNullSafe(F.col("i")) & (F.col("__hash") == F.col("h"))
+    heads = rows.join(same, meets).groupBy("__at", "__id", "__hash").agg(F.min("__text").alias("__text"))
+    filled = sorted(r[0] for r in first.select("__at").collect())  # numbers of ranges
     result = StructType.fromDDL(_FIELDS)
-    schema = StructType([dealt.schema["__id"], *StructType.fromDDL("part int, at int, text string").fields, *result.fields])
+    schema = StructType([StructField(order, rows.schema["__id"].dataType), *result.fields])
+    if not filled:
+        return spark.createDataFrame([], schema)
+    before = spark.createDataFrame(list(zip(filled, filled[-1:] + filled[:-1])), "__at int, before int")
+    heads = heads.join(F.broadcast(before), "__at").select("__id", "__text", "__hash", F.col("before").alias("__at"), F.lit(1).alias("__after"))
+    heads = materialise(heads, "heads")
+    both = rows.withColumn("__after", F.lit(0)).unionByName(heads)
+    dealt = both.repartitionById(ranges.n, "__at").sortWithinPartitions("__at", "__after", "__id", "__hash", "__text")
     arrow = to_arrow_schema(schema)
 
     def batch(found: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*found))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, arrow.types, strict=True)], names=schema.names)
 
-    nothing = (None,) * 6
-
     def run(batches):
-        at = TaskContext.get().partitionId()
         held = None  # the row before: (id, text, sketch)
         for each in batches:
             found = []
-            for own, words in zip(each.column(0).to_pylist(), each.column(1).to_pylist()):
+            for own, words, after in zip(*(each.column(k).to_pylist() for k in range(3))):
                 one = sketch(shingle_hashes(words))
-                if held is None:
-                    found.append((own, HEAD, at, words, *nothing))
-                else:
-                    found.append((held[0], WHOLE, at, None, *_result(held[1], words, held[2], one)))
-                held = own, words, one
+                if held is not None:
+                    found.append((held[0], *_result(held[1], words, held[2], one)))
+                held = None if after else (own, words, one)
                 if len(found) == 256:
                     yield batch(found)
                     found = []
             if found:
                 yield batch(found)
-        if held is not None:
-            yield batch([(held[0], TAIL, at, held[1], *nothing)])
-
-    done = materialise(dealt.mapInArrow(run, schema), "fingerprints")
-    results = done.filter(F.col("part") == WHOLE).select(F.col("__id").alias(order), *result.names)
-    # Range numbers with rows, one a task: the end of each meets the beginning of the one after it.
-    ranges = sorted(r["at"] for r in done.filter(F.col("part") == HEAD).select("at").collect())
-    if not ranges:
-        return results
-    following = docs.sparkSession.createDataFrame(list(zip(ranges, ranges[1:] + ranges[:1])), "at int, next int")
-    heads = done.filter(F.col("part") == HEAD).select(F.col("at").alias("next"), F.col("text").alias("following"))
-    tails = done.filter(F.col("part") == TAIL).select("__id", "at", "text")
-    ends = tails.join(following, "at").join(heads, "next").select("__id", "text", "following")
-
-    names, types = results.columns, [arrow.types[0], *arrow.types[4:]]
-
-    def close(batches):
-        for each in batches:
-            rows = list(zip(*(c.to_pylist() for c in each.columns)))
-            if rows:
-                out = [(i, *_result(t, f, sketch(shingle_hashes(t)), sketch(shingle_hashes(f)))) for i, t, f in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types, strict=True)], names=names)
 
-    return results.union(ends.mapInArrow(close, results.schema))
+    return dealt.select("__id", "__text", "__after").mapInArrow(run, schema)
 
 
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

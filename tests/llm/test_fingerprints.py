@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from strata.llm import fingerprints as fp
@@ -57,11 +58,24 @@ def test_few_rows(spark, n):
 
 def test_a_common_id_is_dealt_to_many_ranges(spark):
     rows = [(7, f"text {i % 500} " * 9) for i in range(3000)] + [(i, f"other {i}") for i in range(1000)]
+    rows += [(None, f"none {i}") for i in range(1500)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = fp.edited_fingerprints(docs).collect()
     assert sorted(map(tuple, got), key=str) == _plain(_in_order(spark, docs))
 
 
+def test_ranges_follow_the_order():
+    rng = random.Random(2)
+    rows = [(rng.choice([None, 3, 3, 3, rng.randint(0, 20)]), rng.randint(-(2**63), 2**63 - 1)) for _ in range(4000)]
+    rows += [(i, h) for i in (None, 3) for h in (-(2**63), 2**63 - 1)]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    ranges = fp.Ranges([1, 3, 3, 3, 3, 8], 3)
+    ids, hashes = (pd.Series([r[k] or 0 for r in rows]) for k in (0, 1))
+    at = ranges.of_rows(ids, pd.Series([r[0] is not None for r in rows]), hashes)
+    assert (np.diff(at) >= 0).all() and at[0] == 0 and at[-1] == ranges.n - 1
+    assert np.bincount(at).max() < len(rows) / 4
+
+
 def _words(rng, n):
     return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
 
