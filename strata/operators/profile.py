@@ -1,23 +1,18 @@
 """Schema profiling (P1-P5): every column becomes numeric, categorical, datetime
 or boolean.
 
-Spark jobs issued, independent of the number of columns (up to ``chunk`` wide):
-
-1. one aggregate over all rows of *all* string columns (P2; three sums a column);
-2. one aggregate over all numeric columns: ``count(*)`` (A1), an HLL distinct
-   estimate and a NULL flag per column;
-3. one exact ``count_distinct`` aggregate, only over numeric columns whose
-   estimate is below ``2 * categorical_max_distinct`` (P3). Those columns have
-   few values, so partial aggregation collapses the rows map-side.
-
-High-cardinality numerics never reach the exact pass, which is what keeps the
-exact distinct from shuffling billions of values at scale.
-
-The numeric summary (A2) is *not* fused into pass 2: the HLL sketch is an
-imperative aggregate, and one such function in a ``HashAggregate`` turns off
-whole-stage codegen for every other expression in it (measured: the fused pass
-cost more than the two passes apart). The summary is its own codegen'd
-aggregate (``operators.summary``).
+Spark jobs issued, independent of the number of columns:
+
+1. one aggregate over all rows of all string columns (P2): how many values
+   parse as a date, by the format they have;
+2. one pass over all numeric columns (A1, P3): rows, NULLs, and the distinct
+   values of every column as a set that saturates above
+   ``categorical_max_distinct``. Tasks keep one such set a column and stop
+   looking at a column once it is saturated; the sets of all tasks are united
+   by an aggregate with a map-side part. Counts up to the limit are exact.
+
+The numeric summary (A2) is a codegen'd aggregate of its own
+(``operators.summary``).
 """
 
 from __future__ import annotations
@@ -45,9 +40,19 @@ ROLE_ORDER = (NUMERIC, CATEGORICAL, DATETIME, BOOLEAN)
 DEFAULT_SAMPLE_ROWS: int | None = None
 DEFAULT_CATEGORICAL_MAX_DISTINCT = 200
 
-# Relative error of the distinct estimate that only pre-filters (2x margin
-# = ~20 standard errors); a finer sketch costs several times more CPU.
-HLL_RSD = 0.05
+#: A text column holds dates if at least this share of its values are full dates
+#: and one format makes up at least AGREEMENT of them, or if nearly all values
+#: (BARE_SHARE) parse, bare years and months included.
+DATE_SHARE, AGREEMENT, BARE_SHARE = 0.05, 0.5, 0.95
+#: Formats by which parsed texts are told apart: full dates, then bare ones.
+DATE_FORMATS = {
+    "day": r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$",
+    "moment": r"^\s*\d{4}-\d{1,2}-\d{1,2}[ T]\d",
+    "month": r"^\s*\d{4}-\d{1,2}\s*$",
+    "year": r"^\s*\d{4}\s*$",
+}
+FULL_FORMATS = ("day", "moment", "other")
+
 # Aggregate expressions per job: wide tables are processed in chunks of columns
 # so that generated code stays under the JVM method-size limits.
 DEFAULT_CHUNK = 100
@@ -145,61 +150,118 @@ def _chunks(items: list, size: int) -> list[list]:
     return [items[i : i + size] for i in range(0, len(items), size)] or [[]]
 
 
+def holds_dates(hits: dict[str, int], present: int, min_fraction: float | None = None) -> bool:
+    """Whether a text column with these hits by format, among its non-blank values, holds dates."""
+    parsed = sum(hits.values())
+    if not parsed:
+        return False
+    if min_fraction is not None:
+        return parsed >= min_fraction * present
+    full = {f: hits.get(f, 0) for f in FULL_FORMATS}
+    n = sum(full.values())
+    if n and n >= DATE_SHARE * present and max(full.values()) >= AGREEMENT * n:
+        return True
+    return parsed >= BARE_SHARE * present and max(hits.values()) >= AGREEMENT * parsed
+
+
+def date_evidence(
+    df: DataFrame, string_columns: list[str], sample_rows: int | None = DEFAULT_SAMPLE_ROWS, chunk: int = DEFAULT_CHUNK
+) -> dict[str, tuple[dict[str, int], int, int, float]]:
+    """(hits by format, non-blank values, values, average length) of every text column.
+
+    All rows count by default, so late dates do too: sums that are one
+    aggregate with a map-side part (chunked for wide tables).
+    """
+    looked = df if sample_rows is None else df.limit(sample_rows)
+    formats = [*DATE_FORMATS, "other"]
+    found = {}
+    for part in _chunks(string_columns, chunk):
+        if not part:
+            continue
+        kinds, aggs = [], []
+        for i, c in enumerate(part):
+            kind = F.when(parse_timestamp(col(c)).isNull(), F.lit(-1))
+            for k, pattern in enumerate(DATE_FORMATS.values()):
+                kind = kind.when(col(c).rlike(pattern), F.lit(k))
+            kinds += [kind.otherwise(F.lit(len(DATE_FORMATS))).alias(f"k{i}"), F.length(col(c)).cast("long").alias(f"l{i}")]
+            kinds.append((F.trim(col(c)) != "").alias(f"b{i}"))
+            aggs += [F.count_if(F.col(f"k{i}") == k).alias(f"h{i}_{k}") for k in range(len(formats))]
+            aggs += [F.count_if(f"b{i}").alias(f"n{i}"), F.count(f"l{i}").alias(f"p{i}"), F.sum(f"l{i}").alias(f"s{i}")]
+        row = looked.select(*kinds).agg(*aggs).first()
+        for i, c in enumerate(part):
+            hits = {f: row[f"h{i}_{k}"] for k, f in enumerate(formats)}
+            present = row[f"p{i}"]
+            found[c] = hits, row[f"n{i}"], present, (row[f"s{i}"] or 0) / present if present else 0.0
+    return found
+
+
 def probe_strings(
     df: DataFrame,
     string_columns: list[str],
     sample_rows: int | None = DEFAULT_SAMPLE_ROWS,
     min_fraction: float | None = None,
-    chunk: int = 100,
+    chunk: int = DEFAULT_CHUNK,
 ) -> tuple[set[str], dict[str, float]]:
-    """String columns whose sampled values parse as timestamps, plus the
-    average length of the sampled values of every string column.
+    """String columns that hold dates, and the average length of every one.
 
-    ``min_fraction=None`` keeps the reference rule (one parsable value among the
-    sample promotes the column); a fraction requires that share of the sampled
-    non-null values to parse.
-
-    All rows count by default: the three sums per column are one aggregate with
-    a map-side part (chunked for wide tables). ``sample_rows`` looks at so many
-    rows only, as a documented choice of the caller.
+    ``min_fraction``: the share of all values (blank ones too) that must parse,
+    whatever their format, in place of the rule of :func:`holds_dates`.
     """
     if not string_columns or sample_rows == 0:
         return set(), {}
-    looked = df if sample_rows is None else df.limit(sample_rows)
-    found, lengths = set(), {}
-    for part in _chunks(string_columns, chunk):
-        aggs = []
-        for i, c in enumerate(part):
-            aggs += [
-                F.count(parse_timestamp(col(c))).alias(f"p{i}"),
-                F.count(col(c)).alias(f"n{i}"),
-                F.sum(F.length(col(c)).cast("long")).alias(f"l{i}"),
-            ]
-        row = looked.agg(*aggs).first()
-        for i, c in enumerate(part):
-            parsed, present = row[f"p{i}"], row[f"n{i}"]
-            lengths[c] = (row[f"l{i}"] or 0) / present if present else 0.0
-            if parsed and (min_fraction is None or parsed >= min_fraction * present):
-                found.add(c)
-    return found, lengths
-
-
-def _numeric_pass(df: DataFrame, numeric: list[str], chunk: int) -> tuple[int, dict[str, dict[str, Any]]]:
-    """count(*), HLL estimate and NULL flag for all numeric columns."""
-    per_column: dict[str, dict[str, Any]] = {c: {} for c in numeric}
-    row_count = None
-    for part in _chunks(numeric, chunk):
-        aggs = [F.count(F.lit(1)).alias("rows")]
-        for i, c in enumerate(part):
-            x = col(c)
-            aggs.append(F.approx_count_distinct(x, HLL_RSD).alias(f"hll{i}"))
-            aggs.append(F.max(x.isNull()).alias(f"null{i}"))
-        row = df.agg(*aggs).first()
-        row_count = row["rows"]
-        for i, c in enumerate(part):
-            per_column[c]["hll"] = row[f"hll{i}"]
-            per_column[c]["has_null"] = bool(row[f"null{i}"])
-    return row_count, per_column
+    found = date_evidence(df, string_columns, sample_rows, chunk)
+    dates = {
+        c
+        for c, (hits, filled, present, _) in found.items()
+        if holds_dates(hits, filled if min_fraction is None else present, min_fraction)
+    }
+    return dates, {c: length for c, (_, _, _, length) in found.items()}
+
+
+def capped_distinct(df: DataFrame, columns: list[str], limit: int) -> tuple[int, dict[str, tuple[int, int | None]]]:
+    """The number of rows and, per numeric column, (NULLs, distinct values up to ``limit``, else None), in one pass.
+
+    NaN is one value, -0.0 is 0.0. A task hands on ``limit`` values a column at most.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def run(batches):
+        rows, nulls = 0, [0] * len(columns)
+        sets: list[set | None] = [set() for _ in columns]
+        for batch in batches:
+            rows += batch.num_rows
+            for i, known in enumerate(sets):
+                values = batch.column(i)
+                nulls[i] += values.null_count
+                if known is None:
+                    continue
+                if pa.types.is_floating(values.type):
+                    values = pc.add(values, 0.0)  # -0.0 becomes 0.0
+                values = pc.unique(values).drop_null()
+                if len(values) <= limit:
+                    known.update(map(repr, values.to_pylist()))
+                if max(len(values), len(known)) > limit:
+                    sets[i] = None
+        found = [(i, rows if i == 0 else 0, nulls[i], known is None, None) for i, known in enumerate(sets)]
+        found += [(i, 0, 0, False, v) for i, known in enumerate(sets) for v in known or ()]
+        types = (pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*found), types, strict=True)], names=["i", "rows", "nulls", "full", "value"]
+        )
+
+    source = df.select(*[col(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    parts = source.mapInArrow(run, "i int, rows long, nulls long, full boolean, value string")
+    totals = parts.groupBy("i").agg(
+        F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.max("full").alias("full"), F.count_distinct("value").alias("n")
+    )
+    found = {r["i"]: r for r in totals.collect()}  # one row a column
+    out = {}
+    for i, c in enumerate(columns):
+        r = found.get(i)
+        n = 0 if r is None else None if r["full"] or r["n"] > limit else r["n"]
+        out[c] = (r["nulls"] if r else 0, n)
+    return (found[0]["rows"] if found else 0), out
 
 
 def _exact_distinct(df: DataFrame, columns: list[str], chunk: int) -> dict[str, int]:
@@ -225,7 +287,9 @@ def build_profile(
 
     Order within roles follows the schema; numerics reclassified as categorical
     are appended after the natively categorical columns (P4).
-    ``categorical_max_distinct=0`` disables the reclassification.
+    ``categorical_max_distinct=0`` disables the reclassification. ``exact``
+    also counts the distinct values of columns above the limit (a shuffle of
+    their values; roles do not depend on it).
     """
     fields = list(df.schema.fields)
     types = {f.name: f.dataType for f in fields}
@@ -236,27 +300,26 @@ def build_profile(
 
     promoted, text_lengths = probe_strings(df, strings, sample_rows, min_fraction)
 
-    row_count, info = _numeric_pass(df, numeric_typed, chunk)
-    if row_count is None:
-        row_count = df.count()
-
     distinct: dict[str, int] = {}
     reclassified: set[str] = set()
-    if categorical_max_distinct > 0 and row_count > 0 and numeric_typed:
-        limit = categorical_max_distinct
-        candidates = [
-            c for c in numeric_typed if exact or info[c]["hll"] <= 2 * limit + 2
-        ]
+    limit = categorical_max_distinct
+    if numeric_typed and limit > 0:
         try:
-            exact_counts = _exact_distinct(df, candidates, chunk)
-        except Exception as exc:  # reported, never fatal (as a per-column failure)
-            issues.append(f"distinct check failed for {', '.join(candidates)}: {exc}")
-            exact_counts = {}
-        for c, d in exact_counts.items():
-            d += 1 if info[c]["has_null"] else 0  # NULL counts as one value
-            distinct[c] = d
-            if 0 < d <= limit:
+            row_count, info = capped_distinct(df, numeric_typed, limit)
+        except Exception as exc:  # reported, never fatal
+            issues.append(f"distinct check failed for {', '.join(numeric_typed)}: {exc}")
+            row_count, info = df.count(), {}
+        for c, (nulls, n) in info.items():
+            if n is None:
+                continue
+            distinct[c] = n + (1 if nulls else 0)  # NULL counts as one value
+            if 0 < distinct[c] <= limit:
                 reclassified.add(c)
+        over = [c for c in info if c not in distinct] if exact else []
+        for c, n in _exact_distinct(df, over, chunk).items():
+            distinct[c] = n + (1 if info[c][0] else 0)
+    else:
+        row_count = df.count()
 
     numeric, categorical, datetime_cols, boolean = [], [], [], []
     columns: list[ColumnProfile] = []

@@ -1,14 +1,10 @@
 """Run history (K6, T7) and the upload job.
 
-The history is a Parquet table partitioned by ``job_id``. An upsert writes only
-the partitions of the jobs it carries (dynamic partition overwrite), so writing
-the same job again replaces its record and leaves every other job untouched —
-the write is idempotent and safe to repeat after a failure. A lookup by id is a
-partition-pruned scan.
-
-The long-form results of each run (profile, statistics, top values, trends)
-are kept next to it, partitioned the same way, so that reports (R1-R5) can run
-over all runs at once.
+The record of a run and its long-form results (profile, statistics, top values,
+trends; reports R1-R5 run over all of them at once) are one commit of the log
+in :mod:`strata.plans.history`: writing the same job again replaces all of it,
+a reader sees all of a run or nothing, and a failed run leaves no rows of the
+run before.
 """
 
 from __future__ import annotations
@@ -19,14 +15,13 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Any
 
-from urllib.parse import quote
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.naming import make_slug
 from strata.plans import report
 from strata.plans.analytics import Analytics, analyze
+from strata.plans.history import RunLog
 from strata.plans.warehouse import RAW, LayerRun, Warehouse, build_layers, spread_if_narrow
 from strata.sources.manifest import detect_format_of_path, validate_filename
 from strata.sources.readers import load
@@ -69,61 +64,36 @@ class RunHistory:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         return cls(spark, base + "/strata_runs")
 
-    def _write(self, df: DataFrame, where: str) -> None:
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("job_id")
-            .parquet(where)
-        )
+    @property
+    def log(self) -> RunLog:
+        return RunLog(self.spark, self.path, {"runs": RUN_COLUMNS, **RESULT_SCHEMAS})
 
     def upsert(self, records: DataFrame) -> None:
-        """K6: insert or replace the records of the jobs in ``records``."""
-        cols = [c.split()[0] for c in RUN_COLUMNS.split(", ")]
-        self._write(latest_per_job(records.select(*cols)), f"{self.path}/runs")
-
-    def replace(self, kind: str, job_id: str, frame: DataFrame) -> None:
-        """All rows of one job and kind; an empty frame clears what an earlier run left.
-
-        Each job has a folder of its own, so jobs may be written side by side.
-        """
-        own = frame.filter(F.col("job_id") == F.lit(job_id)).drop("job_id")
-        own.write.mode("overwrite").parquet(f"{self.path}/{kind}/job_id={quote(job_id, safe='')}")
+        """K6: insert or replace the jobs in ``records`` (the newest record of each; results of an earlier run go)."""
+        commit = self.log.begin()
+        commit.publish(commit.add("runs", latest_per_job(records)))
 
     def put(self, job_id: str, record: DataFrame) -> None:
-        """K6 for the record of one job."""
-        cols = [c.split()[0] for c in RUN_COLUMNS.split(", ")]
-        self.replace("runs", job_id, latest_per_job(record.select(*cols)))
-
-    def save_results(self, frames: dict[str, DataFrame], job_id: str) -> None:
-        for kind in RESULT_KINDS:
-            self.replace(kind, job_id, frames[kind])
-
-    def _read(self, kind: str, schema: str) -> DataFrame:
-        """Read with the declared schema (``job_id`` stays a string whatever the
-        ids look like); a kind never written reads as empty."""
-        where = f"{self.path}/{kind}"
-        try:
-            return self.spark.read.schema(schema).parquet(where)
-        except Exception as exc:
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
-            return self.spark.createDataFrame([], schema)
+        """K6 for one job that has no results."""
+        commit = self.log.begin()
+        commit.add("runs", latest_per_job(record.filter(F.col("job_id") == F.lit(job_id))))
+        commit.publish_one(job_id)
 
     def runs(self) -> DataFrame:
-        return self._read("runs", RUN_COLUMNS)
+        return self.log.visible("runs")
 
     def results(self, kind: str) -> DataFrame:
-        return self._read(kind, RESULT_SCHEMAS[kind])
+        return self.log.visible(kind)
 
     def lookup(self, job_id: str) -> DataFrame:
-        """The record of one job (zero or one row); partition-pruned."""
-        return self.runs().filter(F.col("job_id") == F.lit(job_id))
+        """The record of one job (zero or one row); reads one bucket."""
+        return self.log.visible("runs", job_id)
 
     def report_frames(self) -> dict[str, DataFrame]:
         """Inputs of the report derivations (R1-R5) for every recorded run."""
-        frames = {kind: self.results(kind) for kind in RESULT_KINDS}
-        frames["runs"] = self.runs().select("job_id", "status", "row_count")
+        newest = self.log.newest()
+        frames = {kind: self.log.visible(kind, newest=newest) for kind in RESULT_KINDS}
+        frames["runs"] = self.log.visible("runs", newest=newest).select("job_id", "status", "row_count")
         return frames
 
 
@@ -211,36 +181,26 @@ def run_job(
         wh = warehouse or Warehouse(spark)
         # The raw layer is the input parsed once into Parquet; every later pass
         # (profile, statistics, counts, layers) reads only the columns it needs.
-        source, raw_written = df, False
+        source, raw_rows = df, None
         try:
             wh.ensure_layers()
-            source = wh.write(spread_if_narrow(df), RAW, f"raw_{slug}")
-            raw_written = True
+            source, raw_rows = wh.replace(spread_if_narrow(df), RAW, f"raw_{slug}")
         except Exception as exc:
             log.warning("raw layer not written for %s: %s", job_id, exc)
         result.progress.append((RUNNING, 40))
         analytics = analyze(source, **analyze_args)
         result.analytics = analytics
         result.progress.append((RUNNING, 55))
-        history.save_results(report.result_frames(spark, analytics, job_id), job_id)
-        saved = {k: history.results(k).filter(F.col("job_id") == job_id) for k in RESULT_KINDS}
+        commit = history.log.begin()
+        frames = report.result_frames(spark, analytics, job_id)
+        saved = {kind: commit.add(kind, frames[kind]) for kind in RESULT_KINDS}
         saved["runs"] = report.runs_frame(spark, job_id, analytics)
         doc = report.result_json(spark, analytics, job_id, saved)
-        history.put(
-            job_id,
-            run_record(
-                spark,
-                job_id,
-                safe_or_reason,
-                kind,
-                path,
-                analytics.status,
-                doc,
-                analytics.row_count if analytics.status == "ok" else None,
-            ),
-        )
+        n_rows = analytics.row_count if analytics.status == "ok" else None
+        commit.add("runs", run_record(spark, job_id, safe_or_reason, kind, path, analytics.status, doc, n_rows))
+        commit.publish_one(job_id)
         result.progress.append((RUNNING, 85))
-        result.layers = build_layers(wh, source, slug, raw_written=raw_written)
+        result.layers = build_layers(wh, source, slug, raw_rows=raw_rows)
         result.status = COMPLETED
         result.progress.append((COMPLETED, 100))
     except Exception as exc:

@@ -11,15 +11,20 @@ cluster), registered in the session catalog in three databases.
 from __future__ import annotations
 
 import logging
+import re
+import time
+import uuid
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from strata.functions.naming import quote_sql
 from strata.operators.cleaning import processed
 from strata.operators.marts import grouped_metrics, mart, mart_shape
 from strata.operators.star import star_schema
+from strata.sources.files import delete, folders
 
 log = logging.getLogger("strata.warehouse")
 
@@ -28,6 +33,10 @@ RAW, PROCESSED, ANALYTICS = "raw_data", "processed", "analytics"
 LAYERS = (RAW, PROCESSED, ANALYTICS)
 FLOW = "Input file -> raw_data.raw_<id> -> processed.processed_<id> -> analytics.analytics_<id>"
 
+#: Versions of a table are kept for a day after they were replaced.
+KEEP_VERSIONS_NS = 24 * 3600 * 10**9
+VERSION = re.compile(r"v\d{20}-[0-9a-f]{8}")
+
 
 @dataclass
 class Warehouse:
@@ -60,11 +69,53 @@ class Warehouse:
             )
 
     def write(self, df: DataFrame, layer: str, table: str) -> DataFrame:
-        """Overwrite one layer table (Parquet) and return it read back."""
-        df.write.mode("overwrite").format("parquet").option(
-            "path", self.location(layer, table)
-        ).saveAsTable(self.name(layer, table))
-        return self.spark.table(self.name(layer, table))
+        """Replace one layer table (Parquet) and return it read back."""
+        return self.replace(df, layer, table)[0]
+
+    def replace(self, df: DataFrame, layer: str, table: str) -> tuple[DataFrame, int]:
+        """CREATE OR REPLACE of one layer table: (the table read back, its number of rows).
+
+        The rows go to a folder of their own first; then the catalog entry is
+        pointed at it. A write that fails leaves the table as it was, readers
+        that have opened it finish on the old files, and ``df`` may read the
+        table that it replaces. Rows are counted while they are written.
+        """
+        home = self.location(layer, table)
+        version = f"{home}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        written = Observation()
+        df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(version)
+        self._point(self.name(layer, table), version)
+        self._forget_old(home, version)
+        return self.spark.table(self.name(layer, table)), written.get["rows"]
+
+    def _point(self, name: str, version: str) -> None:
+        """The catalog entry now stands for the files of ``version``."""
+        if not self.spark.catalog.tableExists(name):
+            self.spark.catalog.createTable(name, version, "parquet")
+            return
+        fields = lambda frame: [(f.name, f.dataType.simpleString()) for f in frame.schema]
+        if fields(self.spark.table(name)) == fields(self.spark.read.parquet(version)):
+            where = version.replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{where}'")  # one change of the catalog
+            self.spark.catalog.refreshTable(name)
+            return
+        # Spark's own catalog cannot change the columns of an entry: it is made anew, or put back.
+        old = self.spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
+        self.spark.sql(f"DROP TABLE {name}")  # the files stay: they have a location of their own
+        try:
+            self.spark.catalog.createTable(name, version, "parquet")
+        except Exception:
+            self.spark.catalog.createTable(name, old, "parquet")
+            raise
+
+    def _forget_old(self, home: str, version: str) -> None:
+        """Deletes versions that were replaced long ago (readers and slower writers have ended)."""
+        limit = time.time_ns() - KEEP_VERSIONS_NS
+        versions = [v for v in folders(self.spark, home) if VERSION.fullmatch(v)]
+        for v, later in zip(versions, versions[1:]):
+            # The time at which a version was replaced is about that of the next one.
+            if f"{home}/{v}" != version and int(later[1:21]) < limit:
+                delete(self.spark, f"{home}/{v}")
 
     def tables(self, layer: str, slug: str | None = None) -> list[str]:
         """Tables of a layer; with ``slug`` only those of one run (the catalog filters)."""
@@ -133,16 +184,18 @@ def build_layers(
     wh: Warehouse,
     raw_df: DataFrame,
     slug: str,
-    raw_written: bool = False,
+    raw_rows: int | None = None,
 ) -> LayerRun:
     """K1 -> K2 -> K3 -> K4 / K5 -> C2. Never raises; failures are reported.
 
-    ``raw_written`` says that ``raw_df`` already is the raw table of this slug.
+    ``raw_rows`` says that ``raw_df`` already is the raw table of this slug, and how many rows it has.
     """
     try:
         wh.ensure_layers()
-        raw = raw_df if raw_written else wh.write(spread_if_narrow(raw_df), RAW, f"raw_{slug}")
-        proc = wh.write(processed(raw), PROCESSED, f"processed_{slug}")
+        raw = raw_df
+        if raw_rows is None:
+            raw, raw_rows = wh.replace(spread_if_narrow(raw_df), RAW, f"raw_{slug}")
+        proc, proc_rows = wh.replace(processed(raw), PROCESSED, f"processed_{slug}")
         shape = mart_shape(proc)
         analytics = wh.write(mart(proc, shape), ANALYTICS, f"analytics_{slug}")
         tables = {
@@ -159,8 +212,7 @@ def build_layers(
             wh.write(fact, ANALYTICS, f"fact_{slug}")
             tables["dimension"] = f"{wh.db(ANALYTICS)}.dim_{slug}"
             tables["fact"] = f"{wh.db(ANALYTICS)}.fact_{slug}"
-        counts = {"raw": raw.count(), "processed": proc.count()}
-        counts["duplicates_removed"] = counts["raw"] - counts["processed"]
+        counts = {"raw": raw_rows, "processed": proc_rows, "duplicates_removed": raw_rows - proc_rows}
         verification = {layer: wh.tables(layer, slug) for layer in LAYERS}
         verification["schemas"] = wh.schemas()
         return LayerRun(True, slug, None, tables, counts, verification, shape.kind)
@@ -171,8 +223,6 @@ def build_layers(
 
 def reconciliation(spark: SparkSession, raw: DataFrame, proc: DataFrame) -> DataFrame:
     """C4: rows in raw, rows in processed and duplicate rows removed (one row)."""
-    from pyspark.sql import functions as F
-
     counts = raw.agg(F.count(F.lit(1)).alias("n")).select(F.lit(RAW).alias("layer"), "n").unionByName(
         proc.agg(F.count(F.lit(1)).alias("n")).select(F.lit(PROCESSED).alias("layer"), "n")
     )

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.cleaning import MISSING, processed, standardized
 from strata.operators.keys import dense_ids
 from strata.operators.marts import grouped_metrics, mart, mart_shape
 from strata.operators.star import dimension, join_fact, star_schema
+from strata.plans import warehouse
 from strata.plans.warehouse import Warehouse, build_layers, reconciliation
+from strata.sources.files import folders
 from strata.sources.readers import load
 
 
@@ -117,3 +120,41 @@ def test_build_layers_reports_failure(spark, tmp_dir):
     empty_cols = spark.createDataFrame([()], T.StructType([]))
     run = build_layers(wh, empty_cols, "nothing_0001")
     assert not run.ok and run.error
+
+
+def test_a_failing_write_leaves_the_table(spark, tmp_dir):
+    wh = Warehouse(spark, root=f"{tmp_dir}/wh", prefix="swap_")
+    wh.ensure_layers()
+    first, n = wh.replace(spark.range(5), "processed", "t")
+    assert n == 5 and first.count() == 5
+    broken = spark.range(10).withColumn("id", F.expr("CASE WHEN id > 7 THEN raise_error('no') ELSE id END").cast("long"))
+    with pytest.raises(Exception, match="no"):
+        wh.write(broken, "processed", "t")
+    assert [r[0] for r in spark.table("swap_processed.t").orderBy("id").collect()] == [0, 1, 2, 3, 4]
+    again, n = wh.replace(spark.table("swap_processed.t").filter("id > 2"), "processed", "t")  # reads what it replaces
+    assert n == 2 == again.count() and sorted(r[0] for r in again.collect()) == [3, 4]
+    other, n = wh.replace(spark.range(3).selectExpr("id AS n", "'x' AS s"), "processed", "t")  # other columns
+    assert n == 3 and other.columns == ["n", "s"] == spark.table("swap_processed.t").columns
+    none, n = wh.replace(other.filter("n > 9"), "processed", "t")
+    assert n == 0 == none.count() and none.columns == ["n", "s"]
+    assert first.count() == 5  # a reader that has the old files
+
+
+def test_replaced_versions_go_after_a_while(spark, tmp_dir, monkeypatch):
+    wh = Warehouse(spark, root=f"{tmp_dir}/wh", prefix="old_")
+    wh.ensure_layers()
+    for n in (1, 2, 3):
+        wh.write(spark.range(n), "processed", "t")
+    home = wh.location("processed", "t")
+    assert len(folders(spark, home)) == 3
+    monkeypatch.setattr(warehouse, "KEEP_VERSIONS_NS", 0)
+    assert wh.replace(spark.range(4), "processed", "t")[1] == 4
+    assert len(folders(spark, home)) == 1 and spark.table("old_processed.t").count() == 4
+
+
+def test_layers_are_counted_while_they_are_written(spark, readings, tmp_dir):
+    wh = Warehouse(spark, root=f"{tmp_dir}/wh", prefix="obs_")
+    run = build_layers(wh, readings, "r")
+    assert run.ok, run.error
+    raw, proc = (spark.table(run.tables[t]).count() for t in ("raw", "processed"))
+    assert run.counts == {"raw": raw, "processed": proc, "duplicates_removed": raw - proc}

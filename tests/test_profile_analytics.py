@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.profile import build_profile, validate_minimum_schema
+from strata.operators.profile import build_profile, capped_distinct, date_evidence, holds_dates, validate_minimum_schema
 from strata.plans.analytics import analyze
 
 
@@ -179,3 +179,41 @@ def test_invariants(spark):
     sums = {r["grain"]: r["s"] for r in res.trends.groupBy("grain").agg(F.sum("count").alias("s")).collect()}
     assert sums == {"day": n, "month": n, "year": n}
     assert res.top_values.groupBy("column_name").count().filter("count > 10").count() == 0
+
+
+def _texts(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "s STRING")
+
+
+def test_a_stray_date_does_not_change_a_role(spark):
+    assert build_profile(_texts(spark, ["2024-01-05"] + [f"item {i}" for i in range(999)])).categorical == ["s"]
+    late = [None] * 500 + [""] * 400 + [f"2024-01-{1 + i % 28:02d}" for i in range(100)]
+    assert build_profile(_texts(spark, late)).datetime == ["s"]
+    some = ["pending"] * 80 + [f"2024-01-{1 + i % 28:02d}T10:00:00" for i in range(20)]
+    assert build_profile(_texts(spark, some)).datetime == ["s"]
+    # Codes some of which look like years are no dates; a column of years is.
+    assert build_profile(_texts(spark, [str(i) for i in range(900, 2100)])).categorical == ["s"]
+    assert build_profile(_texts(spark, [str(i) for i in range(1900, 2020)])).datetime == ["s"]
+
+
+def test_date_evidence_counts_by_format(spark):
+    values = ["2024-01-05", " 2024-1-5", "2024-01-05 10:11:12", "2024-02", "2024", "20240105", "x", "", None]
+    ((hits, filled, present, length),) = date_evidence(_texts(spark, values), ["s"]).values()
+    assert hits == {"day": 2, "moment": 1, "month": 1, "year": 1, "other": 0}
+    assert (filled, present) == (7, 8) and length == pytest.approx(sum(len(v or "") for v in values) / 8)
+    assert not holds_dates({"day": 3, "moment": 3, "other": 3}, 100) and holds_dates({"day": 6, "moment": 3}, 100)
+
+
+def test_capped_distinct_is_one_pass_and_exact(spark):
+    rows = [(i % 200, float(i % 201), None if i % 3 else decimal.Decimal(i % 5), (0.0, -0.0, float("nan"))[i % 3], i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a INT, b DOUBLE, c DECIMAL(9,2), d DOUBLE, e BIGINT").repartition(7)
+    n, found = capped_distinct(df, df.columns, 200)
+    assert n == 3000
+    assert found == {"a": (0, 200), "b": (0, None), "c": (2000, 5), "d": (0, 2), "e": (0, None)}
+    assert capped_distinct(df.filter("false"), df.columns, 200) == (0, {c: (0, 0) for c in df.columns})
+    group = "capped-distinct"
+    spark.sparkContext.setJobGroup(group, group)
+    capped_distinct(df, df.columns, 200)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("", "")
+    assert 1 <= len(jobs) <= 4  # stages of one query under adaptive execution
