@@ -21,6 +21,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strata.llm.common import map_texts, materialise, table, worker_state
-from strata.llm.pretokens import NOT_PLAIN, WORD_LEVEL, PreTokenCache, load_tokenizer
+from strata.llm.pretokens import NOT_PLAIN, WORD_LEVEL, load_tokenizer
 
 WINDOW = 2048
 END_ID = 1
@@ -43,30 +44,79 @@ COMBINATIONS = 6_000
 PIECE_FIELDS = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
+#: Words in each of the two generations that a worker remembers, of at most so many characters.
+CACHE_WORDS = 300_000
+CACHE_CHARS = 64
+#: What the last token of a pre-token ends with.
+WORD_END = "</w>"
+#: Separators that Python's ``split`` knows and the tokenizer does not.
+_CONTROL = "\x1c\x1d\x1e\x1f"
+_ASCII_SPACE = re.compile(r"[\x20\x09-\x0D]+")
+
+
+class WordIds:
+    """Token ids (little-endian) of words, which no token of a word-level BPE reaches beyond.
+
+    White space separates pre-tokens and special strings hold none, so a text's
+    ids are those of its words. Two generations of words are remembered.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.new, self.old = tokenizer, {}, {}
+        self.last = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.last[[i for t, i in tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
+
+    def results(self, texts: list[str]) -> list[bytes]:
+        words = [_ASCII_SPACE.split(t) if any(c in t for c in _CONTROL) else t.split() for t in texts]
+        if len(self.new) > CACHE_WORDS:
+            self.old, self.new = self.new, {}
+        unseen = set().union(*words) - self.new.keys()
+        missing = [w for w in unseen if w not in self.old]
+        self.new.update((w, self.old[w]) for w in unseen if w in self.old)
+        self.new.update(zip(missing, self._encode(missing), strict=True))
+        out = [b"".join(map(self.new.__getitem__, w)) for w in words]
+        for w in missing:
+            if len(w) > CACHE_CHARS:
+                del self.new[w]
+        return out
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Words of known numbers of pre-tokens go as one text, whose pre-tokens end with a marked token."""
+        sizes = [1 if w.isascii() and w.isalpha() else self._pretokens(w) for w in words]
+        known = [k for k, n in enumerate(sizes) if n]
+        out = [b""] * len(words)
+        (found,) = self.tokenizer.encode_batch_fast([" ".join([words[k] for k in known])], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        stops = np.flatnonzero(self.last[ids]) + 1
+        counted = np.cumsum([sizes[k] for k in known], dtype=np.int64)
+        if len(known) and counted[-1] == len(stops):
+            raw, ends = ids.tobytes(), (4 * stops[counted - 1]).tolist()
+            for k, first, end in zip(known, [0, *ends], ends):
+                out[k] = raw[first:end]
+            known = set(known)
+        else:
+            known = set()
+        rest = [k for k in range(len(words)) if k not in known]
+        for k, each in zip(rest, self.tokenizer.encode_batch_fast([words[k] for k in rest], add_special_tokens=False)):
+            out[k] = np.array(each.ids, "<u4").tobytes()
+        return out
+
+    @staticmethod
+    def _pretokens(word: str) -> int:
+        """Number of pre-tokens; 0 where only the tokenizer knows."""
+        return 0 if NOT_PLAIN.search(word) or "<|" in word else len(WORD_LEVEL.findall(word.lower()))
+
+
 def cut_pieces(docs: DataFrame, path: str, keep: list[str], window: int = WINDOW, text: str = "text") -> DataFrame:
     """One row per piece: full windows from the start, then the remainder."""
 
     def make():
-        tokenizer = worker_state(f"tokenizer:{path}", lambda: load_tokenizer(path))
-        specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-
-        def encode(texts):
-            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-        cache = worker_state(f"ids:{path}", lambda: PreTokenCache(encode))
+        words = worker_state(f"words:{path}", lambda: WordIds(load_tokenizer(path)))
         end = np.array([END_ID], "<u4").tobytes()
 
         def cut(texts):
-            plain = [i for i, t in enumerate(texts) if not NOT_PLAIN.search(t) and not any(s in t for s in specials)]
-            ids = [b""] * len(texts)
-            for i, parts in zip(plain, cache.results([WORD_LEVEL.findall(texts[i].lower()) for i in plain]), strict=True):
-                ids[i] = b"".join(parts)
-            rest = sorted(set(range(len(texts))) - set(plain))
-            for i, found in zip(rest, encode([texts[i] for i in rest]), strict=True):
-                ids[i] = found
             row, start, length, crc, total = [], [], [], [], []
-            for i, raw in enumerate(ids):
+            for i, raw in enumerate(words.results(texts)):
                 raw += end
                 n = len(raw) // 4
                 for at in range(0, n, window):
