@@ -23,7 +23,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("path", help="file, directory or glob on any Hadoop file system")
     parser.add_argument("--format", help="csv, json, parquet or excel (detected when omitted)")
     parser.add_argument("--schema", help="DDL schema; skips type inference for CSV/JSON")
-    parser.add_argument("--topk-method", default="exact", choices=["exact", "hashed", "auto"])
+    parser.add_argument("--topk-method", default="auto", choices=["exact", "hashed", "auto"])
     parser.add_argument("--top-k", type=int, default=10)
     parser.add_argument("--job-id", default=None)
     parser.add_argument("--out", help="write the JSON document here (text) instead of printing it")

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from strata.functions.naming import col, standardize_names
 from strata.functions.values import as_text
+from strata.operators.distinct import LONG_ROW, bytes_a_row, distinct_rows
 
 # Fixed value (reference's placeholder for missing text).
 MISSING = "(missing)"
@@ -47,9 +48,15 @@ def processed_columns(df: DataFrame) -> list[Column]:
     return out
 
 
-def processed(df: DataFrame, distinct: bool = True) -> DataFrame:
-    """T1-T4 + A11: the processed layer of a raw frame."""
+def processed(df: DataFrame, distinct: bool = True, rows: int | None = None) -> DataFrame:
+    """T1-T4 + A11: the processed layer of a raw frame.
+
+    ``rows``: the number of rows, if known; then rows that are long on average
+    are told apart by fingerprints (``operators.distinct``), with the same result.
+    """
     if not df.columns:
         raise ValueError("Raw table has no columns.")
     out = df.select(*processed_columns(df))
-    return out.distinct() if distinct else out
+    if not distinct:
+        return out
+    return distinct_rows(out) if rows and bytes_a_row(df, rows) >= LONG_ROW else out.distinct()

@@ -73,7 +73,7 @@ def top_values(
     df: DataFrame,
     columns: list[str],
     k: int = DEFAULT_TOP_K,
-    method: str = "exact",
+    method: str = "auto",
     text_lengths: dict[str, float] | None = None,
 ) -> DataFrame:
     """A3 + L1: ``(position, column, rank, value, count)``.

@@ -1,39 +1,37 @@
-"""Exact top-k values with hash-first counting (opt-in strategy for A3/L1).
+"""Exact top-k values with hash-first counting (A3/L1 for long texts).
 
 The plain plan (``operators.frequency``) shuffles every distinct value once.
 For long, nearly unique texts (documents, pages) that is the whole column. This
 strategy shuffles ``(column, xxhash64(value), length(value))`` — about 24 bytes
-per row — and touches full values only for the rows that can reach the top k:
+per row — and full values only where they can reach the top k:
 
-1. count rows per hash group (map-side partial counts; persisted, several
-   small jobs read it);
+1. count rows per hash group (map-side partial counts) and write the counts to
+   the shared folder;
 2. per column, ``t`` = the k-th largest group count (``WindowGroupLimit``);
-3. *bounded*: when the groups with ``n >= t`` are at most ``candidate_bound``,
-   broadcast their keys (size proven by a count) and count their values
-   exactly;
-4. *unique tail* (``t == 1``): the groups with ``n >= 2`` are fewer than k;
-   count their values exactly. Every other group holds exactly one row, i.e. a
-   value that occurs once, so the rest of the top k is the smallest such values:
-   an anti-join with the broadcast heavy keys and a per-column ``row_number``
-   by value (partial ``WindowGroupLimit``: k rows per partition cross the
-   shuffle);
+   only groups with ``n >= t`` can hold a value of the top k;
+3. *bounded*: if those groups are at most ``candidate_bound``, their rows are
+   semi-joined (broadcast keys) and counted by full value;
+4. *unique tail* (``t == 1``): groups with ``n >= 2`` are fewer than k and
+   counted likewise. Every other group is one row, a value that occurs once; the
+   smallest of those fill the top k (partial ``WindowGroupLimit``: k rows per
+   partition cross the shuffle);
 5. a hash group that turns out to hold two different values (a collision), or
    a tie set above the bound, sends that column to the plain plan.
 
 The result equals the plain plan exactly (ties by value ascending, NULL last).
-The per-column result rows (at most k each) are assembled on the driver.
+The driver sees numbers per column only; values stay in the cluster.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.frequency import DEFAULT_TOP_K, TOP_SCHEMA, top_k, unpivot_text, value_counts
+from strata.session import ensure_checkpoint_dir
 
 KEY = ["position", "column_name", "h", "ln"]
 DEFAULT_CANDIDATE_BOUND = 100_000
@@ -43,9 +41,12 @@ def _xxhash(value: Column) -> Column:
     return F.xxhash64(value)
 
 
-def _order_key(entry: tuple[str | None, int]):
-    value, count = entry
-    return (-count, value is None, value or "")
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared folder; several small jobs read it."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def hashed_top_values(
@@ -67,89 +68,49 @@ def hashed_top_values(
         hash_fn(F.col("value")).alias("h"),
         F.coalesce(F.length("value"), F.lit(-1)).alias("ln"),  # NULL is its own group
     )
-    counts = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        local, fallback = _resolve(spark, rows, counts, k, candidate_bound)
-    finally:
-        counts.unpersist()
-    out = spark.createDataFrame(local, TOP_SCHEMA)
-    if fallback:
-        chosen = sorted(fallback)
-        plain = top_k(value_counts(df, [by_position[p] for p in chosen], chosen), k)
-        out = out.unionByName(plain)
-    return out
-
-
-def _resolve(spark, rows: DataFrame, counts: DataFrame, k: int, bound: int):
-    # 2. threshold per column: the k-th largest group count
-    w = Window.partitionBy("position", "column_name").orderBy(F.col("n").desc())
-    leaders = counts.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).collect()
-    threshold: dict[int, int] = {}
-    names: dict[int, str] = {}
-    for r in leaders:
-        p = r["position"]
-        names[p] = r["column_name"]
-        threshold[p] = min(threshold.get(p, r["n"]), r["n"])
-    if not threshold:
-        return [], set()
-
-    # sizes of the candidate sets (one row per column is broadcast)
-    th = spark.createDataFrame(list(threshold.items()), "position INT, t BIGINT")
-    sizes = {
-        r["position"]: r["g"]
-        for r in counts.join(F.broadcast(th), "position")
-        .groupBy("position")
-        .agg(F.sum(F.when(F.col("n") >= F.col("t"), 1).otherwise(0)).alias("g"))
-        .collect()
-    }
-    lower: dict[int, int] = {}
-    tail: set[int] = set()
-    fallback: set[int] = set()
-    for p, t in threshold.items():
-        if sizes.get(p, 0) <= bound:
-            lower[p] = t
-        elif t == 1:
-            lower[p] = 2  # heavy groups only; fewer than k of them
-            tail.add(p)
-        else:
-            fallback.add(p)
-
-    # 3/4. exact counts for the candidate groups (a bounded, counted set)
-    exact: dict[int, dict[tuple, list[tuple[str | None, int]]]] = defaultdict(lambda: defaultdict(list))
-    heavy_keys = None
+    counts = _stored(rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")), "topk-counts")
+    lower, tail, plain = _lower_bounds(counts, k, candidate_bound)
+    parts = []
     if lower:
-        lo = spark.createDataFrame(list(lower.items()), "position INT, lo BIGINT")
-        candidates = counts.join(F.broadcast(lo), "position").filter(F.col("n") >= F.col("lo")).select(*KEY)
-        heavy_keys = candidates
-        found = (
-            rows.join(F.broadcast(candidates), KEY, "left_semi")
-            .groupBy(*KEY, "value")
-            .agg(F.count(F.lit(1)).alias("c"))
-            .collect()
-        )
-        for r in found:
-            exact[r["position"]][(r["h"], r["ln"])].append((r["value"], r["c"]))
-        for p in list(lower):
-            if any(len(values) > 1 for values in exact[p].values()):
-                fallback.add(p)  # a hash collision: let the plain plan decide
-                lower.pop(p)
-                tail.discard(p)
-
-    # 4. the smallest values that occur once, for unique-tail columns
-    smallest: dict[int, list[str | None]] = defaultdict(list)
-    if tail:
-        pool = rows.filter(F.col("position").isin(sorted(tail))).join(
-            F.broadcast(heavy_keys), KEY, "left_anti"
-        )
-        wv = Window.partitionBy("position").orderBy(F.col("value").asc_nulls_last())
-        for r in pool.withColumn("_r", F.row_number().over(wv)).filter(F.col("_r") <= k).collect():
-            smallest[r["position"]].append(r["value"])
-
-    local = []
-    for p in lower:
-        entries = [e for values in exact[p].values() for e in values]
-        if p in tail:
-            entries += [(v, 1) for v in smallest[p]]
-        for rank, (value, count) in enumerate(sorted(entries, key=_order_key)[:k], start=1):
-            local.append((p, names[p], rank, value, count))
-    return local, fallback
+        low = F.create_map(*[F.lit(x) for item in lower.items() for x in item])  # a number a column
+        wanted = counts.filter(F.col("position").isin(list(lower)) & (F.col("n") >= low[F.col("position")])).select(*KEY)
+        found = rows.filter(F.col("position").isin(list(lower))).join(F.broadcast(wanted), KEY, "left_semi")  # at most the bound
+        found = _stored(found.groupBy(*KEY, "value").agg(F.count(F.lit(1)).alias("count")), "topk-candidates")
+        several = found.groupBy(*KEY).agg(F.count(F.lit(1)).alias("values")).filter("values > 1")
+        collided = {r[0] for r in several.select("position").distinct().collect()}  # hash collisions: the plain plan decides
+        plain |= collided
+        tail -= collided
+        kept = found.filter(~F.col("position").isin(list(collided))) if collided else found
+        parts.append(kept.select("position", "column_name", "value", "count"))
+        if tail:
+            once = rows.filter(F.col("position").isin(list(tail))).join(F.broadcast(wanted), KEY, "left_anti")
+            smallest = Window.partitionBy("position", "column_name").orderBy(F.col("value").asc_nulls_last())
+            once = once.withColumn("r", F.row_number().over(smallest)).filter(F.col("r") <= k)
+            parts.append(once.select("position", "column_name", "value", F.lit(1).cast("long").alias("count")))
+    out = None
+    if parts:
+        both = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+        out = top_k(both, k)
+    if plain:
+        chosen = sorted(plain)
+        exact = top_k(value_counts(df, [by_position[p] for p in chosen], chosen), k)
+        out = exact if out is None else out.unionByName(exact)
+    return spark.createDataFrame([], TOP_SCHEMA) if out is None else out
+
+
+def _lower_bounds(counts: DataFrame, k: int, bound: int) -> tuple[dict[int, int], set[int], set[int]]:
+    """(count from which a column's groups are candidates, columns with a unique tail, columns for the plain plan)."""
+    largest = Window.partitionBy("position").orderBy(F.col("n").desc())
+    leaders = counts.select("position", "n").withColumn("r", F.row_number().over(largest)).filter(F.col("r") <= k)
+    limits = leaders.groupBy("position").agg(F.min("n").alias("t"))
+    sizes = counts.join(limits, "position").groupBy("position", "t").agg(F.count_if(F.col("n") >= F.col("t")).alias("groups"))
+    lower, tail, plain = {}, set(), set()
+    for r in sizes.collect():  # one row a column
+        if r["groups"] <= bound:
+            lower[r["position"]] = r["t"]
+        elif r["t"] == 1:
+            lower[r["position"]] = 2  # fewer than k groups
+            tail.add(r["position"])
+        else:
+            plain.add(r["position"])
+    return lower, tail, plain

@@ -59,7 +59,7 @@ def analyze(
     include_booleans: bool = False,
     min_fraction: float | None = None,
     checkpoint: bool = False,
-    topk_method: str = "exact",
+    topk_method: str = "auto",
 ) -> Analytics:
     """profile (unless given) and build the adaptive analytics frames.
 
@@ -68,7 +68,7 @@ def analyze(
     lineage of ``df`` first (F5) with a reliable checkpoint. ``topk_method``
     chooses the top-k strategy ("exact": count full values; "hashed": count
     hashes first, same result, less shuffle for long texts, runs eagerly;
-    "auto": hashed only for columns whose sampled values are long).
+    "auto", the default: hashed only for columns whose values are long).
     """
     spark = df.sparkSession
     if checkpoint:

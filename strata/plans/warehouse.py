@@ -195,7 +195,7 @@ def build_layers(
         raw = raw_df
         if raw_rows is None:
             raw, raw_rows = wh.replace(spread_if_narrow(raw_df), RAW, f"raw_{slug}")
-        proc, proc_rows = wh.replace(processed(raw), PROCESSED, f"processed_{slug}")
+        proc, proc_rows = wh.replace(processed(raw, rows=raw_rows), PROCESSED, f"processed_{slug}")
         shape = mart_shape(proc)
         analytics = wh.write(mart(proc, shape), ANALYTICS, f"analytics_{slug}")
         tables = {

@@ -20,7 +20,7 @@ from strata.sources.excel import read_excel, workbook_bytes
 from strata.sources.manifest import list_files, manifest
 from strata.sources.json_layout import document_files
 from strata.sources.readers import load
-from strata.streaming.intake import run_intake
+from strata.streaming.intake import Intake, Ledger, run_intake
 
 
 def _write(path, data, mode="w"):
@@ -213,3 +213,43 @@ def test_run_job_with_schema(spark, readings_path, tmp_dir):
     r = run_job(spark, readings_path, history=h, warehouse=wh, job_id="schema-1", schema=ddl)
     assert r.status == "completed", r.error
     assert r.analytics.profile.categorical[:3] == ["reading_id", "station", "sky"]
+
+
+def test_a_file_that_fails_once_is_completed_once(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(land)
+    h = RunHistory(spark, os.path.join(tmp_dir, "hist"))
+    wh = Warehouse(spark, root=os.path.join(tmp_dir, "wh"), prefix="retry_")
+    cp = os.path.join(tmp_dir, "cp")
+    late = _write(os.path.join(land, "late.xlsx"), b"not yet", "wb")
+    broken = _write(os.path.join(land, "broken.xlsx"), b"never", "wb")
+    _write(os.path.join(land, "good.csv"), "k,v\na,1\n")
+    _write(os.path.join(land, "refused.txt"), "x")
+    ledger = Ledger.of(h)
+    run_intake(spark, land, cp, h, wh, max_attempts=3)
+    state = lambda: {r["name"]: (r["state"], r["attempt"]) for r in ledger.files().collect()}
+    assert state() == {"late.xlsx": ("pending", 1), "broken.xlsx": ("pending", 1), "good.csv": ("done", 1), "refused.txt": ("dead", 1)}
+    times = os.stat(late)
+    _write(late, workbook_bytes(["id"], [[1], [2]]), "wb")
+    os.utime(late, ns=(times.st_atime_ns, times.st_mtime_ns))  # the same file version, readable now
+    done = h.runs().filter("filename = 'good.csv'").first()["created_at"]
+    for _ in range(3):
+        run_intake(spark, land, cp, h, wh, max_attempts=3)
+    assert state() == {"late.xlsx": ("done", 2), "broken.xlsx": ("dead", 3), "good.csv": ("done", 1), "refused.txt": ("dead", 1)}
+    assert sorted(r["name"] for r in ledger.dead_letters().collect()) == ["broken.xlsx", "refused.txt"]
+    runs = {r["filename"]: r for r in h.runs().collect()}
+    assert runs["late.xlsx"]["status"] == "ok" and runs["late.xlsx"]["row_count"] == 2
+    assert runs["good.csv"]["created_at"] == done  # not run again
+    assert os.path.exists(broken)
+
+
+def test_a_replayed_micro_batch_runs_nothing_twice(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(land)
+    _write(os.path.join(land, "one.csv"), "k,v\na,1\n")
+    h = RunHistory(spark, os.path.join(tmp_dir, "hist"))
+    intake = Intake(h, Warehouse(spark, root=os.path.join(tmp_dir, "wh"), prefix="replay_"))
+    intake.handle(list_files(spark, land), 0)
+    first = h.runs().first()["created_at"]
+    intake.handle(list_files(spark, land), 0)
+    assert h.runs().first()["created_at"] == first and h.runs().count() == 1
