@@ -45,8 +45,12 @@ PIECE_FIELDS = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
 #: Words in each of the two generations that a worker remembers, of at most so many characters.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 CACHE_CHARS = 64
+#: Words encoded at once.
+BATCH_WORDS = 8_192
+#: Marks that may follow a word.
+MARKS = ".,;:!?"
 #: What the last token of a pre-token ends with.
 WORD_END = "</w>"
 #: Separators that Python's ``split`` knows and the tokenizer does not.
@@ -62,7 +66,7 @@ class WordIds:
     """
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.new, self.old = tokenizer, {}, {}
+        self.tokenizer, self.new, self.old, self.long = tokenizer, {}, {}, []
         self.last = np.zeros(tokenizer.get_vocab_size(), bool)
         self.last[[i for t, i in tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
 
@@ -70,16 +74,37 @@ class WordIds:
         words = [_ASCII_SPACE.split(t) if any(c in t for c in _CONTROL) else t.split() for t in texts]
         if len(self.new) > CACHE_WORDS:
             self.old, self.new = self.new, {}
-        unseen = set().union(*words) - self.new.keys()
-        missing = [w for w in unseen if w not in self.old]
-        self.new.update((w, self.old[w]) for w in unseen if w in self.old)
-        self.new.update(zip(missing, self._encode(missing), strict=True))
+        self._learn(set().union(*words))
         out = [b"".join(map(self.new.__getitem__, w)) for w in words]
-        for w in missing:
-            if len(w) > CACHE_CHARS:
-                del self.new[w]
+        for w in self.long:
+            del self.new[w]
+        self.long = []
         return out
 
+    def _learn(self, words: set[str]) -> None:
+        """Makes ``new`` hold the words: from ``old``, from their parts, or encoded."""
+        new, old, whole, parts = self.new, self.old, set(), []
+        for w in words - new.keys():
+            known = old.get(w)
+            if known is not None:
+                new[w] = known
+                continue
+            core = w.rstrip(MARKS)
+            if len(core) < len(w) and core.isascii() and core.isalpha():
+                # Letters and the marks after them are two pre-tokens.
+                parts.append((w, core, w[len(core) :]))
+                whole.update(parts[-1][1:])
+            else:
+                whole.add(w)
+        for w in whole & old.keys():
+            new[w] = old[w]
+        missing = list(whole - new.keys())
+        for at in range(0, len(missing), BATCH_WORDS):
+            some = missing[at : at + BATCH_WORDS]
+            new.update(zip(some, self._encode(some), strict=True))
+        new.update((w, new[core] + new[marks]) for w, core, marks in parts)
+        self.long = [w for w in (*missing, *(p[0] for p in parts)) if len(w) > CACHE_CHARS]
+
     def _encode(self, words: list[str]) -> list[bytes]:
         """Words of known numbers of pre-tokens go as one text, whose pre-tokens end with a marked token."""
         sizes = [1 if w.isascii() and w.isalpha() else self._pretokens(w) for w in words]
