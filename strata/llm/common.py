@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.session import ensure_checkpoint_dir
@@ -122,28 +123,36 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
 
 # ------------------------------------------------------------ wanted rows
 
-#: Words of 64 bits in the map of wanted ids, whatever their number.
-MAP_WORDS = 1 << 14
+#: Bits in the map of wanted ids: so many per id, and at most so many in all (64 MB).
+MAP_BITS_PER_ID = 12
+MAX_MAP_BITS = 1 << 29
 
 
 def wanted_rows(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows whose ``key`` is among ``ids`` (distinct, one column of that name).
 
-    Before the join shuffles whole rows, a bit map of bounded size (a million
-    bits, one per id hash) drops most rows that no id asks for. It is a constant
-    of the plan; the join that follows decides.
+    Before the join shuffles whole rows, a bit map with MAP_BITS_PER_ID bits
+    per id drops all but about one in MAP_BITS_PER_ID of the rows that no id
+    asks for. It is broadcast, of a size that is known and bounded (more than 40
+    million ids fill it more and more); the join that follows decides.
     """
     from pyspark.sql import functions as F
 
+    bits = min(MAX_MAP_BITS, 1 << max(10, (MAP_BITS_PER_ID * max(1, ids.count()) - 1).bit_length()))
     spread = F.xxhash64(key)
-    word, bit = F.pmod(spread, F.lit(MAP_WORDS)).cast("int"), F.pmod(F.shiftright(spread, 20), F.lit(64)).cast("int")
-    marks = ids.select(word.alias("w"), F.expr("1L").alias("one"), bit.alias("b"))
-    marks = marks.groupBy("w").agg(F.bit_or(F.expr("shiftleft(one, b)")).alias("m")).collect()  # at most MAP_WORDS
-    table = [0] * MAP_WORDS
-    for r in marks:
-        table[r["w"]] = r["m"]
-    bits = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")  # folded to one constant
-    return rows.filter(F.getbit(F.get(bits, word), bit) == 1).join(ids, key, "left_semi")
+    place = F.pmod(spread, F.lit(bits))
+    marks = ids.select(F.shiftright(place, 6).cast("int").alias("w"), F.pmod(place, F.lit(64)).cast("int").alias("b"))
+    marks = marks.groupBy("w").agg(F.expr("bit_or(shiftleft(1L, b))").alias("m")).toPandas()  # at most bits / 64 rows
+    table = np.zeros(bits // 64, np.int64)
+    table[marks["w"].to_numpy(np.int64)] = marks["m"].to_numpy(np.int64)
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    def asked(places: pd.Series) -> pd.Series:
+        at = places.to_numpy(np.int64)
+        return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    may_be = F.pandas_udf(asked, "boolean")(place)
+    return rows.filter(may_be).join(ids, key, "left_semi")
 
 
 # ------------------------------------------------------------ components

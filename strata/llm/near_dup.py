@@ -24,8 +24,8 @@ in the hub's component cost one comparison per shared hub.
 
 Cases: without words or text the set is empty, linked with nothing; a null id
 takes part in no link and is kept with a null component; equal rows are one
-class, and of rows with equal ids each is reported; other columns do not
-matter. An empty table gives an empty result.
+class, and of rows with equal ids each is reported by its own text (its
+component is that of its text); other columns do not matter. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -91,8 +91,12 @@ def word_set(text: str, n: int) -> np.ndarray:
     return np.unique(shingles(worker_state("word_hasher", WordHasher).words(text), n))
 
 
+def _set_hash(found: np.ndarray) -> bytes:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+
+
 def sketches(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, set_hash, bands) of every row."""
+    """(doc_id, text_hash, n_shingles, set_hash, bands) of every row."""
 
     def make():
         circulant = worker_state("circulant", Circulant)
@@ -102,24 +106,30 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
             for t in texts:
                 found = word_set(t, n)
                 sizes.append(len(found))
-                hashes.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                hashes.append(_set_hash(found))
                 bands.append(band_keys(circulant.signature(found)) if len(found) else [])
             return sizes, hashes, bands
 
         return work
 
-    return map_texts(docs, make, "n_shingles long, set_hash binary, bands array<long>", ["doc_id"])
+    keyed = docs.withColumn("text_hash", F.xxhash64("text"))
+    return map_texts(keyed, make, "n_shingles long, set_hash binary, bands array<long>", ["doc_id", "text_hash"])
 
 
 def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, shingles) with the sorted distinct shingle hashes."""
-    return map_texts(docs, lambda: lambda texts: [[word_set(t, n).view(np.int64) for t in texts]], "shingles array<long>", ["doc_id"])
+    """(doc_id, set_hash, shingles) with the sorted distinct shingle hashes."""
+
+    def work(texts):
+        found = [word_set(t, n) for t in texts]
+        return [_set_hash(f) for f in found], [f.view(np.int64) for f in found]
+
+    return map_texts(docs, lambda: work, "set_hash binary, shingles array<long>", ["doc_id"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (a, b) pairs whose full sets are similar enough."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     return (
         pairs.join(left, "a")
@@ -159,7 +169,7 @@ def _stray_links(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ``family``: (hub, rep, stray, c). Blocks are hash slices of about
     BLOCK_SHINGLES shingles; every stray block meets every member block.
     """
-    sized = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n"))
+    sized = sets.select("rep", F.size("shingles").alias("n"))
     family = family.join(sized, "rep")
     blocks = (
         family.groupBy("hub")
@@ -178,7 +188,7 @@ def _stray_links(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     strays = rows.filter("stray").select(
         "hub", own.alias("sb"), F.explode(F.sequence(F.lit(0), F.col("members") - 1)).alias("mb"), "rep", "c", F.lit(True).alias("stray")
     )
-    filled = members.union(strays).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    filled = members.union(strays).join(sets, "rep")
 
     def links(block: pd.DataFrame) -> pd.DataFrame:
         s, m = block[block["stray"]], block[~block["stray"]]
@@ -196,13 +206,18 @@ def _stray_links(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = MIN_PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, text_hash, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text).
+
+    ``text_hash`` is xxhash64 of the text: rows of one id may have several texts.
+    """
     docs = docs.select("doc_id", "text")
     seen = materialise(sketches(docs, n), "sketches")
+    # A class is a set, whoever has it: it has a number, and the smallest id with the set is its owner.
     classes = materialise(
         seen.filter("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy("set_hash")
-        .agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")),
+        .agg(F.min("doc_id").alias("owner"), F.min_by("bands", "doc_id").alias("bands"))
+        .withColumn("rep", F.monotonically_increasing_id()),
         "classes",
     )
     buckets = classes.select("rep", F.explode("bands").alias("bucket"))
@@ -211,9 +226,13 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = MIN_
         buckets.join(hubs.select("bucket", "hub"), "bucket").filter("rep <> hub").select("bucket", "hub", "rep"), "members"
     )
     pairs = materialise(members.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = wanted_rows(docs, materialise(involved, "involved"))
-    sets = materialise(shingle_sets(texts, n).groupBy("doc_id").agg(F.first("shingles").alias("shingles")), "sets")
+    involved = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    involved = materialise(classes.join(involved, "rep", "left_semi").select("rep", "set_hash", F.col("owner").alias("doc_id")), "involved")
+    texts = wanted_rows(docs, materialise(involved.select("doc_id").distinct(), "owners"))
+    sets = shingle_sets(texts, n).join(involved, ["doc_id", "set_hash"])
+    # Rows of one id and set are alike; the grouping has the keys of the join, so sets are dealt out once.
+    sets = sets.groupBy("doc_id", "set_hash").agg(F.first("rep").alias("rep"), F.first("shingles").alias("shingles"))
+    sets = materialise(sets.select("rep", "shingles"), "sets")
     links = materialise(_verified(pairs, sets, percent), "links")
 
     label = components(links).withColumnRenamed("component_id", "c")
@@ -232,17 +251,17 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = MIN_
     )
     more = materialise(_stray_links(materialise(family, "family"), sets, percent), "links")
     joined = components(links.union(more))
-    rep = classes.select("set_hash", "rep")
-    label = joined.select(F.col("node").alias("rep"), "component_id")
+    owned = classes.select("set_hash", "rep", "owner").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    smallest = owned.filter("component_id IS NOT NULL").groupBy("component_id").agg(F.min("owner").alias("smallest"))
+    label = owned.join(smallest, "component_id", "left").select("set_hash", F.coalesce("smallest", "owner").alias("component_id"))
     with_set = F.when(F.expr("doc_id IS NOT NULL AND n_shingles > 0"), F.col("set_hash"))
     return (
-        seen.select("doc_id", "n_shingles", with_set.alias("set_hash"))
-        .join(rep, "set_hash", "left")
-        .join(label, "rep", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "rep", "doc_id").alias("component_id"))
+        seen.select("doc_id", "text_hash", "n_shingles", with_set.alias("set_hash"))
+        .join(label, "set_hash", "left")
+        .select("doc_id", "text_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
 
 
 def op3_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), n=2)
+    return near_duplicates(table(spark, sf_dir, "documents"), n=2).drop("text_hash")
