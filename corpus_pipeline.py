@@ -7,8 +7,8 @@ as the next stage's ``docs``. Any further columns of ``docs`` travel in one
 struct, so their names cannot clash with those of an operator.
 
 Cases: rows with a null id take part in everything but the two dedup stages,
-which pass them through; rows with equal ids are one document there and stay or
-go together; a null text is rejected by the quality rules; an empty table gives
+which pass them through; rows with equal ids stay or go by their own texts in
+near-dedup and are one document in substring dedup; a null text is rejected by the quality rules; an empty table gives
 empty results.
 """
 
@@ -25,6 +25,8 @@ from strata.llm.quality import kept_documents
 from strata.llm.substring_dup import repeated_passages, without_passages
 
 TOKENIZER = "word_bpe_49k.json"
+#: A column that ``docs`` does not have.
+_KEY = "_near_dup_stage_text_hash"
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
@@ -52,9 +54,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of every group of near-duplicates (5-word shingles, 0.8)."""
-    gone = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The smallest document of every group of near-duplicates (5-word shingles, 0.8).
+
+    Of rows with equal ids each stays or goes by its own text: a group's smallest id keeps all its rows of the group.
+    """
+    gone = near_duplicates(docs).filter("NOT kept").select("doc_id", "text_hash").distinct()
+    keyed = docs.withColumn(_KEY, F.xxhash64("text"))
+    gone = gone.withColumnRenamed("text_hash", _KEY)
+    return keyed.join(gone, ["doc_id", _KEY], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
