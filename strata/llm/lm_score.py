@@ -1,22 +1,30 @@
 """Stupid-backoff language-model scores, computed relationally.
 
-The model is two count tables over the corpus, words and word pairs, keyed by
-56-bit hashes. A document's score is the mean over its words of
-``log S(word | word before)``: ``c(pair) / c(word before)`` where the pair is in
-the table, else ``ALPHA * c(word) / N`` (N: words of the corpus).
-
-The sum splits into terms that each need one count only, so no row carries
-more than (document, n-gram, times): the pairs of all documents go once through
-a shuffle by the pair's hash, where the table is counted and joined; words
-go through one by the word's hash. A pair appears once per document there
-(times kept), so the most common pair is no more than one row per document.
-Words of the bounded frequent table are looked up on the map side and skip the
-shuffle. Pairs without a count are sent down to the word table.
-
-Cases: a null or empty text has 0 words and a null score; a null id is a
-document like any other (all null ids together); rows with equal ids and texts
-are one document that the corpus counts as often as it comes; other columns do
-not matter.
+The model is two count tables, words and word pairs, keyed by hashes of 32 bits
+a word. A document's score is the mean over its words of ``log S(word | word
+before)``: ``c(pair) / c(word before)`` where the pair is counted, else backed
+off to ``ALPHA * c(word) / N`` (N: words of the corpus); the first word scores
+``c(word) / N``. Under its own corpus a document's pairs are counted in the other
+documents only, so what nobody else writes backs off; words are counted in all.
+
+The sum splits into terms that each need one count only:
+
+* Words go through one aggregate. The most frequent ones, chosen by a histogram
+  of the counts, are a bounded broadcast; the others are joined.
+* Pairs go once through a shuffle by hash. What a batch of documents sends to a
+  bucket is one row of sorted, byte-planed arrays, which Spark compresses to less
+  than nine bytes a pair. A task has a bucket's pairs of all documents, so it
+  counts them, joins the counts back and adds up the terms. Pairs without a
+  count ask for the counts of their two words, which their key names.
+* Pairs that many documents of a sample have are counted with the words and
+  scored on the map side, so no bucket is filled by one of them. (The sample
+  changes only where a pair is scored.)
+
+Cases: a null or empty text has 0 words and a null score; rows with equal ids,
+or none, are documents of their own; a word that the corpus does not have counts
+as seen once; very long texts are arrays of a task's batch; an empty table gives
+an empty result; other columns do not matter. Rows are told apart by their place in
+``docs``, which must be a table or anything else that is read alike twice.
 """
 
 from __future__ import annotations
@@ -25,138 +33,301 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import WordHasher, map_texts, materialise, shingles, table, worker_state
+from strata.llm.common import WordHasher, _mix, materialise, table, worker_state
 
 ALPHA = 0.4
-#: Words whose counts are broadcast (8 + 4 bytes each), the most frequent ones.
-FREQUENT = 1_000_000
+#: Words whose counts are broadcast, at most (the most frequent ones).
+FREQUENT = 200_000
+#: Pairs that a bucket holds, about.
+BUCKET_PAIRS = 1_000_000
+#: A pair that more than one in HOT_SHARE sampled documents has is hot; HOT_PAIRS at most.
+HOT_SHARE, HOT_PAIRS, SAMPLE_DOCS = 100, 20_000, 20_000
+#: Rows that a task hands on at once.
+_ROWS = 100_000
 
+_LOW = np.uint64(0xFFFFFFFF)
 
-#: Keys have 56 bits: one byte in eight that the largest shuffle need not carry.
-_SPARE = np.uint64(8)
 
+def word_ids(text: str | None) -> np.ndarray:
+    """32-bit hashes of the words, in order."""
+    return worker_state("word_hasher", WordHasher).words(text) >> np.uint64(32)
 
-def _words(text: str) -> np.ndarray:
-    return worker_state("word_hasher", WordHasher).words(text)
 
+def _pair_keys(words: np.ndarray) -> np.ndarray:
+    return words[:-1] << np.uint64(32) | words[1:]
 
-def _many(texts, rows_of) -> list:
-    """Result columns from the arrays that ``rows_of`` gives for each text."""
-    rows, columns = [], None
-    for i, text in enumerate(texts):
-        found = rows_of(_words(text))
-        columns = columns or [[] for _ in found]
-        rows.append(np.full(len(found[0]), i))
-        for column, values in zip(columns, found, strict=True):
-            column.append(values)
-    return [np.concatenate(rows), *(np.concatenate(c) for c in columns)] if rows else [[], [], []]
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
 
-def _counted(keys: np.ndarray):
-    keys, n = np.unique(keys >> _SPARE, return_counts=True)
-    return keys.view(np.int64), n
 
+def _blobs(values: np.ndarray) -> bytes:
+    """Bytes plane by plane: equal high bytes lie together."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
 
-def pairs(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, n): the distinct word pairs of every text."""
 
-    def rows_of(words):
-        return _counted(shingles(words, 2) if len(words) > 1 else words[:0])
+def _values(raw: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
-    return map_texts(docs, lambda: lambda t: _many(t, rows_of), "key long, n int", ["doc_id"], many=True)
 
+# ------------------------------------------------------------ counts
 
-def words(docs: DataFrame) -> DataFrame:
-    """(key, n): the words of every text; hashed, summed per text."""
-    return map_texts(docs, lambda: lambda t: _many(t, _counted), "key long, n int", [], many=True)
 
+def _counts(docs: DataFrame, hot: np.ndarray) -> DataFrame:
+    """(pair, key, n): the words of all texts (pair false) and their hot pairs (pair true)."""
+    import pyarrow as pa
 
-def _logs(docs: DataFrame, counts: DataFrame, rows_of, frequent: int) -> DataFrame:
-    """(doc_id, part) whose sums are ``sum(weight * log count)`` over (key, weight) rows of every text."""
-    top = counts.orderBy(F.desc("n"), "key").limit(frequent).toPandas().sort_values("key")  # at most ``frequent``
-    known = docs.sparkSession.sparkContext.broadcast((top["key"].to_numpy(np.int64), np.log(top["n"].to_numpy(np.float64))))
+    def run(batches):
+        for batch in filter(len, batches):
+            for kind in (False, True):
+                found = [word_ids(t) for t in batch.column(0).to_pylist()]
+                if kind:
+                    found = [k[np.isin(k, hot)] for k in map(_pair_keys, found)] if len(hot) else []
+                keys, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(keys), kind)), pa.array(keys.view(np.int64)), pa.array(n)], names=["pair", "key", "n"]
+                )
 
-    def make():
-        keys, logs = known.value
+    return docs.select("text").mapInArrow(run, "pair boolean, key long, n long").groupBy("pair", "key").agg(F.sum("n").alias("n"))
 
-        def work(texts):
-            rows, out_keys, weights, parts = [], [], [], []
-            for i, text in enumerate(texts):
-                own, weight = rows_of(_words(text))
-                at = np.minimum(np.searchsorted(keys, own), max(len(keys) - 1, 0))
-                hit = keys[at] == own if len(keys) else np.zeros(len(own), bool)
-                rest = ~hit
-                rows.append(np.full(rest.sum() + 1, i))
-                # One row holds what the frequent words give, with no key.
-                out_keys += own[rest].tolist() + [None]
-                weights += weight[rest].tolist() + [0.0]
-                parts += [0.0] * int(rest.sum()) + [float((logs[at[hit]] * weight[hit]).sum())]
-            return (np.concatenate(rows) if rows else []), out_keys, weights, parts
 
-        return work
+def hot_pairs(docs: DataFrame) -> np.ndarray:
+    """Sorted keys of pairs that many documents of a bounded sample have."""
+    import pyarrow as pa
 
-    rows = map_texts(docs, make, "key long, weight double, part double", ["doc_id"], many=True)
-    found = rows.filter("key IS NOT NULL").join(counts, "key").select("doc_id", (F.col("weight") * F.log("n")).alias("part"))
-    return rows.filter("key IS NULL").select("doc_id", "part").union(found)
+    n = docs.count()
+    sample = docs.select("text").sample(min(1.0, SAMPLE_DOCS / n), 7) if n > SAMPLE_DOCS else docs.select("text")
 
+    def run(batches):
+        for batch in filter(len, batches):
+            found = [np.unique(_pair_keys(word_ids(t))) for t in batch.column(0).to_pylist()]
+            keys, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
 
-def _first_and_contexts(words: np.ndarray):
-    """+1 for the first word, -1 for each word that another follows."""
-    if not len(words):
-        return words.view(np.int64), np.zeros(0)
-    keys, at = np.unique(words >> _SPARE, return_inverse=True)
-    weight = -np.bincount(at[:-1], minlength=len(keys)).astype(float)
-    weight[at[0]] += 1
-    return keys.view(np.int64), weight
+    counted = sample.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    often = counted.filter(F.col("n") * HOT_SHARE > min(n, SAMPLE_DOCS)).orderBy(F.desc("n"), "key").limit(HOT_PAIRS)
+    return np.sort(often.select("key").toPandas()["key"].to_numpy(np.int64).view(np.uint64))  # at most HOT_PAIRS
+
+
+def frequent_words(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of at most ``limit`` of the most frequent words, and the logarithms of their counts."""
+    step = F.floor(F.log2("n") * 8).cast("int")
+    sizes = counts.groupBy(step.alias("step")).count().collect()  # some hundred rows
+    taken, least = 0, None
+    for r in sorted(sizes, key=lambda r: -r["step"]):
+        taken += r["count"]
+        if taken > limit:
+            break
+        least = r["step"]
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    top = counts.filter(step >= least).select("key", "n").toPandas()
+    keys = top["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], np.log(top["n"].to_numpy(np.float64))[order]
+
+
+def _looked_up(keys: np.ndarray, known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a key is known, its value or 0)."""
+    if not len(known):
+        return np.zeros(len(keys), bool), np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    hit = known[at] == keys
+    return hit, np.where(hit, values[at], 0)
+
+
+# ------------------------------------------------------------ pairs
+
+
+def _bucketed(docs: DataFrame, hot: np.ndarray, buckets: int, side: str) -> DataFrame:
+    """(bucket, side, base, keys, rows, times): the distinct pairs of every document but the hot ones.
+
+    A row holds what one batch of documents sends to one bucket; documents are
+    numbered from ``base``, the place of the batch.
+    """
+    import pyarrow as pa
+
+    names = ["bucket", "side", "base", "keys", "rows", "times"]
+
+    def run(batches):
+        for batch in filter(len, batches):
+            keys, rows, times = [], [], []
+            places = batch.column(2).to_numpy()
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                own, n = np.unique(_pair_keys(word_ids(text)), return_counts=True)
+                if len(hot) and len(own):
+                    cold = ~np.isin(own, hot)
+                    own, n = own[cold], n[cold]
+                keys.append(own)
+                rows.append(np.full(len(own), i, np.uint32))
+                times.append(n.astype(np.uint32))
+            keys, rows, times = (np.concatenate(x) for x in (keys, rows, times))
+            bucket = (_mix(keys) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((rows, keys, bucket))
+            keys, rows, times, bucket = keys[order], rows[order], times[order], bucket[order]
+            for first, stop in zip(*_runs(bucket)):
+                part = slice(first, stop)
+                arrays = (np.diff(keys[part], prepend=np.uint64(0)), rows[part], times[part])
+                values = (int(bucket[first]), side, int(places[0]), *map(_blobs, arrays))
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in values], names=names)
+
+    fields = "bucket long, side string, base long, keys binary, rows binary, times binary"
+    # The columns of the other pass over the documents: places must not depend on what is pruned.
+    return docs.select("doc_id", "text", "row").mapInArrow(run, fields)
+
+
+def _runs(values: np.ndarray) -> tuple[list[int], list[int]]:
+    """First and last places of the runs of equal values."""
+    if not len(values):
+        return [], []
+    cuts = np.flatnonzero(np.diff(values)) + 1
+    return [0, *cuts.tolist()], [*cuts.tolist(), len(values)]
+
+
+def _terms(pairs: DataFrame, known: np.ndarray, logs: np.ndarray, fixed: float) -> DataFrame:
+    """(row, key, weight, part): the terms of all pairs of ``pairs`` (dealt and sorted by bucket).
+
+    With a null key ``part`` is a sum of terms; else ``weight * log c(key)`` is one that is still to be looked up.
+    """
+    import pyarrow as pa
+
+    names = ["row", "key", "weight", "part"]
+
+    def batch(rows, keys, weights, parts):
+        keys = pa.nulls(len(rows), pa.int64()) if keys is None else pa.array(keys.view(np.int64))
+        weights, parts = (np.zeros(len(rows)) if x is None else x for x in (weights, parts))
+        return pa.RecordBatch.from_arrays([pa.array(rows), keys, pa.array(weights.astype(float)), pa.array(parts.astype(float))], names=names)
+
+    def bucket_terms(blobs):
+        sides = []
+        for b in blobs:
+            rows, times = (_values(b[c], np.uint32).astype(np.int64) for c in ("rows", "times"))
+            sides.append((b["side"], np.cumsum(_values(b["keys"], np.uint64)), b["base"] + rows, times))
+        counted = [(k, n) for side, k, _, n in sides if side != "asked"]
+        asked = [(k, r, n, np.full(len(k), side == "both")) for side, k, r, n in sides if side != "counted"]
+        if not asked:
+            return
+        own, rows, times, left_out = (np.concatenate(x) for x in zip(*asked))
+        every, n = (np.concatenate(x) for x in zip(*counted)) if counted else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        keys, at = np.unique(every, return_inverse=True)
+        hit, count = _looked_up(own, keys, np.bincount(at, n, len(keys)))
+        count = count - np.where(left_out, times, 0)
+        seen = hit & (count > 0)
+        part = np.where(seen, times * np.log(np.where(seen, count, 1)), times * fixed)
+        asks, weights, where = [], [], []
+        for half in (own >> np.uint64(32), own & _LOW):
+            got, log = _looked_up(half, known, logs)
+            part += np.where(~seen & got, times * log, 0)
+            rest = ~seen & ~got
+            asks.append(half[rest])
+            weights.append(times[rest])
+            where.append(rows[rest])
+        places, at = np.unique(rows, return_inverse=True)
+        yield batch(places, None, None, np.bincount(at, part, len(places)))
+        asks, weights, where = (np.concatenate(x) for x in (asks, weights, where))
+        for k in range(0, len(asks), _ROWS):
+            yield batch(where[k : k + _ROWS], asks[k : k + _ROWS], weights[k : k + _ROWS], None)
+
+    def run(batches):
+        held, bucket = [], None
+        for each in batches:
+            for i in range(each.num_rows):
+                row = each.slice(i, 1).to_pylist()[0]
+                if row["bucket"] != bucket and held:
+                    yield from bucket_terms(held)
+                    held = []
+                bucket = row["bucket"]
+                held.append(row)
+        if held:
+            yield from bucket_terms(held)
+
+    return pairs.mapInArrow(run, "row long, key long, weight double, part double")
+
+
+def _own_terms(docs: DataFrame, known, logs, hot, hot_counts, leave_out: bool, fixed: float) -> DataFrame:
+    """(row, doc_id, n_words, key, weight, part): first words, contexts and hot pairs of every document.
+
+    Every document has one row with a null key; the others are words still to be looked up.
+    """
+    import pyarrow as pa
+
+    names = ["row", "doc_id", "n_words", "key", "weight", "part"]
+
+    def terms(words):
+        """(words, weights of their logarithms, sum of the rest) of one document."""
+        if not len(words):
+            return words, np.zeros(0), 0.0
+        pairs, n = np.unique(_pair_keys(words), return_counts=True)
+        hit, count = _looked_up(pairs, hot, hot_counts)
+        pairs, n, count = pairs[hit], n[hit], count[hit] - (n[hit] if leave_out else 0)
+        seen = count > 0
+        part = float((n[seen] * np.log(count[seen])).sum() + n[~seen].sum() * fixed)
+        more = [pairs[~seen] >> np.uint64(32), pairs[~seen] & _LOW]
+        keys, at = np.unique(np.concatenate([words[:1], words[:-1], *more]), return_inverse=True)
+        weights = np.concatenate([[1.0], np.full(len(words) - 1, -1.0), n[~seen], n[~seen]])
+        return keys, np.bincount(at, weights, len(keys)), part
+
+    def run(batches):
+        for batch in batches:
+            out = [[] for _ in names]
+            for doc, text, row in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                words = word_ids(text)
+                keys, weights, part = terms(words)
+                hit, log = _looked_up(keys, known, logs)
+                rest = ~hit & (weights != 0)
+                part += float((weights * log).sum())
+                for column, value, filler in zip(out, (row, doc, len(words), None, 0.0, part), (row, None, None, None, None, 0.0)):
+                    column.append(value)
+                    column.extend([filler] * int(rest.sum()))
+                n = int(rest.sum())
+                if n:
+                    out[3][-n:] = keys[rest].view(np.int64).tolist()
+                    out[4][-n:] = weights[rest].tolist()
+            types = (pa.int64(), batch.column(0).type, pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", "row").mapInArrow(run, f"row long, doc_id {kind}, n_words long, key long, weight double, part double")
+
+
+# ------------------------------------------------------------ scores
 
 
 def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, frequent: int = FREQUENT) -> DataFrame:
-    """(doc_id, n_words, score) of ``docs`` (doc_id, text) under the counts of ``corpus`` (default: docs)."""
-    docs = docs.select("doc_id", "text")
-    corpus = docs if corpus is None else corpus.select("doc_id", "text")
-    counts = materialise(words(corpus).groupBy("key").agg(F.sum("n").alias("n")), "words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    # One exchange by the pair's hash feeds the count table and the rows it is joined to.
-    known = pairs(corpus).repartition("key")
-    pair_counts = known.groupBy("key").agg(F.sum("n").alias("c"))
-    asked = (known if corpus is docs else pairs(docs).repartition("key")).join(pair_counts, "key", "left")
-    terms = asked.withColumn("part", F.col("n") * F.log("c"))
-    if corpus is not docs:
-        terms = materialise(terms, "pairs")
-        unseen = terms.filter("c IS NULL").select("doc_id", "key")
-        terms = terms.filter("c IS NOT NULL")
-    terms = terms.groupBy("doc_id").agg(F.sum("part").alias("part"))
-    if corpus is not docs:
-        # A pair without a count gives back its context and asks for its second word.
-        moved = _moved(docs, unseen, counts, total)
-        terms = terms.union(moved)
-    logs = _logs(docs, counts, _first_and_contexts, frequent).groupBy("doc_id").agg(F.sum("part").alias("part"))
-    sizes = map_texts(docs, lambda: lambda t: [[len(_words(x)) for x in t]], "n_words long", ["doc_id"])
-    sizes = sizes.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.count(F.when(F.col("n_words") > 0, 1)).alias("texts"))
-    sums = terms.union(logs).groupBy(F.col("doc_id").alias("d")).agg(F.sum("part").alias("part"))
-    score = (F.col("part") - F.col("texts") * F.log(F.lit(float(max(total, 1))))) / F.col("n_words")
+    """(doc_id, n_words, score) of every row of ``docs`` (doc_id, text).
+
+    Counts are those of ``corpus``, or of the other documents of ``docs`` if it is not given.
+    """
+    own = corpus is None
+    counted = docs if own else corpus
+    hot = hot_pairs(counted)
+    counts = materialise(_counts(counted, hot), "counts")
+    words = counts.filter("NOT pair").select("key", "n")
+    total = words.agg(F.sum("n")).first()[0] or 0
+    known, logs = frequent_words(words, frequent)
+    found = counts.filter("pair").select("key", "n").toPandas().sort_values("key")  # at most HOT_PAIRS
+    hot_counts = np.zeros(len(hot))
+    hot_counts[np.searchsorted(hot, found["key"].to_numpy(np.int64).view(np.uint64))] = found["n"]
+    fixed = float(np.log(ALPHA / max(total, 1)))
+
+    buckets = max(1, int(total // BUCKET_PAIRS))
+    docs = _numbered(docs)
+    sent = _bucketed(docs, hot, buckets, "both" if own else "asked")
+    if not own:
+        sent = sent.union(_bucketed(_numbered(corpus), hot, buckets, "counted"))
+    terms = _terms(sent.repartition("bucket").sortWithinPartitions("bucket"), known, logs, fixed)
+    mine = materialise(_own_terms(docs, known, logs, hot, hot_counts, own, fixed), "own")
+
+    sums = terms.filter("key IS NULL").select("row", "part")
+    asked = terms.filter("key IS NOT NULL").select("row", "key", "weight").union(mine.filter("key IS NOT NULL").select("row", "key", "weight"))
+    looked = asked.join(words, "key").select("row", (F.col("weight") * F.log("n")).alias("part"))  # an unknown word: log 1
+    parts = sums.union(looked).groupBy("row").agg(F.sum("part").alias("more"))
+    score = (F.col("part") + F.coalesce("more", F.lit(0.0)) - F.lit(float(np.log(max(total, 1))))) / F.col("n_words")
     return (
-        sizes.join(sums, F.expr("doc_id <=> d"), "left")
+        mine.filter("key IS NULL").join(parts, "row", "left")
         .select("doc_id", "n_words", F.when(F.col("n_words") > 0, F.round(score, 6)).alias("score"))
-    )
-
-
-def _moved(docs: DataFrame, unseen: DataFrame, counts: DataFrame, total: int) -> DataFrame:
-    """(doc_id, part): backoff terms of the pairs that have no count."""
-
-    def rows_of(found):
-        if len(found) < 2:
-            return [found[:0].view(np.int64)] * 3 + [np.zeros(0, np.int64)]
-        keys, at, n = np.unique(shingles(found, 2) >> _SPARE, return_index=True, return_counts=True)
-        return keys.view(np.int64), (found[at] >> _SPARE).view(np.int64), (found[at + 1] >> _SPARE).view(np.int64), n
-
-    wide = map_texts(docs, lambda: lambda t: _many(t, rows_of), "key long, w1 long, w2 long, n int", ["doc_id"], many=True)
-    rows = wide.alias("x").join(unseen.alias("u"), F.expr("x.key = u.key AND x.doc_id <=> u.doc_id"), "left_semi")
-    asks = rows.select("doc_id", F.col("w1").alias("key"), "n").union(rows.select("doc_id", "w2", "n")).groupBy("doc_id", "key")
-    asks = asks.agg(F.sum("n").alias("times")).join(counts, "key", "left")
-    # An unknown word counts as seen once.
-    fixed = rows.select("doc_id", (F.col("n") * float(np.log(ALPHA / max(total, 1)))).alias("part"))
-    return asks.select("doc_id", (F.col("times") * F.log(F.coalesce("n", F.lit(1)))).alias("part")).union(fixed)
+    )
 
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

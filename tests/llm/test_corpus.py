@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import common, lm_score, near_dup, substring_dup
 from tests.conftest import SF0001
@@ -82,6 +83,33 @@ def test_near_duplicates_without_ids_rows_or_links(spark, no_docs):
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in rows) == [(0, 0, True), (1, 1, True), (1, 1, True), (2, 2, True)]
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_rows_of_one_id_with_several_texts(spark, turn):
+    """Links go by texts, whatever else an id holds, and every text keeps a row in the pipeline's stage."""
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{name}{i}" for i in range(60)) for name in "abc")
+    rows = [(2, a), (2, b), (3, b), (3, b + " word"), (5, c), (5, "x y z"), (1, c), (6, a), (6, None), (None, b), (7, "")][::turn]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text"))
+    found = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect()}
+    assert found == {
+        (2, 56, 2, True), (3, 56, 2, False), (3, 57, 2, False), (5, 56, 1, False), (5, 1, 5, True), (1, 56, 1, True),
+        (6, 56, 2, False), (6, 0, 6, True), (None, 56, None, True), (7, 0, 7, True),
+    }
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dup_stage(spark, docs, "").collect()]
+    assert sorted(kept, key=str) == sorted([(2, a), (2, b), (5, "x y z"), (1, c), (6, None), (None, b), (7, "")], key=str)
+
+
+def test_the_map_of_wanted_rows_follows_the_ids(spark, monkeypatch):
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    for step, bits in ((1, 1 << 29), (7, 1 << 29), (3, 1 << 10), (50_000, 1 << 29)):
+        monkeypatch.setattr(common, "MAX_MAP_BITS", bits)
+        ids = rows.filter(F.col("doc_id") % step == 1 % step).select("doc_id")
+        got = sorted(r.doc_id for r in common.wanted_rows(rows, ids).collect())
+        assert got == list(range(1 % step, 20_000, step))
+    assert common.wanted_rows(rows, rows.filter("false").select("doc_id")).count() == 0
+
+
 def test_circulant_coordinates_estimate_similarity():
     rng = np.random.default_rng(0)
     values = rng.integers(0, 2**63, 1100, dtype=np.uint64)
@@ -144,28 +172,70 @@ def test_passages_in_the_test_table(spark):
     assert repeated <= {r.doc_id for r in found.collect()}
 
 
-def test_lm_scores_match_brute_force(corpus, corpus_docs, no_docs):
-    for train in (corpus, [r for r in corpus if r[0] % 3 == 0]):
-        one, two = collections.Counter(), collections.Counter()
-        for _, t in train:
-            w = words(t)
-            one.update(w)
-            two.update(itertools.pairwise(w))
-        total = sum(one.values())
-        model = None if train is corpus else corpus_docs.filter("doc_id % 3 = 0")
-        rows = lm_score.lm_scores(corpus_docs, model, frequent=40).collect()
-        assert len(rows) == len(corpus)
-        texts = dict(corpus)
-        for r in rows:
-            w, s = words(texts[r.doc_id]), 0.0
-            for k, x in enumerate(w):
-                pair = two[(w[k - 1], x)] if k else 0
-                s += math.log(pair / one[w[k - 1]]) if pair else math.log((lm_score.ALPHA if k else 1) * max(1, one[x]) / total)
-            assert r.n_words == len(w)
-            assert (r.score is None) == (not w) and (not w or abs(r.score - s / len(w)) < 2e-6)
+def _brute_scores(asked, train):
+    """Scores of the texts under ``train``, or under each other (own pairs left out) if it is None."""
+    one, two = collections.Counter(), collections.Counter()
+    for _, t in asked if train is None else train:
+        w = words(t)
+        one.update(w)
+        two.update(itertools.pairwise(w))
+    total, out, backed_off = sum(one.values()), [], 0
+    for i, t in asked:
+        w, s = words(t), 0.0
+        own = collections.Counter(itertools.pairwise(w) if train is None else ())
+        for k, x in enumerate(w):
+            pair = two[w[k - 1], x] - own[w[k - 1], x] if k else 0
+            backed_off += k > 0 and not pair
+            s += math.log(pair / one[w[k - 1]]) if pair else math.log((lm_score.ALPHA if k else 1) * max(1, one[x]) / total)
+        out.append((i, len(w), s / len(w) if w else None))
+    return out, backed_off
+
+
+def _same_scores(rows, want):
+    key = lambda r: (str(r[0]), r[1], r[2] or 0)
+    assert len(rows) == len(want)
+    for r, e in zip(sorted(map(tuple, rows), key=key), sorted(want, key=key)):
+        assert r[:2] == e[:2] and (r[2] is None) == (e[2] is None) and (e[2] is None or abs(r[2] - e[2]) < 2e-6)
+
+
+@pytest.mark.parametrize("settings", [{}, {"BUCKET_PAIRS": 3_000, "HOT_PAIRS": 0}, {"BUCKET_PAIRS": 500, "HOT_PAIRS": 50, "_ROWS": 7}])
+def test_lm_scores_match_brute_force(corpus, corpus_docs, no_docs, settings, monkeypatch):
+    for name, value in settings.items():
+        monkeypatch.setattr(lm_score, name, value)
+    want, backed_off = _brute_scores(corpus, None)
+    assert backed_off > 1000  # the model backs off under its own corpus too
+    _same_scores(lm_score.lm_scores(corpus_docs, frequent=40).collect(), want)
+    train = [r for r in corpus if r[0] % 3 == 0]
+    want, _ = _brute_scores(corpus, train)
+    _same_scores(lm_score.lm_scores(corpus_docs, corpus_docs.filter("doc_id % 3 = 0"), frequent=40).collect(), want)
     assert lm_score.lm_scores(no_docs).count() == 0
 
 
+def test_lm_scores_of_odd_rows(spark, odd_texts, odd_docs, tmp_dir):
+    want, _ = _brute_scores(odd_texts, None)
+    _same_scores(lm_score.lm_scores(odd_docs).collect(), want)
+    odd_docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    _same_scores(lm_score.op2_lm_score(spark, tmp_dir).collect(), want)
+
+
+def test_lm_pairs_are_shuffled_once(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    frame = lm_score.lm_scores(docs)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("+- Exchange hashpartitioning(bucket") == 1 and final.count("ReusedExchange [bucket") == 1
+
+
+def test_frequent_words_are_bounded(spark):
+    counts = spark.range(1, 2000).select(F.col("id").alias("key"), (F.col("id") * 3).alias("n"))
+    for limit in (0, 1, 300, 5000):
+        keys, logs = lm_score.frequent_words(counts, limit)
+        assert len(keys) <= limit and (len(keys) == 1999 if limit == 5000 else limit < 2 or len(keys) > limit / 2)
+        assert np.allclose(logs, np.log(keys.astype(float) * 3)) and (np.diff(keys.astype(np.int64)) > 0).all()
+        assert not len(keys) or keys.max() == 1999
+
+
 def _drawn(rng, n):
     return rng.integers(1, 2**62, n).astype(np.uint64)
 
