@@ -230,6 +230,22 @@ def q_trend_year(spark, sf_dir):
     return _trend_grain(spark, sf_dir, "year")
 
 
+FIRST_PERIODS = 30
+
+
+def q_trend_first_periods(spark, sf_dir):
+    """L2: the first periods of all orders in time order, those without a date last."""
+    orders = _t(spark, sf_dir, "orders").withColumn("o_orderdate", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate")))
+    found = trends.trends(orders, ["o_orderdate"]).filter("grain <> 'day'")
+    return trends.ordered(found).limit(FIRST_PERIODS).select("grain", "period", "count")
+
+
+def q_profile_sampled(spark, sf_dir):
+    """L3: roles of orders (its date as text) decided by a sample of 500 rows."""
+    orders = _t(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+    return build_profile(orders, sample_rows=500).to_frame(spark).select("column_name", "role")
+
+
 def q_trend_all_grains(spark, sf_dir):
     res = analyze(_t(spark, sf_dir, "orders"))
     return res.trends.select("column_name", "grain", "period", "count")
@@ -889,6 +905,8 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "categorical_topk": q_categorical_topk,
         "categorical_topk_numeric": q_categorical_topk_numeric,
         "trend_day": q_trend_day,
+        "trend_first_periods": q_trend_first_periods,
+        "profile_sampled": q_profile_sampled,
         "trend_month": q_trend_month,
         "trend_year": q_trend_year,
         "trend_all_grains": q_trend_all_grains,
@@ -1362,6 +1380,21 @@ def _library_oracle_sql() -> dict[str, str]:
             + ") t"
         ),
         "trend_day": _trend_sql("day"),
+        "trend_first_periods": (
+            "SELECT grain, period, count FROM (SELECT 'month' AS grain, 1 AS g, CAST(date_trunc('month', d) AS DATE) AS period, count(*) AS count "
+            "FROM (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS d FROM orders) GROUP BY 3 UNION ALL "
+            "SELECT 'year', 2, make_date(CAST(year(d) AS INTEGER), 1, 1), count(*) "
+            "FROM (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS d FROM orders) GROUP BY 3) "
+            f"ORDER BY g, period NULLS LAST LIMIT {FIRST_PERIODS}"
+        ),
+        "profile_sampled": (
+            "SELECT * FROM (VALUES ('o_orderstatus', 'categorical'), ('o_orderpriority', 'categorical'), ('o_orderdate', 'datetime')) v(column_name, role)"
+            + "".join(
+                f" UNION ALL SELECT '{c}', CASE WHEN count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) "
+                f"<= {LIMIT} THEN 'categorical' ELSE 'numeric' END FROM orders"
+                for c in ("o_orderkey", "o_custkey", "o_totalprice")
+            )
+        ),
         "trend_month": _trend_sql("month"),
         "trend_year": _trend_sql("year"),
         "trend_all_grains": _all_grains_sql("orders", [("o_orderdate", "o_orderdate")]),

@@ -112,6 +112,7 @@ class Profile:
         return out
 
     def to_dict(self) -> dict[str, Any]:
+        # The keys of the published document.
         return {
             "all_columns": self.all_columns,
             "numeric_columns": list(self.numeric),
@@ -307,6 +308,7 @@ def build_profile(
         try:
             row_count, info = capped_distinct(df, numeric_typed, limit)
         except Exception as exc:  # reported, never fatal
+            # Fixed text of the issue.
             issues.append(f"distinct check failed for {', '.join(numeric_typed)}: {exc}")
             row_count, info = df.count(), {}
         for c, (nulls, n) in info.items():
@@ -359,5 +361,5 @@ def build_profile(
 def validate_minimum_schema(profile: Profile) -> tuple[bool, list[str]]:
     """P5: at least one column is required."""
     if not profile.columns:
-        return False, ["Dataset has no columns."]
+        return False, ["Dataset has no columns."]  # fixed text
     return True, []

@@ -6,6 +6,8 @@ All answers are DataFrames. Column and table listings are catalog metadata
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,20 +49,38 @@ def inspect(wh: Warehouse, sample_rows: int = 5, layer: str | None = None, slug:
     """One row per table: ``(layer, table_name, columns, sample, error)``.
 
     ``columns`` is ``name: type`` text in schema order; ``sample`` holds up to
-    ``sample_rows`` rows as JSON. Each table is read on its own, so one that
-    cannot be read reports its error and the others their rows. ``layer`` and
-    ``slug`` choose the tables before anything is read.
+    ``sample_rows`` rows as JSON. All samples are read by one job; if it fails,
+    each table is read on its own, so one that cannot be read reports its error
+    and the others their rows. ``layer`` and ``slug`` choose the tables before
+    anything is read.
     """
-    rows = []
+    rows, readers = [], {}
     for name in [layer] if layer else LAYERS:
         for t in wh.tables(name, slug):
-            columns_text, sample, error = None, [], None
+            row = {"layer": name, "table_name": t, "columns": None, "sample": [], "error": None}
             try:
                 df = wh.spark.table(f"{wh.db(name)}.{t}")
-                columns_text = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in df.schema.fields)
-                texts = df.limit(sample_rows).select(F.to_json(F.struct(*[col(c) for c in df.columns])))
-                sample = [r[0] for r in texts.collect()]  # at most sample_rows
+                row["columns"] = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in df.schema.fields)
+                texts = F.to_json(F.struct(*[col(c) for c in df.columns])).alias("text")
+                readers[len(rows)] = df.limit(sample_rows).select(F.lit(len(rows)).alias("at"), texts)
             except Exception as exc:  # per-table failure is part of the report
-                error = str(exc)
-            rows.append((name, t, columns_text, sample, error))
-    return wh.spark.createDataFrame(rows, INSPECT_SCHEMA)
+                row["error"] = str(exc)
+            rows.append(row)
+    for at, text, error in _samples(readers):
+        if error:
+            rows[at]["error"] = error
+        else:
+            rows[at]["sample"].append(text)
+    return wh.spark.createDataFrame([tuple(r.values()) for r in rows], INSPECT_SCHEMA)
+
+
+def _samples(readers: dict[int, DataFrame]) -> list[tuple[int, str | None, str | None]]:
+    """(table, row as text, error) of all samples, at most ``sample_rows`` a table."""
+    if not readers:
+        return []
+    try:
+        return [(r["at"], r["text"], None) for r in reduce(DataFrame.union, readers.values()).collect()]
+    except Exception as exc:
+        if len(readers) == 1:
+            return [(next(iter(readers)), None, str(exc))]
+        return [found for at, df in readers.items() for found in _samples({at: df})]

@@ -165,6 +165,7 @@ def run_job(
     filename = filename or path.rstrip("/").split("/")[-1]
     history = history or RunHistory.default(spark)
     result = JobResult(job_id, QUEUED, filename)
+    # Progress in percent: fixed values (as the upload job reports them).
     result.progress.append((QUEUED, 0))
     ok, safe_or_reason = validate_filename(filename, size)
     if not ok:

@@ -26,6 +26,7 @@ MSG_NO_EXTENSION = "File must have an extension."
 # Our own decision: legacy .xls has no reader here, so it is refused up front.
 MSG_XLS = "Legacy .xls workbooks are not supported; save the sheet as .xlsx."
 
+# Fixed values (format by extension).
 EXTENSION_FORMATS = {
     ".csv": CSV,
     ".json": JSON,
@@ -35,6 +36,7 @@ EXTENSION_FORMATS = {
     ".xls": EXCEL,
 }
 
+# Fixed value (characters that a stored file name must not have).
 _UNSAFE = r"[^a-zA-Z0-9._\-]"
 
 
