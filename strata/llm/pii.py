@@ -9,7 +9,8 @@ values form a bipartite graph whose distinct edges Spark scores in rounds:
   are known instances of the kind, ``known / (all + 1)``, counted over all
   documents;
 * a value's score is the noisy-or of the confident patterns it occurs with;
-  values that reach the limit become instances and support patterns in turn.
+  values that reach the limit become instances and support patterns in turn,
+until a round finds nothing new.
 
 New instances are then marked wherever they were seen as candidates. Base
 entities are never removed or changed.
@@ -17,8 +18,9 @@ entities are never removed or changed.
 Cases: a null or empty text has no entity; repeated rows give repeated
 results; no two spans of the method overlap a base span; ties between kinds go
 to the first by name; without any confident pattern the base spans are all.
-Values are compared by their whole text. Offsets are code points, end
-exclusive.
+Values are compared by their whole text, however long a text is. Extra columns
+named in ``keep`` pass through, unless a column of the method has their name.
+Offsets are code points, end exclusive. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +39,6 @@ MIN_KNOWN = 3
 MIN_CONFIDENCE = 0.7
 #: A value becomes an instance from this score on.
 MIN_SCORE = 0.9
-ROUNDS = 3
 #: Characters before a mention that its context is taken from.
 CONTEXT_CHARS = 80
 
@@ -139,10 +140,12 @@ def mentions(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     return map_texts(docs, lambda: _find, FIELDS, keep, text)
 
 
-def discover(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def discover(edges: DataFrame) -> DataFrame:
     """(value, kind) of instances found beyond the base ones.
 
     ``edges``: distinct (pattern, value, kind), kind null for candidates.
+    Instances stay once they are found, so confidences and scores only grow
+    and the rounds end when one finds nothing new.
     """
     spark = edges.sparkSession
     known = edges.filter("kind IS NOT NULL").select("value", "kind").distinct()
@@ -150,7 +153,7 @@ def discover(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     size = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     candidates = edges.filter("kind IS NULL").select("pattern", "value")
     found = spark.createDataFrame([], "value string, kind string")
-    for _ in range(rounds):
+    while True:
         confident = (
             graph.join(known.union(found), "value")
             .groupBy("pattern", "kind")
@@ -169,15 +172,19 @@ def discover(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .groupBy("value")
             .agg(F.min(F.struct(-F.col("score"), F.col("kind").alias("kind"))).alias("best"))
         )
-        new = materialise(scored.select("value", "best.kind"), "instances")
-        if new.join(found, "value", "left_anti").isEmpty():
-            return new
-        found = new
-    return found
+        new = materialise(scored.select("value", "best.kind").join(found, "value", "left_anti"), "instances")
+        if new.isEmpty():
+            return found
+        found = materialise(found.union(new), "found")
+
+
+#: Names of the method's own columns; kept columns of these names are left out.
+_OWN = {"base", "spans", "_base", "_mentions", "_more", "_row"}
 
 
 def find_pii(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` with n_email .. n_phone, ``base`` and ``spans`` (arrays of kind, first, stop) of every row."""
+    keep = [c for c in keep if c.lower() not in _OWN]
     seen = materialise(
         mentions(docs, keep, text).withColumn("_row", F.monotonically_increasing_id()), "mentions"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import hashlib
 import re
 import zlib
@@ -180,6 +181,50 @@ def test_pii_discovers_by_context_and_redacts(spark):
     assert texts[200] == "call hotline: <PHONE> x" and texts[201] is None and texts[202] == rows[-1][1]
 
 
+def _discovered(edges):
+    """The fixpoint over the pattern-instance graph, in plain Python."""
+    known = {(v, k) for _, v, k in edges if k}
+    graph = {(p, v) for p, v, _ in edges}
+    candidates = {(p, v) for p, v, k in edges if not k}
+    size = collections.Counter(p for p, _ in graph)
+    found, rounds = {}, 0
+    while True:
+        support = collections.Counter((p, k) for p, v in graph for w, k in known | set(found.items()) if v == w)
+        sure = {pk: n / (size[pk[0]] + 1) for pk, n in support.items() if n >= pii.MIN_KNOWN and n / (size[pk[0]] + 1) >= pii.MIN_CONFIDENCE}
+        doubt = {}
+        for p, v in candidates:
+            for (q, k), c in sure.items():
+                if p == q:
+                    doubt[v, k] = doubt.get((v, k), 1.0) * (1 - c)
+        new = {}
+        for (v, k), d in sorted(doubt.items(), key=lambda x: (round(x[1], 9), x[0][1])):
+            if round(1 - d, 9) >= pii.MIN_SCORE and v not in found:
+                new.setdefault(v, k)
+        if not new:
+            return found, rounds
+        found |= new
+        rounds += 1
+
+
+def test_pii_graph_goes_on_to_the_fixpoint(spark):
+    levels = [[f"v{n}.{i}" for i in range(size)] for n, size in enumerate((1400, 140, 14, 5, 1))]
+    edges = [("p0", v, "phone") for v in levels[0]] + [("p0", v, None) for v in levels[1]]
+    edges += [("p1", v, None) for v in levels[1] + levels[2]]
+    edges += [(p, v, None) for p in ("p2a", "p2b") for v in levels[2] + levels[3]]
+    edges += [(p, v, None) for p in ("p3a", "p3b") for v in levels[3] + levels[4]]
+    edges += [("q", f"m{i}", "email") for i in range(40)] + [("q", "w", None), ("q", "both", None), ("p0", "both", None), ("r", "lost", None)]
+    want, rounds = _discovered(edges)
+    assert rounds >= 4 and "v4.0" in want and "lost" not in want
+    found = pii.discover(spark.createDataFrame(edges, "pattern string, value string, kind string"))
+    assert {r.value: r.kind for r in found.collect()} == want
+
+
+def test_pii_columns_that_clash(spark):
+    docs = spark.createDataFrame([(1, "a@b.co", "mine")], "doc_id long, text string, spans string").withColumn("_row", F.lit(7))
+    (row,) = pii.find_pii(docs.withColumn("base", F.lit(1)), ["doc_id", "spans", "_row", "base"]).collect()
+    assert row.doc_id == 1 and [tuple(x) for x in row.spans] == [("email", 0, 6)] == [tuple(x) for x in row.base]
+
+
 def test_pii_digest(spark):
     text = "a@b.co 1.2.3.4"
     spans = pii.find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"), ["doc_id"])
