@@ -63,7 +63,7 @@ def test_inspect_reports_a_broken_table(spark, tmp_dir):
     wh = Warehouse(spark, root=os.path.join(tmp_dir, "wh3"), prefix="brk_")
     run = build_layers(wh, spark.range(5).selectExpr("id", "'a' AS k"), "broken_0001")
     assert run.ok, run.error and run.verification["schemas"]
-    for part in glob.glob(os.path.join(wh.location("raw_data", "raw_broken_0001"), "part-*")):
+    for part in glob.glob(os.path.join(wh.location("raw_data", "raw_broken_0001"), "v*", "part-*")):
         with open(part, "wb") as f:
             f.write(b"not parquet")
     spark.catalog.refreshTable(run.tables["raw"])
