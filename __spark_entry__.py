@@ -7,6 +7,7 @@ results are rounded to 4 decimals on both sides (sums are order dependent).
 
 from __future__ import annotations
 
+import importlib.util
 import io
 import os
 import sys
@@ -46,12 +47,13 @@ from strata.streaming.intake import Ledger, run_intake
 if __name__ in sys.modules:
     _cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# The training-data operators are optional: without their subpackage (or the
-# pipeline module on top of it) the other queries still register.
-try:
+# The training-data operators are optional: without their subpackage and the
+# pipeline module on top of it the other queries still register. An import that
+# fails inside them is an error.
+if all(importlib.util.find_spec(name) for name in ("strata.llm", "corpus_pipeline")):
     import corpus_pipeline as _pipeline
     from strata.llm import queries as _llm
-except ImportError:
+else:
     _pipeline = _llm = None
 
 SF0001 = "/root/testdata/sf0.001"
