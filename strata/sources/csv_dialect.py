@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import ensure_checkpoint_dir
 from strata.sources.files import as_path
 
 #: Candidates, in order of preference (fixed values).
@@ -77,40 +78,61 @@ def _without_quoted(column, quote: str):
     return F.regexp_replace(column, f"{q}(?:[^{q}\\\\]|\\\\.)*{q}", "")
 
 
-def histograms(spark: SparkSession, path, options: dict[str, str] | None = None) -> DataFrame:
-    """(file, first_line, candidate, n_fields, lines, backslashed, doubled): one scan of the lines.
-
-    ``candidate`` numbers :func:`_candidates`; ``backslashed`` and ``doubled``
-    count the lines that escape a quote one way or the other.
-    """
-    options = options or {}
+def _lines(spark: SparkSession, path, options: dict[str, str]) -> DataFrame:
+    """(file, block, row, value) of the lines that are not blank; ``row`` grows with the place in a block."""
     keep = {k: v for k, v in options.items() if k.lower() in ("encoding", "linesep", "recursivefilelookup", "pathglobfilter")}
-    pairs = _candidates(options)
-    bare = {q: _without_quoted(F.col("value"), q) for q in dict.fromkeys(q for _, q in pairs)}
-    counts = [F.length(bare[q]) - F.length(F.replace(bare[q], F.lit(s), F.lit(""))) for s, q in pairs]
-    counts = [F.struct(F.lit(i).alias("candidate"), (n / len(s) + 1).cast("int").alias("n_fields")) for i, (n, (s, _)) in enumerate(zip(counts, pairs))]
-    lines = (
+    return (
         spark.read.options(**keep).text(path)
         .select(
             F.col("_metadata.file_path").alias("file"),
-            F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
             "value",
         )
         .filter(F.trim("value") != "")
     )
-    counted = (
-        lines.select("file", "at", "value", F.explode(F.array(*counts)).alias("c"))
-        .groupBy("file", "c.candidate", "c.n_fields")
+
+
+def _counted(lines: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(file, block, candidate, n_fields, lines, row, backslashed, doubled), ``row`` being the first.
+
+    All sums are numbers, which Spark keeps in a hash table of its few groups: lines are never sorted.
+    """
+    quotes = list(dict.fromkeys(q for _, q in pairs))
+    marks = (F.col("value").contains('\\"'), F.col("value").rlike("[^,;|\t\"]\"\"|\"\"[^,;|\t\"]"))
+    bare = [_without_quoted(F.col("value"), q).alias(f"bare{i}") for i, q in enumerate(quotes)]
+    narrow = lines.select("file", "block", "row", marks[0].alias("backslashed"), marks[1].alias("doubled"), *bare)
+    counts = []
+    for i, (s, q) in enumerate(pairs):
+        own = F.col(f"bare{quotes.index(q)}")
+        n = F.length(own) - F.length(F.replace(own, F.lit(s), F.lit("")))
+        counts.append(F.struct(F.lit(i).alias("candidate"), (n / len(s) + 1).cast("int").alias("n_fields")))
+    return (
+        narrow.select("file", "block", "row", "backslashed", "doubled", F.explode(F.array(*counts)).alias("c"))
+        .groupBy("file", "block", "c.candidate", "c.n_fields")
         .agg(
             F.count(F.lit(1)).alias("lines"),
-            F.min_by("value", "at").alias("line"),
-            F.min("at").alias("at"),
-            F.count_if(F.col("value").contains('\\"')).alias("backslashed"),
-            F.count_if(F.col("value").rlike("[^,;|\t\"]\"\"|\"\"[^,;|\t\"]")).alias("doubled"),
+            F.min("row").alias("row"),
+            F.count_if("backslashed").alias("backslashed"),
+            F.count_if("doubled").alias("doubled"),
         )
-    )
-    first = counted.groupBy("file").agg(F.min_by("line", "at").alias("first_line"))
-    return counted.drop("line", "at").join(first, "file")
+    )
+
+
+def histograms(spark: SparkSession, path, options: dict[str, str] | None = None) -> DataFrame:
+    """(file, first_line, candidate, n_fields, lines, backslashed, doubled): one scan of the lines.
+
+    ``candidate`` numbers :func:`_candidates`; ``backslashed`` and ``doubled``
+    count the lines that escape a quote one way or the other. The counts, a few
+    rows a file and block, are kept; the first lines are looked up by their places.
+    """
+    options = options or {}
+    ensure_checkpoint_dir(spark)
+    counted = _counted(_lines(spark, path, options), _candidates(options)).checkpoint()
+    first = counted.groupBy("file").agg(F.min(F.struct("block", "row")).alias("at")).select("file", "at.block", "at.row")
+    first = _lines(spark, path, options).join(F.broadcast(first), ["file", "block", "row"]).select("file", F.col("value").alias("first_line"))
+    sums = [F.sum(c).alias(c) for c in ("lines", "backslashed", "doubled")]
+    return counted.groupBy("file", "candidate", "n_fields").agg(*sums).join(first, "file")
 
 
 def _choose(rows: list, pairs: list[tuple[str, str]], options: dict[str, str]) -> Dialect:
