@@ -166,3 +166,18 @@ def test_lines_are_counted_without_being_sorted(spark, tmp_dir):
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan
     assert "SortAggregate" not in plan and "Sort [" not in plan
+
+
+def test_first_line_of_a_file_of_many_blocks(spark, tmp_dir):
+    _write(f"{tmp_dir}/1.csv", "\n" * 300 + "key;text\n" + "".join(f"{i};t{i}\n" for i in range(400)))
+    _write(f"{tmp_dir}/2.csv", "text,key\n" + "".join(f"u{i},{i}\n" for i in range(400)))
+    known = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256b")
+    try:
+        found = csv_dialect.histograms(spark, tmp_dir)
+        lines = {(r.file[-5:], r.first_line) for r in found.select("file", "first_line").distinct().collect()}
+        sums = found.filter("candidate = 0").groupBy("file").sum("lines").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", known)
+    assert lines == {("1.csv", "key;text"), ("2.csv", "text,key")}
+    assert {r[1] for r in sums} == {401}
