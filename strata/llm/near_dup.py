@@ -13,14 +13,15 @@ two neighbouring ones) share a bucket. With 32 bands of 5 rows, two sets at
 
 *Verification.* Comparisons are exact, on the full sets (as 64-bit hashes).
 First every class is compared with the smallest class (the hub) of each of its
-buckets, never with all others; the links found join classes to components.
+buckets it is still apart from, never with all others; the links found join
+classes to components.
 All that share a bucket with a hub are its family. Two of a family that may
 still lack their link cannot both be in the hub's component; so what is left is
 to compare the *strays* of a family, which are not in its hub's component, with
 its members, where they share a bucket that holds several components. That is done in blocks of bounded size: a task gets one block of
 strays and one of members, counts all common shingles by a matrix product and
-gives only the links. So no link is lost, no list of pairs is made, and copies
-in the hub's component cost one comparison per shared hub.
+gives only what joins components. So no link is lost, no list of pairs is made,
+and copies in the hub's component cost one comparison, with their nearest hub.
 
 Cases: without words or text the set is empty, linked with nothing; a null id
 takes part in no link and is kept with a null component; equal rows are one
@@ -37,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import WordHasher, components, map_texts, materialise, shingles, table, wanted_rows, worker_state
+from strata.llm.common import WordHasher, components, map_texts, materialise, merged_components, shingles, table, wanted_rows, worker_state
 
 #: Words per shingle and the least similarity, in percent.
 SHINGLE_WORDS = 5
@@ -163,8 +164,32 @@ def _common(strays: list[np.ndarray], members: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _stars(found: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of numbers that connect what the matrix ``found`` of links connects, at most one a row and column.
+
+    ``left`` and ``right`` are the numbers of the rows and columns; all that a row
+    reaches, over any number of links, is paired with that row's number.
+    """
+    roots, others = [], []
+    rows, columns = found.any(axis=1), found.any(axis=0)  # those not reached yet
+    while rows.any():
+        root = int(rows.argmax())
+        new_rows = np.array([root])
+        while len(new_rows):
+            rows[new_rows] = False
+            new_columns = np.flatnonzero(found[new_rows].any(axis=0) & columns)
+            columns[new_columns] = False
+            reached = np.flatnonzero(found[:, new_columns].any(axis=1) & rows)
+            others += [right[new_columns], left[reached]]
+            roots.append(np.full(len(new_columns) + len(reached), left[root]))
+            new_rows = reached
+    if not roots:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(roots), np.concatenate(others)
+
+
 def _stray_links(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) links of strays with members of their families.
+    """(a, b) links of components of strays with components of members of their families.
 
     ``family``: (hub, rep, stray, c). Blocks are hash slices of about
     BLOCK_SHINGLES shingles; every stray block meets every member block.
@@ -198,8 +223,7 @@ def _stray_links(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         common = _common(list(s["shingles"]), list(m["shingles"]))
         sizes = s["shingles"].map(len).to_numpy()[:, None] + m["shingles"].map(len).to_numpy()[None, :]
         found = (100 * common >= percent * (sizes - common)) & (s["c"].to_numpy()[:, None] != m["c"].to_numpy()[None, :])
-        i, j = np.nonzero(found)
-        a, b = s["rep"].to_numpy()[i], m["rep"].to_numpy()[j]
+        a, b = _stars(found, s["c"].to_numpy(), m["c"].to_numpy())
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return filled.groupBy("hub", "sb", "mb").applyInPandas(links, "a long, b long").distinct()
@@ -233,9 +257,16 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = MIN_
     # Rows of one id and set are alike; the grouping has the keys of the join, so sets are dealt out once.
     sets = sets.groupBy("doc_id", "set_hash").agg(F.first("rep").alias("rep"), F.first("shingles").alias("shingles"))
     sets = materialise(sets.select("rep", "shingles"), "sets")
-    links = materialise(_verified(pairs, sets, percent), "links")
-
-    label = components(links).withColumnRenamed("component_id", "c")
+    # Every class is compared with one of its hubs first, then with those that it is still apart from:
+    # the links of a large group stay as many as its classes, however its buckets cut it.
+    nearest = materialise(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
+    seats = components(materialise(_verified(nearest, sets, percent), "links"))
+    of_a, of_b = (seats.select(F.col("node").alias(x), F.col("component_id").alias(f"c{x}")) for x in "ab")
+    rest = pairs.join(nearest, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
+    rest = materialise(rest.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "rest")
+    seats = materialise(merged_components(seats, materialise(_verified(rest, sets, percent), "links")), "seats")
+
+    label = seats.withColumnRenamed("component_id", "c")
     of_hub = label.select(F.col("node").alias("hub"), F.col("c").alias("ch"))
     of_rep = label.select(F.col("node").alias("rep"), F.col("c").alias("cr"))
     seated = members.join(of_rep, "rep", "left").select("bucket", "hub", "rep", F.coalesce("cr", "rep").alias("c"))
@@ -250,7 +281,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = MIN_
         .select("hub", "rep", "c", (F.col("c") != F.coalesce("ch", "hub")).alias("stray"))
     )
     more = materialise(_stray_links(materialise(family, "family"), sets, percent), "links")
-    joined = components(links.union(more))
+    joined = merged_components(seats, more)
     owned = classes.select("set_hash", "rep", "owner").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     smallest = owned.filter("component_id IS NOT NULL").groupBy("component_id").agg(F.min("owner").alias("smallest"))
     label = owned.join(smallest, "component_id", "left").select("set_hash", F.coalesce("smallest", "owner").alias("component_id"))

@@ -100,6 +100,40 @@ def test_rows_of_one_id_with_several_texts(spark, turn):
     assert sorted(kept, key=str) == sorted([(2, a), (2, b), (5, "x y z"), (1, c), (6, None), (None, b), (7, "")], key=str)
 
 
+def test_edges_of_a_large_group_of_near_copies(spark, monkeypatch):
+    """The edges that components joins grow with the group's classes, not with its buckets or pairs."""
+    base = [f"w{i}" for i in range(120)]
+    rows = [(g * 1000 + k, " ".join([f"g{g}", *base[:k], f"x{g}.{k}", *base[k + 1 :]])) for g in range(2) for k in range(80)]
+    seen, known = [], common.materialise
+
+    def counted(df, name):
+        out = known(df, name)
+        if name == "edges":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(common, "materialise", counted)
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert {r.component_id for r in found} == {0}
+    assert max(seen) <= 2 * len(rows)
+
+
+def test_stars_connect_what_links_connect():
+    rng = np.random.default_rng(3)
+    for density in (0.02, 0.1, 0.9):
+        found = rng.random((30, 40)) < density
+        a, b = near_dup._stars(found, np.arange(30), np.arange(30, 70))
+        assert len(a) <= 70
+        labels = []
+        for pairs in (zip(*np.nonzero(found)), zip(a, b - 30)):  # noqa: B905
+            label = list(range(70))
+            for i, j in pairs:
+                i, j = label[i], label[j + 30]
+                label = [min(i, j) if x in (i, j) else x for x in label]
+            labels.append(label)
+        assert labels[0] == labels[1]
+
+
 def test_the_map_of_wanted_rows_follows_the_ids(spark, monkeypatch):
     rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     for step, bits in ((1, 1 << 29), (7, 1 << 29), (3, 1 << 10), (50_000, 1 << 29)):
