@@ -194,6 +194,12 @@ def test_repeated_passages_are_found_and_clean_texts_left(spark, no_docs):
     assert substring_dup.repeated_passages(no_docs).count() == 0
 
 
+def test_windows_are_computed_once(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    plan = substring_dup._shared(substring_dup.windows(docs))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_passages_in_the_test_table(spark):
     rows = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text").collect()
     seen = collections.defaultdict(set)
