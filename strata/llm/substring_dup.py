@@ -13,7 +13,8 @@ its key (the smallest document), never with all others, when the ranges that
 both reach around the least shingle can hold a passage; the windows of one
 document pair are folded to the functions that agree.
 
-*Verification.* Both texts of a pair are compared: ranges whose shingles occur
+*Verification.* A pair whose first text's marks (a bit for every shingle) show
+that no passage can be shared is left out; both texts of the others are compared: ranges whose shingles occur
 in the other text, changes allowed, and whose shingle sets have a Jaccard
 similarity of at least 0.8 with a matching range, at any place, are passages;
 so are all runs of 50 words that both texts have. The first
@@ -266,6 +267,64 @@ def _halves(a: np.ndarray, b: np.ndarray, found: tuple[int, int, int, int]) -> l
     return [(fa, fa + stop, fb, sb), (fa + first, sa, fb, sb)]
 
 
+#: Bits a shingle in a document's marks. A passage has 8 of 9 shingles in the other text, so of its disjoint
+#: runs of 46 shingles one lacks at most 10: fewer than 46 * 2 / 9.
+_MARK_BITS = 4
+_NEED = MIN_WORDS - SHINGLE_WORDS + 1
+_FEWEST = _NEED - 10
+
+
+def _marks(found: np.ndarray) -> bytes:
+    """A bit for every shingle, at a place its hash names."""
+    bits = np.zeros(-(-_MARK_BITS * len(found) // 64) * 64, np.uint8)
+    if len(bits):
+        bits[(found >> np.uint64(20)) % np.uint64(len(bits))] = 1
+    return np.packbits(bits).tobytes()
+
+
+def _may_share(marks: bytes, found: np.ndarray) -> bool:
+    """False only if no range of ``found`` can be a passage of the text that has these marks."""
+    if not marks or len(found) < _NEED:
+        return False
+    bits = np.unpackbits(np.frombuffer(marks, np.uint8))
+    hits = np.concatenate(([0], np.cumsum(bits[(found >> np.uint64(20)) % np.uint64(len(bits))], dtype=np.int64)))
+    return int((hits[_NEED:] - hits[:-_NEED]).max()) >= _FEWEST
+
+
+def marked(texts: DataFrame) -> DataFrame:
+    """(doc_id, marks) of every text: half a byte a shingle."""
+    return map_texts(texts, lambda: lambda part: [[_marks(text_shingles(t)) for t in part]], "marks binary", ["doc_id"])
+
+
+def likely(pairs: DataFrame, texts: DataFrame, marks: DataFrame) -> DataFrame:
+    """The (a, b, hits) pairs that may share a passage, by the marks of a and the text of b.
+
+    Marks leave out no pair that :func:`passages` finds something in, so only
+    the others' texts need not travel to each other.
+    """
+    joined = (
+        pairs.join(marks.select(F.col("doc_id").alias("a"), "marks"), "a")
+        .join(texts.select(F.col("doc_id").alias("b"), "text"), "b")
+        .select("a", "b", "hits", "marks", "text")
+    )
+
+    import pyarrow as pa
+
+    def run(batches):
+        last, found = None, None  # pairs come by b
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                keep = []
+                for b, marks, text in zip(*(part.column(i).to_pylist() for i in (1, 3, 4)), strict=True):
+                    if found is None or b != last:
+                        last, found = b, text_shingles(text or "")
+                    keep.append(_may_share(marks, found))
+                yield part.select(["a", "b", "hits"]).filter(pa.array(keep, pa.bool_()))
+
+    return joined.mapInArrow(run, "a long, b long, hits long")
+
+
 _PASSAGE = "fa int, sa int, fb int, sb int"
 
 
@@ -388,6 +447,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     texts = materialise(
         wanted_rows(docs, materialise(involved, "involved")).groupBy("doc_id").agg(F.min("text").alias("text")), "texts"
     )
+    marks = materialise(marked(texts), "marks")
     rows, left, tested = None, shared, None
     for context in (None, "right", "left", "exact"):
         groups = ["key"]
@@ -401,7 +461,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
-        new = materialise(_rows(verified(pairs, texts)), "passages")
+        new = materialise(_rows(verified(materialise(likely(pairs, texts, marks), "likely"), texts)), "passages")
         rows = new if rows is None else rows.union(new)
         tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
     return (

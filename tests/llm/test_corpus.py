@@ -200,6 +200,25 @@ def test_windows_are_computed_once(spark):
     assert plan.count("MapInArrow") == 1
 
 
+def test_marks_leave_out_no_pair_with_a_passage():
+    rng = np.random.default_rng(8)
+    shared, kept = 0, 0
+    for _ in range(400):
+        a, b = (rng.integers(1, 2**63, int(rng.integers(30, 400)), dtype=np.uint64) for _ in range(2))
+        n = int(rng.integers(20, 120))
+        part = a[: min(n, len(a), len(b))].copy()
+        part[rng.random(len(part)) < rng.choice([0, 0.05, 0.1, 0.15])] += np.uint64(1)
+        at = int(rng.integers(0, len(b) - len(part) + 1))
+        b[at : at + len(part)] = part
+        may = substring_dup._may_share(substring_dup._marks(a), b)
+        if substring_dup.passages(a, b):
+            shared += 1
+            assert may
+        kept += may
+    assert shared > 50 and kept < 400
+    assert not substring_dup._may_share(substring_dup._marks(a[:0]), b)
+
+
 def test_passages_in_the_test_table(spark):
     rows = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text").collect()
     seen = collections.defaultdict(set)
