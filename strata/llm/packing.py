@@ -47,28 +47,32 @@ PIECE_FIELDS = "start long, length long, ids_crc32 long, doc_tokens long"
 #: Words in each of the two generations that a worker remembers, of at most so many characters.
 CACHE_WORDS = 150_000
 CACHE_CHARS = 64
-#: Words encoded at once.
-BATCH_WORDS = 8_192
-#: Marks that may follow a word.
-MARKS = ".,;:!?"
-#: What the last token of a pre-token ends with.
-WORD_END = "</w>"
 #: Separators that Python's ``split`` knows and the tokenizer does not.
 _CONTROL = "\x1c\x1d\x1e\x1f"
 _ASCII_SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
+def _byte_level() -> dict[int, str]:
+    """The published character of every byte (printable ones stand for themselves)."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordIds:
     """Token ids (little-endian) of words, which no token of a word-level BPE reaches beyond.
 
     White space separates pre-tokens and special strings hold none, so a text's
-    ids are those of its words. Two generations of words are remembered.
+    ids are those of its words. A plain word is cut into lower-case pre-tokens here,
+    and the tokenizer's model gives their ids; others go through the tokenizer whole.
+    Two generations of words and pre-tokens are remembered.
     """
 
+    _BYTE_LEVEL = _byte_level()
+
     def __init__(self, tokenizer):
-        self.tokenizer, self.new, self.old, self.long = tokenizer, {}, {}, []
-        self.last = np.zeros(tokenizer.get_vocab_size(), bool)
-        self.last[[i for t, i in tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
+        self.tokenizer, self.model, self.new, self.old, self.long = tokenizer, tokenizer.model, {}, {}, []
+        self.raw = [i.to_bytes(4, "little") for i in range(max(tokenizer.get_vocab().values()) + 1)]
 
     def results(self, texts: list[str]) -> list[bytes]:
         words = [_ASCII_SPACE.split(t) if any(c in t for c in _CONTROL) else t.split() for t in texts]
@@ -77,59 +81,42 @@ class WordIds:
         self._learn(set().union(*words))
         out = [b"".join(map(self.new.__getitem__, w)) for w in words]
         for w in self.long:
-            del self.new[w]
+            self.new.pop(w, None)
         self.long = []
         return out
 
     def _learn(self, words: set[str]) -> None:
-        """Makes ``new`` hold the words: from ``old``, from their parts, or encoded."""
-        new, old, whole, parts = self.new, self.old, set(), []
-        for w in words - new.keys():
-            known = old.get(w)
-            if known is not None:
-                new[w] = known
-                continue
-            core = w.rstrip(MARKS)
-            if len(core) < len(w) and core.isascii() and core.isalpha():
-                # Letters and the marks after them are two pre-tokens.
-                parts.append((w, core, w[len(core) :]))
-                whole.update(parts[-1][1:])
+        """Makes ``new`` hold the words: from ``old``, from their pre-tokens, or encoded."""
+        new, old, rest = self.new, self.old, []
+        missing = words - new.keys()
+        again = missing & old.keys()
+        new.update(zip(again, map(old.__getitem__, again), strict=True))
+        missing -= again
+        for w in missing:
+            low, ascii_only = w.lower(), w.isascii()
+            if ascii_only and w.isalpha():  # one pre-token
+                ids = new.get(low)
+                new[w] = self._remembered(low) if ids is None else ids
+            elif NOT_PLAIN.search(w) or "<|" in w or not ascii_only and NOT_PLAIN.search(low):  # only the tokenizer knows
+                rest.append(w)
             else:
-                whole.add(w)
-        for w in whole & old.keys():
-            new[w] = old[w]
-        missing = list(whole - new.keys())
-        for at in range(0, len(missing), BATCH_WORDS):
-            some = missing[at : at + BATCH_WORDS]
-            new.update(zip(some, self._encode(some), strict=True))
-        new.update((w, new[core] + new[marks]) for w, core, marks in parts)
-        self.long = [w for w in (*missing, *(p[0] for p in parts)) if len(w) > CACHE_CHARS]
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        """Words of known numbers of pre-tokens go as one text, whose pre-tokens end with a marked token."""
-        sizes = [1 if w.isascii() and w.isalpha() else self._pretokens(w) for w in words]
-        known = [k for k, n in enumerate(sizes) if n]
-        out = [b""] * len(words)
-        (found,) = self.tokenizer.encode_batch_fast([" ".join([words[k] for k in known])], add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        stops = np.flatnonzero(self.last[ids]) + 1
-        counted = np.cumsum([sizes[k] for k in known], dtype=np.int64)
-        if len(known) and counted[-1] == len(stops):
-            raw, ends = ids.tobytes(), (4 * stops[counted - 1]).tolist()
-            for k, first, end in zip(known, [0, *ends], ends):
-                out[k] = raw[first:end]
-            known = set(known)
-        else:
-            known = set()
-        rest = [k for k in range(len(words)) if k not in known]
-        for k, each in zip(rest, self.tokenizer.encode_batch_fast([words[k] for k in rest], add_special_tokens=False)):
-            out[k] = np.array(each.ids, "<u4").tobytes()
-        return out
-
-    @staticmethod
-    def _pretokens(word: str) -> int:
-        """Number of pre-tokens; 0 where only the tokenizer knows."""
-        return 0 if NOT_PLAIN.search(word) or "<|" in word else len(WORD_LEVEL.findall(word.lower()))
+                parts = WORD_LEVEL.findall(low)
+                new[w] = b"".join([new[p] if p in new else self._remembered(p) for p in parts])
+        for w, each in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            new[w] = np.array(each.ids, "<u4").tobytes()
+        self.long += [w for w in missing if len(w) > CACHE_CHARS]
+
+    def _remembered(self, pretoken: str) -> bytes:
+        """Ids of a lower-case pre-token that ``new`` does not hold (as a word it is itself)."""
+        ids = self.old.get(pretoken)
+        if ids is None:
+            seen = pretoken if pretoken.isascii() else pretoken.encode().decode("latin-1").translate(self._BYTE_LEVEL)
+            raw = self.raw
+            ids = b"".join([raw[t.id] for t in self.model.tokenize(seen)])
+        if len(pretoken) > CACHE_CHARS:
+            self.long.append(pretoken)
+        self.new[pretoken] = ids
+        return ids
 
 
 def cut_pieces(docs: DataFrame, path: str, keep: list[str], window: int = WINDOW, text: str = "text") -> DataFrame:

@@ -89,6 +89,26 @@ def test_packing_places_every_token_once(odd_docs, no_docs):
     assert packing.pack_documents(no_docs, WORD).count() == 0
 
 
+def test_packing_sends_only_words_that_are_not_plain_through_the_tokenizer():
+    tokenizer = packing.load_tokenizer(WORD)
+    sent = []
+
+    class Counting:
+        model, get_vocab = tokenizer.model, tokenizer.get_vocab
+
+        def encode_batch_fast(self, words, **options):
+            sent.extend(words)
+            return tokenizer.encode_batch_fast(words, **options)
+
+    plain = ["Hello hello, hello### IT'S 12 e1f2 \u00c9t\u00e9s \u0120\u01e7 soft\u00adhy", "", " x" * 3]
+    odd = ["\u0181b \u018fx \u023a \u212a \u0130 <|endoftext|>z a\x1cb \x00", "e\u0301 \u4e2d\u6587 'S 'll"]
+    words = packing.WordIds(Counting())
+    for texts in (plain, odd, plain + odd):
+        found = [np.frombuffer(x, "<u4").tolist() for x in words.results(texts)]
+        assert found == [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert not set(sent) & {w for text in plain for w in text.split()}
+
+
 def test_packing_plan_uses_the_histogram_up():
     rng = np.random.default_rng(1)
     counts = np.bincount(rng.integers(1, 513, 20_000), minlength=513)
