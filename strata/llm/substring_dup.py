@@ -49,7 +49,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, WordHasher, _mix, map_texts, materialise, shingles, table, wanted_rows, worker_state
+from strata.llm.common import WORD, WordHasher, _mix, likely_rows, map_texts, materialise, shingles, sliding, table, wanted_rows, worker_state
 
 SHINGLE_WORDS = 5
 #: Words of the shortest passage, and the least similarity.
@@ -68,6 +68,10 @@ _REACH = 65_535
 #: How far from a window's place its right and left context lie. Places of a
 #: passage have one of the two inside it.
 CONTEXT = 12
+#: Shingles whose windows are found at once, about.
+LINE = 32_768
+#: Shingles of first documents that a task of the comparison keeps, about.
+KNOWN = 4_000_000
 #: Ranges around the same least shingle may differ by changes to the passage.
 _SLACK = 0.75
 
@@ -77,22 +81,51 @@ def compact_windows(hashes: np.ndarray, width: int) -> list[tuple[int, int, int]
 
     Equal least hashes of a range give one window; the ranges between them go on.
     """
-    out, open_ranges = [], [(0, len(hashes) - 1)]
-    while open_ranges:
-        first, last = open_ranges.pop()
-        if last - first + 1 < width:
-            continue
-        part = hashes[first : last + 1]
-        at = int(part.argmin())
-        out.append((first + at, first, last))
-        open_ranges.append((first, first + at - 1))
-        rest = part[at + 1 :]
-        begin = first + at + 1
-        for again in np.flatnonzero(rest == part[at]) + begin if len(rest) >= width else ():
-            open_ranges.append((begin, int(again) - 1))
-            begin = int(again) + 1
-        open_ranges.append((begin, last))
-    return out
+    ranks = np.unique(hashes, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)
+    return list(zip(*_windows_between(ranks, width), strict=True))
+
+
+def _windows_between(hashes: np.ndarray, width: int, edges: np.ndarray | None = None) -> tuple[list[int], list[int], list[int]]:
+    """Places, firsts and lasts of the compact windows of texts laid end to end, with a place between two of them (``edges``).
+
+    A place has a window if it is the least of some ``width`` neighbours. What ends
+    its range on either side is smaller and the least of as many, so that one
+    pass over these places with a stack gives all ranges. A hash of 0 counts as 1,
+    which has the same key.
+    """
+    order = np.maximum(hashes, 1)
+    if edges is not None:
+        order[edges] = 0
+    low = sliding(order, width)
+    if not len(low):
+        return [], [], []
+    beside = np.zeros(width - 1, low.dtype)
+    least = np.flatnonzero((sliding(np.concatenate((beside, low, beside)), width, np.maximum) == order) | (order == 0))
+    places, firsts, lasts = [], [], []
+    held, starts, at = [], [], []  # of the open ranges: hash, first place, place
+    border, borders = -1, []  # the last edge; the last place of each open range's hash
+    for h, p in zip(order[least].tolist(), least.tolist(), strict=True):
+        while held and held[-1] > h:
+            held.pop()
+            borders.pop()
+            places.append(at.pop())
+            firsts.append(starts.pop())
+            lasts.append(p - 1)
+        if not h:
+            border = p
+        elif held and held[-1] == h:
+            borders[-1] = p
+        else:
+            starts.append((borders[-1] if held else border) + 1)
+            held.append(h)
+            at.append(p)
+            borders.append(p)
+    while held:
+        held.pop()
+        places.append(at.pop())
+        firsts.append(starts.pop())
+        lasts.append(len(hashes) - 1)
+    return places, firsts, lasts
 
 
 def text_shingles(text: str) -> np.ndarray:
@@ -106,26 +139,39 @@ def windows(docs: DataFrame) -> DataFrame:
     ``reach`` packs four 16-bit numbers: hashes of the left and the right
     context (0: outside the text), and the shingles to the left and the right.
     """
+    need = MIN_WORDS - SHINGLE_WORDS + 1
 
     def make():
         def work(texts):
+            found = [text_shingles(text) for text in texts]
+            wide = np.array([i for i, x in enumerate(found) if len(x) >= need], np.int64)
+            sizes = np.array([len(found[i]) for i in wide], np.int64)
+            groups = np.split(wide, np.flatnonzero(np.diff(np.cumsum(sizes) // LINE)) + 1)
+            parts = [together(found, some) for some in groups if len(some)]
+            return tuple(map(np.concatenate, zip(*parts, strict=True))) if parts else (np.zeros(0, np.int64),) * 4
+
+        def together(found, wide):
+            edge = np.zeros(CONTEXT, np.uint64)
+            # The texts' shingles end to end, with a context's length of places between.
+            line = np.concatenate([part for i in wide for part in (found[i], edge)])
+            sizes = np.array([len(found[i]) + CONTEXT for i in wide])
+            stops = np.cumsum(sizes)
+            edges = (stops[:, None] - np.arange(1, CONTEXT + 1)).ravel()
+            context = (line >> np.uint64(49)).astype(np.int64) | 1
+            context[edges] = 0
+            context = np.concatenate([edge.astype(np.int64), context])
             rows, keys, places, reaches = [], [], [], []
-            for i, text in enumerate(texts):
-                found = text_shingles(text)
-                edge = np.zeros(CONTEXT, np.int64)
-                context = np.concatenate([edge, (found >> np.uint64(49)).astype(np.int64) | 1, edge])
-                for k in range(FUNCTIONS if len(found) + SHINGLE_WORDS - 1 >= MIN_WORDS else 0):
-                    hashes = _mix(found ^ _SEEDS[k])
-                    spans = np.array(compact_windows(hashes, MIN_WORDS - SHINGLE_WORDS + 1), np.int64)
-                    at = spans[:, 0]
-                    rows.append(np.full(len(at), i))
-                    # The function's number takes the place of the last bits.
-                    keys.append(((hashes[at] & ~np.uint64(7)) | np.uint64(k)).view(np.int64))
-                    places.append(at)
-                    left, right = np.minimum(at - spans[:, 1], _REACH), np.minimum(spans[:, 2] - at, _REACH)
-                    reaches.append(context[at] << 48 | context[at + 2 * CONTEXT] << 32 | left << 16 | right)
-            join = np.concatenate if rows else lambda _: []
-            return join(rows), join(keys), join(places), join(reaches)
+            for k in range(FUNCTIONS):
+                hashes = _mix(line ^ _SEEDS[k])
+                at, first, last = (np.array(x, np.int64) for x in _windows_between(hashes, need, edges))
+                text = np.searchsorted(stops, at, "right")
+                rows.append(wide[text])
+                # The function's number takes the place of the last bits.
+                keys.append(((hashes[at] & ~np.uint64(7)) | np.uint64(k)).view(np.int64))
+                places.append(at - (stops - sizes)[text])
+                left, right = np.minimum(at - first, _REACH), np.minimum(last - at, _REACH)
+                reaches.append(context[at] << 48 | context[at + 2 * CONTEXT] << 32 | left << 16 | right)
+            return tuple(map(np.concatenate, (rows, keys, places, reaches)))
 
         return work
 
@@ -188,18 +234,30 @@ def segments(mask: np.ndarray, need: int) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def _similarity(a: np.ndarray, b: np.ndarray) -> float:
-    a, b = np.unique(a), np.unique(b)
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common / (len(a) + len(b) - common) if common else 0.0
+def _among(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """Whether each number of x (below ``n``) is in y."""
+    table = np.zeros(n, bool)
+    table[y] = True
+    return table[x]
+
+
+def _similarity(a: np.ndarray, b: np.ndarray, n: int) -> float:
+    left, right = np.zeros(n, bool), np.zeros(n, bool)
+    left[a] = True
+    right[b] = True
+    common = np.count_nonzero(left & right)
+    return common / np.count_nonzero(left | right) if common else 0.0
 
 
 def _runs(found: np.ndarray, width: int) -> np.ndarray:
     """A 64-bit hash of every run of ``width`` shingles (a prefix sum over powers of an odd base)."""
     if len(found) < width:
         return found[:0]
-    powers, inverses = (WordHasher._grow(x, len(found) + 1) for x in (_BASE, pow(_BASE, -1, 2**64)))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(found) * powers[:-1], dtype=np.uint64)))
+    powers, inverses = worker_state("run_powers", lambda: [np.ones(1, np.uint64)] * 2)
+    if len(powers) < len(found):
+        powers, inverses = (WordHasher._grow(x, 2 * len(found)) for x in (_BASE, pow(_BASE, -1, 2**64)))
+        worker_state("run_powers", list)[:] = powers, inverses
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(found) * powers[: len(found)], dtype=np.uint64)))
     return _mix((sums[width:] - sums[:-width]) * inverses[: len(found) - width + 1])
 
 
@@ -233,28 +291,32 @@ def passages(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int]]:
     """
     need = MIN_WORDS - SHINGLE_WORDS + 1
     whole = (0, len(a), 0, len(b))
+    known, code = np.unique(np.concatenate((a, b)), return_inverse=True)
+    n, ca, cb = len(known), code[: len(a)], code[len(a) :]
+    shared = _among(cb, ca, n)
     out, todo, seen = [], [whole], {whole}
     while todo:
         fa, sa, fb, sb = now = todo.pop()
-        for f, s in segments(np.isin(b[fb:sb], a[fa:sa]), need):
-            for g, t in segments(np.isin(a[fa:sa], b[fb + f : fb + s]), need):
+        for f, s in segments(shared if now == whole else _among(cb[fb:sb], ca[fa:sa], n), need):
+            for g, t in segments(_among(ca[fa:sa], cb[fb + f : fb + s], n), need):
                 found = (fa + g, fa + t, fb + f, fb + s)
-                if _similarity(a[found[0] : found[1]], b[found[2] : found[3]]) >= MIN_SIMILARITY:
+                if _similarity(ca[found[0] : found[1]], cb[found[2] : found[3]], n) >= MIN_SIMILARITY:
                     out.append(found)
                     continue
-                for part in _halves(a, b, found) if found == now else [found]:
+                for part in _halves(ca, cb, found, n) if found == now else [found]:
                     if part not in seen:
                         seen.add(part)
                         todo.append(part)
-    out += [x for x in _exact(a, b, need) if not any(f <= x[2] and x[3] <= s for _, _, f, s in out)]
+    if sliding(shared, need, np.logical_and).any():  # else no run of b is in a
+        out += [x for x in _exact(a, b, need) if not any(f <= x[2] and x[3] <= s for _, _, f, s in out)]
     return sorted({(fa, sa + SHINGLE_WORDS - 1, fb, sb + SHINGLE_WORDS - 1) for fa, sa, fb, sb in out})
 
 
-def _halves(a: np.ndarray, b: np.ndarray, found: tuple[int, int, int, int]) -> list[tuple[int, int, int, int]]:
+def _halves(a: np.ndarray, b: np.ndarray, found: tuple[int, int, int, int], n: int) -> list[tuple[int, int, int, int]]:
     """The two parts beside the widest gap of either range; ranges without gaps have equal sets."""
     fa, sa, fb, sb = found
     gaps = []
-    for side, mask in ((0, np.isin(a[fa:sa], b[fb:sb])), (1, np.isin(b[fb:sb], a[fa:sa]))):
+    for side, mask in ((0, _among(a[fa:sa], b[fb:sb], n)), (1, _among(b[fb:sb], a[fa:sa], n))):
         true = np.flatnonzero(mask)
         if len(true) > 1:
             k = int(np.argmax(np.diff(true)))
@@ -296,6 +358,12 @@ def marked(texts: DataFrame) -> DataFrame:
     return map_texts(texts, lambda: lambda part: [[_marks(text_shingles(t)) for t in part]], "marks binary", ["doc_id"])
 
 
+def _texts_of(pairs: DataFrame, end: str, texts: DataFrame) -> DataFrame:
+    """(a or b, text) of the documents at that end of the pairs, and of a few others: the rest need not travel."""
+    ids = pairs.select(F.col(end).alias("doc_id")).distinct()
+    return likely_rows(texts, ids).select(F.col("doc_id").alias(end), "text")
+
+
 def likely(pairs: DataFrame, texts: DataFrame, marks: DataFrame) -> DataFrame:
     """The (a, b, hits) pairs that may share a passage, by the marks of a and the text of b.
 
@@ -304,7 +372,7 @@ def likely(pairs: DataFrame, texts: DataFrame, marks: DataFrame) -> DataFrame:
     """
     joined = (
         pairs.join(marks.select(F.col("doc_id").alias("a"), "marks"), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), "text"), "b")
+        .join(_texts_of(pairs, "b", texts), "b")
         .select("a", "b", "hits", "marks", "text")
     )
 
@@ -331,8 +399,8 @@ _PASSAGE = "fa int, sa int, fb int, sb int"
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, hits, fa, sa, fb, sb) of the passages of all (a, b, hits) pairs."""
     joined = (
-        pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text")), "b")
+        pairs.join(_texts_of(pairs, "a", texts).withColumnRenamed("text", "ta"), "a")
+        .join(_texts_of(pairs, "b", texts), "b")
         .select("a", "b", "hits", "ta", "text")
     )
 
@@ -342,6 +410,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches):
         known: dict[int, np.ndarray] = {}  # shingles of the first documents met last
+        last, own, held = None, None, 0  # pairs come by b
         for batch in batches:
             cols = [batch.column(i) for i in range(5)]
             for start in range(0, batch.num_rows, 256):
@@ -349,10 +418,14 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 out = [[] for _ in names]
                 for i in range(len(a)):
                     if a[i] not in known:
-                        if len(known) >= 64:
+                        if held > KNOWN:
                             known.clear()
+                            held = 0
                         known[a[i]] = text_shingles(ta[i] or "")
-                    for found in passages(known[a[i]], text_shingles(tb[i] or "")):
+                        held += len(known[a[i]])
+                    if own is None or b[i] != last:
+                        last, own = b[i], text_shingles(tb[i] or "")
+                    for found in passages(known[a[i]], own):
                         for column, value in zip(out, (a[i], b[i], hits[i], *found), strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays(
@@ -382,7 +455,9 @@ def _open_runs(texts: DataFrame, shared: DataFrame, rows: DataFrame, covered: bo
     """
     keys = shared.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))  # of one text
     spans = rows.groupBy("doc_id").agg(F.collect_set(F.struct("first", "stop")).alias("spans"))
-    joined = texts.join(keys, "doc_id").join(spans, "doc_id", "left").select("doc_id", "text", "keys", "spans")
+    if covered:
+        texts = likely_rows(texts, rows.select("doc_id").distinct())
+    joined = texts.join(keys, "doc_id").join(spans, "doc_id", "inner" if covered else "left").select("doc_id", "text", "keys", "spans")
     need = MIN_WORDS - SHINGLE_WORDS + 1
 
     import pyarrow as pa
@@ -393,8 +468,10 @@ def _open_runs(texts: DataFrame, shared: DataFrame, rows: DataFrame, covered: bo
             return np.zeros(0, np.int64)
         wanted = np.ones(len(found) - need + 1, bool)
         for k in range(FUNCTIONS):
-            least = np.lib.stride_tricks.sliding_window_view(_mix(found ^ _SEEDS[k]), need).min(axis=1)
-            wanted &= np.isin(((least & ~np.uint64(7)) | np.uint64(k)).view(np.int64), keys)
+            least = sliding(_mix(found ^ _SEEDS[k]), need)
+            first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))  # neighbours mostly have the same one
+            known = np.isin(((least[first] & ~np.uint64(7)) | np.uint64(k)).view(np.int64), keys)
+            wanted &= np.repeat(known, np.diff(first, append=len(least)))
         inside = np.zeros(len(wanted), bool)
         for span in spans or ():
             inside[span["first"] : max(span["first"], span["stop"] - MIN_WORDS + 1)] = True

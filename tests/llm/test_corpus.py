@@ -6,6 +6,7 @@ import collections
 import itertools
 import math
 import re
+import time
 
 import numpy as np
 import pytest
@@ -200,6 +201,42 @@ def test_windows_are_computed_once(spark):
     assert plan.count("MapInArrow") == 1
 
 
+def test_windows_of_texts_laid_end_to_end_are_those_of_each():
+    rng = np.random.default_rng(4)
+    parts = [rng.integers(1, top, n).astype(np.uint64) for top in (4, 10**9) for n in (3, 40, 7, 200, 12)]
+    line = np.concatenate([x for part in parts for x in (part, np.zeros(2, np.uint64))])
+    stops = np.cumsum([len(x) + 2 for x in parts])
+    edges = np.concatenate((stops - 1, stops - 2))
+    found = set(zip(*substring_dup._windows_between(line, 6, edges), strict=True))
+    begins = [0, *stops[:-1].tolist()]
+    alone = {tuple(k + b for k in w) for part, b in zip(parts, begins, strict=True) for w in substring_dup.compact_windows(part, 6)}
+    assert found == alone
+    for width in (1, 2, 5, 6, 46, 200):
+        want = np.lib.stride_tricks.sliding_window_view(parts[3], width)
+        assert (common.sliding(parts[3], width) == want.min(axis=1)).all()
+        assert (common.sliding(parts[3], width, np.maximum) == want.max(axis=1)).all()
+
+
+def test_only_texts_of_pairs_travel_and_shuffle_files_go(spark):
+    texts = spark.createDataFrame([(i, f"text {i}") for i in range(1000)], "doc_id long, text string")
+    pairs = spark.createDataFrame([(1, 500, 4), (1, 700, 4)], "a long, b long, hits long")
+    for end, ids in (("a", {1}), ("b", {500, 700})):
+        sent = {r[end]: r.text for r in substring_dup._texts_of(pairs, end, texts).collect()}
+        assert ids <= sent.keys() and len(sent) < 50 and all(t == f"text {i}" for i, t in sent.items())
+
+    def files():
+        return {name for name in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in name}
+
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = files()
+    kept = common.materialise(texts.groupBy("doc_id").agg({"text": "min"}).toDF("doc_id", "text"), "texts")
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before and kept.count() == 1000
+
+
 def test_marks_leave_out_no_pair_with_a_passage():
     rng = np.random.default_rng(8)
     shared, kept = 0, 0
