@@ -46,6 +46,7 @@ HOT_SHARE, HOT_PAIRS, SAMPLE_DOCS = 100, 20_000, 20_000
 _ROWS = 100_000
 
 _LOW = np.uint64(0xFFFFFFFF)
+_SPOT_BITS = 20
 
 
 def word_ids(text: str | None) -> np.ndarray:
@@ -79,15 +80,18 @@ def _counts(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     import pyarrow as pa
 
     def run(batches):
+        spots = _spots(hot)
         for batch in filter(len, batches):
-            for kind in (False, True):
-                found = [word_ids(t) for t in batch.column(0).to_pylist()]
-                if kind:
-                    found = [k[np.isin(k, hot)] for k in map(_pair_keys, found)] if len(hot) else []
-                keys, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), kind)), pa.array(keys.view(np.int64)), pa.array(n)], names=["pair", "key", "n"]
-                )
+            words, pairs = [], []
+            for own in map(word_ids, batch.column(0).to_pylist()):
+                words.append(own.astype(np.uint32))  # sorts faster than 64 bits
+                keys = _pair_keys(own) if len(hot) else own[:0]
+                pairs.append(keys[_in_hot(keys, hot, spots)])
+            for kind, found in ((False, words), (True, pairs)):
+                found = np.concatenate(found)
+                keys, n = np.unique(found, return_counts=True)
+                keys = keys.astype(np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind)), pa.array(keys), pa.array(n)], names=["pair", "key", "n"])
 
     return docs.select("text").mapInArrow(run, "pair boolean, key long, n long").groupBy("pair", "key").agg(F.sum("n").alias("n"))
 
@@ -137,6 +141,25 @@ def _looked_up(keys: np.ndarray, known: np.ndarray, values: np.ndarray) -> tuple
     return hit, np.where(hit, values[at], 0)
 
 
+def _places(keys: np.ndarray) -> np.ndarray:
+    return ((keys ^ keys >> np.uint64(32)) & np.uint64((1 << _SPOT_BITS) - 1)).view(np.int64)
+
+
+def _spots(hot: np.ndarray) -> np.ndarray:
+    """A table of the places of hot pairs, which tells most others apart at once."""
+    table = np.zeros(1 << _SPOT_BITS, bool)
+    table[_places(hot)] = True
+    return table
+
+
+def _in_hot(pairs: np.ndarray, hot: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    """Whether each pair is hot."""
+    out = spots[_places(pairs)]
+    at = np.flatnonzero(out)
+    out[at] = _looked_up(pairs[at], hot, np.zeros(len(hot)))[0]
+    return out
+
+
 # ------------------------------------------------------------ pairs
 
 
@@ -151,21 +174,25 @@ def _bucketed(docs: DataFrame, hot: np.ndarray, buckets: int, side: str) -> Data
     names = ["bucket", "side", "base", "keys", "rows", "times"]
 
     def run(batches):
+        spots = _spots(hot)
         for batch in filter(len, batches):
             keys, rows, times = [], [], []
             places = batch.column(2).to_numpy()
             for i, text in enumerate(batch.column(1).to_pylist()):
                 own, n = np.unique(_pair_keys(word_ids(text)), return_counts=True)
-                if len(hot) and len(own):
-                    cold = ~np.isin(own, hot)
-                    own, n = own[cold], n[cold]
+                cold = ~_in_hot(own, hot, spots)
+                own, n = own[cold], n[cold]
                 keys.append(own)
                 rows.append(np.full(len(own), i, np.uint32))
                 times.append(n.astype(np.uint32))
             keys, rows, times = (np.concatenate(x) for x in (keys, rows, times))
-            bucket = (_mix(keys) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((rows, keys, bucket))
+            # By bucket, then key; the documents of a key come in any order.
+            order = np.argsort(keys)
+            keys, rows, times = keys[order], rows[order], times[order]
+            bucket = (_mix(keys) % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
+            order = np.argsort(bucket, kind="stable")
             keys, rows, times, bucket = keys[order], rows[order], times[order], bucket[order]
+            del order
             for first, stop in zip(*_runs(bucket)):
                 part = slice(first, stop)
                 arrays = (np.diff(keys[part], prepend=np.uint64(0)), rows[part], times[part])
@@ -254,13 +281,13 @@ def _own_terms(docs: DataFrame, known, logs, hot, hot_counts, leave_out: bool, f
 
     names = ["row", "doc_id", "n_words", "key", "weight", "part"]
 
-    def terms(words):
+    def terms(words, spots):
         """(words, weights of their logarithms, sum of the rest) of one document."""
         if not len(words):
             return words, np.zeros(0), 0.0
-        pairs, n = np.unique(_pair_keys(words), return_counts=True)
-        hit, count = _looked_up(pairs, hot, hot_counts)
-        pairs, n, count = pairs[hit], n[hit], count[hit] - (n[hit] if leave_out else 0)
+        pairs = _pair_keys(words)
+        pairs, n = np.unique(pairs[_in_hot(pairs, hot, spots)], return_counts=True)
+        count = _looked_up(pairs, hot, hot_counts)[1] - (n if leave_out else 0)
         seen = count > 0
         part = float((n[seen] * np.log(count[seen])).sum() + n[~seen].sum() * fixed)
         more = [pairs[~seen] >> np.uint64(32), pairs[~seen] & _LOW]
@@ -269,11 +296,12 @@ def _own_terms(docs: DataFrame, known, logs, hot, hot_counts, leave_out: bool, f
         return keys, np.bincount(at, weights, len(keys)), part
 
     def run(batches):
+        spots = _spots(hot)
         for batch in batches:
             out = [[] for _ in names]
             for doc, text, row in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 words = word_ids(text)
-                keys, weights, part = terms(words)
+                keys, weights, part = terms(words, spots)
                 hit, log = _looked_up(keys, known, logs)
                 rest = ~hit & (weights != 0)
                 part += float((weights * log).sum())

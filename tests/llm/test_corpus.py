@@ -323,6 +323,34 @@ def test_lm_pairs_are_shuffled_once(spark):
     assert final.count("+- Exchange hashpartitioning(bucket") == 1 and final.count("ReusedExchange [bucket") == 1
 
 
+def test_lm_words_are_hashed_once_a_pass(spark, monkeypatch):
+    import pyarrow as pa
+
+    class Frame:  # hands out the function that Spark would run
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, fields):
+            self.run = run
+            return self
+
+        groupBy = agg = select
+
+    seen = []
+    plain = lm_score.word_ids
+    monkeypatch.setattr(lm_score, "word_ids", lambda text: seen.append(text) or plain(text))
+    texts = ["a b a b c", "", None, "a b", "x"]
+    hot = np.sort(lm_score._pair_keys(plain("a b a")))
+    rows = [r for b in lm_score._counts(Frame(), hot).run([pa.RecordBatch.from_pydict({"text": texts})]) for r in b.to_pylist()]
+    assert seen == texts
+    words_of, pairs_of = ({r["key"]: r["n"] for r in rows if r["pair"] == kind} for kind in (False, True))
+    assert sorted(words_of.values()) == [1, 1, 3, 3] and sorted(pairs_of.values()) == [1, 3]
+    rng = np.random.default_rng(6)
+    pairs = rng.integers(0, 2**63, 5000).astype(np.uint64)
+    for hot in (np.sort(pairs[:700]), pairs[:0]):
+        assert (lm_score._in_hot(pairs, hot, lm_score._spots(hot)) == np.isin(pairs, hot)).all()
+
+
 def test_frequent_words_are_bounded(spark):
     counts = spark.range(1, 2000).select(F.col("id").alias("key"), (F.col("id") * 3).alias("n"))
     for limit in (0, 1, 300, 5000):
