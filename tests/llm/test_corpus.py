@@ -9,6 +9,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +146,28 @@ def test_the_map_of_wanted_rows_follows_the_ids(spark, monkeypatch):
     assert common.wanted_rows(rows, rows.filter("false").select("doc_id")).count() == 0
 
 
+def test_wanted_rows_are_told_before_the_shuffle_and_without_python(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    ids = common.materialise(rows.filter("doc_id % 50 = 0").select("doc_id"), "ids")
+    wanted = common.wanted_rows(rows, ids)
+    plan = wanted._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "LeftSemi" not in plan
+    assert common.likely_rows(rows, ids).count() < 3_000
+    assert wanted.columns == rows.columns and wanted.count() == 400
+
+
+def test_texts_reach_python_in_small_batches_while_they_are_written(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    seen = common.materialise(spark.range(5_000).coalesce(1).mapInArrow(sizes, "n long"), "sizes").collect()
+    assert sum(r.n for r in seen) == 5_000 and max(r.n for r in seen) <= 1_024
+    assert spark.conf.get(key) == before
+
+
 def test_circulant_coordinates_estimate_similarity():
     rng = np.random.default_rng(0)
     values = rng.integers(0, 2**63, 1100, dtype=np.uint64)
