@@ -82,55 +82,56 @@ def compact_windows(hashes: np.ndarray, width: int) -> list[tuple[int, int, int]
     Equal least hashes of a range give one window; the ranges between them go on.
     """
     ranks = np.unique(hashes, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)
-    return list(zip(*_windows_between(ranks, width), strict=True))
+    return list(zip(*(x.tolist() for x in _windows_between(ranks, width)), strict=True))
 
 
-def _windows_between(hashes: np.ndarray, width: int, edges: np.ndarray | None = None) -> tuple[list[int], list[int], list[int]]:
+def _windows_between(hashes: np.ndarray, width: int, edges: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places, firsts and lasts of the compact windows of texts laid end to end, with a place between two of them (``edges``).
 
     A place has a window if it is the least of some ``width`` neighbours. What ends
-    its range on either side is smaller and the least of as many, so that one
-    pass over these places with a stack gives all ranges. A hash of 0 counts as 1,
-    which has the same key.
+    its range on either side is smaller and the least of as many, so that only
+    these places are compared. The first of equal places of a range has its
+    window. A hash of 0 counts as 1, which has the same key.
     """
     order = np.maximum(hashes, 1)
     if edges is not None:
         order[edges] = 0
     low = sliding(order, width)
     if not len(low):
-        return [], [], []
+        return (np.zeros(0, np.int64),) * 3
     beside = np.zeros(width - 1, low.dtype)
     least = np.flatnonzero((sliding(np.concatenate((beside, low, beside)), width, np.maximum) == order) | (order == 0))
-    places, firsts, lasts = [], [], []
-    held, starts, at = [], [], []  # of the open ranges: hash, first place, place
-    border, borders = -1, []  # the last edge; the last place of each open range's hash
-    for h, p in zip(order[least].tolist(), least.tolist(), strict=True):
-        while held and held[-1] > h:
-            held.pop()
-            borders.pop()
-            places.append(at.pop())
-            firsts.append(starts.pop())
-            lasts.append(p - 1)
-        if not h:
-            border = p
-        elif held and held[-1] == h:
-            borders[-1] = p
-        else:
-            starts.append((borders[-1] if held else border) + 1)
-            held.append(h)
-            at.append(p)
-            borders.append(p)
-    while held:
-        held.pop()
-        places.append(at.pop())
-        firsts.append(starts.pop())
-        lasts.append(len(hashes) - 1)
-    return places, firsts, lasts
+    # An edge before and after all.
+    value = np.concatenate(([0], order[least], [0])).astype(order.dtype)
+    place = np.concatenate(([-1], least, [len(hashes)]))
+    all_places = np.flatnonzero(value)
+    before = _first_below(value, all_places, -1, np.greater)
+    own = all_places[value[before[all_places]] < value[all_places]]
+    after = _first_below(value, all_places, 1, np.greater_equal)
+    return place[own], place[before[own]] + 1, place[after[own]] - 1
+
 
+def _first_below(value: np.ndarray, asked: np.ndarray, step: int, passes: np.ufunc) -> np.ndarray:
+    """For the ``asked`` places the next one, in the direction of ``step``, that their value does not pass.
 
-def text_shingles(text: str) -> np.ndarray:
-    words = worker_state("word_hasher", WordHasher).words(text)
-    return shingles(words, SHINGLE_WORDS) if len(words) >= SHINGLE_WORDS else words[:0]
+    What a passed place passes is passed as well, so all skip at once what those they have reached have skipped.
+    """
+    to = np.arange(len(value)) + step
+    while len(asked):
+        asked = asked[passes(value[to[asked]], value[asked])]
+        to[asked] = to[to[asked]]
+    return to
+
+
+def text_shingles(texts: list[str]) -> list[np.ndarray]:
+    """The shingles of every text; none with fewer words."""
+    out = []
+    for words, counts in worker_state("word_hasher", WordHasher).groups(texts):
+        line = shingles(words, SHINGLE_WORDS)
+        stops = np.cumsum(counts)
+        # Those that reach into the next text are left out.
+        out += [line[a : max(a, b - SHINGLE_WORDS + 1)] if b - a >= SHINGLE_WORDS else line[:0] for a, b in zip((stops - counts).tolist(), stops.tolist(), strict=True)]
+    return out
 
 
 def windows(docs: DataFrame) -> DataFrame:
@@ -143,7 +144,7 @@ def windows(docs: DataFrame) -> DataFrame:
 
     def make():
         def work(texts):
-            found = [text_shingles(text) for text in texts]
+            found = text_shingles(texts)
             wide = np.array([i for i, x in enumerate(found) if len(x) >= need], np.int64)
             sizes = np.array([len(found[i]) for i in wide], np.int64)
             groups = np.split(wide, np.flatnonzero(np.diff(np.cumsum(sizes) // LINE)) + 1)
@@ -163,7 +164,7 @@ def windows(docs: DataFrame) -> DataFrame:
             rows, keys, places, reaches = [], [], [], []
             for k in range(FUNCTIONS):
                 hashes = _mix(line ^ _SEEDS[k])
-                at, first, last = (np.array(x, np.int64) for x in _windows_between(hashes, need, edges))
+                at, first, last = _windows_between(hashes, need, edges)
                 text = np.searchsorted(stops, at, "right")
                 rows.append(wide[text])
                 # The function's number takes the place of the last bits.
@@ -355,13 +356,12 @@ def _may_share(marks: bytes, found: np.ndarray) -> bool:
 
 def marked(texts: DataFrame) -> DataFrame:
     """(doc_id, marks) of every text: half a byte a shingle."""
-    return map_texts(texts, lambda: lambda part: [[_marks(text_shingles(t)) for t in part]], "marks binary", ["doc_id"])
+    return map_texts(texts, lambda: lambda part: [[_marks(found) for found in text_shingles(part)]], "marks binary", ["doc_id"])
 
 
 def _texts_of(pairs: DataFrame, end: str, texts: DataFrame) -> DataFrame:
     """(a or b, text) of the documents at that end of the pairs, and of a few others: the rest need not travel."""
-    ids = pairs.select(F.col(end).alias("doc_id")).distinct()
-    return likely_rows(texts, ids).select(F.col("doc_id").alias(end), "text")
+    return likely_rows(texts, pairs.select(F.col(end).alias("doc_id"))).select(F.col("doc_id").alias(end), "text")
 
 
 def likely(pairs: DataFrame, texts: DataFrame, marks: DataFrame) -> DataFrame:
@@ -383,11 +383,14 @@ def likely(pairs: DataFrame, texts: DataFrame, marks: DataFrame) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
+                ids, marks, texts = (part.column(i).to_pylist() for i in (1, 3, 4))
+                new = [i for i, b in enumerate(ids) if b != (ids[i - 1] if i else last)]
+                fresh = dict(zip(new, text_shingles([texts[i] or "" for i in new]), strict=True))
                 keep = []
-                for b, marks, text in zip(*(part.column(i).to_pylist() for i in (1, 3, 4)), strict=True):
-                    if found is None or b != last:
-                        last, found = b, text_shingles(text or "")
-                    keep.append(_may_share(marks, found))
+                for i in range(len(ids)):
+                    found = fresh.get(i, found)
+                    keep.append(_may_share(marks[i], found))
+                last = ids[-1]
                 yield part.select(["a", "b", "hits"]).filter(pa.array(keep, pa.bool_()))
 
     return joined.mapInArrow(run, "a long, b long, hits long")
@@ -415,16 +418,20 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             cols = [batch.column(i) for i in range(5)]
             for start in range(0, batch.num_rows, 256):
                 a, b, hits, ta, tb = (c.slice(start, 256).to_pylist() for c in cols)
+                if held > KNOWN:
+                    known.clear()
+                    held = 0
+                firsts = {x: i for i, x in enumerate(a) if x not in known}
+                new = [i for i, x in enumerate(b) if x != (b[i - 1] if i else last)]
+                both = text_shingles([ta[i] or "" for i in firsts.values()] + [tb[i] or "" for i in new])
+                for x, found in zip(firsts, both):  # noqa: B905
+                    known[x] = found.copy()
+                    held += len(found)
+                fresh = dict(zip(new, both[len(firsts) :], strict=True))
+                last = b[-1]
                 out = [[] for _ in names]
                 for i in range(len(a)):
-                    if a[i] not in known:
-                        if held > KNOWN:
-                            known.clear()
-                            held = 0
-                        known[a[i]] = text_shingles(ta[i] or "")
-                        held += len(known[a[i]])
-                    if own is None or b[i] != last:
-                        last, own = b[i], text_shingles(tb[i] or "")
+                    own = fresh.get(i, own)
                     for found in passages(known[a[i]], own):
                         for column, value in zip(out, (a[i], b[i], hits[i], *found), strict=True):
                             column.append(value)
@@ -436,9 +443,12 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _rows(found: DataFrame) -> DataFrame:
-    """One row per passage occurrence from (a, b, hits, fa, sa, fb, sb)."""
-    own = found.select(F.col("b").alias("doc_id"), F.col("fb").alias("first"), F.col("sb").alias("stop"), "a", "hits")
-    return own.union(found.select("a", "fa", "sa", "a", "hits"))
+    """One row per passage occurrence from (a, b, hits, fa, sa, fb, sb), in one pass over them."""
+
+    def place(doc: str, first: str, stop: str) -> Column:
+        return F.struct(F.col(doc).alias("doc_id"), F.col(first).alias("first"), F.col(stop).alias("stop"), "a", "hits")
+
+    return found.select(F.inline(F.array(place("b", "fb", "sb"), place("a", "fa", "sa"))))
 
 
 def _uncovered(found: DataFrame, rows: DataFrame) -> DataFrame:
@@ -462,29 +472,33 @@ def _open_runs(texts: DataFrame, shared: DataFrame, rows: DataFrame, covered: bo
 
     import pyarrow as pa
 
-    def runs_of(text, keys, spans):
-        found = text_shingles(text or "")
-        if len(found) < need:
-            return np.zeros(0, np.int64)
-        wanted = np.ones(len(found) - need + 1, bool)
-        for k in range(FUNCTIONS):
-            least = sliding(_mix(found ^ _SEEDS[k]), need)
-            first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))  # neighbours mostly have the same one
-            known = np.isin(((least[first] & ~np.uint64(7)) | np.uint64(k)).view(np.int64), keys)
-            wanted &= np.repeat(known, np.diff(first, append=len(least)))
-        inside = np.zeros(len(wanted), bool)
-        for span in spans or ():
-            inside[span["first"] : max(span["first"], span["stop"] - MIN_WORDS + 1)] = True
-        return np.unique(_runs(found, need)[wanted & (inside if covered else ~inside)]).view(np.int64)
-
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                own = [
-                    runs_of(text, np.array(keys, np.int64), spans)
-                    for text, keys, spans in zip(*(part.column(i).to_pylist() for i in (1, 2, 3)), strict=True)
-                ]
+                found = text_shingles([t or "" for t in part.column(1).to_pylist()])
+                # A least shingle that is a shared key of another document is one of its own document too.
+                keys = part.column(2).flatten().to_numpy(zero_copy_only=False)
+                sizes = np.array([max(0, len(x) - need + 1) for x in found])
+                stops = np.cumsum([len(x) for x in found])
+                # The places of the line of all shingles where a run begins.
+                begins = np.repeat(stops - [len(x) for x in found] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+                line = np.concatenate(found)
+                wanted = np.ones(len(begins), bool)
+                for k in range(FUNCTIONS if len(begins) else 0):
+                    least = sliding(_mix(line ^ _SEEDS[k]), need)[begins]
+                    first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))  # neighbours mostly have the same one
+                    known = np.isin(((least[first] & ~np.uint64(7)) | np.uint64(k)).view(np.int64), keys)
+                    wanted &= np.repeat(known, np.diff(first, append=len(least)))
+                own = []
+                edges = np.cumsum(sizes)
+                for i, spans in enumerate(part.column(3).to_pylist()):
+                    mine = wanted[edges[i] - sizes[i] : edges[i]]
+                    inside = np.zeros(len(mine), bool)
+                    for span in spans or ():
+                        inside[span["first"] : max(span["first"], span["stop"] - MIN_WORDS + 1)] = True
+                    mine = mine & (inside if covered else ~inside)
+                    own.append(np.unique(_runs(found[i], need)[mine]).view(np.int64) if mine.any() else np.zeros(0, np.int64))
                 index = np.repeat(np.arange(len(own)), [len(x) for x in own])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(index, pa.int64())), pa.array(np.concatenate(own), pa.int64())], names=["doc_id", "run"]

@@ -168,6 +168,26 @@ def test_texts_reach_python_in_small_batches_while_they_are_written(spark):
     assert spark.conf.get(key) == before
 
 
+def test_shingles_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(6)
+    texts = ["", " ", "a b c d", "a b c d e", "A  b\tc\nd e f", "é ü x y z \ud800 w", "x" * 70_000 + " b c d e f", "\x1c a b c d\x1f e"]
+    texts += ["w " * int(rng.integers(0, 9)) + " ".join(map(str, rng.integers(0, 99, int(rng.integers(0, 900))))) for _ in range(200)]
+    hasher = common.WordHasher()
+    found = substring_dup.text_shingles(texts)
+    assert len(found) == len(texts) and substring_dup.text_shingles([]) == []
+    for text, got in zip(texts, found, strict=True):
+        own = hasher.words(text)
+        assert len(own) == len(words(text))
+        assert np.array_equal(got, common.shingles(own, 5) if len(own) >= 5 else own[:0])
+
+
+def test_passages_are_compared_once(spark):
+    texts = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    pairs = common.materialise(spark.createDataFrame([(1, 2, 4)], "a long, b long, hits long"), "pairs")
+    plan = substring_dup._rows(substring_dup.verified(pairs, texts))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_circulant_coordinates_estimate_similarity():
     rng = np.random.default_rng(0)
     values = rng.integers(0, 2**63, 1100, dtype=np.uint64)
